@@ -24,7 +24,3 @@ def minutes_from_text(c: Column) -> Column:
 
 def first_word(c: Column) -> Column:
     return F.split(c, " ").getItem(0)
-
-
-def upper_or_default(c: Column, default: str) -> Column:
-    return F.coalesce(F.upper(c), F.lit(default))
