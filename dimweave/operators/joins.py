@@ -38,7 +38,10 @@ def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int,
                    partition_by: list[str] | None = None) -> None:
     """Save ``df`` as an external table at ``path``: hash-bucketed on ``key``
     (and sorted within buckets), optionally below a partition column."""
-    w = df.write.mode("overwrite").option("path", path)
+    # Hash-partitioning on the key with the bucket count first makes each task
+    # hold exactly one bucket, so each (partition, bucket) gets one file
+    # rather than one per writing task.
+    w = df.repartition(buckets, key).write.mode("overwrite").option("path", path)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.bucketBy(buckets, key).sortBy(key).saveAsTable(table)

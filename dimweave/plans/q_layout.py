@@ -1 +1,153 @@
-"""placeholder"""
+"""Registered queries: writes, table layout and file reports.
+
+Layout operators (file counts, sizes, plan shape) are rows-only checks;
+writes whose content is SQL-expressible are compared after reading back.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from dimweave.operators import cumulative as cu
+from dimweave.operators import layout as la
+from dimweave.operators.enrich import enrich_events_devices
+from dimweave.operators.joins import write_bucketed
+from dimweave.plans.q_cleaning import _T
+from dimweave.plans.q_cumulative import players
+from dimweave.plans.registry import query
+from dimweave.session import scratch_path
+from dimweave.sources import fixtures as fx
+
+PLAYERS_SCHEMA = (
+    "player_name string, height string, college string, country string, draft_year string, "
+    f"draft_round string, draft_number string, seasons array<{cu.SEASON_TYPE}>, "
+    "scoring_class string, years_since_last_active int, is_active boolean, current_season int")
+
+
+def _name(prefix: str) -> str:
+    return f"{prefix}_{uuid.uuid4().hex[:10]}"
+
+
+@query("table_declare")
+def q_table_declare(spark, sf_dir):
+    """Declare the cumulative table (schema + partitioning), then load it."""
+    from pyspark.sql.types import _parse_datatype_string
+    schema = _parse_datatype_string(PLAYERS_SCHEMA)
+    path = scratch_path(spark, "players-declared")
+    la.declare_table(spark, path, schema, ["current_season"])
+    la.load_into(path, players(spark, sf_dir), schema, ["current_season"])
+    return spark.read.parquet(path)
+
+
+@query("partition_by_time")
+def q_partition_by_time(spark, sf_dir):
+    path = scratch_path(spark, "taxis-by-year")
+    col = la.partition_by_time(fx.taxis(spark, sf_dir), path, "tpep_pickup_datetime", "year")
+    return spark.read.parquet(path).groupBy(col).agg(F.count(F.lit(1)).alias("num_rows"))
+
+
+@query("partition_by_value")
+def q_partition_by_value(spark, sf_dir):
+    path = scratch_path(spark, "taxis-by-vendor")
+    la.partition_by_value(fx.taxis(spark, sf_dir), path, "VendorID")
+    return la.file_listing(spark.read.parquet(path))
+
+
+@query("bucketed_write")
+def q_bucketed_write(spark, sf_dir):
+    """16 hash buckets on match_id below a year partition; one file per
+    (partition, bucket, writing task)."""
+    name = _name("matches_bucketed")
+    m = fx.matches(spark, sf_dir).withColumn("completion_year", F.year("completion_date"))
+    write_bucketed(m, name, scratch_path(spark, name), "match_id", 16, partition_by=["completion_year"])
+    return la.file_listing(spark.table(name))
+
+
+@query("sorted_write")
+def q_sorted_write(spark, sf_dir):
+    path = scratch_path(spark, "events-sorted")
+    ev = enrich_events_devices(fx.events(spark, sf_dir), fx.devices(spark, sf_dir))
+    la.sorted_write(ev, path, 4, "event_date", ["event_date", "host"])
+    return spark.read.parquet(path)
+
+
+@query("sort_within_partitions")
+def q_sort_within_partitions(spark, sf_dir):
+    """Hash repartition + local sort: one exchange, no range partitioning."""
+    ev = enrich_events_devices(fx.events(spark, sf_dir), fx.devices(spark, sf_dir))
+    return la.sort_within(ev, 10, "event_date", ["event_date", "host"])
+
+
+@query("layout_report")
+def q_layout_report(spark, sf_dir):
+    ev = enrich_events_devices(fx.events(spark, sf_dir), fx.devices(spark, sf_dir))
+    p1, p2 = scratch_path(spark, "events-sorted"), scratch_path(spark, "events-unsorted")
+    la.sorted_write(ev, p1, 4, "event_date", ["event_date", "host"])
+    ev.repartition(4).write.mode("overwrite").parquet(p2)
+    return la.layout_report({"sorted": spark.read.parquet(p1), "unsorted": spark.read.parquet(p2)})
+
+
+@query("file_stats")
+def q_file_stats(spark, sf_dir):
+    path = scratch_path(spark, "taxis")
+    fx.taxis(spark, sf_dir).repartition(8).write.parquet(path)
+    return la.file_stats(spark.read.parquet(path), ["trip_distance", "fare_amount", "total_amount"])
+
+
+@query("compact_files")
+def q_compact_files(spark, sf_dir):
+    """Many small files rewritten to fewer files of a target size, rows unchanged."""
+    src, dst = scratch_path(spark, "taxis-small"), scratch_path(spark, "taxis-compact")
+    fx.taxis(spark, sf_dir).repartition(32).write.parquet(src)
+    return la.compact_files(spark, src, dst, target_bytes=512 * 1024)
+
+
+@query("partition_report", """
+    SELECT 'year' AS partition_unit, CAST(year(tpep_pickup_datetime) AS VARCHAR) AS partition_value,
+           COUNT(*) AS num_rows FROM fx_taxis GROUP BY 2
+    UNION ALL
+    SELECT 'month' AS partition_unit, strftime(tpep_pickup_datetime, '%Y-%m') AS partition_value,
+           COUNT(*) AS num_rows FROM fx_taxis GROUP BY 2""")
+def q_partition_report(spark, sf_dir):
+    return la.partition_report(fx.taxis(spark, sf_dir), "tpep_pickup_datetime")
+
+
+@query("write_ctas", f"SELECT {_T} FROM fx_taxis WHERE trip_distance > 35")
+def q_write_ctas(spark, sf_dir):
+    """Create a table from a query result, then read the table."""
+    name = _name("long_trips")
+    t = fx.taxis(spark, sf_dir).where(F.col("trip_distance") > 35)
+    t.write.option("path", scratch_path(spark, name)).saveAsTable(name)
+    return spark.table(name)
+
+
+@query("write_append", f"SELECT {_T} FROM fx_taxis")
+def q_write_append(spark, sf_dir):
+    path = scratch_path(spark, "taxis-append")
+    t = fx.taxis(spark, sf_dir)
+    odd = F.year("tpep_pickup_datetime") % 2 == 1
+    t.where(odd).write.mode("overwrite").parquet(path)
+    t.where(~odd).write.mode("append").parquet(path)
+    return spark.read.parquet(path)
+
+
+@query("write_overwrite", f"SELECT {_T} FROM fx_taxis WHERE trip_distance > 35")
+def q_write_overwrite(spark, sf_dir):
+    path = scratch_path(spark, "taxis-overwrite")
+    t = fx.taxis(spark, sf_dir)
+    t.write.mode("overwrite").parquet(path)
+    t.where(F.col("trip_distance") > 35).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+@query("truncate_reload", f"SELECT {_T} FROM fx_taxis WHERE year(tpep_pickup_datetime) >= 1998")
+def q_truncate_reload(spark, sf_dir):
+    """Empty a table (keeping its schema), then reload it."""
+    path = scratch_path(spark, "taxis-truncate")
+    t = fx.taxis(spark, sf_dir)
+    t.write.mode("overwrite").parquet(path)
+    la.truncate_table(spark, path)
+    t.where(F.year("tpep_pickup_datetime") >= 1998).write.mode("append").parquet(path)
+    return spark.read.parquet(path)
