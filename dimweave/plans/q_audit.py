@@ -1 +1,163 @@
-"""placeholder"""
+"""Registered queries: audits, stage-audit-publish and the load log."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from dimweave.operators import audit as au
+from dimweave.operators import changes as ch
+from dimweave.plans.params import DROPPED_BOROUGH, EXPECTED_BOROUGHS
+from dimweave.plans.q_cleaning import _T
+from dimweave.plans.registry import query
+from dimweave.session import scratch_path
+from dimweave.sources import fixtures as fx
+
+_EXPECTED_SQL = ", ".join(f"('{b}')" for b in EXPECTED_BOROUGHS)
+RETAIN_BEFORE = "1999-06-01 00:00:00"
+KEEP_LAST = 2
+AS_OF_LOAD = 3
+
+
+def _expected(spark):
+    # The audit's expected set is a parameter of the check (a handful of values).
+    return spark.createDataFrame([(b,) for b in EXPECTED_BOROUGHS], "borough string")
+
+
+def _staged(spark, sf_dir):
+    return ch.delete_where(fx.permits(spark, sf_dir), F.col("borough") == DROPPED_BOROUGH)
+
+
+@query("distinct_values", "SELECT DISTINCT borough FROM fx_permits")
+def q_distinct_values(spark, sf_dir):
+    return au.distinct_values(fx.permits(spark, sf_dir), "borough")
+
+
+@query("audit_set_equal", f"""
+    WITH got AS (SELECT DISTINCT borough AS value FROM fx_permits
+                 WHERE NOT COALESCE(borough = '{DROPPED_BOROUGH}', FALSE)),
+    exp AS (SELECT * FROM (VALUES {_EXPECTED_SQL}) t(value))
+    SELECT COALESCE(got.value, exp.value) AS value, got.value IS NOT NULL AS in_data,
+           exp.value IS NOT NULL AS in_expected
+    FROM got FULL OUTER JOIN exp ON got.value = exp.value""")
+def q_audit_set_equal(spark, sf_dir):
+    """Distinct values vs the expected set, value by value (real set
+    equality: the audit fails on any row with in_data != in_expected)."""
+    return au.set_comparison(_staged(spark, sf_dir), "borough", _expected(spark))
+
+
+@query("filter_like", "SELECT * FROM fx_permits WHERE borough LIKE '%'")
+def q_filter_like(spark, sf_dir):
+    return fx.permits(spark, sf_dir).where(F.col("borough").like("%"))
+
+
+@query("fn_map_get", """
+    SELECT permit_id, CAST(permit_id AS VARCHAR) AS wap_id FROM fx_permits""")
+def q_fn_map_get(spark, sf_dir):
+    """Entry of a map column (a snapshot-summary style map keyed 'wap.id')."""
+    p = fx.permits(spark, sf_dir)
+    m = p.select("permit_id", F.create_map(F.lit("wap.id"), F.col("permit_id").cast("string"),
+                                           F.lit("operation"), F.col("borough")).alias("summary"))
+    return m.select("permit_id", F.col("summary")["wap.id"].alias("wap_id"))
+
+
+@query("stage_audit_publish", f"""
+    SELECT * FROM fx_permits WHERE NOT COALESCE(borough = '{DROPPED_BOROUGH}', FALSE)""")
+def q_stage_audit_publish(spark, sf_dir):
+    """Stage the delete, audit the staged copy, publish only if it passes."""
+    exp = _expected(spark)
+    audits = {"boroughs": lambda staged: au.audit_set_equal(staged, "borough", exp)}
+    return au.stage_audit_publish(spark, _staged(spark, sf_dir), audits,
+                                  target=scratch_path(spark, "permits-published"),
+                                  stage=scratch_path(spark, "permits-staged"))
+
+
+@query("staged_vs_published", f"""
+    WITH s AS (SELECT borough, COUNT(*) AS staged_count FROM fx_permits
+               WHERE NOT COALESCE(borough = '{DROPPED_BOROUGH}', FALSE) GROUP BY borough),
+    p AS (SELECT borough, COUNT(*) AS published_count FROM fx_permits GROUP BY borough)
+    SELECT COALESCE(s.borough, p.borough) AS borough, s.staged_count, p.published_count
+    FROM s FULL OUTER JOIN p ON s.borough = p.borough""")
+def q_staged_vs_published(spark, sf_dir):
+    return au.staged_vs_published(_staged(spark, sf_dir), fx.permits(spark, sf_dir), "borough")
+
+
+@query("audit_row_count", """
+    SELECT COUNT(*) AS rows_written, COUNT(*) AS rows_read, TRUE AS counts_equal FROM fx_taxis""")
+def q_audit_row_count(spark, sf_dir):
+    path = scratch_path(spark, "taxis-count")
+    t = fx.taxis(spark, sf_dir)
+    t.write.parquet(path)
+    src = t.agg(F.count(F.lit(1)).alias("rows_written"))
+    out = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows_read"))
+    return src.crossJoin(out).withColumn("counts_equal", F.col("rows_written") == F.col("rows_read"))
+
+
+# ------------------------------------------------------------- load log
+
+_LOADS_SQL = """t AS (SELECT *, CAST(year(tpep_pickup_datetime)
+                               - (SELECT min(year(tpep_pickup_datetime)) FROM fx_taxis) + 1 AS INTEGER) AS load_id
+               FROM fx_taxis)"""
+_LOG_SQL = f"""WITH {_LOADS_SQL}
+    SELECT load_id, 'append' AS operation, COUNT(*) AS rows_added, TRUE AS published,
+           max(tpep_pickup_datetime) AS committed_at
+    FROM t GROUP BY load_id"""
+
+
+def _with_load_ids(spark, sf_dir):
+    """Taxi trips tagged with a load number: one load per pickup year."""
+    t = fx.taxis(spark, sf_dir)
+    first = t.agg(F.min(F.year("tpep_pickup_datetime")).alias("_y0"))       # one row
+    return (t.crossJoin(F.broadcast(first))
+            .withColumn("load_id", (F.year("tpep_pickup_datetime") - F.col("_y0") + 1).cast("int"))
+            .drop("_y0"))
+
+
+def _loaded_table(spark, sf_dir) -> str:
+    root = scratch_path(spark, "taxis-loads")
+    au.append_loads(spark, root, _with_load_ids(spark, sf_dir), "load_id", "tpep_pickup_datetime")
+    return root
+
+
+@query("snapshot_log", _LOG_SQL)
+def q_snapshot_log(spark, sf_dir):
+    root = _loaded_table(spark, sf_dir)
+    return au.snapshot_log(spark, root).orderBy("committed_at")
+
+
+@query("read_as_of", f"""WITH {_LOADS_SQL}
+    SELECT {_T}, load_id FROM t WHERE load_id <= {AS_OF_LOAD}""")
+def q_read_as_of(spark, sf_dir):
+    root = _loaded_table(spark, sf_dir)
+    return au.read_as_of(spark, root, AS_OF_LOAD)
+
+
+@query("snapshot_retention", f"""
+    WITH l AS ({_LOG_SQL}),
+    r AS (SELECT load_id, committed_at,
+                 ROW_NUMBER() OVER (ORDER BY committed_at DESC, load_id DESC) AS rn FROM l)
+    SELECT load_id, committed_at, (rn > {KEEP_LAST} AND committed_at < TIMESTAMP '{RETAIN_BEFORE}') AS expired
+    FROM r""")
+def q_snapshot_retention(spark, sf_dir):
+    import datetime as dt
+    root = _loaded_table(spark, sf_dir)
+    return au.snapshot_retention(au.snapshot_log(spark, root),
+                                 dt.datetime.fromisoformat(RETAIN_BEFORE), KEEP_LAST)
+
+
+@query("append_two_batches", f"""WITH {_LOADS_SQL}
+    SELECT 1 AS after_load, COUNT(*) FILTER (WHERE trip_distance > 35) AS long_trips FROM t WHERE load_id <= 1
+    UNION ALL
+    SELECT 2 AS after_load, COUNT(*) FILTER (WHERE trip_distance > 35) AS long_trips FROM t WHERE load_id <= 2""")
+def q_append_two_batches(spark, sf_dir):
+    """Load a batch, query, load the next batch, query again; each query
+    reads the table as of its load, so both answers stay reproducible."""
+    root = scratch_path(spark, "taxis-two-batches")
+    tagged = _with_load_ids(spark, sf_dir)
+    results = []
+    for load in (1, 2):
+        au.append_loads(spark, root, tagged.where(F.col("load_id") == load), "load_id",
+                        "tpep_pickup_datetime")
+        snap = au.read_as_of(spark, root, load)
+        results.append(snap.agg(F.count_if(F.col("trip_distance") > 35).alias("long_trips"))
+                       .select(F.lit(load).alias("after_load"), "long_trips"))
+    return results[0].unionByName(results[1])
