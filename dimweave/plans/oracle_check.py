@@ -53,6 +53,26 @@ def _norm(v):
     return v
 
 
+def _type_name(t) -> str:
+    import pyarrow as pa
+
+    if pa.types.is_large_string(t) or pa.types.is_string(t):
+        return "string"
+    if pa.types.is_timestamp(t):
+        return "timestamp" + ("_tz" if t.tz else "")
+    if pa.types.is_list(t) or pa.types.is_large_list(t):
+        return f"list<{_type_name(t.value_type)}>"
+    if pa.types.is_struct(t):
+        return "struct<" + ",".join(sorted(f"{f.name}:{_type_name(f.type)}" for f in t)) + ">"
+    if pa.types.is_map(t):
+        return f"map<{_type_name(t.key_type)},{_type_name(t.item_type)}>"
+    return str(t)
+
+
+def schema_types(table) -> dict[str, str]:
+    return {f.name: _type_name(f.type) for f in table.schema}
+
+
 def _rows(table) -> tuple[list[str], list[tuple]]:
     names = sorted(table.column_names)
     cols = [table.column(n).to_pylist() for n in names]
@@ -71,6 +91,11 @@ def compare(spark, con, name: str, fn, sql: str, sf_dir: str) -> dict:
     dn, dr = _rows(dt_)
     out = {"name": name, "spark_rows": len(sr), "oracle_rows": len(dr),
            "columns_match": sn == dn, "values_match": sr == dr}
+    st_types, dt_types = schema_types(st), schema_types(dt_)
+    type_diff = {k: (st_types[k], dt_types.get(k)) for k in st_types if st_types[k] != dt_types.get(k)}
+    out["types_match"] = not type_diff
+    if type_diff:
+        out["type_diff"] = type_diff
     if sn != dn:
         out["spark_cols"] = sn
         out["oracle_cols"] = dn
