@@ -117,3 +117,27 @@ def history_growth(snap: DataFrame, *, key: str = "player_name", metric: str = "
 
 def entity_lookup(table: DataFrame, period: int, value, *, key: str = "player_name") -> DataFrame:
     return table.where((F.col("current_season") == period) & (F.col(key) == value))
+
+
+def cumulative_fold(seasons: DataFrame, first_period: int, last_period: int, *,
+                    key: str = "player_name", cut_every: int = 1) -> DataFrame:
+    """All snapshots by running the yearly step load period after period
+    (the reference's sequential procedure).  Each step's snapshot is
+    checkpointed to the session's checkpoint directory every ``cut_every``
+    steps so the plan does not grow with the number of periods.  Prefer
+    ``cumulative_backfill`` for history; use the step for the newest period."""
+    empty = cumulative_step(
+        seasons.limit(0).select(key, *ATTRS, F.array().cast(f"array<{SEASON_TYPE}>").alias("seasons"),
+                                F.lit(None).cast("string").alias("scoring_class"),
+                                F.lit(None).cast("int").alias("years_since_last_active"),
+                                F.lit(None).cast("int").alias("current_season")),
+        seasons.limit(0))
+    prev = empty
+    out = None
+    for i, p in enumerate(range(first_period, last_period + 1)):
+        snap = cumulative_step(prev, seasons.where(F.col("season") == p))
+        if cut_every and (i + 1) % cut_every == 0:
+            snap = snap.checkpoint(eager=True)
+        out = snap if out is None else out.unionByName(snap)
+        prev = snap
+    return out

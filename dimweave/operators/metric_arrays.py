@@ -102,3 +102,21 @@ def array_metric_daily(df: DataFrame, arr: str = "metric_array") -> DataFrame:
     exploded = df.select("metric_name", "month_start", F.posexplode(arr).alias("pos", "value"))
     return exploded.select("metric_name", F.date_add("month_start", F.col("pos")).alias("date"),
                            "value")
+
+
+def array_metric_fold(events: DataFrame, month_start, last_day, *, cut_every: int = 7,
+                      metric_name: str = "site_hits") -> DataFrame:
+    """The month's arrays at ``last_day`` by folding daily steps (with the
+    upsert by key), checkpointing every ``cut_every`` days."""
+    start = dt.date.fromisoformat(month_start) if isinstance(month_start, str) else month_start
+    end = dt.date.fromisoformat(last_day) if isinstance(last_day, str) else last_day
+    table = array_metric_backfill(events.limit(0), start, start, metric_name=metric_name)
+    day = start
+    i = 0
+    while day <= end:
+        table = array_metric_step(table, daily_counts(events, day), metric_name=metric_name)
+        i += 1
+        if cut_every and i % cut_every == 0:
+            table = table.checkpoint(eager=True)
+        day += dt.timedelta(days=1)
+    return table
