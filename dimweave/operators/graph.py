@@ -65,13 +65,19 @@ def vertex_counts(v: DataFrame) -> DataFrame:
     return v.groupBy("type").agg(F.count(F.lit(1)).alias("num_vertices"))
 
 
-def participations(details: DataFrame) -> DataFrame:
-    """One row per (player, game)."""
-    return first_per_key(details, ["player_id", "game_id"], PICK_ORDER)
+def participations(details: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """One row per (player, game), keeping ``cols`` (all columns if None).
+    Only the needed columns enter the pick: the picked row travels through
+    the shuffle as one struct, so narrower is cheaper."""
+    keys = ["player_id", "game_id"]
+    if cols is not None:
+        keep = keys + [c for c in cols if c not in keys] + [c for c in PICK_ORDER if c not in cols]
+        details = details.select(*keep)
+    return first_per_key(details, keys, PICK_ORDER)
 
 
 def edges_plays_in(details: DataFrame) -> DataFrame:
-    p = participations(details)
+    p = participations(details, ["start_position", "pts", "team_id", "team_abbreviation"])
     return p.select(
         F.col("player_id").alias("subject_identifier"), F.lit("player").alias("subject_type"),
         F.col("game_id").alias("object_identifier"), F.lit("game").alias("object_type"),
@@ -84,7 +90,7 @@ def player_pairs(details: DataFrame) -> DataFrame:
     """Per game, each unordered pair of distinct players once, with the edge
     type (same team or not) and both players' points."""
     cols = ["game_id", "player_id", "player_name", "team_abbreviation", "pts"]
-    p = participations(details).select(*cols)
+    p = participations(details, cols).select(*cols)
     f1 = p.alias("f1")
     f2 = p.alias("f2")
     j = f1.join(f2, (F.col("f1.game_id") == F.col("f2.game_id"))

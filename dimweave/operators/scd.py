@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 
 def _changed(a: Column, b: Column, null_safe: bool) -> Column:
-    return ~a.eqNullSafe(b) if null_safe else (a != b)
+    # null-safe: a change needs a previous row (the first row opens run 0).
+    return (F.col("_has_prev") & ~a.eqNullSafe(b)) if null_safe else (a != b)
 
 
 def scd_change_flags(players: DataFrame, upto: int, *, key: str = "player_name",
@@ -30,8 +31,9 @@ def scd_change_flags(players: DataFrame, upto: int, *, key: str = "player_name",
     """Per period: previous attribute values and one 0/1 change flag per attribute."""
     w = Window.partitionBy(key).orderBy(period)
     base = players.where(F.col(period) <= upto).select(
-        key, period, *attrs, *[F.lag(a, 1).over(w).alias(f"previous_{a}") for a in attrs])
-    return base.select("*", *[
+        key, period, *attrs, *[F.lag(a, 1).over(w).alias(f"previous_{a}") for a in attrs],
+        F.lag(F.lit(True), 1).over(w).isNotNull().alias("_has_prev"))
+    return base.select(*[c for c in base.columns if c != "_has_prev"], *[
         F.when(_changed(F.col(a), F.col(f"previous_{a}"), null_safe), 1).otherwise(0)
         .alias(f"{a}_change_indicator") for a in attrs])
 
@@ -40,7 +42,8 @@ def _with_streaks(players: DataFrame, upto: int, key: str, attrs, period: str,
                   null_safe: bool) -> DataFrame:
     w = Window.partitionBy(key).orderBy(period)
     base = players.where(F.col(period) <= upto).select(
-        key, period, *attrs, *[F.lag(a, 1).over(w).alias(f"_prev_{a}") for a in attrs])
+        key, period, *attrs, *[F.lag(a, 1).over(w).alias(f"_prev_{a}") for a in attrs],
+        F.lag(F.lit(True), 1).over(w).isNotNull().alias("_has_prev"))
     change = reduce(lambda acc, a: acc.when(_changed(F.col(a), F.col(f"_prev_{a}"), null_safe), 1),
                     attrs[1:], F.when(_changed(F.col(attrs[0]), F.col(f"_prev_{attrs[0]}"), null_safe), 1))
     flagged = base.withColumn("change_indicator", change.otherwise(0))
