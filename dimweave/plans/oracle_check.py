@@ -84,7 +84,7 @@ def _rows(table) -> tuple[list[str], list[tuple]]:
 def compare(spark, con, name: str, fn, sql: str, sf_dir: str) -> dict:
     sdf = fn(spark, sf_dir)
     st = sdf.toArrow()
-    dt_ = con.execute(sql).to_arrow_table()
+    dt_ = con.sql(sql).to_arrow_table()
     if hasattr(dt_, "read_all"):
         dt_ = dt_.read_all()
     sn, sr = _rows(st)

@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The reference has no stream processing (no readStream / writeStream, no
+watermarks or windowed streaming aggregates, no state store); its daily
+loads are batch steps keyed by a date, which live in ``dimweave.operators``
+as step / backfill pairs.  Nothing is built here so that no operator exists
+that the reference does not have.
+"""
