@@ -107,7 +107,11 @@ def snapshot_retention(log: DataFrame, older_than, keep_last: int) -> DataFrame:
     newest = log.orderBy(F.col("committed_at").desc(), F.col("load_id").desc()) \
         .limit(keep_last).select("load_id").withColumn("_kept", F.lit(True))
     j = log.join(F.broadcast(newest), on="load_id", how="left")  # at most keep_last rows
-    expired = F.coalesce(~F.col("_kept"), F.lit(True)) & (F.col("committed_at") < F.lit(older_than))
+    # Parse the cut-off as a wall-clock timestamp: a Python datetime literal
+    # would be shifted by the driver process's zone, not the session's.
+    text = older_than.isoformat(sep=" ") if hasattr(older_than, "isoformat") else str(older_than)
+    cutoff = F.to_timestamp_ntz(F.lit(text))
+    expired = F.coalesce(~F.col("_kept"), F.lit(True)) & (F.col("committed_at") < cutoff)
     return j.select("load_id", "committed_at", expired.alias("expired"))
 
 
