@@ -21,6 +21,8 @@ def main(argv: list[str]) -> int:
     load_all()
     spark = build_session("local[8]", 8)
     spark.sparkContext.setLogLevel("OFF")
+    if len(argv) > 1 and "SESSION_TZ" in __import__("os").environ:
+        spark.conf.set("spark.sql.session.timeZone", __import__("os").environ["SESSION_TZ"])
     con = duckdb_connection(sf_dir)
     bad = 0
     for name in sorted(QUERIES):
