@@ -93,10 +93,34 @@ def snapshot_log(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(LOG_SCHEMA).parquet(_log_path(root))
 
 
+def load_status(spark: SparkSession, root: str) -> DataFrame:
+    """Current status per load from the append-only log.  Unpublishing is
+    terminal (a rolled-back load is never re-published; re-loading makes a
+    new load id), so a load is visible only if no entry unpublished it --
+    which needs no ordering of log entries."""
+    return (snapshot_log(spark, root).groupBy("load_id")
+            .agg(F.bool_and("published").alias("published")))
+
+
+def rollback_to(spark: SparkSession, root: str, load_id: int) -> DataFrame:
+    """Roll the table back to ``load_id``: every later published load gets a
+    'rollback' log entry marking it unpublished.  Data files stay (they can be
+    expired by retention); readers stop seeing them.  Returns the new entries."""
+    later = load_status(spark, root).where(F.col("published") & (F.col("load_id") > load_id))
+    entries = later.select("load_id", F.lit("rollback").alias("operation"),
+                           F.lit(0).cast("bigint").alias("rows_added"), F.lit(False).alias("published"),
+                           F.current_timestamp().cast("timestamp_ntz").alias("committed_at"))
+    stage = f"{root}/_log_stage"
+    entries.write.mode("overwrite").parquet(stage)        # materialise before appending to the log
+    staged = spark.read.schema(LOG_SCHEMA).parquet(stage)
+    staged.write.mode("append").parquet(_log_path(root))
+    return staged
+
+
 def read_as_of(spark: SparkSession, root: str, load_id: int, load_col: str = "load_id") -> DataFrame:
-    """Table content as of a load: the published loads up to ``load_id``
-    (pruned by the load directory)."""
-    log = snapshot_log(spark, root).where(F.col("published") & (F.col("load_id") <= load_id))
+    """Table content as of a load: the loads up to ``load_id`` that are
+    currently published (pruned by the load directory)."""
+    log = load_status(spark, root).where(F.col("published") & (F.col("load_id") <= load_id))
     data = spark.read.parquet(_data_path(root)).where(F.col(load_col) <= load_id)
     return data.join(log.select(F.col("load_id").alias(load_col)), on=load_col, how="left_semi")
 
