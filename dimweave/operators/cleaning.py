@@ -1,53 +1,50 @@
 """Outlier removal, histograms and feature columns.
 
 Column statistics are one-row global aggregates (partial aggregation on
-every partition, one tiny final step); the one-row result is broadcast to
-the filter, a size bound that holds at any scale.
+every partition, one tiny final step) used as scalar subqueries: Spark
+computes the value once and the filter reads it as a constant -- no join,
+nothing that grows with the data.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def column_stats(df: DataFrame, col: str) -> DataFrame:
-    return df.agg(F.avg(col).alias("_mean"), F.stddev_pop(col).alias("_sd"),
-                  F.min(col).alias("_lo"), F.max(col).alias("_hi"))
+def column_stats(df: DataFrame, col: str) -> Column:
+    """One scalar (a struct: mean, sd, lo, hi) computed once over ``col``."""
+    return df.select(F.struct(F.avg(col).alias("mean"), F.stddev_pop(col).alias("sd"),
+                              F.min(col).alias("lo"), F.max(col).alias("hi"))).scalar()
 
 
 def outlier_zscore(df: DataFrame, col: str, k: float = 3.0) -> DataFrame:
     """Drop rows with |z| >= k (population deviation), then rows <= 0.
     NULL values are ignored in the statistics and dropped by the filter; a
     zero deviation gives NULL z, so every row is dropped."""
-    stats = column_stats(df, col).select("_mean", "_sd")
-    z = F.try_divide(F.col(col) - F.col("_mean"), F.col("_sd"))
-    return (df.crossJoin(F.broadcast(stats))          # one row
-            .where((F.abs(z) < k) & (F.col(col) > 0))
-            .select(*df.columns))
+    st = column_stats(df, col)
+    z = F.try_divide(F.col(col) - st["mean"], st["sd"])
+    return df.where((F.abs(z) < k) & (F.col(col) > 0))
 
 
 def outlier_stddev_cut(df: DataFrame, col: str, k: float = 3.0) -> DataFrame:
     """Keep 0 < v < k * sigma (sigma of the whole column, not centred)."""
-    stats = column_stats(df, col).select("_sd")
-    return (df.crossJoin(F.broadcast(stats))
-            .where((F.col(col) > 0) & (F.col(col) < F.col("_sd") * k))
-            .select(*df.columns))
+    sd = column_stats(df, col)["sd"]
+    return df.where((F.col(col) > 0) & (F.col(col) < sd * k))
 
 
 def histogram_fixed_bins(df: DataFrame, col: str, bins: int) -> DataFrame:
     """Row count per equal-width bin over [min, max]; the maximum belongs to
     the last bin.  Bins are numbered 1..bins; empty bins are not listed."""
-    stats = column_stats(df, col).select("_lo", "_hi")
-    width = F.col("_hi") - F.col("_lo")
-    raw = F.floor((F.col(col) - F.col("_lo")) * bins / width) + 1
+    st = column_stats(df, col)
+    lo, hi = st["lo"], st["hi"]
+    width = hi - lo
+    raw = F.floor((F.col(col) - lo) * bins / width) + 1
     b = F.when(width == 0, F.lit(1)).otherwise(F.least(raw, F.lit(bins))).cast("int")
-    binned = (df.where(F.col(col).isNotNull()).crossJoin(F.broadcast(stats))
-              .select(b.alias("bin"), "_lo", "_hi"))
-    return binned.groupBy("bin", "_lo", "_hi").agg(F.count(F.lit(1)).alias("num_rows")).select(
-        "bin",
-        (F.col("_lo") + (F.col("bin") - 1) * (F.col("_hi") - F.col("_lo")) / bins).alias("bin_start"),
-        "num_rows")
+    counts = df.where(F.col(col).isNotNull()).groupBy(b.alias("bin")).agg(
+        F.count(F.lit(1)).alias("num_rows"))
+    return counts.select("bin", (lo + (F.col("bin") - 1) * (hi - lo) / bins).alias("bin_start"),
+                         "num_rows")
 
 
 def ratio(num: str, den: str):

@@ -123,14 +123,12 @@ def compact_files(spark: SparkSession, src: str, dst: str, target_bytes: int) ->
     n_out = max(1, math.ceil((sizes["b"] or 0) / target_bytes))
     before.coalesce(n_out).write.mode("overwrite").parquet(dst)
     after = spark.read.parquet(dst)
-    fp_before = row_fingerprint(before).select(F.col("rows").alias("rows_before"),
-                                               F.col("hash_sum").alias("h1"))
-    fp_after = row_fingerprint(after).select(F.col("rows").alias("rows_after"),
-                                             F.col("hash_sum").alias("h2"))
-    files_after = file_listing(after).agg(F.count(F.lit(1)).alias("files_after"))
-    return (fp_before.crossJoin(fp_after).crossJoin(files_after)   # one-row frames
-            .select(F.lit(int(sizes["n"])).alias("files_before"), "files_after",
-                    "rows_before", "rows_after", (F.col("h1") == F.col("h2")).alias("content_equal")))
+    fp_after = row_fingerprint(after).select(F.struct("rows", "hash_sum")).scalar()
+    files_after = file_listing(after).select(F.count(F.lit(1))).scalar()
+    return row_fingerprint(before).select(
+        F.lit(int(sizes["n"])).alias("files_before"), files_after.alias("files_after"),
+        F.col("rows").alias("rows_before"), fp_after["rows"].alias("rows_after"),
+        (F.col("hash_sum") == fp_after["hash_sum"]).alias("content_equal"))
 
 
 def partition_report(df: DataFrame, ts_col: str, units=("year", "month")) -> DataFrame:

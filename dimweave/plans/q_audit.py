@@ -87,9 +87,10 @@ def q_audit_row_count(spark, sf_dir):
     path = scratch_path(spark, "taxis-count")
     t = fx.taxis(spark, sf_dir)
     t.write.parquet(path)
-    src = t.agg(F.count(F.lit(1)).alias("rows_written"))
-    out = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows_read"))
-    return src.crossJoin(out).withColumn("counts_equal", F.col("rows_written") == F.col("rows_read"))
+    rows_read = spark.read.parquet(path).select(F.count(F.lit(1))).scalar()
+    return (t.agg(F.count(F.lit(1)).alias("rows_written"))
+            .select("rows_written", rows_read.alias("rows_read"))
+            .withColumn("counts_equal", F.col("rows_written") == F.col("rows_read")))
 
 
 # ------------------------------------------------------------- load log
@@ -106,10 +107,8 @@ _LOG_SQL = f"""WITH {_LOADS_SQL}
 def _with_load_ids(spark, sf_dir):
     """Taxi trips tagged with a load number: one load per pickup year."""
     t = fx.taxis(spark, sf_dir)
-    first = t.agg(F.min(F.year("tpep_pickup_datetime")).alias("_y0"))       # one row
-    return (t.crossJoin(F.broadcast(first))
-            .withColumn("load_id", (F.year("tpep_pickup_datetime") - F.col("_y0") + 1).cast("int"))
-            .drop("_y0"))
+    y0 = t.select(F.min(F.year("tpep_pickup_datetime"))).scalar()      # scalar subquery
+    return t.withColumn("load_id", (F.year("tpep_pickup_datetime") - y0 + 1).cast("int"))
 
 
 def _loaded_table(spark, sf_dir) -> str:
