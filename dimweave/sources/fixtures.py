@@ -17,8 +17,21 @@ from pyspark.sql import functions as F
 from dimweave.session import table_path
 
 
+_BASE: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
+
+
 def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    """A base table's scan.  The DataFrame is kept per session and path so
+    schema discovery (a small Spark job per read) happens once; the inputs
+    are read-only.  Each use still plans its own scan with its own pushed
+    filters and pruned columns."""
+    path = table_path(sf_dir, name)
+    key = (id(spark), path)
+    hit = _BASE.get(key)
+    # the entry holds the session itself, so its id cannot be reused while cached
+    if hit is None or hit[0] is not spark or spark.sparkContext._jsc is None:
+        hit = _BASE[key] = (spark, spark.read.parquet(path))
+    return hit[1]
 
 
 def player_seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
