@@ -1,9 +1,11 @@
 """Row picks and bounded list collection.
 
 ``first_per_key`` keeps one row per key -- the smallest in a given order --
-as an aggregation (``min_by`` over a struct), not a window.  Aggregations run
-partially on the map side, so a key holding a large share of the rows is
-reduced before the shuffle instead of being sorted whole in one task.
+with ``row_number() = 1``.  Spark plans this with a *partial*
+``WindowGroupLimit`` below the shuffle: each map task forwards at most one
+row per key, so a key holding a large share of the rows is cut down before
+the exchange (like a partial aggregation) instead of being sorted whole in
+one task.  Columns a caller does not use are pruned below the window.
 
 ``collect_chunked`` gathers a group's values into arrays of bounded size:
 a group with ``n`` values is split into ``ceil(n / chunk)`` sub-groups by
@@ -13,17 +15,15 @@ one unbounded array.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per ``keys``: the row that sorts first on ``order`` (ties in
     ``order`` leave the pick arbitrary, so pass a total order)."""
-    rest = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys).agg(
-        F.min_by(F.struct(*rest), F.struct(*order)).alias("_row"))
-    return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
 def collect_chunked(df: DataFrame, keys: list[str], value: str, *, chunk: int,

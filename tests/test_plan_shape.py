@@ -63,10 +63,12 @@ def test_sort_within_partitions_is_local(spark):
     assert "rangepartitioning" not in p and "hashpartitioning(event_date" in p
 
 
-def test_first_per_key_aggregates_partially(spark):
+def test_first_per_key_limits_before_the_shuffle(spark):
     d = fx.game_details(spark, SF_SMALL).select("game_id", "player_id", "pts", "line_no")
     p = plan(first_per_key(d, ["game_id", "player_id"], ["line_no", "pts"]))
-    assert "partial_min_by" in p
+    # a partial top-1 per key runs map-side, below the exchange
+    partial = p.index("row_number(), 1, Partial")
+    assert "Exchange hashpartitioning(game_id" in p[:partial]
 
 
 def test_partition_filter_prunes(spark):
