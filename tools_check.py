@@ -21,8 +21,12 @@ def main(argv: list[str]) -> int:
     load_all()
     spark = build_session("local[8]", 8)
     spark.sparkContext.setLogLevel("OFF")
-    if len(argv) > 1 and "SESSION_TZ" in __import__("os").environ:
-        spark.conf.set("spark.sql.session.timeZone", __import__("os").environ["SESSION_TZ"])
+    import os
+    if "SESSION_TZ" in os.environ:
+        spark.conf.set("spark.sql.session.timeZone", os.environ["SESSION_TZ"])
+    for kv in filter(None, os.environ.get("SPARK_CONF", "").split(",")):
+        k, v = kv.split("=", 1)
+        spark.conf.set(k, v)
     con = duckdb_connection(sf_dir)
     bad = 0
     for name in sorted(QUERIES):
