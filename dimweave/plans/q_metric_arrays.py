@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from dimweave.operators import changes as ch
 from dimweave.operators import metric_arrays as ma
 from dimweave.plans.params import METRIC_DAY, METRIC_DAY_PREV, MONTH_START
 from dimweave.plans.registry import query
+from dimweave.session import scratch_path
 from dimweave.sources import fixtures as fx
 
 _BACKFILL_SQL = f"""
@@ -46,10 +49,16 @@ def q_array_metric_step(spark, sf_dir):
 
 @query("upsert_by_key", _BACKFILL_SQL)
 def q_upsert_by_key(spark, sf_dir):
+    """The metric table stored partitioned by month; today's step is upserted
+    by (user, month, metric) with dynamic partition overwrite."""
     ev = fx.events(spark, sf_dir)
-    table = ma.array_metric_backfill(ev, MONTH_START, METRIC_DAY_PREV)
+    path = scratch_path(spark, "array-metrics")
+    ma.array_metric_backfill(ev, MONTH_START, METRIC_DAY_PREV).write.partitionBy("month_start").parquet(path)
+    table = spark.read.parquet(path)
     step = ma.array_metric_step(table, ma.daily_counts(ev, METRIC_DAY))
-    return ch.upsert_by_key(table, step, ["user_id", "month_start", "metric_name"])
+    out = ch.upsert_table(spark, path, step, ["user_id", "month_start", "metric_name"], ["month_start"])
+    return out.select("user_id", F.col("month_start").cast("date").alias("month_start"), "metric_name",
+                      "metric_array")
 
 
 @query("array_metric_lengths", f"""

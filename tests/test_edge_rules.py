@@ -197,3 +197,14 @@ def test_typed_enrich_sql_variant_equals_dataframe(spark):
         WHERE fe.user_id IS NOT NULL AND fe.device_id IS NOT NULL""")
     df = typed_enrich(ev, dev)
     assert df.exceptAll(sql).count() == 0 and sql.exceptAll(df).count() == 0
+
+
+def test_upsert_table_rewrites_only_touched_partitions(spark):
+    from dimweave.session import scratch_path
+    path = scratch_path(spark, "upsert")
+    spark.createDataFrame([(1, "2024-01", 1.0), (2, "2024-01", 2.0), (1, "2024-02", 5.0)],
+                          "k int, month string, v double").write.partitionBy("month").parquet(path)
+    src = spark.createDataFrame([(2, "2024-01", 20.0), (3, "2024-01", 30.0)], "k int, month string, v double")
+    out = ch.upsert_table(spark, path, src, ["k", "month"], ["month"])
+    got = sorted((r.k, str(r.month), r.v) for r in out.collect())
+    assert got == [(1, "2024-01", 1.0), (1, "2024-02", 5.0), (2, "2024-01", 20.0), (3, "2024-01", 30.0)]
