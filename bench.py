@@ -43,16 +43,24 @@ def main() -> int:
         df.write.format("noop").mode("overwrite").save()
 
     # Each query runs once untimed (JIT, whole-stage codegen compilation,
-    # file listing), then once timed: the timed run is steady-state throughput.
+    # file listing), then twice timed; the faster timed run is reported
+    # (steady-state throughput, less exposed to machine noise).
+    def timed(build) -> float:
+        best = None
+        for _ in range(2):
+            t0 = time.perf_counter()
+            run(build())
+            dt = time.perf_counter() - t0
+            best = dt if best is None else min(best, dt)
+        return round(best, 3)
+
     times: dict[str, float] = {}
     cold: dict[str, float] = {}
     for name in HEADLINE:
         t0 = time.perf_counter()
         run(QUERIES[name](spark, sf_dir))
         cold[name] = round(time.perf_counter() - t0, 3)
-        t0 = time.perf_counter()
-        run(QUERIES[name](spark, sf_dir))
-        times[name] = round(time.perf_counter() - t0, 3)
+        times[name] = timed(lambda: QUERIES[name](spark, sf_dir))
 
     # The reference's sequential procedure, for comparison with the one-pass
     # forms above (same results; see tests/test_fold_equals_backfill.py).
@@ -63,6 +71,34 @@ def main() -> int:
     run(dl.datelist_fold(fx.activity(spark, sf_dir), SERIES_START, ASOF))
     times["datelist_fold_steps"] = round(time.perf_counter() - t0, 3)
 
+    # Step loads as they run in production: over the stored previous table
+    # (written once, untimed), reading one partition of it plus the new data.
+    from pyspark.sql import functions as F
+
+    from dimweave.operators import scd
+    from dimweave.plans.params import ASOF_PREV, SCD_BASE, SCD_NEXT
+    from dimweave.session import scratch_path
+
+    seasons = fx.player_seasons(spark, sf_dir)
+    players_path, scd_path, users_path = (scratch_path(spark, n) for n in ("b-players", "b-scd", "b-users"))
+    cu.cumulative_backfill(seasons, LAST_PERIOD).write.partitionBy("current_season").parquet(players_path)
+    players = spark.read.parquet(players_path)
+    scd.scd2_full(players, SCD_BASE).write.partitionBy("current_season").parquet(scd_path)
+    act = fx.activity(spark, sf_dir)
+    dl.datelist_backfill(act, ASOF_PREV).write.parquet(users_path)
+    stored = {
+        "scd2_incremental_from_stored": lambda: scd.scd2_incremental(
+            spark.read.parquet(scd_path), players.where(F.col("current_season") == SCD_NEXT), SCD_NEXT),
+        "cumulative_step_from_stored": lambda: cu.cumulative_step(
+            players.where(F.col("current_season") == LAST_PERIOD - 1),
+            seasons.where(F.col("season") == LAST_PERIOD)),
+        "datelist_step_from_stored": lambda: dl.datelist_step(
+            spark.read.parquet(users_path), dl.datelist_today(act, ASOF)),
+    }
+    for name, build in stored.items():
+        run(build())
+        times[name] = timed(build)
+
     total = round(sum(v for k, v in times.items() if k in HEADLINE), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "headline_total", "value": total, "unit": "sec",
