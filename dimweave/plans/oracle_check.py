@@ -38,6 +38,8 @@ def _norm(v):
             return "nan"
         if v == 0:
             return 0.0
+        if os.environ.get("ORACLE_EXACT"):
+            return v
         return float(f"{v:.9g}")
     if isinstance(v, decimal.Decimal):
         return _norm(float(v))
