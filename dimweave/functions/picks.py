@@ -8,9 +8,10 @@ the exchange (like a partial aggregation) instead of being sorted whole in
 one task.  Columns a caller does not use are pruned below the window.
 
 ``collect_chunked`` gathers a group's values into arrays of bounded size:
-a group with ``n`` values is split into ``ceil(n / chunk)`` sub-groups by
-``pmod(value, ceil(n / chunk))``, so a hot group becomes many rows instead of
-one unbounded array.
+a group with ``n`` values is split into ``ceil(n / chunk)`` sub-groups by a
+32-bit bucket taken from the MD5 of the value's text (uniform whatever the
+values look like, any type, and reproducible in SQL engines), so a hot group
+becomes many rows of about ``chunk`` values instead of one unbounded array.
 """
 
 from __future__ import annotations
@@ -26,12 +27,19 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
+def text_bucket(c):
+    """A uniform 32-bit bucket of a value: the first 8 hex digits of the
+    MD5 of its text."""
+    return F.conv(F.substring(F.md5(c.cast("string")), 1, 8), 16, 10).cast("bigint")
+
+
 def collect_chunked(df: DataFrame, keys: list[str], value: str, *, chunk: int,
                     out: str = "values", chunk_col: str = "chunk") -> DataFrame:
-    """Sorted lists of ``value`` per ``keys``, at most about ``chunk`` values
-    per row.  Integer values only (the split is ``pmod(value, n_chunks)``)."""
+    """Sorted lists of ``value`` per ``keys``, about ``chunk`` values per row
+    (chunk = md5-bucket of the value's text mod ceil(n / chunk))."""
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     n_chunks = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(float(chunk)))).cast("bigint")
-    tagged = df.join(sizes, on=keys).withColumn(chunk_col, F.pmod(F.col(value), n_chunks).cast("int"))
+    tagged = df.join(sizes, on=keys).withColumn(
+        chunk_col, F.pmod(text_bucket(F.col(value)), n_chunks).cast("int"))
     return (tagged.groupBy(*keys, chunk_col)
             .agg(F.array_sort(F.collect_list(value)).alias(out)))

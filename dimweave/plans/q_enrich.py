@@ -21,9 +21,10 @@ _AGG_SQL = """agg AS (
     FROM fx_events WHERE user_id IS NOT NULL GROUP BY user_id, device_id)"""
 
 
-def _chunk_sql(src: str, keys: str, value: str, out: str) -> str:
+def _chunk_sql(src: str, keys: str, value: str, out: str, chunk: int = LIST_CHUNK) -> str:
     """DuckDB text of collect_chunked over ``src`` (keys comma-separated)."""
-    return f"""(SELECT {keys}, CAST({value} % CAST(GREATEST(1, CEIL(n / {float(LIST_CHUNK)})) AS BIGINT) AS INTEGER) AS chunk,
+    bucket = f"CAST(('0x' || substr(md5(CAST({value} AS VARCHAR)), 1, 8)) AS BIGINT)"
+    return f"""(SELECT {keys}, CAST({bucket} % CAST(GREATEST(1, CEIL(n / {float(chunk)})) AS BIGINT) AS INTEGER) AS chunk,
                 list({value} ORDER BY {value}) AS {out}
          FROM (SELECT s.*, COUNT(*) OVER (PARTITION BY {keys}) AS n FROM {src} s)
          GROUP BY ALL)"""
