@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimweave.llm import langid, packing, topk, urlfilter, wordpiece
+from dimweave.llm import decontam, langid, packing, topk, urlfilter, wordpiece
 from dimweave.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,66 @@ def op2_language_id(spark, sf_dir):
         "doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def _sql_words(text: str) -> str:
+    for pattern, replacement in decontam._CHAIN:
+        replacement = replacement.replace("$", "\\")
+        text = f"regexp_replace({text}, '{pattern}', '{replacement}', 'g')"
+    return f"string_split(lower(replace(trim({text}), chr(1), '')), ' ')"
+
+
+_SQL_SLOT = "regexp_matches({0}, '^[@%0-9]')"
+
+
+@query("op4_decontaminate", f"""
+WITH items AS (
+  SELECT *, least(len(w), 8) AS width,
+         [CASE WHEN x[1] IN ('@', '%') THEN x[1] WHEN {_SQL_SLOT.format('x')} THEN '#' ELSE x END FOR x IN w] AS t
+  FROM (SELECT DISTINCT item_id, {_sql_words('text')} AS w FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL)
+  WHERE len(w) >= 5
+), usable AS (
+  SELECT item_id, w, width, pos, array_to_string(t[pos + 1 : pos + width], ' ') AS key
+  FROM (SELECT *, unnest(range(len(w) - width + 1)) AS pos FROM items)
+  WHERE len([x FOR x IN w[pos + 1 : pos + width] IF NOT {_SQL_SLOT.format('x')}]) * 2 >= width
+), need AS (SELECT item_id, w, least(count(*), 6) AS need FROM usable GROUP BY ALL
+), texts AS (
+  SELECT *, [CASE WHEN x[1] IN ('@', '%') THEN x[1] WHEN {_SQL_SLOT.format('x')} THEN '#' ELSE x END FOR x IN dw] AS t
+  FROM (SELECT DISTINCT doc_id, text, {_sql_words('text')} AS dw FROM documents WHERE text IS NOT NULL)
+), spans AS (
+  SELECT doc_id, text, dw, pos, width, array_to_string(t[pos + 1 : pos + width], ' ') AS key
+  FROM (SELECT *, unnest(range(len(dw) - width + 1)) AS pos
+        FROM texts, (SELECT DISTINCT width FROM usable) WHERE len(dw) >= width)
+), matched AS (
+  SELECT DISTINCT doc_id, text, dw, item_id, w, s.pos - u.pos AS first, u.pos, u.width
+  FROM spans s JOIN usable u ON s.key = u.key AND s.width = u.width
+), hits AS (
+  SELECT doc_id, text, dw, item_id, w, first
+  FROM matched JOIN need USING (item_id, w) GROUP BY ALL HAVING count(*) >= any_value(need)
+), slots AS (
+  SELECT DISTINCT doc_id, text, item_id, w, first, w[p + 1] AS asked, dw[p + first + 1] AS stands
+  FROM (SELECT m.*, unnest(range(m.pos, m.pos + m.width)) AS p FROM matched m
+        SEMI JOIN hits USING (doc_id, text, item_id, w, first))
+  WHERE {_SQL_SLOT.format('w[p + 1]')}
+), wrong AS (
+  SELECT doc_id, text, item_id, w, first,
+         count(*) <> count(DISTINCT asked) OR count(*) <> count(DISTINCT stands) AS bad, bool_and(asked = stands) AS same
+  FROM slots GROUP BY ALL
+), found AS (
+  SELECT doc_id, text, item_id, bool_or(coalesce(same, true)) AS same
+  FROM hits LEFT JOIN wrong USING (doc_id, text, item_id, w, first)
+  WHERE NOT coalesce(bad, false) GROUP BY ALL
+), per AS (
+  SELECT doc_id, text, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) AS items,
+         CAST(sum(CASE WHEN same THEN 0 ELSE 1 END) AS BIGINT) AS reworded
+  FROM found GROUP BY ALL
+)
+SELECT d.doc_id, per.n_items IS NOT NULL AS contaminated, coalesce(n_items, 0) AS n_items,
+       coalesce(items, '') AS items, coalesce(reworded, 0) AS reworded
+FROM documents d LEFT JOIN per ON d.doc_id = per.doc_id AND d.text = per.text
+""")
+def op4_decontaminate(spark, sf_dir):
+    return decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op5_token_counts")
 def op5_token_counts(spark, sf_dir):
     return wordpiece.token_counts(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
