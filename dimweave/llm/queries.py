@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimweave.llm import decontam, langid, packing, topk, urlfilter, wordpiece
+from dimweave.llm import decontam, html_extract, langid, minhash, packing, topk, urlfilter, wordpiece
 from dimweave.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,31 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query("op1_near_duplicates", """
+WITH RECURSIVE words AS (
+  SELECT doc_id, [w FOR w IN regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '[ \\x09-\\x0D]+') IF w <> ''] AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN []
+                      WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                      ELSE list_distinct([array_to_string(w[i : i + 4], ' ') FOR i IN range(1, len(w) - 3)]) END AS s
+  FROM words
+), items AS (SELECT doc_id, len(s) AS n, unnest(s) AS item FROM sets
+), pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, a.n AS n, b.n AS m, count(*) AS c
+  FROM items a JOIN items b ON a.item = b.item AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (SELECT x, y FROM pairs WHERE 100 * c >= 85 * (n + m - c)
+), reach(doc_id, node) AS (
+  SELECT doc_id, doc_id FROM sets UNION SELECT r.doc_id, l.y FROM reach r JOIN links l ON r.node = l.x
+), comp AS (SELECT doc_id, min(node) AS component_id FROM reach GROUP BY doc_id)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, component_id, s.doc_id = component_id AS kept
+FROM sets s LEFT JOIN comp ON s.doc_id = comp.doc_id
+""")
+def op1_near_duplicates(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query("op2_language_id")
 def op2_language_id(spark, sf_dir):
     """Learns from two thirds of the documents, predicts all of them."""
@@ -40,6 +65,11 @@ def op2_language_id(spark, sf_dir):
         "doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+@query("op3_main_text")
+def op3_main_text(spark, sf_dir):
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def _sql_words(text: str) -> str:
     for pattern, replacement in decontam._CHAIN:
         replacement = replacement.replace("$", "\\")
