@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimweave.llm import decontam, html_extract, langid, minhash, packing, topk, urlfilter, wordpiece
+from dimweave.llm import decontam, html_extract, langid, linededup, minhash, packing, topk, urlfilter, wordpiece
 from dimweave.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -140,6 +140,35 @@ def op6_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+@query("op7_line_dedup", """
+WITH lines AS (
+  SELECT doc_id, text, CAST(no AS INTEGER) - 1 AS no, raw,
+         [x FOR x IN regexp_split_to_array(lower(raw), '[\\s]+') IF x <> ''] AS w
+  FROM (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS no
+        FROM documents WHERE text IS NOT NULL)
+), first AS (
+  SELECT w, min((doc_id, no)) AS place FROM lines WHERE len(w) > 0 GROUP BY w
+), cut AS (
+  SELECT w, place, i, list_concat(w[1 : i - 1], w[i + 1 : ]) AS rest
+  FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM first WHERE len(w) >= 8)
+), near AS (
+  SELECT a.w FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND b.place < a.place
+  UNION SELECT a.w FROM cut a JOIN first b ON a.rest = b.w AND len(b.w) >= 8 AND b.place < a.place
+  UNION SELECT b.w FROM cut a JOIN first b ON a.rest = b.w AND len(b.w) >= 8 AND a.place < b.place
+), judged AS (
+  SELECT l.doc_id, l.no, l.raw,
+         len(l.w) > 0 AND (near.w IS NOT NULL OR (l.doc_id, l.no) > first.place) AS gone
+  FROM lines l LEFT JOIN first ON l.w = first.w LEFT JOIN near ON l.w = near.w
+)
+SELECT doc_id, CAST(count(*) AS INTEGER) AS n_lines, CAST(count(*) FILTER (gone) AS INTEGER) AS n_removed,
+       coalesce(string_agg(raw, chr(10) ORDER BY no) FILTER (NOT gone), '') AS text
+FROM judged GROUP BY doc_id
+UNION ALL SELECT doc_id, 0, 0, NULL FROM documents WHERE text IS NULL
+""")
+def op7_line_dedup(spark, sf_dir):
+    return linededup.dedup_lines(table(spark, sf_dir, "documents"))
+
+
 @query("op8_topk", """
 WITH vectors AS (
   SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS cells
