@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimweave.llm import decontam, html_extract, langid, linededup, minhash, packing, topk, urlfilter, wordpiece
+from dimweave.llm import decontam, html_extract, langid, linededup, minhash, packing, suffixdedup, topk, urlfilter, wordpiece
 from dimweave.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -215,3 +215,11 @@ FROM cut LEFT JOIN hit ON cut.host = hit.host AND cut.path = hit.path
 """)
 def op9_url_filter(spark, sf_dir):
     return urlfilter.filter_urls(table(spark, sf_dir, "pages"), urlfilter.rule_table(spark, URL_RULES))
+
+
+@query("op10_suffix_dedup")
+def op10_suffix_dedup(spark, sf_dir):
+    found = suffixdedup.dedup(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
