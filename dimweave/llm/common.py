@@ -11,15 +11,20 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage through a reliable checkpoint in the shared folder the
-    session names; only a session that names none gets one beside its
-    warehouse (shared as well)."""
-    sc = df.sparkSession.sparkContext
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        spark = df.sparkSession
+def scratch(spark: SparkSession) -> str:
+    """The shared folder for checkpoints that the session names; only a session
+    that names none gets one beside its warehouse (shared as well)."""
+    held = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if not held.isDefined():
         named = spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
+        spark.sparkContext.setCheckpointDir(named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
+        held = spark.sparkContext._jsc.sc().getCheckpointDir()
+    return held.get().rstrip("/")
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cut the lineage through a reliable checkpoint in the shared folder."""
+    scratch(df.sparkSession)
     return df.checkpoint()
 
 

@@ -98,8 +98,9 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n.append(len(items))
             digest.append(xxhash.xxh3_128_digest(items.tobytes()) if len(items) else None)
             sig.append(signature(items).tobytes() if len(items) else None)
-        yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sig, pa.binary())],
-                                         names=["doc_id", "n_shingles", "digest", "sig"])
+        yield pa.RecordBatch.from_arrays(
+            [batch["doc_id"], batch["text_hash"], pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sig, pa.binary())],
+            names=["doc_id", "text_hash", "n_shingles", "digest", "sig"])
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,25 +196,36 @@ def near_links(reps: DataFrame, docs: DataFrame) -> DataFrame:
     return checkpoint(links.union(confirm(checkpoint(rest))))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept, one row for each document."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = checkpoint(docs.mapInArrow(_digest, "doc_id long, n_shingles long, digest binary, sig binary"))
+def judged(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, n_shingles, component_id and kept of each document."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    rows = checkpoint(docs.mapInArrow(_digest, "doc_id long, text_hash long, n_shingles long, digest binary, sig binary"))
     reps = checkpoint(
         rows.where("digest is not null and doc_id is not null").groupBy("digest")
         .agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")))
     found = components(near_links(reps, docs))
     places = reps.select("digest", "node").join(found, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
-    return rows.select("doc_id", "n_shingles", "digest").join(places, "digest", "left").select(
-        "doc_id", "n_shingles",
+    return rows.select("doc_id", "text_hash", "n_shingles", "digest").join(places, "digest", "left").select(
+        "doc_id", "text_hash", "n_shingles",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"),
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept, one row for each document."""
+    return judged(docs).drop("text_hash")
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents (all their columns) without those that are near-copies of
-    another kept one; documents without shingles or id stay, and of rows that
-    repeat a kept doc_id one stays."""
-    gone = checkpoint(near_duplicates(docs).where("not kept and doc_id is not null").select(F.col("doc_id").alias("gone_id")).distinct())
-    left = docs.join(small(gone), docs["doc_id"] == F.col("gone_id"), "left_anti")
-    return left
+    """The documents (all their columns) without near-copies of a kept one.
+    Documents without shingles or without id stay; of rows that repeat doc_id
+    and text one stays."""
+    found = judged(docs)
+    gone = checkpoint(found.where("not kept and doc_id is not null").select(F.col("doc_id").alias("id__"), F.col("text_hash").alias("hash__")).distinct())
+    again = checkpoint(found.where("kept").groupBy(F.col("doc_id").alias("id__"), F.col("text_hash").alias("hash__"))
+                       .agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
+    same = (docs["doc_id"].cast("long") == F.col("id__")) & (F.xxhash64(docs["text"]) == F.col("hash__"))
+    left = docs.join(small(gone), same, "left_anti")
+    same = (left["doc_id"].cast("long") == F.col("id__")) & (F.xxhash64(left["text"]) == F.col("hash__"))
+    once = left.join(small(again), same, "left_anti")
+    return once.union(left.join(small(again), same, "left_semi").dropDuplicates(["doc_id", "text"]))
