@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dimweave.llm.common import partitions
+from dimweave.llm.common import checkpoint, partitions
 
 SCALE = 1024
 BITS = 8
@@ -179,9 +179,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     """query_id, rank, vec_id, score: the k highest scores of every query row
     (vec_id, embedding) among all vectors with another id."""
     spark = vectors.sparkSession
-    asked = build_index(queries.dropDuplicates(["vec_id", "embedding"])).select(
+    # Checkpointed: the blocks of a second run need not hold the same rows.
+    asked = checkpoint(build_index(queries.dropDuplicates(["vec_id", "embedding"])).select(
         "dim", F.col("ids").alias("query_ids"), F.col("cells").alias("query_cells"), F.col("mark").alias("query_mark"),
-        F.xxhash64("dim", "ids", "mark").alias("query_block"))
+        F.xxhash64("dim", "ids", "mark").alias("query_block")))
     names = [tuple(r) for r in asked.select("dim", "query_block").distinct().collect()]  # one for a million query components
     by_dim: dict[int, list[int]] = {}
     for dim, name in names:
