@@ -18,6 +18,7 @@ are ignored.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -30,7 +31,10 @@ from dimweave.llm.common import checkpoint
 
 WINDOW = 4096
 #: Distinct words whose ids a worker remembers before it starts over.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
+_known: dict[str, dict[str, bytes]] = {}  # by tokenizer, kept for a worker's later tasks
+#: Marks that every tokenizer here parts from a letter or digit in front of them.
+_TAIL = re.compile(r"(?<=[^\W_])(?=[.,;:!?]+(?:\s|$))")
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
@@ -42,12 +46,12 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.encode = Tokenizer.from_file(path).encode
-        self.known: dict[str, bytes] = {}
+        self.known = _known.setdefault(path, {})
 
     def __call__(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
         # Only ASCII white space: every tokenizer here drops it between words.
-        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        words = _TAIL.sub(" ", text).replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
         known = self.known
         if len(known) > REMEMBERED:
             known.clear()
