@@ -97,6 +97,8 @@ def alignments(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     whose slots are consistent."""
     items = checkpoint(_items(benchmark))
     widths = sorted(r[0] for r in items.select("width").distinct().collect())  # at most WINDOW - SHORTEST + 1
+    if not widths:
+        return docs.sparkSession.createDataFrame([], "doc_id long, text_hash long, item_id long, first int, n_windows int, same boolean")
     texts = docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("words"))
     usable = _usable(items, widths)
     need = usable.groupBy("item_id", "variant").agg(F.least(F.count(F.lit(1)), F.lit(ENOUGH)).alias("need"))
@@ -106,8 +108,6 @@ def alignments(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         found = _windows(texts, ["doc_id", "text_hash"], width).join(keys, "key").select(
             "doc_id", "text_hash", "item_id", "variant", (F.col("pos") - F.col("item_pos")).alias("first"), "item_pos", F.lit(width).alias("width"))
         hits = found if hits is None else hits.unionByName(found)
-    if hits is None:
-        return docs.sparkSession.createDataFrame([], "doc_id long, text_hash long, item_id long, first int, n_windows int, same boolean")
     hits = (
         hits.groupBy("doc_id", "text_hash", "item_id", "variant", "first", "width")
         .agg(F.array_sort(F.collect_set("item_pos")).alias("at"))  # at most as many as the item has windows
