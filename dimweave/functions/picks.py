@@ -7,11 +7,11 @@ row per key, so a key holding a large share of the rows is cut down before
 the exchange (like a partial aggregation) instead of being sorted whole in
 one task.  Columns a caller does not use are pruned below the window.
 
-``collect_chunked`` gathers a group's values into arrays of bounded size:
-a group with ``n`` values is split into ``ceil(n / chunk)`` sub-groups by a
-32-bit bucket taken from the MD5 of the value's text (uniform whatever the
+``collect_lists`` gathers a group's values into a fixed number of arrays: each
+value goes to the bucket that the MD5 of its text names (uniform whatever the
 values look like, any type, and reproducible in SQL engines), so a hot group
-becomes many rows of about ``chunk`` values instead of one unbounded array.
+is collected by several tasks.  Every group has the same number of rows,
+whatever its size.
 """
 
 from __future__ import annotations
@@ -33,13 +33,15 @@ def text_bucket(c):
     return F.conv(F.substring(F.md5(c.cast("string")), 1, 8), 16, 10).cast("bigint")
 
 
-def collect_chunked(df: DataFrame, keys: list[str], value: str, *, chunk: int,
-                    out: str = "values", chunk_col: str = "chunk") -> DataFrame:
-    """Sorted lists of ``value`` per ``keys``, about ``chunk`` values per row
-    (chunk = md5-bucket of the value's text mod ceil(n / chunk))."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    n_chunks = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(float(chunk)))).cast("bigint")
-    tagged = df.join(sizes, on=keys).withColumn(
-        chunk_col, F.pmod(text_bucket(F.col(value)), n_chunks).cast("int"))
-    return (tagged.groupBy(*keys, chunk_col)
-            .agg(F.array_sort(F.collect_list(value)).alias(out)))
+def collect_lists(df: DataFrame, keys: list[str], value: str, *, buckets: int,
+                  out: str = "values", bucket_col: str = "bucket") -> DataFrame:
+    """``buckets`` rows per ``keys`` (NULL keys are a group like any other),
+    each with the sorted list of the group's values in that bucket.  NULL
+    values are left out, as in any collected list; an empty bucket is an empty
+    list."""
+    tagged = df.select(*keys, value, F.pmod(text_bucket(F.col(value)), F.lit(buckets)).cast("int").alias(bucket_col))
+    every = df.select(*keys).distinct().select(
+        *keys, F.lit(None).cast(df.schema[value].dataType).alias(value),
+        F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias(bucket_col))
+    return (tagged.where(F.col(value).isNotNull()).unionByName(every)
+            .groupBy(*keys, bucket_col).agg(F.array_sort(F.collect_list(value)).alias(out)))

@@ -36,8 +36,10 @@ def _d(x) -> Column:
 def datelist_backfill(activity: DataFrame, asof, *, user_col: str = "user_id",
                       day_col: str = "day", since=None) -> DataFrame:
     """The cumulated snapshot at ``asof``: every user seen up to that day with
-    the list of active days, newest first.  One aggregation, no fold."""
-    cond = F.col(day_col) <= _d(asof)
+    the list of active days, newest first; rows without a user are left out, as
+    in the daily step.  One aggregation, no fold.  The list grows with the
+    history unless ``since`` cuts it."""
+    cond = (F.col(day_col) <= _d(asof)) & F.col(user_col).isNotNull()
     if since is not None:
         cond = cond & (F.col(day_col) >= _d(since))
     return (activity.where(cond)

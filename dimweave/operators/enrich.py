@@ -3,8 +3,8 @@
 Rollups aggregate before they join: per-user rollups read the (user,
 device) aggregate only, so nothing fans out, and the reference's
 fan-out multiplicity (each device repeated once per raw event of the user)
-is carried as a count column instead of being materialised.  Lists of
-unbounded size (users of a device) are split into bounded chunks.
+is carried as a count column instead of being materialised.  Lists that grow
+with the data (users of a device) are collected in a fixed number of buckets.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimweave.functions.picks import collect_chunked
+from dimweave.functions.picks import collect_lists
 from dimweave.functions.text import DEFAULT_REFERRER
 
 
@@ -27,15 +27,12 @@ def enrich_events_devices(events: DataFrame, devices: DataFrame) -> DataFrame:
 
 def typed_enrich(events: DataFrame, devices: DataFrame) -> DataFrame:
     """Events with both ids present, inner-joined to devices; referrer
-    defaulted, browser upper-cased.  A NULL id after the filter fails the job
-    (the typed variant's ``Option.get``)."""
+    defaulted, browser upper-cased."""
     e = events.where(F.col("user_id").isNotNull() & F.col("device_id").isNotNull()).alias("e")
     d = devices.alias("d")
     j = e.join(d, F.col("e.device_id") == F.col("d.device_id"), "inner")
-    checked_user = F.when(F.col("e.user_id").isNull(), F.raise_error(F.lit("user_id is NULL"))) \
-        .otherwise(F.col("e.user_id"))
     return j.select(
-        checked_user.cast("bigint").alias("user_id"),
+        F.col("e.user_id").cast("bigint").alias("user_id"),
         F.col("d.device_id").alias("device_id"),
         F.upper(F.col("d.browser_type")).alias("browser_type"),
         F.col("d.os_type").alias("os_type"),
@@ -54,22 +51,35 @@ def events_by_user_device(events: DataFrame) -> DataFrame:
                  F.array_sort(F.collect_set("host")).alias("host_array")))
 
 
-def user_device_rollup(agg: DataFrame, *, chunk: int) -> DataFrame:
-    """Per user: largest per-device hit count, the devices (chunked lists),
-    and ``raw_event_rows`` -- the number of raw events of the user, which is
-    how many times the reference's join repeats each device in its list."""
-    per_user = agg.groupBy("user_id").agg(
-        F.max("event_counts").alias("total_hits"),
-        F.sum("event_counts").alias("raw_event_rows"))
-    devices = collect_chunked(agg.where(F.col("device_id").isNotNull()), ["user_id"], "device_id",
-                              chunk=chunk, out="devices")
-    return per_user.join(devices, on="user_id", how="left")
+def user_totals(agg: DataFrame) -> DataFrame:
+    """Per user: largest per-device hit count and ``raw_event_rows``, the number
+    of raw events, which is how many times the reference's join repeats each
+    device in its list."""
+    return agg.groupBy("user_id").agg(F.max("event_counts").alias("total_hits"), F.sum("event_counts").alias("raw_event_rows"))
 
 
-def device_user_list(devices: DataFrame, agg: DataFrame, *, chunk: int) -> DataFrame:
-    """Per device: its type and the users seen on it, in chunks of bounded size."""
+def user_device_rollup(agg: DataFrame, *, buckets: int) -> DataFrame:
+    """Per user one row of totals (bucket NULL, no list) and ``buckets`` rows of
+    device lists (totals NULL), so that a later sum counts each total once."""
+    totals = user_totals(agg).withColumn("bucket", F.lit(None).cast("int")).withColumn(
+        "devices", F.lit(None).cast(f"array<{agg.schema['device_id'].dataType.simpleString()}>"))
+    lists = collect_lists(agg, ["user_id"], "device_id", buckets=buckets, out="devices")
+    return totals.unionByName(lists, allowMissingColumns=True)
+
+
+def device_user_list(devices: DataFrame, agg: DataFrame, *, buckets: int) -> DataFrame:
+    """Per device (and its type, which may be NULL): the users seen on it."""
     j = devices.select("device_id", "device_type").join(agg.select("device_id", "user_id"), on="device_id")
-    return collect_chunked(j, ["device_id", "device_type"], "user_id", chunk=chunk, out="users")
+    return collect_lists(j, ["device_id", "device_type"], "user_id", buckets=buckets, out="users")
+
+
+def enrich_sql(spark, events: DataFrame, devices: DataFrame) -> DataFrame:
+    """The enrichment join as SQL text over the two DataFrames."""
+    return spark.sql(f"""
+        SELECT ev.user_id, dv.device_id, upper(dv.browser_type) AS browser_type, dv.os_type, dv.device_type,
+               coalesce(ev.referrer, '{DEFAULT_REFERRER}') AS referrer, ev.host, ev.url, ev.event_time
+        FROM {{events}} ev JOIN {{devices}} dv USING (device_id)
+        WHERE ev.user_id IS NOT NULL""", events=events, devices=devices)
 
 
 def match_details_join(details: DataFrame, matches: DataFrame, day=None) -> DataFrame:

@@ -1,9 +1,9 @@
 """Join strategies with explicit choices.
 
-``join_broadcast`` broadcasts the small side only when the optimizer's size
-estimate for it is below a limit; beyond it the join falls back to the
-planner's default (sort-merge with adaptive re-planning).
-``join_bucketed`` writes both sides bucketed alike on the key so the join
+``join_broadcast`` broadcasts the small side only when its counted rows
+(filters included) are at most a limit; beyond it the join is left to the
+planner (sort-merge with adaptive re-planning).
+``join_bucketed`` reads two tables bucketed alike on the key, so that the join
 needs no exchange.
 """
 
@@ -12,21 +12,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan (file sizes scaled by projections
-    and filters); a bound, not a count -- no job is run."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(str(stats.sizeInBytes()))
+#: Rows (of a few narrow columns) that are broadcast at most.
+BROADCAST_ROWS = 500_000
 
 
 def join_broadcast(big: DataFrame, small: DataFrame, on, how: str = "inner", *,
-                   limit_bytes: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
-    if estimated_bytes(small) <= limit_bytes:
-        return big.join(F.broadcast(small), on=on, how=how)
-    return big.join(small, on=on, how=how)
+                   limit_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Join with ``small`` broadcast if it has at most ``limit_rows`` rows.  The
+    count stops at the limit, and sees what filters leave."""
+    few = small.limit(limit_rows + 1).count() <= limit_rows
+    return big.join(F.broadcast(small) if few else small, on=on, how=how)
 
 
 def join_sort_merge(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:

@@ -97,8 +97,7 @@ FIXTURE_SQL: dict[str, str] = {
                'd' || CAST(device_id % 5 AS VARCHAR) AS device_type
         FROM (SELECT DISTINCT device_id FROM fx_events WHERE device_id % 10 <> 0) k""",
     "fx_activity": """
-        SELECT DISTINCT user_id, CAST(ts AS DATE) AS day
-        FROM events WHERE event_type = 'purchase'""",
+        SELECT DISTINCT user_id, CAST(event_time AS DATE) AS day FROM fx_events""",
     "fx_matches": """
         SELECT CAST(o_orderkey AS VARCHAR) AS match_id,
                o_orderstatus = 'F' AS is_team_game,
@@ -125,7 +124,7 @@ FIXTURE_SQL: dict[str, str] = {
 }
 
 # Views that other fixture views read.
-_DEPENDS = {"fx_devices": ["fx_events"]}
+_DEPENDS = {"fx_devices": ["fx_events"], "fx_activity": ["fx_events"]}
 _NAME = re.compile(r"\bfx_[a-z_]+\b")
 
 

@@ -37,5 +37,5 @@ MATCH_DAY = "1997-08-23"
 EXPECTED_BOROUGHS = ["click", "purchase", "signup", "view"]
 DROPPED_BOROUGH = "error"
 
-# Collected lists are split into chunks of at most this many elements.
-LIST_CHUNK = 100_000
+# Collected lists are dealt into this many buckets.
+LIST_BUCKETS = 4

@@ -5,15 +5,19 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from dimweave.operators import datelist as dl
+from dimweave.operators.audit import write_keyed
 from dimweave.plans.params import ASOF, ASOF_PREV, SERIES_START
 from dimweave.plans.registry import query
+from dimweave.session import scratch_path
 from dimweave.sources import fixtures as fx
 
+KEY = ["user_id", "date"]
+
 _BACKFILL_SQL = f"""
     SELECT CAST(user_id AS VARCHAR) AS user_id,
            list(day ORDER BY day DESC) AS dates_active,
            DATE '{ASOF}' AS date
-    FROM fx_activity WHERE day <= DATE '{ASOF}'
+    FROM fx_activity WHERE user_id IS NOT NULL AND day <= DATE '{ASOF}'
     GROUP BY user_id"""
 
 _USERS_CTE = f"users AS ({_BACKFILL_SQL})"
@@ -40,9 +44,15 @@ def q_datelist_backfill(spark, sf_dir):
 
 @query("datelist_step", _BACKFILL_SQL)
 def q_datelist_step(spark, sf_dir):
+    """One day's load over the stored snapshot of the day before."""
     act = fx.activity(spark, sf_dir)
     yesterday = dl.datelist_backfill(act, ASOF_PREV)
-    return dl.datelist_step(yesterday, dl.datelist_today(act, ASOF))
+    path = write_keyed(yesterday, scratch_path(spark, "users"), KEY, ["date"])
+    table = spark.read.schema(yesterday.schema).parquet(path)
+    before = table.where(F.col("date") == F.lit(ASOF_PREV).cast("date"))
+    new = dl.datelist_step(before, dl.datelist_today(act, ASOF))
+    path = write_keyed(new, scratch_path(spark, "users-step"), KEY, ["date"])
+    return spark.read.schema(new.schema).parquet(path)
 
 
 @query("datelist_int", _INT_SQL)
@@ -78,16 +88,18 @@ def q_active_day_count(spark, sf_dir):
 
 
 @query("datelist_bits", f"""
-    WITH {_USERS_CTE},
-    series AS (SELECT CAST(s AS DATE) AS series_date
-               FROM generate_series(TIMESTAMP '{SERIES_START}', TIMESTAMP '{ASOF}', INTERVAL 1 DAY) t(s)),
-    ph AS (SELECT u.user_id,
-                  CASE WHEN list_contains(u.dates_active, s.series_date)
-                       THEN (CAST(1 AS BIGINT) << (32 - date_diff('day', s.series_date, u.date))) & 4294967295
-                       ELSE CAST(0 AS BIGINT) END AS v
-           FROM users u CROSS JOIN series s)
-    SELECT user_id, v AS placeholder_int_value, {_flags('v')}
-    FROM ph GROUP BY user_id, v""")
+    WITH seen AS (
+        SELECT CAST(user_id AS VARCHAR) AS user_id, DATE '{ASOF}' - day AS ago
+        FROM fx_activity WHERE user_id IS NOT NULL AND day BETWEEN DATE '{SERIES_START}' AND DATE '{ASOF}'
+    ), named AS (
+        -- a day at distance 1 .. 29 has a bit of its own; today's is out of range
+        SELECT user_id, CASE WHEN ago > 0 THEN CAST(2 ** (32 - ago) AS BIGINT) ELSE 0 END AS v FROM seen
+        UNION
+        -- whoever missed a day of the window has a row without a bit
+        SELECT CAST(user_id AS VARCHAR), 0 FROM fx_activity WHERE user_id IS NOT NULL AND day <= DATE '{ASOF}'
+        GROUP BY 1 HAVING count(*) FILTER (day >= DATE '{SERIES_START}') < DATE '{ASOF}' - DATE '{SERIES_START}' + 1
+    )
+    SELECT user_id, v AS placeholder_int_value, {_flags('v')} FROM named""")
 def q_datelist_bits(spark, sf_dir):
     return dl.datelist_bits(_users(spark, sf_dir))
 
@@ -110,9 +122,9 @@ def q_date_series(spark, sf_dir):
 
 @query("join_full_outer_coalesce", f"""
     WITH y AS (SELECT CAST(user_id AS VARCHAR) AS user_id, list(day ORDER BY day DESC) AS dates_active
-               FROM fx_activity WHERE day <= DATE '{ASOF_PREV}' GROUP BY user_id),
+               FROM fx_activity WHERE user_id IS NOT NULL AND day <= DATE '{ASOF_PREV}' GROUP BY user_id),
     t AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS user_id, day AS date_active
-          FROM fx_activity WHERE day = DATE '{ASOF}')
+          FROM fx_activity WHERE user_id IS NOT NULL AND day = DATE '{ASOF}')
     SELECT COALESCE(t.user_id, y.user_id) AS user_id,
            y.dates_active AS previous_dates,
            t.date_active AS today

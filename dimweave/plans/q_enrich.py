@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
-from dimweave.functions.picks import collect_chunked
+from dimweave.functions.picks import collect_lists
 from dimweave.functions.text import DEFAULT_REFERRER, first_word
 from dimweave.operators import enrich as en
 from dimweave.operators import joins as jn
-from dimweave.plans.params import LIST_CHUNK, MATCH_DAY
+from dimweave.plans.params import LIST_BUCKETS, MATCH_DAY
 from dimweave.plans.registry import query
 from dimweave.session import scratch_path
 from dimweave.sources import fixtures as fx
@@ -21,26 +22,27 @@ _AGG_SQL = """agg AS (
     FROM fx_events WHERE user_id IS NOT NULL GROUP BY user_id, device_id)"""
 
 
-def _chunk_sql(src: str, keys: str, value: str, out: str, chunk: int = LIST_CHUNK) -> str:
-    """DuckDB text of collect_chunked over ``src`` (keys comma-separated)."""
-    bucket = f"CAST(('0x' || substr(md5(CAST({value} AS VARCHAR)), 1, 8)) AS BIGINT)"
-    return f"""(SELECT {keys}, CAST({bucket} % CAST(GREATEST(1, CEIL(n / {float(chunk)})) AS BIGINT) AS INTEGER) AS chunk,
-                list({value} ORDER BY {value}) AS {out}
-         FROM (SELECT s.*, COUNT(*) OVER (PARTITION BY {keys}) AS n FROM {src} s)
+def _lists_sql(src: str, keys: str, value: str, out: str, buckets: int = LIST_BUCKETS) -> str:
+    """DuckDB text of collect_lists over ``src`` (keys comma-separated)."""
+    mine = f"CAST(('0x' || substr(md5(CAST({value} AS VARCHAR)), 1, 8)) AS BIGINT) % {buckets}"
+    same = " AND ".join(f"a.{k.strip()} IS NOT DISTINCT FROM s.{k.strip()}" for k in keys.split(","))
+    return f"""(SELECT {', '.join('a.' + k.strip() for k in keys.split(','))}, CAST(a.b AS INTEGER) AS bucket,
+                coalesce(list({value} ORDER BY {value}) FILTER ({value} IS NOT NULL), []) AS {out}
+         FROM (SELECT DISTINCT {keys}, unnest(range({buckets})) AS b FROM {src}) a
+         LEFT JOIN {src} s ON {same} AND {mine} = a.b
          GROUP BY ALL)"""
 
 
 _ROLLUP_SQL = f"""WITH {_AGG_SQL},
-    pu AS (SELECT user_id, MAX(event_counts) AS total_hits, CAST(SUM(event_counts) AS BIGINT) AS raw_event_rows
-           FROM agg GROUP BY user_id),
-    dv AS (SELECT user_id, device_id FROM agg WHERE device_id IS NOT NULL),
-    ch AS {_chunk_sql('dv', 'user_id', 'device_id', 'devices')}
-    SELECT pu.user_id, pu.total_hits, pu.raw_event_rows, ch.chunk, ch.devices
-    FROM pu LEFT JOIN ch ON pu.user_id = ch.user_id"""
+    ch AS {_lists_sql('agg', 'user_id', 'device_id', 'devices')}
+    SELECT user_id, MAX(event_counts) AS total_hits, CAST(SUM(event_counts) AS BIGINT) AS raw_event_rows,
+           CAST(NULL AS INTEGER) AS bucket, CAST(NULL AS BIGINT[]) AS devices
+    FROM agg GROUP BY user_id
+    UNION ALL SELECT user_id, NULL, NULL, bucket, devices FROM ch"""
 
 _DEVICE_LIST_SQL = f"""WITH {_AGG_SQL},
     j AS (SELECT d.device_id, d.device_type, a.user_id FROM fx_devices d JOIN agg a ON d.device_id = a.device_id)
-    SELECT * FROM {_chunk_sql('j', 'device_id, device_type', 'user_id', 'users')}"""
+    SELECT * FROM {_lists_sql('j', 'device_id, device_type', 'user_id', 'users')}"""
 
 _MATCH_SQL = f"""
     SELECT d.match_id, d.player_gamertag, d.player_total_kills, d.player_total_deaths,
@@ -78,12 +80,12 @@ def q_events_by_user_device(spark, sf_dir):
 
 @query("user_device_rollup", _ROLLUP_SQL)
 def q_user_device_rollup(spark, sf_dir):
-    return en.user_device_rollup(_agg(spark, sf_dir), chunk=LIST_CHUNK)
+    return en.user_device_rollup(_agg(spark, sf_dir), buckets=LIST_BUCKETS)
 
 
 @query("device_user_list", _DEVICE_LIST_SQL)
 def q_device_user_list(spark, sf_dir):
-    return en.device_user_list(fx.devices(spark, sf_dir), _agg(spark, sf_dir), chunk=LIST_CHUNK)
+    return en.device_user_list(fx.devices(spark, sf_dir), _agg(spark, sf_dir), buckets=LIST_BUCKETS)
 
 
 @query("cache_reuse", f"""
@@ -98,8 +100,8 @@ def q_cache_reuse(spark, sf_dir):
     try:
         out1 = scratch_path(spark, "rollup")
         out2 = scratch_path(spark, "device-list")
-        en.user_device_rollup(agg, chunk=LIST_CHUNK).write.parquet(out1)
-        en.device_user_list(fx.devices(spark, sf_dir), agg, chunk=LIST_CHUNK).write.parquet(out2)
+        en.user_device_rollup(agg, buckets=LIST_BUCKETS).write.parquet(out1)
+        en.device_user_list(fx.devices(spark, sf_dir), agg, buckets=LIST_BUCKETS).write.parquet(out2)
     finally:
         agg.unpersist()
     r1 = spark.read.parquet(out1).agg(F.count(F.lit(1)).alias("num_rows")) \
@@ -111,11 +113,11 @@ def q_cache_reuse(spark, sf_dir):
 
 @query("agg_array_list", f"""
     WITH ev AS (SELECT host, user_id FROM fx_events WHERE user_id IS NOT NULL)
-    SELECT * FROM {_chunk_sql('ev', 'host', 'user_id', 'users')}""")
+    SELECT * FROM {_lists_sql('ev', 'host', 'user_id', 'users')}""")
 def q_agg_array_list(spark, sf_dir):
-    """All values of a group (duplicates kept) as sorted lists of bounded size."""
+    """All values of a group (duplicates kept) as sorted lists, dealt into buckets."""
     ev = fx.events(spark, sf_dir).where(F.col("user_id").isNotNull()).select("host", "user_id")
-    return collect_chunked(ev, ["host"], "user_id", chunk=LIST_CHUNK, out="users")
+    return collect_lists(ev, ["host"], "user_id", buckets=LIST_BUCKETS, out="users")
 
 
 @query("match_details_join", _MATCH_SQL)
@@ -124,12 +126,13 @@ def q_match_details_join(spark, sf_dir):
                                  dt.date.fromisoformat(MATCH_DAY))
 
 
-@query("join_broadcast", _MATCH_SQL)
+@query("join_broadcast", """
+    SELECT d.match_id, d.player_gamertag, d.player_total_kills, d.player_total_deaths,
+           m.is_team_game, m.playlist_id, m.completion_date
+    FROM fx_match_details d JOIN fx_matches m ON d.match_id = m.match_id""")
 def q_join_broadcast(spark, sf_dir):
-    """One day of matches is small: broadcast it after checking its size estimate."""
-    day = F.lit(dt.date.fromisoformat(MATCH_DAY))
-    m = fx.matches(spark, sf_dir).where(F.to_date("completion_date") == day)
-    return jn.join_broadcast(fx.match_details(spark, sf_dir), m, on="match_id")
+    """All matches, broadcast if their counted rows are few enough."""
+    return jn.join_broadcast(fx.match_details(spark, sf_dir), fx.matches(spark, sf_dir), on="match_id")
 
 
 @query("join_sort_merge", """
@@ -144,17 +147,17 @@ def q_join_sort_merge(spark, sf_dir):
 @query("join_bucketed", _MATCH_SQL)
 def q_join_bucketed(spark, sf_dir):
     """Both sides bucketed into 16 buckets on match_id (matches also
-    partitioned by completion year): the join reads matching buckets
-    without an exchange; the year filter prunes partitions."""
-    tag = abs(hash((sf_dir, scratch_path(spark, "t")))) % 10**9
+    partitioned by completion month): the join reads matching buckets
+    without an exchange; the month filter prunes partitions."""
+    tag = uuid.uuid4().hex[:12]
     mt, dt_ = f"matches_b{tag}", f"match_details_b{tag}"
-    m = fx.matches(spark, sf_dir).withColumn("completion_year", F.year("completion_date"))
+    m = fx.matches(spark, sf_dir).withColumn("completion_month", F.date_format("completion_date", "yyyy-MM"))
     jn.write_bucketed(m, mt, scratch_path(spark, "matches-bucketed"), "match_id", 16,
-                      partition_by=["completion_year"])
+                      partition_by=["completion_month"])
     jn.write_bucketed(fx.match_details(spark, sf_dir), dt_, scratch_path(spark, "details-bucketed"),
                       "match_id", 16)
     day = dt.date.fromisoformat(MATCH_DAY)
-    flt = (F.col("completion_year") == day.year) & \
+    flt = (F.col("completion_month") == MATCH_DAY[:7]) & \
           (F.to_date("completion_date") == F.lit(day))
     j = jn.join_bucketed(spark, mt, dt_, "match_id", left_filter=flt)
     return j.select("match_id", "player_gamertag", "player_total_kills", "player_total_deaths",

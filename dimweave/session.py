@@ -1,14 +1,14 @@
 """Session helpers: building a session for tests/bench and finding scratch space.
 
-Scratch space always comes from the session's ``spark.checkpoint.dir`` (the
-shared folder a cluster names for lineage cuts and staged tables).  Only when
-the setting is absent -- local tests, the bench -- do we create one.
+Scratch space always lies in the folder that the session names in
+``spark.checkpoint.dir`` (or that its context was given): the shared folder a
+cluster uses for lineage cuts and staged tables.  Only a session that names
+none gets one, beside its warehouse, which is shared as well.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -37,32 +37,18 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint dir, creating a local one only if unset."""
-    cur = spark.conf.get("spark.checkpoint.dir", None)
-    if not cur:
-        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        cur = jdir.get() if jdir.isDefined() else None
-    if not cur:
-        cur = tempfile.mkdtemp(prefix="dimweave-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", cur)
-    spark.sparkContext.setCheckpointDir(cur)
-    return cur
+    """The session's checkpoint folder; set once, only if the session has none."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    held = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if not held.isDefined():
+        named = named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+        spark.sparkContext.setCheckpointDir(named)
+    return named or held.get()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark)
-    base = base.rstrip("/")
-    return f"{base}/dimweave/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a file: scheme so Python-side checks can stat a local path."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def is_local(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/dimweave/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def table_path(sf_dir: str, name: str) -> str:

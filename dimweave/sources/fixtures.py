@@ -17,21 +17,9 @@ from pyspark.sql import functions as F
 from dimweave.session import table_path
 
 
-_BASE: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
-
-
 def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A base table's scan.  The DataFrame is kept per session and path so
-    schema discovery (a small Spark job per read) happens once; the inputs
-    are read-only.  Each use still plans its own scan with its own pushed
-    filters and pruned columns."""
-    path = table_path(sf_dir, name)
-    key = (id(spark), path)
-    hit = _BASE.get(key)
-    # the entry holds the session itself, so its id cannot be reused while cached
-    if hit is None or hit[0] is not spark or spark.sparkContext._jsc is None:
-        hit = _BASE[key] = (spark, spark.read.parquet(path))
-    return hit[1]
+    """A base table's scan."""
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def player_seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,16 +60,18 @@ def player_seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def game_details(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per line item: (game, team, player) with box-score columns.
-    Contains duplicate (game, team, player) rows, like the reference input."""
+def game_details(spark: SparkSession, sf_dir: str, comments: bool = False) -> DataFrame:
+    """One row per line item: (game, team, player) with box-score columns, and
+    the comment (a join of its own) only where it is asked for.  Contains
+    duplicate (game, team, player) rows, like the reference input."""
     li = base(spark, sf_dir, "lineitem")
     sup = base(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     nation = base(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    part = base(spark, sf_dir, "part").select("p_partkey", "p_name")
     j = (li.join(sup, li.l_suppkey == sup.s_suppkey)
-         .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-         .join(part, F.col("l_partkey") == F.col("p_partkey")))
+         .join(nation, F.col("s_nationkey") == F.col("n_nationkey")))
+    if comments:
+        part = base(spark, sf_dir, "part").select("p_partkey", "p_name")
+        j = j.join(part, F.col("l_partkey") == F.col("p_partkey"))
     q = F.col("l_quantity").cast("int")
     ln = F.col("l_linenumber")
     return j.select(
@@ -91,7 +81,7 @@ def game_details(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_suppkey").alias("player_id"),
         F.col("s_name").alias("player_name"),
         F.col("l_returnflag").alias("start_position"),
-        F.col("p_name").alias("comment"),
+        *([F.col("p_name").alias("comment")] if comments else []),
         F.concat(ln.cast("string"), F.lit(":"), F.lpad(q.cast("string"), 2, "0")).alias("min"),
         (q % 7).alias("fgm"), (q % 11).alias("fga"), (q % 3).alias("fg3m"),
         (q % 5).alias("fg3a"), (q % 4).alias("ftm"), (q % 6).alias("fta"),
@@ -163,11 +153,8 @@ def devices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(user_id, day) pairs of one activity kind (purchases)."""
-    ev = base(spark, sf_dir, "events")
-    return (ev.where(F.col("event_type") == "purchase")
-            .select("user_id", F.to_date("ts").alias("day"))
-            .distinct())
+    """(user_id, day) pairs of all events; user_id may be NULL."""
+    return events(spark, sf_dir).select("user_id", F.to_date("event_time").alias("day")).distinct()
 
 
 def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,24 +193,3 @@ def taxis(spark: SparkSession, sf_dir: str) -> DataFrame:
 def permits(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = base(spark, sf_dir, "events")
     return ev.select(F.col("event_id").alias("permit_id"), F.col("event_type").alias("borough"))
-
-
-FIXTURES = {
-    "fx_player_seasons": player_seasons,
-    "fx_game_details": game_details,
-    "fx_games": games,
-    "fx_teams": teams,
-    "fx_events": events,
-    "fx_devices": devices,
-    "fx_activity": activity,
-    "fx_matches": matches,
-    "fx_match_details": match_details,
-    "fx_taxis": taxis,
-    "fx_permits": permits,
-}
-
-
-def register_views(spark: SparkSession, sf_dir: str) -> None:
-    """Register every fixture as a temp view (for SQL-text operators)."""
-    for name, fn in FIXTURES.items():
-        fn(spark, sf_dir).createOrReplaceTempView(name)

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from dimweave.functions.picks import collect_chunked, first_per_key
+from dimweave.functions.picks import collect_lists, first_per_key
 from dimweave.operators import graph as gr
 
 
@@ -22,28 +22,22 @@ def _details(spark, hot_players: int, cold_games: int):
         F.lit(None).cast("timestamp_ntz").alias("ship_ts"))
 
 
-def test_hot_game_pairs_are_split_by_adaptive_skew_join(spark):
-    # thresholds scaled down so a test-sized hot game counts as skewed
-    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
-            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
-            "spark.sql.adaptive.coalescePartitions.enabled": "false",
-            "spark.sql.autoBroadcastJoinThreshold": "-1"}
-    old = {k: spark.conf.get(k, None) for k in conf}
-    try:
-        for k, v in conf.items():
-            spark.conf.set(k, v)
-        pairs = gr.player_pairs(_details(spark, 600, 200)).select("game_id")
-        n = len(pairs.collect())
-        assert n == 600 * 599 // 2 + 200 * 3      # hot game's pairs + 3 pairs per small game
-        final = pairs._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin(skew=true)" in final   # the hot game is split on both sides
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+def test_hot_game_pairs_are_spread_over_tasks(spark):
+    """With the session's settings as they are, no task makes more than a small
+    share of a hot game's pairs."""
+    pairs = gr.player_pairs(_details(spark, 2500, 200)).withColumn("task", F.spark_partition_id())
+    by_task = {r.task: r.n for r in pairs.groupBy("task").agg(F.count(F.lit(1)).alias("n")).collect()}
+    total = 2500 * 2499 // 2 + 200 * 3      # hot game's pairs + 3 pairs per small game
+    assert sum(by_task.values()) == total
+    assert max(by_task.values()) < 0.3 * total and len(by_task) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_pairs_do_not_depend_on_the_block_size(spark, monkeypatch):
+    d = _details(spark, 60, 20)
+    whole = gr.player_pairs(d)
+    want = sorted(map(tuple, whole.collect()))
+    monkeypatch.setattr(gr, "PAIR_BLOCK", 7)
+    assert sorted(map(tuple, gr.player_pairs(d).collect())) == want and len(want) == 60 * 59 // 2 + 60
 
 
 def test_first_per_key_on_hot_key(spark):
@@ -53,33 +47,43 @@ def test_first_per_key_on_hot_key(spark):
     assert [(r.k, r.o, r.v) for r in out] == [(0, 0, 0)]
 
 
-def test_collect_chunked_splits_hot_group(spark):
-    # values all multiples of the chunk count: a plain modulo would put them in one chunk
-    df = spark.range(2000).select(F.lit("hot").alias("g"), (F.col("id") * 20).alias("v")) \
-        .unionByName(spark.range(3).select(F.lit("cold").alias("g"), F.col("id").alias("v")))
-    out = collect_chunked(df, ["g"], "v", chunk=100, out="vals").collect()
-    hot = [r for r in out if r.g == "hot"]
-    assert len(hot) >= 15 and max(len(r.vals) for r in hot) <= 200
-    assert sorted(v for r in hot for v in r.vals) == [i * 20 for i in range(2000)]
-    assert [len(r.vals) for r in out if r.g == "cold"] == [3]
+def test_collected_lists_have_the_same_rows_at_any_group_size(spark):
+    # values all multiples of the bucket count: a plain modulo would put them in one bucket
+    hot = spark.range(2000).select(F.lit("hot").alias("g"), (F.col("id") * 20).alias("v"))
+    rest = spark.createDataFrame([("cold", 1), ("cold", 1), ("cold", 2), (None, 5), (None, None), ("none", None)], "g string, v bigint")
+    out = collect_lists(hot.unionByName(rest), ["g"], "v", buckets=5, out="vals").collect()
+    by = {}
+    for r in out:
+        by.setdefault(r.g, []).append(r.vals)
+    assert {g: len(v) for g, v in by.items()} == {"hot": 5, "cold": 5, None: 5, "none": 5}
+    assert max(map(len, by["hot"])) < 500
+    flat = {g: sorted(x for v in lists for x in v) for g, lists in by.items()}
+    assert flat == {"hot": [i * 20 for i in range(2000)], "cold": [1, 1, 2], None: [5], "none": []}
+
+
+def test_totals_are_not_repeated_by_the_lists(spark):
+    from dimweave.operators import enrich as en
+    agg = spark.createDataFrame([(1, d, 2) for d in range(50)] + [(2, None, 7)], "user_id bigint, device_id bigint, event_counts bigint")
+    got = en.user_device_rollup(agg, buckets=3)
+    assert got.agg(F.sum("raw_event_rows")).first()[0] == 107
+    assert sorted(d for r in got.where("user_id = 1 and bucket is not null").collect() for d in r.devices) == list(range(50))
 
 
-def test_chunk_assignment_matches_sql_when_groups_split(spark):
-    """With a small chunk size the groups really split; the DuckDB text of
-    the same rule assigns every value to the same chunk."""
+def test_bucket_assignment_matches_sql(spark):
+    """The DuckDB text of the same rule puts every value into the same bucket."""
     from dimweave.plans.fixture_sql import with_fixtures
     from dimweave.plans.oracle_check import compare, duckdb_connection
-    from dimweave.plans.q_enrich import _chunk_sql
+    from dimweave.plans.q_enrich import _lists_sql
     from dimweave.sources import fixtures as fx
 
     sf = "/root/testdata/sf0.01"
 
     def spark_side(spark_, sf_dir):
-        ev = fx.events(spark_, sf_dir).where(F.col("user_id").isNotNull()).select("host", "user_id")
-        return collect_chunked(ev, ["host"], "user_id", chunk=50, out="users")
+        ev = fx.events(spark_, sf_dir).select("referrer", "user_id")
+        return collect_lists(ev, ["referrer"], "user_id", buckets=7, out="users")
 
     sql = with_fixtures(f"""
-        WITH ev AS (SELECT host, user_id FROM fx_events WHERE user_id IS NOT NULL)
-        SELECT * FROM {_chunk_sql('ev', 'host', 'user_id', 'users', chunk=50)}""")
-    res = compare(spark, duckdb_connection(sf), "chunks", spark_side, sql, sf)
-    assert res["ok"] and res["spark_rows"] > 5 * 5, res
+        WITH ev AS (SELECT referrer, user_id FROM fx_events)
+        SELECT * FROM {_lists_sql('ev', 'referrer', 'user_id', 'users', buckets=7)}""")
+    res = compare(spark, duckdb_connection(sf), "lists", spark_side, sql, sf)
+    assert res["ok"] and res["spark_rows"] == 5 * 7, res
