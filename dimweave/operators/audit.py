@@ -1,22 +1,22 @@
-"""Keys, audits, stage-audit-publish loads and a load log.
+"""Keys, audits, stage-audit-publish loads and a table of loads.
 
 Audits are DataFrames of failing rows evaluated on the executors; only a
 bounded number of failing rows is ever brought to the driver (to build the
-error message).  A table here is a directory of loads (``load_id=N``) plus an
-append-only log table; readers resolve the published loads through the log,
-which gives time travel (``read_as_of``) and retention without a table
-format.
+error message).  Every write goes to a new path, which is handed out only
+after its checks have passed, so a job that fails leaves the old data as they
+are.  A loaded table is a directory of batches (rows carry their load id) and
+an append-only log of the loads.
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LOG_SCHEMA = "load_id int, operation string, rows_added bigint, published boolean, committed_at timestamp_ntz"
-
 
 def key_violations(df: DataFrame, keys: list[str]) -> DataFrame:
     """Rows breaking a declared primary key: duplicate keys or a NULL key part."""
@@ -60,93 +60,113 @@ def staged_vs_published(staged: DataFrame, published: DataFrame, group: str) ->
     return s.join(p, on=group, how="full_outer")
 
 
-# ---------------------------------------------------------------- load log
-
-def _log_path(root: str) -> str:
-    return f"{root}/_log"
-
-
-def _data_path(root: str) -> str:
-    return f"{root}/data"
-
-
-def append_loads(spark: SparkSession, root: str, df: DataFrame, load_col: str, ts_col: str,
-                 operation: str = "append", published: bool = True) -> DataFrame:
-    """Write ``df`` as one or more loads in a single job: rows carry their load
-    id in ``load_col`` (one directory per load).  The log rows are computed
-    from what was written.  Returns the log rows added."""
-    df.write.mode("append").partitionBy(load_col).parquet(_data_path(root))
-    written = spark.read.parquet(_data_path(root))
-    new_ids = df.select(load_col).distinct()
-    log = (written.join(new_ids, on=load_col, how="left_semi")
-           .groupBy(F.col(load_col).cast("int").alias("load_id"))
-           .agg(F.count(F.lit(1)).alias("rows_added"), F.max(ts_col).alias("committed_at"))
-           .select("load_id", F.lit(operation).alias("operation"), "rows_added",
-                   F.lit(published).alias("published"),
-                   F.col("committed_at").cast("timestamp_ntz").alias("committed_at")))
-    log.write.mode("append").parquet(_log_path(root))
-    return spark.read.parquet(_log_path(root)).join(new_ids.withColumnRenamed(load_col, "load_id"),
-                                                    on="load_id", how="left_semi")
-
-
-def snapshot_log(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(LOG_SCHEMA).parquet(_log_path(root))
-
-
-def load_status(spark: SparkSession, root: str) -> DataFrame:
-    """Current status per load from the append-only log.  Unpublishing is
-    terminal (a rolled-back load is never re-published; re-loading makes a
-    new load id), so a load is visible only if no entry unpublished it --
-    which needs no ordering of log entries."""
-    return (snapshot_log(spark, root).groupBy("load_id")
-            .agg(F.bool_and("published").alias("published")))
-
-
-def rollback_to(spark: SparkSession, root: str, load_id: int) -> DataFrame:
-    """Roll the table back to ``load_id``: every later published load gets a
-    'rollback' log entry marking it unpublished.  Data files stay (they can be
-    expired by retention); readers stop seeing them.  Returns the new entries."""
-    later = load_status(spark, root).where(F.col("published") & (F.col("load_id") > load_id))
-    entries = later.select("load_id", F.lit("rollback").alias("operation"),
-                           F.lit(0).cast("bigint").alias("rows_added"), F.lit(False).alias("published"),
-                           F.current_timestamp().cast("timestamp_ntz").alias("committed_at"))
-    stage = f"{root}/_log_stage"
-    entries.write.mode("overwrite").parquet(stage)        # materialise before appending to the log
-    staged = spark.read.schema(LOG_SCHEMA).parquet(stage)
-    staged.write.mode("append").parquet(_log_path(root))
-    return staged
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a staged copy (a folder that this job has written)."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def write_audited(df: DataFrame, path: str, audits, partition_by: list[str] | None = None) -> str:
+    """Write ``df`` to the new ``path`` and run each audit (a function from the
+    written rows to the failing ones).  Returns the path if all pass; otherwise
+    the copy is dropped and the error raised."""
+    spark = df.sparkSession
+    if partition_by:
+        # One task for each partition value, more where a value has many rows.
+        df.hint("rebalance", *map(F.col, partition_by)).write.partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    try:
+        for name, audit in audits.items():
+            assert_no_rows(audit(written), name)
+    except AssertionError:
+        drop_path(spark, path)
+        raise
+    return path
+
+
+def write_keyed(df: DataFrame, path: str, keys: list[str], partition_by: list[str] | None = None) -> str:
+    """Write ``df`` to the new ``path``; fails, leaving nothing, if the declared
+    key is broken."""
+    return write_audited(df, path, {f"key {keys}": lambda rows: key_violations(rows, keys)}, partition_by)
+
+
+# ---------------------------------------------------------------- publishing
+
+_POINTER = "path string, published_at timestamp"
+
+
+def stage_audit_publish(spark: SparkSession, df: DataFrame, audits, root: str) -> DataFrame:
+    """Write ``df`` to a new load path below ``root``, audit the staged copy and,
+    only if all audits pass, publish it by adding its path to the table's
+    pointer.  The data are written once, and what was published before stays
+    readable until the pointer moves."""
+    path = write_audited(df, f"{root}/load-{uuid.uuid4().hex[:12]}", audits)
+    spark.createDataFrame([(path,)], "path string").select("path", F.current_timestamp().alias("published_at")) \
+        .coalesce(1).write.mode("append").parquet(f"{root}/_pointer")
+    return published(spark, root)
+
+
+def published(spark: SparkSession, root: str) -> DataFrame:
+    """The data that the table's pointer names (one path)."""
+    pointer = spark.read.schema(_POINTER).parquet(f"{root}/_pointer")
+    return spark.read.parquet(pointer.orderBy(F.desc("published_at")).first()["path"])
+
+
+# ---------------------------------------------------------------- loads
+
+
+def append_loads(spark: SparkSession, root: str, df: DataFrame, load_col: str = "load_id") -> DataFrame:
+    """Append the rows of one or more new loads (their ids in ``load_col``) as
+    one batch, and log them: load_id, rows_added, committed_at (when the batch
+    was complete).  A load that the log already has is refused, so an append
+    that is tried again adds nothing.  Returns the log."""
+    batch = f"{root}/data/batch={uuid.uuid4().hex[:12]}"
+    df.hint("rebalance", F.col(load_col)).write.partitionBy(load_col).parquet(batch)
+    # Counting the partition column reads the new batch's file footers only.
+    new = (spark.read.parquet(batch).groupBy(F.col(load_col).cast("int").alias("load_id"))
+           .agg(F.count(F.lit(1)).alias("rows_added")))
+    try:
+        old = load_log(spark, root, missing_ok=True)
+        if old is not None:
+            assert_no_rows(new.join(old, "load_id", "left_semi"), "loads that were appended before")
+    except AssertionError:
+        drop_path(spark, batch)
+        raise
+    new.select("load_id", "rows_added", F.current_timestamp().alias("committed_at"), F.lit(batch).alias("batch")) \
+        .write.mode("append").parquet(f"{root}/_log")
+    return load_log(spark, root)
+
+
+def load_log(spark: SparkSession, root: str, missing_ok: bool = False) -> DataFrame | None:
+    """load_id, rows_added, committed_at and batch of every load."""
+    schema = "load_id int, rows_added bigint, committed_at timestamp, batch string"
+    try:
+        return spark.read.schema(schema).parquet(f"{root}/_log")
+    except AnalysisException:
+        if missing_ok:
+            return None
+        raise
 
 
 def read_as_of(spark: SparkSession, root: str, load_id: int, load_col: str = "load_id") -> DataFrame:
-    """Table content as of a load: the loads up to ``load_id`` that are
-    currently published (pruned by the load directory)."""
-    log = load_status(spark, root).where(F.col("published") & (F.col("load_id") <= load_id))
-    data = spark.read.parquet(_data_path(root)).where(F.col(load_col) <= load_id)
-    return data.join(log.select(F.col("load_id").alias(load_col)), on=load_col, how="left_semi")
-
-
-def snapshot_retention(log: DataFrame, older_than, keep_last: int) -> DataFrame:
-    """Which loads expire: committed before ``older_than`` and not among the
-    newest ``keep_last``.  The newest-n pick is a top-k (no global window)."""
+    """The table as it was after a load: the logged batches' rows up to it
+    (pruned by the load's directory)."""
+    batches = [r["batch"] for r in load_log(spark, root).select("batch").distinct().collect()]  # one for each append
+    data = None
+    for path in batches:
+        part = spark.read.parquet(path)
+        data = part if data is None else data.unionByName(part)
+    return data.where(F.col(load_col) <= load_id)
+
+
+def load_retention(log: DataFrame, older_than, keep_last: int) -> DataFrame:
+    """Which loads expire: committed before ``older_than`` (a Column or a
+    timestamp's text) and not among the newest ``keep_last`` (a top-k, no
+    global window)."""
     newest = log.orderBy(F.col("committed_at").desc(), F.col("load_id").desc()) \
         .limit(keep_last).select("load_id").withColumn("_kept", F.lit(True))
     j = log.join(F.broadcast(newest), on="load_id", how="left")  # at most keep_last rows
-    # Parse the cut-off as a wall-clock timestamp: a Python datetime literal
-    # would be shifted by the driver process's zone, not the session's.
-    text = older_than.isoformat(sep=" ") if hasattr(older_than, "isoformat") else str(older_than)
-    cutoff = F.to_timestamp_ntz(F.lit(text))
-    expired = F.coalesce(~F.col("_kept"), F.lit(True)) & (F.col("committed_at") < cutoff)
-    return j.select("load_id", "committed_at", expired.alias("expired"))
-
-
-def stage_audit_publish(spark: SparkSession, df: DataFrame, audits, target: str,
-                        stage: str) -> DataFrame:
-    """Write ``df`` to a staged path, run each audit (a function from the
-    staged DataFrame to its failing rows) and, only if all pass, publish the
-    staged data to ``target``.  Returns the published table."""
-    df.write.mode("overwrite").parquet(stage)
-    staged = spark.read.parquet(stage)
-    for name, audit in audits.items():
-        assert_no_rows(audit(staged), name)
-    staged.write.mode("overwrite").parquet(target)
-    return spark.read.parquet(target)
+    cutoff = older_than if isinstance(older_than, Column) else F.to_timestamp(F.lit(str(older_than)))
+    return j.select("load_id", "committed_at", (F.col("_kept").isNull() & (F.col("committed_at") < cutoff)).alias("expired"))

@@ -23,21 +23,45 @@ def upsert_by_key(target: DataFrame, source: DataFrame, keys: list[str]) -> Data
 def upsert_table(spark, path: str, source: DataFrame, keys: list[str],
                  partition_cols: list[str]) -> DataFrame:
     """Upsert into a partitioned Parquet table at ``path``: only partitions
-    present in ``source`` are rewritten (dynamic partition overwrite).  The
-    touched partitions are staged to a new path first, since a path that is
-    being read cannot be overwritten in the same job."""
+    present in ``source`` are rewritten (dynamic partition overwrite).
+
+    The source is staged once and checked first: two rows with one key, or a
+    key part that is NULL other than a partition column, are refused.  The
+    partition columns must be part of the key; NULL partitions match NULL.
+    The table is read with the source's types, so that a partition value such
+    as '01' stays text.  The touched partitions are staged to a new path, since
+    a path that is being read cannot be overwritten in the same job."""
+    from dimweave.operators.audit import assert_no_rows, key_violations
     from dimweave.session import scratch_path
 
-    target = spark.read.parquet(path)
-    touched = source.select(*partition_cols).distinct()
-    current = target.join(touched, on=partition_cols, how="left_semi")
-    merged = upsert_by_key(current, source, keys)
+    if not set(partition_cols) <= set(keys):
+        raise ValueError(f"partition columns {partition_cols} are not part of the key {keys}")
+    staged = scratch_path(spark, "upsert-source")
+    source.write.parquet(staged)
+    fresh = spark.read.schema(source.schema).parquet(staged)
+    own = [k for k in keys if k not in partition_cols]
+    broken = key_violations(fresh, keys)
+    null_own = F.lit(False)
+    for k in own:
+        null_own = null_own | F.col(k).isNull()
+    assert_no_rows(broken.where((F.col("num_rows") > 1) | null_own), f"source keys {keys}")
+    target = spark.read.schema(source.schema).parquet(path)
+    touched = fresh.select(*partition_cols).distinct().toDF(*[f"{c}__new" for c in partition_cols])
+    same = F.lit(True)
+    for c in partition_cols:
+        same = same & F.col(c).eqNullSafe(F.col(f"{c}__new"))
+    current = target.join(touched, same, "left_semi")
+    found = fresh.select(*[F.col(k).alias(f"{k}__new") for k in keys])
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"{k}__new"))
+    merged = current.join(found, same, "left_anti").unionByName(fresh)
     stage = scratch_path(spark, "upsert-stage")
-    merged.write.mode("overwrite").partitionBy(*partition_cols).parquet(stage)
-    (spark.read.parquet(stage).write.mode("overwrite")
+    merged.hint("rebalance", *map(F.col, partition_cols)).write.partitionBy(*partition_cols).parquet(stage)
+    (spark.read.schema(source.schema).parquet(stage).hint("rebalance", *map(F.col, partition_cols)).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols).parquet(path))
-    return spark.read.parquet(path)
+    return spark.read.schema(source.schema).parquet(path)
 
 
 def delete_where(df: DataFrame, pred: Column) -> DataFrame:

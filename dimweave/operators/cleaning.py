@@ -35,16 +35,18 @@ def outlier_stddev_cut(df: DataFrame, col: str, k: float = 3.0) -> DataFrame:
 
 def histogram_fixed_bins(df: DataFrame, col: str, bins: int) -> DataFrame:
     """Row count per equal-width bin over [min, max]; the maximum belongs to
-    the last bin.  Bins are numbered 1..bins; empty bins are not listed."""
+    the last bin.  Bins are numbered 1..bins and all of them are listed."""
     st = column_stats(df, col)
     lo, hi = st["lo"], st["hi"]
     width = hi - lo
-    raw = F.floor((F.col(col) - lo) * bins / width) + 1
-    b = F.when(width == 0, F.lit(1)).otherwise(F.least(raw, F.lit(bins))).cast("int")
+    raw = F.floor((F.col(col) - lo) * bins / F.when(width != 0, width)) + 1
+    b = F.coalesce(F.least(raw, F.lit(bins)), F.lit(1)).cast("int")
     counts = df.where(F.col(col).isNotNull()).groupBy(b.alias("bin")).agg(
         F.count(F.lit(1)).alias("num_rows"))
-    return counts.select("bin", (lo + (F.col("bin") - 1) * (hi - lo) / bins).alias("bin_start"),
-                         "num_rows")
+    every = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
+    return every.join(counts, "bin", "left").select(
+        "bin", (lo + (F.col("bin") - 1) * (hi - lo) / bins).alias("bin_start"),
+        F.coalesce("num_rows", F.lit(0)).alias("num_rows"))
 
 
 def ratio(num: str, den: str):

@@ -57,16 +57,24 @@ def cumulative_step(prev: DataFrame, cur: DataFrame, *, key: str = "player_name"
         active.alias("is_active"),
         F.coalesce(F.col("ts.season"), F.col("ls.current_season") + 1).cast("int")
         .alias("current_season"),
-    )
+    ).withColumn("scoring_class_ord", class_ord(F.col("scoring_class")))
+
+
+def last_period(seasons: DataFrame) -> int | None:
+    """The newest period in the data (one number)."""
+    return seasons.agg(F.max("season")).first()[0]
 
 
 def cumulative_backfill(seasons: DataFrame, last_period: int, *, key: str = "player_name",
-                        first_period: int | None = None) -> DataFrame:
-    """Every snapshot from each entity's first period to ``last_period``.
+                        first_period: int | None = None, periods: list[int] | None = None) -> DataFrame:
+    """Every snapshot from each entity's first period to ``last_period``, or
+    only those of ``periods``.
 
     One shuffle: the per-entity aggregation gathers the entity's active
-    periods (bounded by the number of periods) and its first-seen
-    attributes; each snapshot row is then derived by filtering that array.
+    periods with their attributes (bounded by the number of periods); each
+    snapshot row is then derived by filtering that array.  An attribute is the
+    first one that is not NULL among the periods up to the snapshot, as the
+    yearly step fills it in.
     """
     src = seasons
     if first_period is not None:
@@ -74,24 +82,27 @@ def cumulative_backfill(seasons: DataFrame, last_period: int, *, key: str = "pla
     src = src.where(F.col("season") <= last_period)
     per_entity = src.groupBy(key).agg(
         F.min("season").alias("first_season"),
-        F.min_by(F.struct(*ATTRS), F.col("season")).alias("attrs"),
-        F.array_sort(F.collect_list(season_struct())).alias("all_seasons"),
-    )
-    snaps = per_entity.select(
-        key, "attrs", "all_seasons",
-        F.explode(F.sequence(F.col("first_season"), F.lit(last_period))).alias("current_season"))
-    hist = F.filter("all_seasons", lambda s: s["season"] <= F.col("current_season"))
-    latest = F.element_at(hist, -1)
-    return (snaps.select(key, "attrs", "current_season", hist.alias("seasons"))
-            .select(
-                key, *[F.col(f"attrs.{a}").alias(a) for a in ATTRS],
-                "seasons",
-                scoring_class(F.element_at("seasons", -1)["pts"]).alias("scoring_class"),
-                (F.col("current_season") - F.element_at("seasons", -1)["season"]).cast("int")
-                .alias("years_since_last_active"),
-                (F.element_at("seasons", -1)["season"] == F.col("current_season")).alias("is_active"),
-                F.col("current_season").cast("int").alias("current_season"),
-            ))
+        F.array_sort(F.collect_list(F.struct(*STATS, *ATTRS))).alias("rows"))
+    every = F.sequence(F.col("first_season"), F.lit(last_period))
+    if periods is not None:
+        every = F.filter(F.array(*[F.lit(p).cast("int") for p in periods]),
+                         lambda p: (p >= F.col("first_season")) & (p <= last_period))
+    snaps = per_entity.select(key, "rows", F.explode(every).alias("current_season"))
+    upto = snaps.select(key, F.filter("rows", lambda r: r["season"] <= F.col("current_season")).alias("rows"),
+                        F.col("current_season").cast("int").alias("current_season"))
+    latest = F.element_at("rows", -1)
+
+    def first_known(attr: str) -> Column:
+        return F.get(F.filter(F.transform("rows", lambda r: r[attr]), lambda v: v.isNotNull()), 0)
+
+    return upto.select(
+        key, *[first_known(a).alias(a) for a in ATTRS],
+        F.transform("rows", lambda r: F.struct(*[r[s].alias(s) for s in STATS])).cast(f"array<{SEASON_TYPE}>").alias("seasons"),
+        scoring_class(latest["pts"]).alias("scoring_class"),
+        (F.col("current_season") - latest["season"]).cast("int").alias("years_since_last_active"),
+        (latest["season"] == F.col("current_season")).alias("is_active"),
+        "current_season",
+    ).withColumn("scoring_class_ord", class_ord(F.col("scoring_class")))
 
 
 def snapshot(table: DataFrame, period: int) -> DataFrame:

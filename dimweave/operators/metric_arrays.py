@@ -43,23 +43,22 @@ def array_metric_backfill(events: DataFrame, month_start, day, *, metric_name: s
                            F.lit(metric_name).alias("metric_name"), arr.alias("metric_array"))
 
 
-def array_metric_step(yesterday: DataFrame, day_agg: DataFrame, *,
+def array_metric_step(yesterday: DataFrame, day_agg: DataFrame, day, *,
                       metric_name: str = "site_hits") -> DataFrame:
-    """Append one day (``day_agg``: user_id, date, num_site_hits) to yesterday's
-    arrays.  Users new this month get zeros for the days before today."""
+    """Append one day (``day_agg``: user_id, date, num_site_hits, of ``day``) to
+    yesterday's arrays of that month; other months' rows are left out.  Users
+    new this month get zeros for the days before today."""
+    month = F.trunc(_d(day), "month")
     da = day_agg.alias("da")
-    ya = yesterday.alias("ya")
+    ya = yesterday.where((F.col("month_start") == month) & (F.col("metric_name") == metric_name)).alias("ya")
     j = da.join(ya, F.col("da.user_id") == F.col("ya.user_id"), "full_outer")
     today_val = F.array(F.coalesce(F.col("da.num_site_hits"), F.lit(0)).cast("double"))
-    month_of_day = F.trunc(F.col("da.date"), "month")
-    fresh = F.concat(
-        F.array_repeat(F.lit(0.0), F.coalesce(F.datediff(F.col("da.date"), month_of_day), F.lit(0))),
-        today_val)
+    fresh = F.concat(F.array_repeat(F.lit(0.0), F.datediff(_d(day), month)), today_val)
     arr = F.when(F.col("ya.metric_array").isNotNull(),
                  F.concat(F.col("ya.metric_array"), today_val)).otherwise(fresh)
     return j.select(
         F.coalesce(F.col("da.user_id"), F.col("ya.user_id")).alias("user_id"),
-        F.coalesce(F.col("ya.month_start"), month_of_day).alias("month_start"),
+        month.alias("month_start"),
         F.lit(metric_name).alias("metric_name"),
         arr.alias("metric_array"),
     )
@@ -114,7 +113,7 @@ def array_metric_fold(events: DataFrame, month_start, last_day, *, cut_every: in
     day = start
     i = 0
     while day <= end:
-        table = array_metric_step(table, daily_counts(events, day), metric_name=metric_name)
+        table = array_metric_step(table, daily_counts(events, day), day, metric_name=metric_name)
         i += 1
         if cut_every and i % cut_every == 0:
             table = table.checkpoint(eager=True)

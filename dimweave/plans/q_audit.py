@@ -13,9 +13,9 @@ from dimweave.session import scratch_path
 from dimweave.sources import fixtures as fx
 
 _EXPECTED_SQL = ", ".join(f"('{b}')" for b in EXPECTED_BOROUGHS)
-RETAIN_BEFORE = "1999-06-01 00:00:00"
 KEEP_LAST = 2
 AS_OF_LOAD = 3
+FIRST_BATCH_UPTO = 1997
 
 
 def _expected(spark):
@@ -53,32 +53,33 @@ def q_filter_like(spark, sf_dir):
 @query("fn_map_get", """
     SELECT permit_id, CAST(permit_id AS VARCHAR) AS wap_id FROM fx_permits""")
 def q_fn_map_get(spark, sf_dir):
-    """Entry of a map column (a snapshot-summary style map keyed 'wap.id')."""
-    p = fx.permits(spark, sf_dir)
-    m = p.select("permit_id", F.create_map(F.lit("wap.id"), F.col("permit_id").cast("string"),
-                                           F.lit("operation"), F.col("borough")).alias("summary"))
-    return m.select("permit_id", F.col("summary")["wap.id"].alias("wap_id"))
+    """An entry of a stored map column (a summary map keyed 'wap.id')."""
+    path = scratch_path(spark, "permit-summaries")
+    fx.permits(spark, sf_dir).select("permit_id", F.create_map(
+        F.lit("wap.id"), F.col("permit_id").cast("string"), F.lit("operation"), F.col("borough")).alias("summary")
+    ).write.parquet(path)
+    return spark.read.parquet(path).select("permit_id", F.col("summary")["wap.id"].alias("wap_id"))
 
 
 @query("stage_audit_publish", f"""
     SELECT * FROM fx_permits WHERE NOT COALESCE(borough = '{DROPPED_BOROUGH}', FALSE)""")
 def q_stage_audit_publish(spark, sf_dir):
-    """Stage the delete, audit the staged copy, publish only if it passes."""
+    """Stage the delete at a new load path, audit it, move the pointer if it passes."""
     exp = _expected(spark)
     audits = {"boroughs": lambda staged: au.audit_set_equal(staged, "borough", exp)}
-    return au.stage_audit_publish(spark, _staged(spark, sf_dir), audits,
-                                  target=scratch_path(spark, "permits-published"),
-                                  stage=scratch_path(spark, "permits-staged"))
+    return au.stage_audit_publish(spark, _staged(spark, sf_dir), audits, scratch_path(spark, "permits"))
 
 
 @query("staged_vs_published", f"""
-    WITH s AS (SELECT borough, COUNT(*) AS staged_count FROM fx_permits
-               WHERE NOT COALESCE(borough = '{DROPPED_BOROUGH}', FALSE) GROUP BY borough),
-    p AS (SELECT borough, COUNT(*) AS published_count FROM fx_permits GROUP BY borough)
-    SELECT COALESCE(s.borough, p.borough) AS borough, s.staged_count, p.published_count
-    FROM s FULL OUTER JOIN p ON s.borough = p.borough""")
+    WITH c AS (SELECT borough, COUNT(*) AS n FROM fx_permits GROUP BY borough)
+    SELECT borough, CASE WHEN borough IS DISTINCT FROM '{DROPPED_BOROUGH}' THEN n END AS staged_count,
+           n AS published_count FROM c""")
 def q_staged_vs_published(spark, sf_dir):
-    return au.staged_vs_published(_staged(spark, sf_dir), fx.permits(spark, sf_dir), "borough")
+    """A published table and a staged copy of its next version, both on disk."""
+    root = scratch_path(spark, "permits")
+    now = au.stage_audit_publish(spark, fx.permits(spark, sf_dir), {}, root)
+    staged = au.write_audited(ch.delete_where(now, F.col("borough") == DROPPED_BOROUGH), f"{root}/staged", {})
+    return au.staged_vs_published(spark.read.parquet(staged), now, "borough")
 
 
 @query("audit_row_count", """
@@ -93,15 +94,11 @@ def q_audit_row_count(spark, sf_dir):
             .withColumn("counts_equal", F.col("rows_written") == F.col("rows_read")))
 
 
-# ------------------------------------------------------------- load log
+# ------------------------------------------------------------- loads
 
 _LOADS_SQL = """t AS (SELECT *, CAST(year(tpep_pickup_datetime)
                                - (SELECT min(year(tpep_pickup_datetime)) FROM fx_taxis) + 1 AS INTEGER) AS load_id
                FROM fx_taxis)"""
-_LOG_SQL = f"""WITH {_LOADS_SQL}
-    SELECT load_id, 'append' AS operation, COUNT(*) AS rows_added, TRUE AS published,
-           max(tpep_pickup_datetime) AS committed_at
-    FROM t GROUP BY load_id"""
 
 
 def _with_load_ids(spark, sf_dir):
@@ -113,49 +110,45 @@ def _with_load_ids(spark, sf_dir):
 
 def _loaded_table(spark, sf_dir) -> str:
     root = scratch_path(spark, "taxis-loads")
-    au.append_loads(spark, root, _with_load_ids(spark, sf_dir), "load_id", "tpep_pickup_datetime")
+    au.append_loads(spark, root, _with_load_ids(spark, sf_dir))
     return root
 
 
-@query("snapshot_log", _LOG_SQL)
+@query("snapshot_log", f"""WITH {_LOADS_SQL}
+    SELECT load_id, COUNT(*) AS rows_added, TRUE AS committed FROM t GROUP BY load_id""")
 def q_snapshot_log(spark, sf_dir):
-    root = _loaded_table(spark, sf_dir)
-    return au.snapshot_log(spark, root).orderBy("committed_at")
+    log = au.load_log(spark, _loaded_table(spark, sf_dir))
+    return log.select("load_id", "rows_added", (F.col("committed_at") <= F.current_timestamp()).alias("committed"))
 
 
 @query("read_as_of", f"""WITH {_LOADS_SQL}
     SELECT {_T}, load_id FROM t WHERE load_id <= {AS_OF_LOAD}""")
 def q_read_as_of(spark, sf_dir):
-    root = _loaded_table(spark, sf_dir)
-    return au.read_as_of(spark, root, AS_OF_LOAD)
+    return au.read_as_of(spark, _loaded_table(spark, sf_dir), AS_OF_LOAD)
 
 
 @query("snapshot_retention", f"""
-    WITH l AS ({_LOG_SQL}),
-    r AS (SELECT load_id, committed_at,
-                 ROW_NUMBER() OVER (ORDER BY committed_at DESC, load_id DESC) AS rn FROM l)
-    SELECT load_id, committed_at, (rn > {KEEP_LAST} AND committed_at < TIMESTAMP '{RETAIN_BEFORE}') AS expired
-    FROM r""")
+    WITH {_LOADS_SQL}, l AS (SELECT DISTINCT load_id FROM t)
+    SELECT load_id, (SELECT count(*) FROM l n WHERE n.load_id > l.load_id) >= {KEEP_LAST} AS expired FROM l""")
 def q_snapshot_retention(spark, sf_dir):
-    import datetime as dt
-    root = _loaded_table(spark, sf_dir)
-    return au.snapshot_retention(au.snapshot_log(spark, root),
-                                 dt.datetime.fromisoformat(RETAIN_BEFORE), KEEP_LAST)
+    log = au.load_log(spark, _loaded_table(spark, sf_dir))
+    return au.load_retention(log, F.current_timestamp(), KEEP_LAST).select("load_id", "expired")
 
 
-@query("append_two_batches", f"""WITH {_LOADS_SQL}
-    SELECT 1 AS after_load, COUNT(*) FILTER (WHERE trip_distance > 35) AS long_trips FROM t WHERE load_id <= 1
+@query("append_two_batches", f"""
+    SELECT 1 AS after_load, COUNT(*) FILTER (WHERE trip_distance > 35) AS long_trips
+    FROM fx_taxis WHERE year(tpep_pickup_datetime) <= {FIRST_BATCH_UPTO}
     UNION ALL
-    SELECT 2 AS after_load, COUNT(*) FILTER (WHERE trip_distance > 35) AS long_trips FROM t WHERE load_id <= 2""")
+    SELECT 2 AS after_load, COUNT(*) FILTER (WHERE trip_distance > 35) AS long_trips FROM fx_taxis""")
 def q_append_two_batches(spark, sf_dir):
-    """Load a batch, query, load the next batch, query again; each query
-    reads the table as of its load, so both answers stay reproducible."""
+    """Load a batch, query, load the rest, query again; each query reads the
+    table as of its load, so both answers stay reproducible."""
     root = scratch_path(spark, "taxis-two-batches")
-    tagged = _with_load_ids(spark, sf_dir)
+    early = F.year("tpep_pickup_datetime") <= FIRST_BATCH_UPTO
+    tagged = fx.taxis(spark, sf_dir).withColumn("load_id", F.when(early, 1).otherwise(2))
     results = []
     for load in (1, 2):
-        au.append_loads(spark, root, tagged.where(F.col("load_id") == load), "load_id",
-                        "tpep_pickup_datetime")
+        au.append_loads(spark, root, tagged.where(F.col("load_id") == load))
         snap = au.read_as_of(spark, root, load)
         results.append(snap.agg(F.count_if(F.col("trip_distance") > 35).alias("long_trips"))
                        .select(F.lit(load).alias("after_load"), "long_trips"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from dimweave.operators import cumulative as cu
+from dimweave.operators.audit import write_keyed
 from dimweave.plans.params import LAST_PERIOD, LOOKUP_PLAYER
 from dimweave.plans.registry import query
 from dimweave.session import scratch_path
@@ -14,21 +15,25 @@ P = LAST_PERIOD
 
 PLAYERS_SQL = f"""
     WITH ps AS (SELECT * FROM fx_player_seasons WHERE season <= {P}),
-    f AS (SELECT player_name, min(season) AS first_season,
-                 arg_min(height, season) AS height, arg_min(college, season) AS college,
-                 arg_min(country, season) AS country, arg_min(draft_year, season) AS draft_year,
-                 arg_min(draft_round, season) AS draft_round, arg_min(draft_number, season) AS draft_number
-          FROM ps GROUP BY player_name),
+    f AS (SELECT player_name, min(season) AS first_season FROM ps GROUP BY player_name),
     g AS (SELECT f.*, CAST(unnest(range(first_season, {P + 1})) AS INTEGER) AS current_season FROM f),
     h AS (SELECT g.player_name, g.current_season, max(s.season) AS last_season,
+                 first(height ORDER BY s.season) FILTER (height IS NOT NULL) AS height,
+                 first(college ORDER BY s.season) FILTER (college IS NOT NULL) AS college,
+                 first(country ORDER BY s.season) FILTER (country IS NOT NULL) AS country,
+                 first(draft_year ORDER BY s.season) FILTER (draft_year IS NOT NULL) AS draft_year,
+                 first(draft_round ORDER BY s.season) FILTER (draft_round IS NOT NULL) AS draft_round,
+                 first(draft_number ORDER BY s.season) FILTER (draft_number IS NOT NULL) AS draft_number,
                  list(struct_pack(season := s.season, pts := s.pts, ast := s.ast, reb := s.reb,
                                   weight := s.weight) ORDER BY s.season) AS seasons
           FROM g JOIN ps s ON s.player_name = g.player_name AND s.season <= g.current_season
           GROUP BY g.player_name, g.current_season)
-    SELECT g.player_name, g.height, g.college, g.country, g.draft_year, g.draft_round, g.draft_number,
+    SELECT g.player_name, h.height, h.college, h.country, h.draft_year, h.draft_round, h.draft_number,
            h.seasons,
            CASE WHEN l.pts > 20 THEN 'star' WHEN l.pts > 15 THEN 'good'
                 WHEN l.pts > 10 THEN 'average' ELSE 'bad' END AS scoring_class,
+           CAST(CASE WHEN l.pts > 20 THEN 3 WHEN l.pts > 15 THEN 2 WHEN l.pts > 10 THEN 1 ELSE 0 END AS INTEGER)
+               AS scoring_class_ord,
            CAST(g.current_season - h.last_season AS INTEGER) AS years_since_last_active,
            h.last_season = g.current_season AS is_active,
            g.current_season
@@ -44,8 +49,20 @@ def players(spark, sf_dir):
     return cu.cumulative_backfill(fx.player_seasons(spark, sf_dir), P)
 
 
+KEY = ["player_name", "current_season"]
+
+
+def stored(spark, sf_dir, periods):
+    """The snapshots of some periods as a stored table: partitioned by period,
+    handed out only if its declared key holds."""
+    table = cu.cumulative_backfill(fx.player_seasons(spark, sf_dir), P, periods=periods)
+    path = write_keyed(table, scratch_path(spark, "players"), KEY, ["current_season"])
+    return spark.read.schema(table.schema).parquet(path)
+
+
 def snap(spark, sf_dir, period=P):
-    return cu.snapshot(players(spark, sf_dir), period)
+    """One snapshot, read from its partition."""
+    return cu.snapshot(stored(spark, sf_dir, [period]), period)
 
 
 @query("cumulative_backfill", PLAYERS_SQL)
@@ -55,10 +72,12 @@ def q_cumulative_backfill(spark, sf_dir):
 
 @query("cumulative_step", players_sql_at(P))
 def q_cumulative_step(spark, sf_dir):
-    seasons = fx.player_seasons(spark, sf_dir)
-    prev = cu.snapshot(cu.cumulative_backfill(seasons, P - 1), P - 1)
-    cur = seasons.where(F.col("season") == P)
-    return cu.cumulative_step(prev, cur)
+    """The load of the newest period: reads the stored previous snapshot and the
+    new rows, and adds a partition to the table."""
+    cur = fx.player_seasons(spark, sf_dir).where(F.col("season") == P)
+    new = cu.cumulative_step(snap(spark, sf_dir, P - 1), cur)
+    path = write_keyed(new, scratch_path(spark, "players-step"), KEY, ["current_season"])
+    return spark.read.schema(new.schema).parquet(path)
 
 
 @query("history_unnest", f"""
@@ -98,7 +117,9 @@ def q_limit_take(spark, sf_dir):
 @query("entity_lookup", f"""
     SELECT * FROM ({players_sql_at(P)}) WHERE player_name = '{LOOKUP_PLAYER}'""")
 def q_entity_lookup(spark, sf_dir):
-    return cu.entity_lookup(players(spark, sf_dir), P, LOOKUP_PLAYER)
+    """One entity at one period: the period prunes partitions, the key reaches
+    the Parquet scan."""
+    return cu.entity_lookup(stored(spark, sf_dir, [P - 1, P]), P, LOOKUP_PLAYER)
 
 
 @query("project_struct_expand", f"""
@@ -116,12 +137,9 @@ def q_project_struct_expand(spark, sf_dir):
 def q_filter_asof_partition(spark, sf_dir):
     """Write the table partitioned by period, read one snapshot back: the
     period filter prunes to one directory (PartitionFilters in the scan)."""
-    path = scratch_path(spark, "players")
-    players(spark, sf_dir).write.mode("overwrite").partitionBy("current_season").parquet(path)
-    t = spark.read.parquet(path)
+    t = stored(spark, sf_dir, None)
     return (t.where(F.col("current_season") == P)
-            .select("player_name", "scoring_class", "years_since_last_active", "is_active",
-                    F.col("current_season").cast("int").alias("current_season")))
+            .select("player_name", "scoring_class", "years_since_last_active", "is_active", "current_season"))
 
 
 @query("fn_case", """
@@ -157,12 +175,13 @@ def q_win_running_sum(spark, sf_dir):
 
 
 @query("union_all", f"""
-    SELECT player_name, season, pts FROM fx_player_seasons WHERE season = {P - 1}
+    SELECT player_name, season, pts FROM fx_player_seasons WHERE season <= {P - 1}
     UNION ALL
-    SELECT player_name, season, pts FROM fx_player_seasons WHERE season = {P}""")
+    SELECT player_name, season, pts FROM fx_player_seasons WHERE season > {P - 1}""")
 def q_union_all(spark, sf_dir):
+    """The loaded seasons and the newer ones, stacked with duplicates kept."""
     s = fx.player_seasons(spark, sf_dir).select("player_name", "season", "pts")
-    return s.where(F.col("season") == P - 1).unionByName(s.where(F.col("season") == P))
+    return s.where(F.col("season") <= P - 1).unionByName(s.where(F.col("season") > P - 1))
 
 
 @query("join_anti", f"""

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from dimweave.operators import changes as ch
 from dimweave.operators import metric_arrays as ma
+from dimweave.operators.audit import write_keyed
 from dimweave.plans.params import METRIC_DAY, METRIC_DAY_PREV, MONTH_START
 from dimweave.plans.registry import query
 from dimweave.session import scratch_path
 from dimweave.sources import fixtures as fx
 
+KEY = ["user_id", "month_start", "metric_name"]
+
 _BACKFILL_SQL = f"""
     WITH d AS (SELECT user_id, CAST(event_time AS DATE) AS date, COUNT(*) AS cnt
                FROM fx_events
@@ -42,9 +43,14 @@ def q_array_metric_backfill(spark, sf_dir):
 
 @query("array_metric_step", _BACKFILL_SQL)
 def q_array_metric_step(spark, sf_dir):
+    """One day's load over the stored arrays of the day before."""
     ev = fx.events(spark, sf_dir)
     yesterday = ma.array_metric_backfill(ev, MONTH_START, METRIC_DAY_PREV)
-    return ma.array_metric_step(yesterday, ma.daily_counts(ev, METRIC_DAY))
+    path = write_keyed(yesterday, scratch_path(spark, "array-metrics"), KEY, ["month_start"])
+    table = spark.read.schema(yesterday.schema).parquet(path)
+    new = ma.array_metric_step(table, ma.daily_counts(ev, METRIC_DAY), METRIC_DAY)
+    path = write_keyed(new, scratch_path(spark, "array-metrics-step"), KEY, ["month_start"])
+    return spark.read.schema(new.schema).parquet(path)
 
 
 @query("upsert_by_key", _BACKFILL_SQL)
@@ -54,11 +60,8 @@ def q_upsert_by_key(spark, sf_dir):
     ev = fx.events(spark, sf_dir)
     path = scratch_path(spark, "array-metrics")
     ma.array_metric_backfill(ev, MONTH_START, METRIC_DAY_PREV).write.partitionBy("month_start").parquet(path)
-    table = spark.read.parquet(path)
-    step = ma.array_metric_step(table, ma.daily_counts(ev, METRIC_DAY))
-    out = ch.upsert_table(spark, path, step, ["user_id", "month_start", "metric_name"], ["month_start"])
-    return out.select("user_id", F.col("month_start").cast("date").alias("month_start"), "metric_name",
-                      "metric_array")
+    step = ma.array_metric_step(spark.read.parquet(path), ma.daily_counts(ev, METRIC_DAY), METRIC_DAY)
+    return ch.upsert_table(spark, path, step, KEY, ["month_start"])
 
 
 @query("array_metric_lengths", f"""

@@ -140,20 +140,23 @@ def test_delete_where_keeps_null_predicate(spark):
     assert rows(ch.delete_where(df, F.col("p")), "id") == [(2,), (3,)]
 
 
-def test_snapshot_retention_edges(spark):
+def test_load_retention_edges(spark):
     log = spark.createDataFrame(
         [(1, dt.datetime(2020, 1, 1)), (2, dt.datetime(2020, 2, 1)), (3, dt.datetime(2020, 3, 1))],
-        "load_id int, committed_at timestamp_ntz")
-    few = au.snapshot_retention(log, dt.datetime(2030, 1, 1), keep_last=5)
+        "load_id int, committed_at timestamp")
+    few = au.load_retention(log, "2030-01-01", keep_last=5)
     assert rows(few.where("expired"), "load_id") == []
-    old = au.snapshot_retention(log, dt.datetime(2030, 1, 1), keep_last=1)
+    old = au.load_retention(log, "2030-01-01", keep_last=1)
     assert rows(old.where("expired"), "load_id") == [(1,), (2,)]
+    assert rows(au.load_retention(log, "2020-01-15", keep_last=1).where("expired"), "load_id") == [(1,)]
 
 
 def test_histogram_max_in_last_bin(spark):
     df = spark.createDataFrame([(0.0,), (5.0,), (10.0,)], "v double")
     h = cl.histogram_fixed_bins(df, "v", 10)
-    assert rows(h, "bin", "num_rows") == [(1, 1), (6, 1), (10, 1)]
+    assert rows(h, "bin", "num_rows") == [(b, int(b in (1, 6, 10))) for b in range(1, 11)]
+    same = cl.histogram_fixed_bins(df.where("v = 5"), "v", 3)
+    assert rows(same, "bin", "num_rows") == [(1, 1), (2, 0), (3, 0)]
 
 
 def test_key_violations_flags_null_and_duplicate(spark):
@@ -169,34 +172,82 @@ def test_widen_refuses_narrowing(spark):
         ch.evolve_widen(df, "x", IntegerType())
 
 
-def test_rollback_hides_later_loads(spark):
+def test_loads_are_appended_once(spark):
     from dimweave.session import scratch_path
-    root = scratch_path(spark, "rollback")
-    df = spark.createDataFrame([(1, 10, dt.datetime(2020, 1, 1)), (2, 20, dt.datetime(2020, 2, 1)),
-                                (3, 30, dt.datetime(2020, 3, 1))], "load_id int, v int, ts timestamp_ntz")
-    au.append_loads(spark, root, df, "load_id", "ts")
-    assert au.read_as_of(spark, root, 3).count() == 3
-    au.rollback_to(spark, root, 1)
-    assert sorted(r.v for r in au.read_as_of(spark, root, 3).collect()) == [10]
-    assert au.snapshot_log(spark, root).where("operation = 'rollback'").count() == 2
-
-
-def test_typed_enrich_sql_variant_equals_dataframe(spark):
-    """The SQL-text variant of the enrichment join gives the same rows as
-    the DataFrame variant (before the typed variant's defaults)."""
-    from dimweave.operators.enrich import typed_enrich
+    root = scratch_path(spark, "loads")
+    df = spark.createDataFrame([(1, 10), (2, 20), (3, 30), (3, 31)], "load_id int, v int")
+    log = au.append_loads(spark, root, df)
+    assert rows(log, "load_id", "rows_added") == [(1, 1), (2, 1), (3, 2)]
+    assert rows(au.read_as_of(spark, root, 2), "v") == [(10,), (20,)]
+    with pytest.raises(AssertionError):  # tried again
+        au.append_loads(spark, root, df.where("load_id = 3"))
+    assert au.load_log(spark, root).count() == 3 and au.read_as_of(spark, root, 9).count() == 4
+    au.append_loads(spark, root, spark.createDataFrame([(4, 40)], "load_id int, v int"))
+    assert au.read_as_of(spark, root, 9).count() == 5
+
+
+def test_failed_audit_leaves_the_published_table(spark):
+    from dimweave.operators.layout import file_listing
+    from dimweave.session import scratch_path
+    root = scratch_path(spark, "publish")
+    one, two = (spark.createDataFrame([(x,)], "v int") for x in (1, 2))
+    audit = {"no twos": lambda staged: staged.where("v = 2")}
+    assert rows(au.stage_audit_publish(spark, one, audit, root), "v") == [(1,)]
+    before = file_listing(spark, root).count()
+    with pytest.raises(AssertionError):
+        au.stage_audit_publish(spark, two, audit, root)
+    assert rows(au.published(spark, root), "v") == [(1,)]
+    assert file_listing(spark, root).count() == before  # the staged copy is gone
+    assert rows(au.stage_audit_publish(spark, two, {}, root), "v") == [(2,)]
+
+
+def test_a_broken_key_is_not_written(spark):
+    from dimweave.operators import facts as fa
+    from dimweave.plans.params import MARKERS
+    from dimweave.session import scratch_path
+    from dimweave.sources import fixtures as fx
+    sf = "/root/testdata/sf0.001"
+    fact = fa.fact_build(fx.game_details(spark, sf, comments=True), fx.games(spark, sf), MARKERS)
+    assert au.key_violations(fact, fa.FACT_KEY).count() > 0
+    with pytest.raises(AssertionError):
+        au.write_keyed(fact, scratch_path(spark, "fact"), fa.FACT_KEY)
+
+
+def test_null_attributes_and_users_fold_like_the_backfill(spark):
+    seasons = spark.createDataFrame(
+        [("a", "6-1", None, 1995, 5.0), ("a", None, "Duke", 1996, 25.0), ("a", "6-9", "Yale", 1998, 12.0), ("b", None, None, 1997, None)],
+        "player_name string, height string, college string, season int, pts double")
+    for c in ("country", "draft_year", "draft_round", "draft_number"):
+        seasons = seasons.withColumn(c, F.lit(None).cast("string"))
+    seasons = seasons.withColumn("ast", F.lit(1.0)).withColumn("reb", F.lit(1.0)).withColumn("weight", F.lit(1))
+    fold, back = cu.cumulative_fold(seasons, 1995, 1998), cu.cumulative_backfill(seasons, 1998)
+    cols = ["player_name", "current_season", "height", "college", "scoring_class", "scoring_class_ord", "is_active"]
+    got = sorted((tuple(r[c] for c in cols) for r in back.collect()), key=repr)
+    assert got == sorted((tuple(r[c] for c in cols) for r in fold.collect()), key=repr)
+    assert ("a", 1995, "6-1", None, "bad", 0, True) in got and ("a", 1998, "6-1", "Duke", "average", 1, True) in got
+    assert [g[1] for g in sorted((tuple(r[c] for c in cols) for r in cu.cumulative_backfill(seasons, 1998, periods=[1996, 1998]).collect()))] == [1996, 1998, 1998]
+    act = spark.createDataFrame([(1, D(2024, 1, 1)), (None, D(2024, 1, 1)), (None, D(2024, 1, 2))], "user_id bigint, day date")
+    a, b = dl.datelist_fold(act, "2024-01-01", "2024-01-02"), dl.datelist_backfill(act, "2024-01-02")
+    assert a.exceptAll(b).count() == 0 and rows(b, "user_id") == [("1",)]
+
+
+def test_metric_step_starts_a_new_month(spark):
+    from dimweave.operators import metric_arrays as ma
+    january = spark.createDataFrame([(1, D(2024, 1, 1), "site_hits", [1.0] * 31)],
+                                    "user_id bigint, month_start date, metric_name string, metric_array array<double>")
+    second = spark.createDataFrame([(1, D(2024, 2, 2), 4)], "user_id bigint, date date, num_site_hits bigint")
+    got = ma.array_metric_step(january, second, "2024-02-02").collect()
+    assert [(r.user_id, r.month_start, r.metric_array) for r in got] == [(1, D(2024, 2, 1), [0.0, 4.0])]
+
+
+def test_enrichment_variants_agree(spark):
+    """The SQL-text variant of the enrichment join gives the rows of the typed one."""
+    from dimweave.operators import enrich as en
     from dimweave.sources import fixtures as fx
     sf = "/root/testdata/sf0.001"
     ev, dev = fx.events(spark, sf), fx.devices(spark, sf)
-    ev.createOrReplaceTempView("te_events")
-    dev.createOrReplaceTempView("te_devices")
-    sql = spark.sql("""
-        SELECT fe.user_id, d.device_id, upper(d.browser_type) AS browser_type, d.os_type, d.device_type,
-               coalesce(fe.referrer, 'unknow') AS referrer, fe.host, fe.url, fe.event_time
-        FROM te_events fe JOIN te_devices d ON fe.device_id = d.device_id
-        WHERE fe.user_id IS NOT NULL AND fe.device_id IS NOT NULL""")
-    df = typed_enrich(ev, dev)
-    assert df.exceptAll(sql).count() == 0 and sql.exceptAll(df).count() == 0
+    sql, df = en.enrich_sql(spark, ev, dev), en.typed_enrich(ev, dev)
+    assert df.exceptAll(sql).count() == 0 and sql.exceptAll(df).count() == 0 and df.count() > 0
 
 
 def test_upsert_table_rewrites_only_touched_partitions(spark):
@@ -208,3 +259,16 @@ def test_upsert_table_rewrites_only_touched_partitions(spark):
     out = ch.upsert_table(spark, path, src, ["k", "month"], ["month"])
     got = sorted((r.k, str(r.month), r.v) for r in out.collect())
     assert got == [(1, "2024-01", 1.0), (1, "2024-02", 5.0), (2, "2024-01", 20.0), (3, "2024-01", 30.0)]
+
+
+def test_upsert_table_null_and_text_partitions(spark):
+    from dimweave.session import scratch_path
+    path, ddl = scratch_path(spark, "upsert-null"), "k int, p string, v int"
+    spark.createDataFrame([(1, None, 1), (2, None, 2), (1, "01", 3)], ddl).write.partitionBy("p").parquet(path)
+    out = ch.upsert_table(spark, path, spark.createDataFrame([(2, None, 20), (1, "01", 30)], ddl), ["k", "p"], ["p"])
+    assert sorted(map(tuple, out.select("k", "p", "v").collect()), key=repr) == [(1, "01", 30), (1, None, 1), (2, None, 20)]
+    with pytest.raises(AssertionError):  # one key twice
+        ch.upsert_table(spark, path, spark.createDataFrame([(1, "01", 1), (1, "01", 2)], ddl), ["k", "p"], ["p"])
+    with pytest.raises(ValueError):
+        ch.upsert_table(spark, path, spark.createDataFrame([(1, "01", 1)], ddl), ["k"], ["p"])
+    assert spark.read.parquet(path).count() == 3
