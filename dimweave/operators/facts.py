@@ -16,9 +16,9 @@ from dimweave.functions.picks import first_per_key
 from dimweave.functions.text import minutes_from_text, substring_flag
 
 DEDUPE_KEYS = ["game_id", "team_id", "player_id"]
-# Rows of one (game, team, player) share the game date; the rest of the order
+# A game has one date, so rows of one key need no date to be ordered; the order
 # makes the pick repeatable.
-DEDUPE_ORDER = ["game_date_est", "line_no", "part_id", "price", "ship_ts", "start_position", "pts"]
+DEDUPE_ORDER = ["line_no", "part_id", "price", "ship_ts", "start_position", "pts"]
 STATS = ["fgm", "fga", "fg3m", "fg3a", "ftm", "fta", "oreb", "dreb", "reb", "ast", "stl", "blk"]
 
 FACT_SCHEMA = (
@@ -44,8 +44,10 @@ def with_game(details: DataFrame, games: DataFrame, day=None) -> DataFrame:
 
 
 def fact_dedupe(details: DataFrame, games: DataFrame, day=None) -> DataFrame:
-    """First row per (game, team, player) after joining the game's date."""
-    return first_per_key(with_game(details, games, day), DEDUPE_KEYS, DEDUPE_ORDER)
+    """First row per (game, team, player), with the game's date.  The pick comes
+    before the join: its map-side limit then sees the raw rows, and only one
+    row of each key travels on."""
+    return with_game(first_per_key(details, DEDUPE_KEYS, DEDUPE_ORDER), games, day)
 
 
 def _flags(markers: dict[str, str]) -> list[Column]:

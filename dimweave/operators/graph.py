@@ -2,12 +2,12 @@
 properties) and edges(subject, subject_type, object, object_type, edge_type,
 properties), with properties as compact JSON text.
 
-Player-to-player edges come from a self-join of (deduplicated) participation
-rows on the game.  Its output is by definition one row per co-playing pair
-and game before grouping; the join is a sort-merge join on the game id, and
-adaptive execution splits a game whose partition is skewed (both sides of a
-self-join are split and their pieces paired), so no single task holds a hot
-game's pairs.  Each pair is emitted once (``subject > object``).
+Player-to-player edges come from pairs of (deduplicated) participation rows of
+one game.  Their number is by definition quadratic in the game's players, so a
+game with more than ``PAIR_BLOCK`` players is cut into blocks: a row goes to
+all cells (own block, later block) as the first of a pair and to all cells
+(earlier block, own block) as the second, and each pair meets in one cell.  No
+task has to make more than a cell's pairs at a time.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from dimweave.functions.picks import first_per_key
 
 JSON_OPTS = {"ignoreNullFields": "false"}
+#: Players of one game that are paired in one cell.
+PAIR_BLOCK = 200
 # Total order for picking one participation row per (player, game).
 PICK_ORDER = ["line_no", "part_id", "price", "ship_ts", "start_position", "pts"]
 
@@ -35,14 +37,17 @@ def vertices_game(games: DataFrame) -> DataFrame:
         json_props(F.col("pts_home"), F.col("pts_away"), winner.alias("winning_team")).alias("properties"))
 
 
-def vertices_player(details: DataFrame) -> DataFrame:
-    agg = details.groupBy("player_id").agg(
+def player_totals(details: DataFrame) -> DataFrame:
+    """Per player: name, rows, points and teams (as many as there are teams)."""
+    return details.groupBy("player_id").agg(
         F.max("player_name").alias("player_name"),
         F.count(F.lit(1)).alias("number_of_games"),
         F.sum("pts").alias("total_points"),
-        F.array_sort(F.collect_set("team_id")).alias("teams"),  # bounded by the number of teams
-    )
-    return agg.select(
+        F.array_sort(F.collect_set("team_id")).alias("teams"))
+
+
+def vertices_player(details: DataFrame) -> DataFrame:
+    return player_totals(details).select(
         F.col("player_id").alias("identifier"), F.lit("player").alias("type"),
         json_props(F.col("player_name"), F.col("number_of_games"), F.col("total_points"),
                    F.col("teams")).alias("properties"))
@@ -86,35 +91,54 @@ def edges_plays_in(details: DataFrame) -> DataFrame:
                    F.col("team_abbreviation")).alias("properties"))
 
 
-def player_pairs(details: DataFrame) -> DataFrame:
-    """Per game, each unordered pair of distinct players once, with the edge
-    type (same team or not) and both players' points."""
-    cols = ["game_id", "player_id", "player_name", "team_abbreviation", "pts"]
-    p = participations(details, cols).select(*cols)
-    f1 = p.alias("f1")
-    f2 = p.alias("f2")
-    j = f1.join(f2, (F.col("f1.game_id") == F.col("f2.game_id"))
-                & (F.col("f1.player_name") != F.col("f2.player_name"))
-                & (F.col("f1.player_id") > F.col("f2.player_id")))
-    return j.select(
-        F.col("f1.game_id").alias("game_id"),
-        F.col("f1.player_id").alias("subject_player_id"),
-        F.col("f2.player_id").alias("object_player_id"),
-        F.when(F.col("f1.team_abbreviation") == F.col("f2.team_abbreviation"), "shares_team")
-        .otherwise("plays_against").alias("edge_type"),
-        F.col("f1.player_name").alias("subject_player_name"),
-        F.col("f2.player_name").alias("object_player_name"),
-        F.col("f1.pts").alias("subject_pts"), F.col("f2.pts").alias("object_pts"))
+def paired_rows(details: DataFrame) -> DataFrame:
+    """Per game, each unordered pair of distinct players once: game_id and the
+    two participation rows as structs, ``subject`` the one with the larger id."""
+    cols = ["player_id", "player_name", "team_abbreviation", "pts"]
+    p = participations(details, ["game_id", *cols]).select("game_id", F.struct(*cols).alias("row"))
+    sizes = p.groupBy("game_id").agg(F.ceil(F.count(F.lit(1)) / PAIR_BLOCK).alias("blocks"))
+    own = p.join(sizes, "game_id").withColumn("own", F.pmod(F.xxhash64("row.player_id"), F.col("blocks")))
+    first = own.select("game_id", F.col("own").alias("i"), F.explode(F.sequence("own", F.col("blocks") - 1)).alias("j"),
+                       F.col("row").alias("one"))
+    second = own.select("game_id", F.explode(F.sequence(F.lit(0).cast("bigint"), "own")).alias("i"), F.col("own").alias("j"),
+                        F.col("row").alias("two"))
+    # A fixed number of tasks: the cells' rows are few, their pairs are not.
+    tasks = int(details.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cell = ["game_id", "i", "j"]
+    j = first.repartition(tasks, *cell).join(second.repartition(tasks, *cell), cell)
+    j = j.where((F.col("one.player_name") != F.col("two.player_name"))
+                & ((F.col("i") != F.col("j")) | (F.col("one.player_id") > F.col("two.player_id"))))
+    larger = F.col("one.player_id") > F.col("two.player_id")
+    return j.select("game_id", F.when(larger, F.col("one")).otherwise(F.col("two")).alias("subject"),
+                    F.when(larger, F.col("two")).otherwise(F.col("one")).alias("object"))
+
+
+def pair_type() -> Column:
+    return (F.when(F.col("subject.team_abbreviation") == F.col("object.team_abbreviation"), "shares_team")
+            .otherwise("plays_against"))
 
 
-def edges_player_pairs(details: DataFrame) -> DataFrame:
-    agg = player_pairs(details).groupBy("subject_player_id", "object_player_id", "edge_type").agg(
-        F.max("subject_player_name").alias("subject_player_name"),
-        F.max("object_player_name").alias("object_player_name"),
+def player_pairs(details: DataFrame) -> DataFrame:
+    """Per game, each pair of players once, with the edge type (same team or
+    not) and both players' points."""
+    return paired_rows(details).select(
+        "game_id",
+        F.col("subject.player_id").alias("subject_player_id"), F.col("object.player_id").alias("object_player_id"),
+        pair_type().alias("edge_type"),
+        F.col("subject.player_name").alias("subject_player_name"), F.col("object.player_name").alias("object_player_name"),
+        F.col("subject.pts").alias("subject_pts"), F.col("object.pts").alias("object_pts"))
+
+
+def pair_totals(details: DataFrame) -> DataFrame:
+    """Per pair and edge type: games and points, as typed columns."""
+    return player_pairs(details).groupBy("subject_player_id", "object_player_id", "edge_type").agg(
         F.count(F.lit(1)).alias("num_games"),
         F.sum("subject_pts").alias("subject_points"),
         F.sum("object_pts").alias("object_points"))
-    return agg.select(
+
+
+def edges_player_pairs(details: DataFrame) -> DataFrame:
+    return pair_totals(details).select(
         F.col("subject_player_id").alias("subject_identifier"), F.lit("player").alias("subject_type"),
         F.col("object_player_id").alias("object_identifier"), F.lit("player").alias("object_type"),
         "edge_type",
@@ -136,21 +160,19 @@ def graph_max_points(v: DataFrame, e: DataFrame) -> DataFrame:
             .agg(F.max(F.get_json_object("edge_properties", "$.pts").cast("int")).alias("max_pts")))
 
 
-def graph_pair_averages(v: DataFrame, e: DataFrame) -> DataFrame:
-    """Per pair edge: both players' points (as JSON text, like the reference)
-    and points per game.  Sort by ``CAST(num_games AS INT)`` when ordering:
-    the text column sorts '9' before '10'."""
-    j = graph_join_view(v, e.where(F.col("object_type") == "player"))
-    ep = F.col("edge_properties")
-    sp = F.get_json_object(ep, "$.subject_points")
-    op = F.get_json_object(ep, "$.object_points")
-    ng = F.get_json_object(ep, "$.num_games")
+def graph_pair_averages(players: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Per pair edge: both players' points (as text, like the reference) and
+    points per game, from ``player_totals`` and ``pair_totals``: columns stay
+    typed until this projection.  Sort by ``CAST(num_games AS INT)`` when
+    ordering: the text column sorts '9' before '10'."""
+    j = pairs.join(players.select(F.col("player_id").alias("subject_player_id"), "player_name"), "subject_player_id")
+    games = F.col("num_games").cast("double")
     return j.select(
-        F.get_json_object("vertex_properties", "$.player_name").alias("player_1"),
-        sp.alias("player1_pts"),
-        F.col("object_identifier").alias("player_2"),
-        op.alias("player2_pts"),
-        ng.alias("num_games"),
-        (sp.cast("double") / ng.cast("double")).alias("player1_games_avg"),
-        (op.cast("double") / ng.cast("double")).alias("player2_games_avg"),
+        F.col("player_name").alias("player_1"),
+        F.col("subject_points").cast("string").alias("player1_pts"),
+        F.col("object_player_id").alias("player_2"),
+        F.col("object_points").cast("string").alias("player2_pts"),
+        F.col("num_games").cast("string").alias("num_games"),
+        (F.col("subject_points").cast("double") / games).alias("player1_games_avg"),
+        (F.col("object_points").cast("double") / games).alias("player2_games_avg"),
     ).distinct()

@@ -1,33 +1,50 @@
 """Table layout: declared tables, partitioned / bucketed / sorted writes,
-compaction, and file-level reports read from Parquet's ``_metadata``.
+compaction, and file-level reports.
 
-File reports group by the hidden ``_metadata`` columns, so they are plain
-distributed aggregations; nothing is listed or opened on the driver.
+File reports read the file listing (the ``binaryFile`` source without its
+content) and group by the hidden ``_metadata`` columns, so they are plain
+distributed jobs.  Writes below a partition column are rebalanced first: one
+task for each value, more where a value has many rows.
 """
 
 from __future__ import annotations
 
-import math
+import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+def rebalanced(df: DataFrame, *cols: str) -> DataFrame:
+    return df.hint("rebalance", *map(F.col, cols))
+
+
 def declare_table(spark: SparkSession, path: str, schema: StructType,
                   partition_by: list[str] | None = None) -> None:
-    """Create an empty table with a declared schema at ``path``."""
-    w = spark.createDataFrame([], schema).write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    """Create an empty table with a declared schema and partitioning at ``path``;
+    the declaration is kept beside the data."""
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+    declared = json.dumps({"schema": json.loads(schema.json()), "partition_by": partition_by or []})
+    spark.createDataFrame([(declared,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/_declared")
+
+
+def declaration(spark: SparkSession, path: str) -> tuple[StructType, list[str]]:
+    found = json.loads(spark.read.text(f"{path}/_declared").first()[0])
+    return StructType.fromJson(found["schema"]), found["partition_by"]
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A declared table with its declared types and order, empty or not."""
+    schema, _ = declaration(spark, path)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def truncate_table(spark: SparkSession, path: str) -> None:
-    """Remove every row of the table at ``path`` but keep its schema (the
-    path-table form of TRUNCATE TABLE, which Spark refuses on external tables)."""
-    schema = spark.read.parquet(path).schema
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+    """Remove every row of the declared table at ``path`` but keep its schema and
+    partitioning (the path-table form of TRUNCATE TABLE, which Spark refuses on
+    external tables)."""
+    declare_table(spark, path, *declaration(spark, path))
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
@@ -39,12 +56,14 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def load_into(path: str, df: DataFrame, schema: StructType,
-              partition_by: list[str] | None = None) -> None:
-    w = conform(df, schema).write.mode("append")
+def load_into(path: str, df: DataFrame) -> None:
+    """Append a load to the declared table at ``path``."""
+    schema, partition_by = declaration(df.sparkSession, path)
+    load = conform(df, schema)
     if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+        rebalanced(load, *partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
+    else:
+        load.write.mode("append").parquet(path)
 
 
 TIME_UNITS = {
@@ -55,53 +74,66 @@ TIME_UNITS = {
 }
 
 
+def partition_by(df: DataFrame, path: str, fields: dict[str, Column]) -> None:
+    """Write with one or more partition fields (name -> value)."""
+    tagged = df.withColumns(fields)
+    rebalanced(tagged, *fields).write.mode("overwrite").partitionBy(*fields).parquet(path)
+
+
 def partition_by_time(df: DataFrame, path: str, ts_col: str, unit: str,
-                      name: str | None = None) -> str:
-    """Write with a derived partition column (year / month / day / hour)."""
+                      name: str | None = None, also: list[str] | None = None) -> str:
+    """Write with a derived partition column (year / month / day / hour), and
+    below it by the columns ``also`` (a compound partitioning)."""
     name = name or f"{ts_col}_{unit}"
-    df.withColumn(name, TIME_UNITS[unit](F.col(ts_col))).write.mode("overwrite") \
-        .partitionBy(name).parquet(path)
+    partition_by(df, path, {name: TIME_UNITS[unit](F.col(ts_col)), **{c: F.col(c) for c in also or []}})
     return name
 
 
 def partition_by_value(df: DataFrame, path: str, col: str) -> None:
-    df.write.mode("overwrite").partitionBy(col).parquet(path)
+    partition_by(df, path, {col: F.col(col)})
+
 
+def sorted_write(df: DataFrame, path: str, part_col: str, sort_cols: list[str]) -> None:
+    """Bring similar values together and sort inside each task (no global range
+    sort), which helps the Parquet encodings and min/max pruning."""
+    sort_within(df, part_col, sort_cols).write.mode("overwrite").parquet(path)
 
-def sorted_write(df: DataFrame, path: str, n: int, part_col: str, sort_cols: list[str]) -> None:
-    """Hash-partition by ``part_col`` into ``n`` tasks and sort inside each
-    (no global range sort): similar values land together, which helps the
-    Parquet encodings and min/max pruning."""
-    sort_within(df, n, part_col, sort_cols).write.mode("overwrite").parquet(path)
 
+def sort_within(df: DataFrame, part_col: str, sort_cols: list[str]) -> DataFrame:
+    return rebalanced(df, part_col).sortWithinPartitions(*sort_cols)
 
-def sort_within(df: DataFrame, n: int, part_col: str, sort_cols: list[str]) -> DataFrame:
-    return df.repartition(n, F.col(part_col)).sortWithinPartitions(*sort_cols)
 
+def _plain(path: Column) -> Column:
+    """file:///x and file:/x are one file."""
+    return F.regexp_replace(path, "^([A-Za-z0-9]+):/+", "$1:/")
 
-def file_listing(df: DataFrame) -> DataFrame:
-    """(file_path, file_size) of the files behind a Parquet scan."""
-    return df.select(F.col("_metadata.file_path").alias("file_path"),
-                     F.col("_metadata.file_size").alias("file_size")).distinct()
 
+def file_listing(spark: SparkSession, path: str) -> DataFrame:
+    """(file_path, file_size) of the Parquet files below ``path``, those without
+    rows included; no content is read."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+             .option("pathGlobFilter", "*.parquet").load(path))
+    return files.select(_plain(F.col("path")).alias("file_path"), F.col("length").alias("file_size"))
 
-def file_stats(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+
+def file_stats(spark: SparkSession, path: str, cols: list[str] | None = None) -> DataFrame:
     """Per data file: size, rows, and per column null count, min and max."""
-    cols = cols or [c for c in df.columns]
+    df = spark.read.parquet(path)
     aggs = [F.count(F.lit(1)).alias("record_count")]
-    for c in cols:
+    for c in cols or df.columns:
         aggs += [F.count_if(F.col(c).isNull()).alias(f"{c}_nulls"),
                  F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max")]
-    return df.groupBy(F.col("_metadata.file_path").alias("file_path"),
-                      F.col("_metadata.file_size").alias("file_size")).agg(*aggs)
+    stats = df.groupBy(_plain(F.col("_metadata.file_path")).alias("file_path")).agg(*aggs)
+    return file_listing(spark, path).join(stats, "file_path", "left").withColumn(
+        "record_count", F.coalesce("record_count", F.lit(0)))
 
 
-def layout_report(tables: dict[str, DataFrame]) -> DataFrame:
-    """Total size and file count of several tables side by side."""
+def layout_report(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
+    """Total size and file count of several tables (name -> path) side by side."""
     out = None
-    for name, df in tables.items():
-        r = file_listing(df).agg(F.sum("file_size").alias("total_bytes"),
-                                 F.count(F.lit(1)).alias("num_files")) \
+    for name, path in tables.items():
+        r = file_listing(spark, path).agg(F.sum("file_size").alias("total_bytes"),
+                                          F.count(F.lit(1)).alias("num_files")) \
             .select(F.lit(name).alias("table_name"), "total_bytes", "num_files")
         out = r if out is None else out.unionByName(r)
     return out
@@ -114,29 +146,48 @@ def row_fingerprint(df: DataFrame) -> DataFrame:
                                         F.sum(F.col("_h").cast("decimal(38,0)")).alias("hash_sum"))
 
 
-def compact_files(spark: SparkSession, src: str, dst: str, target_bytes: int) -> DataFrame:
-    """Rewrite the table at ``src`` into about ``total / target`` files at
-    ``dst`` (coalesce: narrow, no shuffle), then compare row count and content
+def compact_files(spark: SparkSession, src: str, dst: str, target_bytes: int,
+                  partition_cols: list[str] | None = None) -> DataFrame:
+    """Rewrite the table at ``src`` to ``dst`` with its partition columns, each
+    partition in about size / target files, then compare row count and content
     hash before and after.  Returns one report row."""
-    before = spark.read.parquet(src)
-    sizes = file_listing(before).agg(F.sum("file_size").alias("b"), F.count(F.lit(1)).alias("n")).first()
-    n_out = max(1, math.ceil((sizes["b"] or 0) / target_bytes))
-    before.coalesce(n_out).write.mode("overwrite").parquet(dst)
+    cols = list(partition_cols or [])
+    before, files = spark.read.parquet(src), file_listing(spark, src)
+    n_before = files.select(F.count(F.lit(1))).scalar()
+    for c in cols:
+        files = files.withColumn(c, F.regexp_extract("file_path", f"/{c}=([^/]*)/", 1))
+    # How many files each partition needs: as many rows as there are partitions.
+    need = files.groupBy(*cols).agg(F.ceil(F.sum("file_size") / target_bytes).alias("slots"))
+    total = max(1, need.agg(F.sum("slots")).first()[0] or 1)
+    if cols:
+        texts = need.toDF(*[f"{c}__text" for c in cols], "slots")
+        same = F.lit(True)
+        for c in cols:
+            same = same & (F.col(c).cast("string") == F.col(f"{c}__text"))
+        sized = before.join(texts, same, "left").drop(*[f"{c}__text" for c in cols])
+    else:
+        sized = before.withColumn("slots", F.lit(total))
+    slot = F.pmod(F.xxhash64(*before.columns), F.greatest(F.coalesce("slots", F.lit(1)), F.lit(1)))
+    out = sized.withColumn("slot__", slot).drop("slots").repartition(int(total), *cols, "slot__").drop("slot__")
+    (out.write.mode("overwrite").partitionBy(*cols) if cols else out.write.mode("overwrite")).parquet(dst)
     after = spark.read.parquet(dst)
-    fp_after = row_fingerprint(after).select(F.struct("rows", "hash_sum")).scalar()
-    files_after = file_listing(after).select(F.count(F.lit(1))).scalar()
+    fp_after = row_fingerprint(after.select(*before.columns)).select(F.struct("rows", "hash_sum")).scalar()
+    files_after = file_listing(spark, dst).select(F.count(F.lit(1))).scalar()
     return row_fingerprint(before).select(
-        F.lit(int(sizes["n"])).alias("files_before"), files_after.alias("files_after"),
+        n_before.alias("files_before"), files_after.alias("files_after"),
         F.col("rows").alias("rows_before"), fp_after["rows"].alias("rows_after"),
         (F.col("hash_sum") == fp_after["hash_sum"]).alias("content_equal"))
 
 
-def partition_report(df: DataFrame, ts_col: str, units=("year", "month")) -> DataFrame:
-    """Rows per partition value under different partition units."""
-    out = None
-    for u in units:
-        r = (df.groupBy(TIME_UNITS[u](F.col(ts_col)).cast("string").alias("partition_value"))
-             .agg(F.count(F.lit(1)).alias("num_rows"))
-             .select(F.lit(u).alias("partition_unit"), "partition_value", "num_rows"))
-        out = r if out is None else out.unionByName(r)
-    return out
+def partition_report(spark: SparkSession, path: str, month_col: str) -> DataFrame:
+    """Rows and files for each value of a month partition of the stored table at
+    ``path``, and rolled up to years.  Rows are counted once, by month."""
+    rows = spark.read.parquet(path).groupBy(F.col(month_col).cast("string").alias("month")).agg(F.count(F.lit(1)).alias("num_rows"))
+    files = file_listing(spark, path).groupBy(F.regexp_extract("file_path", f"/{month_col}=([^/]*)/", 1).alias("month")).agg(
+        F.count(F.lit(1)).alias("num_files"))
+    both = rows.join(files, "month", "left")
+    each = F.explode(F.array(
+        F.struct(F.lit("month").alias("partition_unit"), F.col("month").alias("partition_value")),
+        F.struct(F.lit("year").alias("partition_unit"), F.substring("month", 1, 4).alias("partition_value"))))
+    return (both.select(each.alias("unit"), "num_rows", "num_files").select("unit.*", "num_rows", "num_files")
+            .groupBy("partition_unit", "partition_value").agg(F.sum("num_rows").alias("num_rows"), F.sum("num_files").alias("num_files")))

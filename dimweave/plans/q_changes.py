@@ -1,0 +1 @@
+"""placeholder"""

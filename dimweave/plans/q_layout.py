@@ -1,7 +1,7 @@
 """Registered queries: writes, table layout and file reports.
 
-Layout operators (file counts, sizes, plan shape) are rows-only checks;
-writes whose content is SQL-expressible are compared after reading back.
+Reports of file sizes and counts are rows-only checks; writes are compared
+after reading back.
 """
 
 from __future__ import annotations
@@ -14,8 +14,8 @@ from dimweave.operators import cumulative as cu
 from dimweave.operators import layout as la
 from dimweave.operators.enrich import enrich_events_devices
 from dimweave.operators.joins import write_bucketed
-from dimweave.plans.q_cleaning import _T
-from dimweave.plans.q_cumulative import players
+from dimweave.plans.q_cleaning import _T, TAXI_COLS
+from dimweave.plans.q_cumulative import PLAYERS_SQL, players
 from dimweave.plans.registry import query
 from dimweave.session import scratch_path
 from dimweave.sources import fixtures as fx
@@ -23,104 +23,135 @@ from dimweave.sources import fixtures as fx
 PLAYERS_SCHEMA = (
     "player_name string, height string, college string, country string, draft_year string, "
     f"draft_round string, draft_number string, seasons array<{cu.SEASON_TYPE}>, "
-    "scoring_class string, years_since_last_active int, is_active boolean, current_season int")
+    "scoring_class string, years_since_last_active int, is_active boolean, scoring_class_ord int, "
+    "current_season int")
 
 
 def _name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:10]}"
 
 
-@query("table_declare")
+_EVENTS_SQL = """
+    SELECT e.event_id, e.user_id, e.device_id, e.referrer, e.host, e.url, e.event_time,
+           date_trunc('day', e.event_time) AS event_date,
+           d.browser_type AS browser_family, d.os_type AS os_family, d.device_type
+    FROM fx_events e LEFT JOIN fx_devices d ON e.device_id = d.device_id"""
+
+
+def _events(spark, sf_dir):
+    return enrich_events_devices(fx.events(spark, sf_dir), fx.devices(spark, sf_dir))
+
+
+@query("table_declare", PLAYERS_SQL)
 def q_table_declare(spark, sf_dir):
     """Declare the cumulative table (schema + partitioning), then load it."""
-    from pyspark.sql.types import _parse_datatype_string
-    schema = _parse_datatype_string(PLAYERS_SCHEMA)
     path = scratch_path(spark, "players-declared")
-    la.declare_table(spark, path, schema, ["current_season"])
-    la.load_into(path, players(spark, sf_dir), schema, ["current_season"])
-    return spark.read.parquet(path)
+    la.declare_table(spark, path, spark.createDataFrame([], PLAYERS_SCHEMA).schema, ["current_season"])
+    la.load_into(path, players(spark, sf_dir))
+    return la.read_table(spark, path)
 
 
-@query("partition_by_time")
+@query("partition_by_time", """
+    SELECT CAST(date_trunc('hour', event_time) AS TIMESTAMP) AS event_time_hour, host, COUNT(*) AS num_rows
+    FROM fx_events WHERE event_time < TIMESTAMP '2024-01-03' GROUP BY ALL
+    UNION ALL
+    SELECT NULL, NULL, COUNT(*) FROM fx_taxis GROUP BY year(tpep_pickup_datetime)
+    UNION ALL
+    SELECT NULL, 'day', COUNT(*) FROM fx_events GROUP BY CAST(event_time AS DATE)""")
 def q_partition_by_time(spark, sf_dir):
-    path = scratch_path(spark, "taxis-by-year")
-    col = la.partition_by_time(fx.taxis(spark, sf_dir), path, "tpep_pickup_datetime", "year")
-    return spark.read.parquet(path).groupBy(col).agg(F.count(F.lit(1)).alias("num_rows"))
-
-
-@query("partition_by_value")
+    """Rows of each partition: of trips by year, of events by day, and of two
+    days' events by hour and, below it, host (a compound partitioning)."""
+    year, day, hour = (scratch_path(spark, f"by-{u}") for u in ("year", "day", "hour"))
+    events = fx.events(spark, sf_dir)
+    y = la.partition_by_time(fx.taxis(spark, sf_dir), year, "tpep_pickup_datetime", "year")
+    d = la.partition_by_time(events, day, "event_time", "day")
+    h = la.partition_by_time(events.where("event_time < timestamp_ntz'2024-01-03'"), hour, "event_time", "hour", also=["host"])
+    n = F.count(F.lit(1)).alias("num_rows")
+    none = F.lit(None).cast("timestamp_ntz").alias(h)
+    by_hour = spark.read.parquet(hour).groupBy(F.col(h).cast("timestamp_ntz").alias(h), "host").agg(n)
+    by_year = spark.read.parquet(year).groupBy(y).agg(n).select(none, F.lit(None).cast("string").alias("host"), "num_rows")
+    by_day = spark.read.parquet(day).groupBy(d).agg(n).select(none, F.lit("day").alias("host"), "num_rows")
+    return by_hour.unionByName(by_year).unionByName(by_day)
+
+
+@query("partition_by_value", """SELECT "VendorID", COUNT(*) AS num_rows FROM fx_taxis GROUP BY ALL""")
 def q_partition_by_value(spark, sf_dir):
     path = scratch_path(spark, "taxis-by-vendor")
     la.partition_by_value(fx.taxis(spark, sf_dir), path, "VendorID")
-    return la.file_listing(spark.read.parquet(path))
+    return spark.read.parquet(path).groupBy("VendorID").agg(F.count(F.lit(1)).alias("num_rows"))
 
 
 @query("bucketed_write")
 def q_bucketed_write(spark, sf_dir):
-    """16 hash buckets on match_id below a year partition; one file per
-    (partition, bucket, writing task)."""
-    name = _name("matches_bucketed")
-    m = fx.matches(spark, sf_dir).withColumn("completion_year", F.year("completion_date"))
-    write_bucketed(m, name, scratch_path(spark, name), "match_id", 16, partition_by=["completion_year"])
-    return la.file_listing(spark.table(name))
+    """16 hash buckets on match_id below the completion month; at most one file
+    for each (month, bucket)."""
+    name, path = _name("matches_bucketed"), scratch_path(spark, "matches-bucketed")
+    m = fx.matches(spark, sf_dir).withColumn("completion_month", F.date_format("completion_date", "yyyy-MM"))
+    write_bucketed(m, name, path, "match_id", 16, partition_by=["completion_month"])
+    spark.sql(f"DROP TABLE {name}")  # external: the files stay
+    return la.file_listing(spark, path)
 
 
-@query("sorted_write")
+@query("sorted_write", _EVENTS_SQL)
 def q_sorted_write(spark, sf_dir):
     path = scratch_path(spark, "events-sorted")
-    ev = enrich_events_devices(fx.events(spark, sf_dir), fx.devices(spark, sf_dir))
-    la.sorted_write(ev, path, 4, "event_date", ["event_date", "host"])
+    la.sorted_write(_events(spark, sf_dir), path, "event_date", ["event_date", "host"])
     return spark.read.parquet(path)
 
 
-@query("sort_within_partitions")
+@query("sort_within_partitions", _EVENTS_SQL)
 def q_sort_within_partitions(spark, sf_dir):
-    """Hash repartition + local sort: one exchange, no range partitioning."""
-    ev = enrich_events_devices(fx.events(spark, sf_dir), fx.devices(spark, sf_dir))
-    return la.sort_within(ev, 10, "event_date", ["event_date", "host"])
+    """Rebalance + local sort: one exchange, no range partitioning."""
+    return la.sort_within(_events(spark, sf_dir), "event_date", ["event_date", "host"])
 
 
 @query("layout_report")
 def q_layout_report(spark, sf_dir):
-    ev = enrich_events_devices(fx.events(spark, sf_dir), fx.devices(spark, sf_dir))
+    """The same tasks' rows written sorted and as they come."""
+    ev = la.rebalanced(_events(spark, sf_dir), "event_date")
     p1, p2 = scratch_path(spark, "events-sorted"), scratch_path(spark, "events-unsorted")
-    la.sorted_write(ev, p1, 4, "event_date", ["event_date", "host"])
-    ev.repartition(4).write.mode("overwrite").parquet(p2)
-    return la.layout_report({"sorted": spark.read.parquet(p1), "unsorted": spark.read.parquet(p2)})
+    ev.sortWithinPartitions("event_date", "host").write.parquet(p1)
+    ev.write.parquet(p2)
+    return la.layout_report(spark, {"sorted": p1, "unsorted": p2})
 
 
 @query("file_stats")
 def q_file_stats(spark, sf_dir):
+    """All columns' statistics for each file of a table that is partitioned by year."""
     path = scratch_path(spark, "taxis")
-    fx.taxis(spark, sf_dir).repartition(8).write.parquet(path)
-    return la.file_stats(spark.read.parquet(path), ["trip_distance", "fare_amount", "total_amount"])
+    la.partition_by_time(fx.taxis(spark, sf_dir), path, "tpep_pickup_datetime", "year")
+    return la.file_stats(spark, path, [c.strip('"') for c in TAXI_COLS])
 
 
 @query("compact_files")
 def q_compact_files(spark, sf_dir):
-    """Many small files rewritten to fewer files of a target size, rows unchanged."""
+    """Many small files below a year partition rewritten to files of a target
+    size, rows and partitions unchanged."""
     src, dst = scratch_path(spark, "taxis-small"), scratch_path(spark, "taxis-compact")
-    fx.taxis(spark, sf_dir).repartition(32).write.parquet(src)
-    return la.compact_files(spark, src, dst, target_bytes=512 * 1024)
+    t = fx.taxis(spark, sf_dir).withColumn("pickup_year", F.year("tpep_pickup_datetime"))
+    t.repartition(16).write.partitionBy("pickup_year").parquet(src)
+    return la.compact_files(spark, src, dst, target_bytes=512 * 1024, partition_cols=["pickup_year"])
 
 
 @query("partition_report", """
-    SELECT 'year' AS partition_unit, CAST(year(tpep_pickup_datetime) AS VARCHAR) AS partition_value,
-           COUNT(*) AS num_rows FROM fx_taxis GROUP BY 2
+    WITH m AS (SELECT strftime(tpep_pickup_datetime, '%Y-%m') AS month, COUNT(*) AS n FROM fx_taxis GROUP BY 1)
+    SELECT 'month' AS partition_unit, month AS partition_value, n AS num_rows, 1 AS num_files FROM m
     UNION ALL
-    SELECT 'month' AS partition_unit, strftime(tpep_pickup_datetime, '%Y-%m') AS partition_value,
-           COUNT(*) AS num_rows FROM fx_taxis GROUP BY 2""")
+    SELECT 'year', month[1:4], CAST(sum(n) AS BIGINT), COUNT(*) FROM m GROUP BY month[1:4]""")
 def q_partition_report(spark, sf_dir):
-    return la.partition_report(fx.taxis(spark, sf_dir), "tpep_pickup_datetime")
+    """Rows and files for each partition value (here every month is one file)."""
+    path = scratch_path(spark, "taxis-by-month")
+    month = la.partition_by_time(fx.taxis(spark, sf_dir), path, "tpep_pickup_datetime", "month")
+    return la.partition_report(spark, path, month)
 
 
-@query("write_ctas", f"SELECT {_T} FROM fx_taxis WHERE trip_distance > 35")
+@query("write_ctas", f"SELECT {_T} FROM fx_taxis")
 def q_write_ctas(spark, sf_dir):
-    """Create a table from a query result, then read the table."""
-    name = _name("long_trips")
-    t = fx.taxis(spark, sf_dir).where(F.col("trip_distance") > 35)
-    t.write.option("path", scratch_path(spark, name)).saveAsTable(name)
-    return spark.table(name)
+    """Create a table from a query result; the rows are read from its files."""
+    name, path = _name("trips"), scratch_path(spark, "trips")
+    fx.taxis(spark, sf_dir).write.option("path", path).saveAsTable(name)
+    spark.sql(f"DROP TABLE {name}")  # external: the files stay
+    return spark.read.parquet(path)
 
 
 @query("write_append", f"SELECT {_T} FROM fx_taxis")
@@ -133,21 +164,23 @@ def q_write_append(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-@query("write_overwrite", f"SELECT {_T} FROM fx_taxis WHERE trip_distance > 35")
+@query("write_overwrite", f"SELECT {_T} FROM fx_taxis")
 def q_write_overwrite(spark, sf_dir):
+    """A first version (the long trips), overwritten by the whole table."""
     path = scratch_path(spark, "taxis-overwrite")
     t = fx.taxis(spark, sf_dir)
-    t.write.mode("overwrite").parquet(path)
     t.where(F.col("trip_distance") > 35).write.mode("overwrite").parquet(path)
+    t.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
-@query("truncate_reload", f"SELECT {_T} FROM fx_taxis WHERE year(tpep_pickup_datetime) >= 1998")
+@query("truncate_reload", f"SELECT {_T} FROM fx_taxis")
 def q_truncate_reload(spark, sf_dir):
-    """Empty a table (keeping its schema), then reload it."""
+    """Empty a declared table (keeping schema and partitioning), then reload it."""
     path = scratch_path(spark, "taxis-truncate")
     t = fx.taxis(spark, sf_dir)
-    t.write.mode("overwrite").parquet(path)
+    la.declare_table(spark, path, t.schema, ["VendorID"])
+    la.load_into(path, t)
     la.truncate_table(spark, path)
-    t.where(F.year("tpep_pickup_datetime") >= 1998).write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+    la.load_into(path, t)
+    return la.read_table(spark, path)

@@ -39,5 +39,5 @@ def load_all() -> None:
     """Import every module that registers queries."""
     from dimweave.plans import (  # noqa: F401
         q_datelist, q_metric_arrays, q_cumulative, q_scd, q_graph, q_facts,
-        q_enrich, q_cleaning, q_changes, q_audit, q_layout, q_sources, q_primitives,
+        q_enrich, q_cleaning, q_audit, q_layout, q_sources, q_primitives,
     )

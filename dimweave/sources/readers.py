@@ -3,54 +3,36 @@ monthly Parquet, pushed-down Parquet scans, and declared literal rows."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
-    """Header row, types inferred (inference is an extra pass over the data;
-    pass a schema in production)."""
-    return spark.read.option("header", True).option("inferSchema", True).csv(path)
-
-
 def read_csv_strings(spark: SparkSession, path: str) -> DataFrame:
     """Header row, every column text, to be cast by hand."""
     return spark.read.option("header", True).csv(path)
 
 
-def _json_array_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per partition: wrap the JSON records into one array document,
-    one record per line ('[' first, ',' between records, ']' last)."""
-    prev = None
-    opened = False
-    for b in batches:
-        out = []
-        for rec in b["j"]:
-            if prev is not None:
-                out.append(("[" if not opened else "") + prev + ",")
-                opened = True
-            prev = rec
-        if out:
-            yield pd.DataFrame({"value": out})
-    if prev is not None:
-        yield pd.DataFrame({"value": [("[" if not opened else "") + prev + "]"]})
+#: Records in one multi-line document.
+DOCUMENT_ROWS = 1000
 
 
 def write_json_documents(df: DataFrame, path: str) -> None:
-    """Write each partition as one multi-line JSON document (an array of
-    records).  The records are serialised on the JVM; the per-partition
-    framing is a streaming Arrow batch pass."""
-    recs = df.select(F.to_json(F.struct(*df.columns)).alias("j"))
-    recs.mapInPandas(_json_array_lines, "value string").write.mode("overwrite").text(path)
+    """Write the rows as multi-line JSON documents (arrays of records, one record
+    on some lines each), about DOCUMENT_ROWS records to a file.  A document
+    cannot be split by its reader, so its size is bounded, not the table's."""
+    columns = df.columns
+    number = F.monotonically_increasing_id()  # only deals rows out, any numbers do
+    docs = df.select(F.to_json(F.struct(*columns), {"pretty": "true"}).alias("record"),
+                     F.floor(number / DOCUMENT_ROWS).alias("document"))
+    text = docs.groupBy("document").agg(F.collect_list("record").alias("records")).select(
+        "document", F.concat(F.lit("[\n"), F.array_join("records", ",\n"), F.lit("\n]")).alias("value"))
+    text.write.mode("overwrite").partitionBy("document").text(path)
 
 
 def read_json_multiline(spark: SparkSession, path: str) -> DataFrame:
     """One JSON document per file, spanning lines, types inferred."""
-    return spark.read.option("multiLine", True).json(path)
+    return spark.read.option("multiLine", True).option("recursiveFileLookup", True).json(path)
 
 
 def read_parquet_months(spark: SparkSession, root: str, pattern: str = "*",

@@ -10,6 +10,8 @@ from conftest import SF_SMALL
 
 load_all()
 NAMES = sorted(QUERIES)
+#: Reports of file sizes; their content is checked in test_layout.py.
+ROWS_ONLY = {"bucketed_write", "compact_files", "file_stats", "layout_report"}
 
 
 @pytest.fixture(scope="module")
@@ -20,8 +22,9 @@ def con():
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
     if name not in ORACLE:
+        assert name in ROWS_ONLY
         df = QUERIES[name](spark, SF_SMALL)
-        assert df.count() >= 0
+        assert df.count() > 0
         assert df.schema == QUERIES[name](spark, SF_SMALL).schema
         return
     res = compare(spark, con, name, QUERIES[name], ORACLE[name], SF_SMALL)

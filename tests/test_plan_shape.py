@@ -51,16 +51,17 @@ def test_sort_merge_and_broadcast_choices(spark):
     assert "SortMergeJoin" in plan(jn.join_sort_merge(d, m, "match_id"))
     day = m.where(F.to_date("completion_date") == F.lit(dt.date(1997, 8, 23)))
     assert "BroadcastHashJoin" in plan(jn.join_broadcast(d, day, "match_id"))
-    # beyond the size limit no broadcast is forced (the planner decides)
-    big = jn.join_broadcast(d, m, "match_id", limit_bytes=1)
-    assert "ResolvedHint (strategy=broadcast)" not in big._jdf.queryExecution().analyzed().toString()
-    assert jn.estimated_bytes(day) > 0
+    # the count sees the filter; beyond the limit no broadcast is forced
+    few = day.count()
+    hint = "ResolvedHint (strategy=broadcast)"
+    assert hint in jn.join_broadcast(d, day, "match_id", limit_rows=few)._jdf.queryExecution().analyzed().toString()
+    assert hint not in jn.join_broadcast(d, m, "match_id", limit_rows=few)._jdf.queryExecution().analyzed().toString()
 
 
 def test_sort_within_partitions_is_local(spark):
     ev = fx.events(spark, SF_SMALL).withColumn("event_date", F.to_date("event_time"))
-    p = plan(la.sort_within(ev, 10, "event_date", ["event_date", "host"]))
-    assert "rangepartitioning" not in p and "hashpartitioning(event_date" in p
+    p = plan(la.sort_within(ev, "event_date", ["event_date", "host"]))
+    assert "rangepartitioning" not in p and "REBALANCE_PARTITIONS_BY_COL" in p and "hashpartitioning(event_date" in p
 
 
 def test_first_per_key_limits_before_the_shuffle(spark):
@@ -76,3 +77,45 @@ def test_partition_filter_prunes(spark):
     fx.taxis(spark, SF_SMALL).withColumn("y", F.year("tpep_pickup_datetime")).write.partitionBy("y").parquet(path)
     p = plan(spark.read.parquet(path).where(F.col("y") == 1998))
     assert "PartitionFilters: [isnotnull(y" in p and "(y#" in p
+
+
+def test_snapshot_readers_prune_and_push(spark):
+    """A stored snapshot is read by its partition; the key reaches the file."""
+    from dimweave.plans.registry import QUERIES, load_all
+    load_all()
+    for name in ("history_unnest", "history_first_last", "history_growth", "project_struct_expand", "filter_asof_partition", "entity_lookup"):
+        p = plan(QUERIES[name](spark, SF_SMALL))
+        assert "PartitionFilters: [isnotnull(current_season" in p, name
+    assert "EqualTo(player_name,1016)" in p
+
+
+def test_fact_pick_limits_before_any_join(spark):
+    from dimweave.operators import facts as fa
+    p = plan(fa.fact_dedupe(fx.game_details(spark, SF_SMALL, comments=True), fx.games(spark, SF_SMALL)))
+    # below the exchange that the pick needs there is a map-side limit
+    assert "row_number(), 1, Partial" in p
+
+
+def test_details_join_part_only_for_comments(spark):
+    assert "p_partkey" not in plan(fx.game_details(spark, SF_SMALL)) and "p_partkey" in plan(fx.game_details(spark, SF_SMALL, comments=True))
+
+
+def test_scratch_paths(spark):
+    """One folder, the session's or its context's, never nested deeper."""
+    from dimweave.session import ensure_checkpoint_dir
+    assert len({len(scratch_path(spark, "x")) for _ in range(3)}) == 1
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    base = ensure_checkpoint_dir(spark)
+    assert base == (named or spark.sparkContext._jsc.sc().getCheckpointDir().get())
+
+    class Unset:
+        """The session, as if its configuration named no folder."""
+        sparkContext = spark.sparkContext
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    held = spark.sparkContext._jsc.sc().getCheckpointDir().get()
+    assert ensure_checkpoint_dir(Unset) == held == ensure_checkpoint_dir(Unset)
