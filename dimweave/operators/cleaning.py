@@ -40,7 +40,7 @@ def histogram_fixed_bins(df: DataFrame, col: str, bins: int) -> DataFrame:
     lo, hi = st["lo"], st["hi"]
     width = hi - lo
     raw = F.floor((F.col(col) - lo) * bins / F.when(width != 0, width)) + 1
-    b = F.coalesce(F.least(raw, F.lit(bins)), F.lit(1)).cast("int")
+    b = F.least(F.coalesce(raw, F.lit(1)), F.lit(bins)).cast("int")
     counts = df.where(F.col(col).isNotNull()).groupBy(b.alias("bin")).agg(
         F.count(F.lit(1)).alias("num_rows"))
     every = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
