@@ -81,7 +81,7 @@ def main() -> int:
 
     seasons = fx.player_seasons(spark, sf_dir)
     players_path, scd_path, users_path = (scratch_path(spark, n) for n in ("b-players", "b-scd", "b-users"))
-    cu.cumulative_backfill(seasons, LAST_PERIOD).write.partitionBy("current_season").parquet(players_path)
+    cu.cumulative_backfill(seasons).write.partitionBy("current_season").parquet(players_path)
     players = spark.read.parquet(players_path)
     scd.scd2_full(players, SCD_BASE).write.partitionBy("current_season").parquet(scd_path)
     act = fx.activity(spark, sf_dir)

@@ -65,10 +65,10 @@ def last_period(seasons: DataFrame) -> int | None:
     return seasons.agg(F.max("season")).first()[0]
 
 
-def cumulative_backfill(seasons: DataFrame, last_period: int, *, key: str = "player_name",
+def cumulative_backfill(seasons: DataFrame, upto: int | None = None, *, key: str = "player_name",
                         first_period: int | None = None, periods: list[int] | None = None) -> DataFrame:
-    """Every snapshot from each entity's first period to ``last_period``, or
-    only those of ``periods``.
+    """Every snapshot from each entity's first period to ``upto`` (default: the
+    newest period in the data), or only those of ``periods``.
 
     One shuffle: the per-entity aggregation gathers the entity's active
     periods with their attributes (bounded by the number of periods); each
@@ -79,14 +79,15 @@ def cumulative_backfill(seasons: DataFrame, last_period: int, *, key: str = "pla
     src = seasons
     if first_period is not None:
         src = src.where(F.col("season") >= first_period)
-    src = src.where(F.col("season") <= last_period)
+    last = last_period(src) if upto is None else upto
+    src = src.where(F.col("season") <= last)
     per_entity = src.groupBy(key).agg(
         F.min("season").alias("first_season"),
         F.array_sort(F.collect_list(F.struct(*STATS, *ATTRS))).alias("rows"))
-    every = F.sequence(F.col("first_season"), F.lit(last_period))
+    every = F.sequence(F.col("first_season"), F.lit(last).cast("int"))
     if periods is not None:
         every = F.filter(F.array(*[F.lit(p).cast("int") for p in periods]),
-                         lambda p: (p >= F.col("first_season")) & (p <= last_period))
+                         lambda p: (p >= F.col("first_season")) & (p <= last))
     snaps = per_entity.select(key, "rows", F.explode(every).alias("current_season"))
     upto = snaps.select(key, F.filter("rows", lambda r: r["season"] <= F.col("current_season")).alias("rows"),
                         F.col("current_season").cast("int").alias("current_season"))

@@ -33,12 +33,13 @@ def _d(x) -> Column:
     return F.lit(dt.date.fromisoformat(x) if isinstance(x, str) else x)
 
 
-def datelist_backfill(activity: DataFrame, asof, *, user_col: str = "user_id",
+def datelist_backfill(activity: DataFrame, asof=None, *, user_col: str = "user_id",
                       day_col: str = "day", since=None) -> DataFrame:
-    """The cumulated snapshot at ``asof``: every user seen up to that day with
+    """The cumulated snapshot at ``asof`` (default: the data's last day): every user seen up to that day with
     the list of active days, newest first; rows without a user are left out, as
     in the daily step.  One aggregation, no fold.  The list grows with the
     history unless ``since`` cuts it."""
+    asof = activity.agg(F.max(day_col)).first()[0] if asof is None else asof
     cond = (F.col(day_col) <= _d(asof)) & F.col(user_col).isNotNull()
     if since is not None:
         cond = cond & (F.col(day_col) >= _d(since))

@@ -13,10 +13,10 @@ from dimweave.sources import fixtures as fx
 
 P = LAST_PERIOD
 
-PLAYERS_SQL = f"""
-    WITH ps AS (SELECT * FROM fx_player_seasons WHERE season <= {P}),
+PLAYERS_SQL = """
+    WITH ps AS (SELECT * FROM fx_player_seasons),
     f AS (SELECT player_name, min(season) AS first_season FROM ps GROUP BY player_name),
-    g AS (SELECT f.*, CAST(unnest(range(first_season, {P + 1})) AS INTEGER) AS current_season FROM f),
+    g AS (SELECT f.*, CAST(unnest(range(first_season, (SELECT max(season) + 1 FROM ps))) AS INTEGER) AS current_season FROM f),
     h AS (SELECT g.player_name, g.current_season, max(s.season) AS last_season,
                  first(height ORDER BY s.season) FILTER (height IS NOT NULL) AS height,
                  first(college ORDER BY s.season) FILTER (college IS NOT NULL) AS college,
@@ -46,7 +46,7 @@ def players_sql_at(period: int) -> str:
 
 
 def players(spark, sf_dir):
-    return cu.cumulative_backfill(fx.player_seasons(spark, sf_dir), P)
+    return cu.cumulative_backfill(fx.player_seasons(spark, sf_dir))
 
 
 KEY = ["player_name", "current_season"]
@@ -55,7 +55,7 @@ KEY = ["player_name", "current_season"]
 def stored(spark, sf_dir, periods):
     """The snapshots of some periods as a stored table: partitioned by period,
     handed out only if its declared key holds."""
-    table = cu.cumulative_backfill(fx.player_seasons(spark, sf_dir), P, periods=periods)
+    table = cu.cumulative_backfill(fx.player_seasons(spark, sf_dir), periods=periods)
     path = write_keyed(table, scratch_path(spark, "players"), KEY, ["current_season"])
     return spark.read.schema(table.schema).parquet(path)
 
