@@ -18,8 +18,9 @@ Buckets are never expanded into all pairs:
 2. In each bucket every class is held against the one with the fewest such
    shingles (the centre of a group of copies); links are confirmed on full
    sets and merged into components.
-3. Only pairs of one bucket that are still in different components, and that
-   the bounds do not exclude, are compared among themselves.
+3. Classes of one bucket that are still in different components are compared
+   with one another only if the bounds and a prefix filter on their rarest
+   shingles (both exact) allow a link.
 
 Edge cases: null or empty texts, or texts of white space, have no shingles and
 are linked with nothing; fewer than five words are one shingle; repeated rows
@@ -182,18 +183,44 @@ def near_links(reps: DataFrame, docs: DataFrame) -> DataFrame:
     )
     star = checkpoint(star)
     links = checkpoint(confirm(star))
-    # Round 2: pairs of a bucket that are not connected yet.
+    # Round 2: classes of buckets that hold more than one component.
     comp = components(links)
     placed = members.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-    left = placed.join(mixed, "key").select("key", "node", "n", "own", "component")
-    other = left.toDF("key", "node2", "n2", "own2", "component2")
-    rest = (
-        left.join(other, "key").where("node < node2 and component <> component2")
+    apart = checkpoint(placed.join(mixed, "key").select("node", "n", "own", "component").distinct())
+    rest = _apart_pairs(apart, sets).join(star, ["a", "b"], "left_anti")
+    return checkpoint(links.union(confirm(checkpoint(rest))))
+
+
+def _apart_pairs(apart: DataFrame, sets: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) of nodes in different components that can be similar
+    enough.
+
+    Take each set's shingles in the order of how few sets have them.  Two sets
+    of n and m shingles that are similar enough share n + m times t / (1 + t)
+    of them, so their first common one stands far enough ahead in both (prefix
+    filter with places, exact).  In a group of copies the first ones are what
+    a copy does not share with most others.  For each shingle only the nodes
+    outside its largest component look for partners."""
+    items = sets.join(apart, "node").select("node", "n", "own", "component", F.explode("items").alias("item"))
+    among = items.groupBy("item").agg(F.count(F.lit(1)).alias("in_sets"))
+    turn = F.row_number().over(Window.partitionBy("node").orderBy("in_sets", "item"))
+    first = items.join(among, "item").withColumn("turn", turn).where(
+        (F.col("turn") <= F.col("n") - F.ceil(F.col("n") * THRESHOLD / 100) + 1) & (F.col("in_sets") > 1))
+    size = apart.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    first = checkpoint(first.join(size, "component").select("item", "node", "n", "own", "component", "turn", "size"))
+    main = first.groupBy("item").agg(F.max(F.struct("size", "component")).alias("main"), F.count(F.lit(1)).alias("m")).where("m > 1")
+    asks = first.join(main, "item").where("component <> main.component").select(
+        "item", "node", "n", "own", "component", "turn", F.col("main.component").alias("largest"))
+    other = first.select("item", "node", "n", "own", "component", "turn").toDF("item", "node2", "n2", "own2", "component2", "turn2")
+    ahead = 1 + F.least(F.col("n") - F.col("turn"), F.col("n2") - F.col("turn2"))
+    return (
+        asks.join(other, "item")
+        .where("component <> component2 and (component2 = largest or node < node2)")
+        .where(ahead * (100 + THRESHOLD) >= THRESHOLD * (F.col("n") + F.col("n2")))
         .where(_may_link(F.col("n"), F.col("own"), F.col("n2"), F.col("own2")))
-        .select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
+        .select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
     )
-    return checkpoint(links.union(confirm(checkpoint(rest))))
 
 
 def judged(docs: DataFrame) -> DataFrame:
