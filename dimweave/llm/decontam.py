@@ -161,5 +161,5 @@ def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents (all their columns) without the contaminated ones."""
-    bad = checkpoint(alignments(docs, benchmark).select(F.col("doc_id").alias("bad_id"), F.col("text_hash").alias("bad_hash")).distinct())
-    return docs.join(small(bad), docs["doc_id"].eqNullSafe(F.col("bad_id")) & (F.xxhash64(docs["text"]) == F.col("bad_hash")), "left_anti")
+    bad = checkpoint(alignments(docs, benchmark).select(F.col("doc_id").alias("id__"), F.col("text_hash").alias("hash__")).distinct())
+    return docs.join(small(bad), docs["doc_id"].eqNullSafe(F.col("id__")) & (F.xxhash64(docs["text"]) == F.col("hash__")), "left_anti")

@@ -1,6 +1,7 @@
 import pytest
 
 from dimweave.llm import decontam
+from llm_fixtures import docs_of  # noqa: F401
 
 ITEM = "When Tom has 3 apples and walks 5 km to the market, then Tom gives his sister 3 apples and rides the bus all the way home again."
 SAID = ITEM.replace("Tom", "{n}").replace("3", "{a}").replace("5 km", "{b}")

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from dimweave.llm import langid
 from dimweave.llm.queries import QUERIES
+from llm_fixtures import docs_of  # noqa: F401
 
 
 def test_held_out_accuracy(spark):

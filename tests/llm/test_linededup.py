@@ -1,6 +1,7 @@
 import random
 
 from dimweave.llm import linededup
+from llm_fixtures import docs_of  # noqa: F401
 
 
 def distance(a, b):

@@ -4,6 +4,7 @@ import re
 import numpy as np
 
 from dimweave.llm import minhash
+from llm_fixtures import docs_of  # noqa: F401
 
 
 def brute(rows):

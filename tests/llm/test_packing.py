@@ -6,9 +6,10 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 from dimweave.llm import packing
+from llm_fixtures import docs_of  # noqa: F401
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
-TEXTS = ["Wait... what?! (yes!) a.b, 3.5. x_. don't, \u0301. \u00e9, \u0065\u0301, 1st; x:\u2028y!,", None, "", " ", "Hello  world\n\nIt's 2024!", "a\u00a0b\u2003c e\u0301 É", "<|endoftext|> in x<|startoftext|>y", "word " * 9000, "x" * 5000, "same", "same",
+TEXTS = ["A\u030a\u0301 \u212b \u0130I \u03a3\u0391\u03a3 K\u212a ÀÉ", "<|ENDOFTEXT|> <|endoftext|>", "Wait... what?! (yes!) a.b, 3.5. x_. don't, \u0301. \u00e9, \u0065\u0301, 1st; x:\u2028y!,", None, "", " ", "Hello  world\n\nIt's 2024!", "a\u00a0b\u2003c e\u0301 É", "<|endoftext|> in x<|startoftext|>y", "word " * 9000, "x" * 5000, "same", "same",
          "tab\there\rthere\x0bvt\x0cff\x1fus", "'re 're're can't we'll", "\U0001F600 emoji"]
 
 

@@ -32,6 +32,17 @@ def test_stages_against_brute_force(spark, tmp_path):
     assert kept[5].agg({"length": "sum"}).first()[0] == total
 
 
+def test_stages_on_edge_tables(spark, docs_of):
+    """Empty tables, nulls, and columns with the operators' names."""
+    base = docs_of([(1, None), (2, ""), (None, "the and of"), (3, "the and of " * 40), (3, "the and of " * 40), (4, "la de les " * 30)], lang="en")
+    for docs in (base.limit(0), base, base.withColumn("score", base.text).withColumn("lang_pred", base.text)):
+        docs.cache()
+        for name, stage in corpus_pipeline.STAGES:
+            got = stage(spark, docs, SMALL)
+            assert name == "packing" or got.columns == docs.columns
+            assert got.count() <= max(docs.count(), 1)
+
+
 def test_run_returns_the_last_stage(spark):
     got = corpus_pipeline.run(spark, SMALL)
     assert got.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] and got.count() > 0

@@ -5,6 +5,7 @@ import pytest
 
 from dimweave.llm import suffixdedup as sd
 from dimweave.llm.queries import QUERIES
+from llm_fixtures import docs_of  # noqa: F401
 
 
 def test_suffix_array():

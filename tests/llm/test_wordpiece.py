@@ -4,6 +4,7 @@ import public_tokenizers
 from tokenizers import Tokenizer, models, pre_tokenizers
 
 from dimweave.llm import wordpiece
+from llm_fixtures import docs_of  # noqa: F401
 
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 
