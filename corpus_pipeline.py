@@ -22,8 +22,8 @@ LEAST_SCORE = 0.5
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the labelled documents of the input teach."""
-    found = langid.predict(docs, langid.train(docs), docs.columns)
-    return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    found = langid.predict(docs, langid.train(docs), docs.columns, ("found__", "score__"))
+    return found.where((F.col("found__") != langid.UNKNOWN) & (F.col("score__") >= LEAST_SCORE)).select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
