@@ -28,10 +28,12 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` (already checkpointed) with a broadcast hint if its row count
-    proves it small; otherwise unchanged, so that the join shuffles."""
-    return F.broadcast(df) if df.count() <= limit else df
+def small(df: DataFrame, limit: int = BROADCAST_ROWS, values: str | None = None) -> DataFrame:
+    """``df`` (already checkpointed) with a broadcast hint if its row count, and
+    the number of elements in its array column ``values``, prove it small;
+    otherwise unchanged, so that the join shuffles."""
+    rows, elements = df.agg(F.count(F.lit(1)), F.sum(F.size(values)) if values else F.lit(0)).first()
+    return F.broadcast(df) if rows <= limit and (elements or 0) <= 5 * limit else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

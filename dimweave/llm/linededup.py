@@ -25,6 +25,7 @@ columns are ignored, or kept by ``clean``.
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,9 +34,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimweave.llm.common import BASE, checkpoint, mix64, powers, small, word_hashes
+from dimweave.llm.common import BASE, checkpoint, mix64, partitions, powers, small, word_hashes
 
 SHORTEST = 8
+_TWO = struct.Struct("<qq")
 _PLACE = ["no_id", "doc_id", "text_hash", "line_no"]
 
 
@@ -74,7 +76,7 @@ def half_keys(lines: list[list[str]]) -> list[list[int]]:
     for c, (h, side) in enumerate(((n // 2, 0), (n // 2, 1), ((n - 1) // 2, 0), ((n - 1) // 2, 1))):
         at = start + side * (n - h)
         keys[:, c] = mix64(_run(p, at, at + h) ^ mix64((2 * h + side).astype(np.uint64)))
-    # Of an odd length both kinds of partner have the same halves.
+    # Of an odd length both kinds of partner have the same halves.  Even places: first halves.
     return [k[: 2 if m % 2 else 4] if m >= SHORTEST else [] for k, m in zip(keys.view(np.int64).tolist(), n.tolist(), strict=True)]
 
 
@@ -102,21 +104,22 @@ def within_one(a: list[str], b: list[str]) -> bool:
 
 
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Number, 128-bit digest (in two words) and half keys of every line that has words."""
     for batch in batches:
         for at in range(0, batch.num_rows, 200):
-            part, out, split = batch.slice(at, 200), [], []
+            part, rows, split = batch.slice(at, 200), [], []
             for doc, th, text in zip(part["doc_id"].to_pylist(), part["text_hash"].to_pylist(), part["text"].to_pylist(), strict=True):
                 for no, line in enumerate(text.split("\n")):
                     words = _words(line)
                     if words:
+                        digest = xxhash.xxh3_128_digest(" ".join(words).encode("utf-8", "surrogatepass"))
+                        rows.append((doc, th, no, *_TWO.unpack(digest)))
                         split.append(words)
-                        out.append((doc, th, no, xxhash.xxh3_128_digest(" ".join(words).encode("utf-8", "surrogatepass"))))
-            if out:
-                doc, th, no, digest = zip(*out, strict=True)
+            if rows:
+                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc, pa.int64()), pa.array(th, pa.int64()), pa.array(no, pa.int32()), pa.array(digest, pa.binary()),
-                     pa.array(half_keys(split), pa.list_(pa.int64()))],
-                    names=["doc_id", "text_hash", "line_no", "digest", "keys"])
+                    [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)] + [pa.array(half_keys(split), pa.list_(pa.int64()))],
+                    names=["doc_id", "text_hash", "line_no", "d1", "d2", "keys"])
 
 
 def _texts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,22 +136,29 @@ def _texts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The line itself (left_out -1) and its variants.  A line that shares its
+    first half with others differs from them behind it, and so on; only words
+    of the part where a difference can be are left out."""
     for batch in batches:
         for at in range(0, batch.num_rows, 100):
-            part = batch.slice(at, 100)
-            keys = [variant_keys(w.split(" ")) for w in part["words"].to_pylist()]
+            part, left, keys = batch.slice(at, 100), [], []
+            for words, head, tail in zip(part["words"].to_pylist(), part["head"].to_pylist(), part["tail"].to_pylist(), strict=True):
+                own = variant_keys(words.split(" "))
+                n = len(own) - 1
+                place = np.arange(-1, n)
+                on = (place < 0) | (head & (place >= (n - 1) // 2)) | (tail & (place < n - (n - 1) // 2))
+                left.append(place[on])
+                keys.append(own[on])
             if keys:
-                sizes = [len(k) for k in keys]
-                rows = pa.array(np.repeat(np.arange(len(keys)), sizes))
+                rows = pa.array(np.repeat(np.arange(len(keys)), [len(k) for k in keys]))
                 yield pa.RecordBatch.from_arrays(
-                    [part[c].take(rows) for c in _PLACE] + [pa.array(np.concatenate([np.arange(-1, n - 1) for n in sizes]), pa.int32()), pa.array(np.concatenate(keys))],
-                    names=[*_PLACE, "left_out", "key"])
+                    [part["at"].take(rows), pa.array(np.concatenate(left), pa.int32()), pa.array(np.concatenate(keys))], names=["at", "left_out", "key"])
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         good = [within_one(a.split(" "), b.split(" ")) for a, b in zip(batch["words"].to_pylist(), batch["other"].to_pylist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([c.filter(pa.array(good, pa.bool_())) for c in (batch[n] for n in _PLACE)], names=_PLACE)
+        yield pa.RecordBatch.from_arrays([batch["at"].filter(pa.array(good, pa.bool_()))], names=["at"])
 
 
 def _place() -> Column:
@@ -162,40 +172,50 @@ def _same(a: str, b: str) -> Column:
 def removed_lines(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, gone: the numbers (from 0) of the lines that go."""
     texts = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    lines = checkpoint(texts.mapInArrow(_lines, "doc_id long, text_hash long, line_no int, digest binary, keys array<long>")
-                       .withColumn("no_id", F.col("doc_id").isNull()))
-    first = checkpoint(lines.groupBy("digest").agg(F.min(_place()).alias("first"), F.first("keys").alias("keys")))
-    # Lines that share a half with another one.
-    halves = first.select("digest", F.explode(F.array_distinct("keys")).alias("key"))
-    shared = halves.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    asked = halves.join(shared, "key").select("digest").distinct().join(first, "digest").select("first.*")
-    asked = checkpoint(asked.groupBy("doc_id", "text_hash").agg(F.collect_list("line_no").alias("nos")))
-    near = checkpoint(_near(texts, asked))
-    gone = lines.join(first.select("digest", "first"), "digest").join(near.withColumn("near", F.lit(True)), "first", "left")
-    gone = gone.where(F.coalesce("near", F.lit(False)) | (_place() > F.col("first")))
-    return gone.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("line_no")).alias("gone"))
-
-
-def _near(texts: DataFrame, asked: DataFrame) -> DataFrame:
-    """first: places of the distinct lines that have a near-equal earlier one."""
-    got = texts.alias("t").join(small(asked).alias("a"), _same("t", "a")).select("t.doc_id", "t.text_hash", "t.text", "a.nos")
-    found = checkpoint(got.mapInArrow(_texts_of, "no_id boolean, doc_id long, text_hash long, line_no int, words string").dropDuplicates(_PLACE))
-    rows = found.mapInArrow(_variants, "no_id boolean, doc_id long, text_hash long, line_no int, left_out int, key long").select(
-        "key", "left_out", _place().alias("place"))
-    rows = checkpoint(rows)
-    least = rows.groupBy("key", "left_out").agg(F.min("place").alias("least"))
+    lines = checkpoint(texts.mapInArrow(_lines, "doc_id long, text_hash long, line_no int, d1 long, d2 long, keys array<long>"))
+    again = lines.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("d1", "d2")
+    repeats = checkpoint(lines.drop("keys").join(again, ["d1", "d2"]).select(
+        "d1", "d2", F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "line_no").alias("place")))
+    first = repeats.groupBy("d1", "d2").agg(F.min("place").alias("first"))
+    equal = repeats.join(first, ["d1", "d2"]).where(F.col("place") > F.col("first")).select("place")
+    near = checkpoint(_near(texts, lines))
+    gone = equal.union(near.select(_place())).union(repeats.join(near.select("d1", "d2"), ["d1", "d2"]).select("place"))
+    return gone.select("place.*").groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("line_no")).alias("gone"))
+
+
+def _near(texts: DataFrame, lines: DataFrame) -> DataFrame:
+    """The place, d1 and d2 of the distinct lines that have a near-equal earlier one."""
+    halves = lines.select("doc_id", "text_hash", "line_no", "d1", "d2", F.posexplode("keys").alias("side", "key"))
+    # Halves that different lines share.
+    shared = halves.groupBy("key").agg(F.min("d1").alias("lo"), F.max("d1").alias("hi")).where("lo <> hi").select("key")
+    members = halves.join(small(checkpoint(shared)), "key").withColumn("no_id", F.col("doc_id").isNull())
+    even = F.col("side") % 2 == 0
+    asked = checkpoint(members.groupBy("d1", "d2").agg(F.min(_place()).alias("place"), F.max(even).alias("head"), F.max(~even).alias("tail"))
+                       .select("place.*", "d1", "d2", "head", "tail"))
+    by_text = checkpoint(asked.groupBy("doc_id", "text_hash").agg(F.collect_list("line_no").alias("nos")))
+    got = texts.alias("t").join(small(by_text, values="nos").alias("a"), _same("t", "a")).select("t.doc_id", "t.text_hash", "t.text", "a.nos")
+    words = got.mapInArrow(_texts_of, "no_id boolean, doc_id long, text_hash long, line_no int, words string").dropDuplicates(_PLACE)
+    found = words.alias("w").join(asked.alias("a"), _same("w", "a") & (F.col("w.line_no") == F.col("a.line_no"))).select(
+        "w.no_id", "w.doc_id", "w.text_hash", "w.line_no", "w.words", "a.d1", "a.d2", "a.head", "a.tail")
+    # One number for each line that keeps the order of the places.
+    found = found.repartitionByRange(partitions(texts.sparkSession), *_PLACE).sortWithinPartitions(*_PLACE)
+    found = checkpoint(found.withColumn("at", F.monotonically_increasing_id()))
+    rows = found.select("at", "words", "head", "tail").mapInArrow(_variants, "at long, left_out int, key long")
+    least = rows.groupBy("key", "left_out").agg(F.min("at").alias("least"), F.max("at").alias("most"))
     by_key = least.groupBy("key").agg(
         F.min(F.when(F.col("left_out") < 0, F.col("least"))).alias("whole"), F.min(F.when(F.col("left_out") >= 0, F.col("least"))).alias("variant"))
+    # Keys without a second line leave here.
     target = least.join(by_key, "key").select(
-        "key", "left_out", F.when(F.col("left_out") < 0, F.col("variant")).otherwise(F.least("least", F.coalesce("whole", "least"))).alias("earlier"))
-    pairs = rows.join(target, ["key", "left_out"]).where(F.col("earlier") < F.col("place")).select("place", "earlier").distinct()
-    words = found.select(_place().alias("place"), "words")
-    both = pairs.join(words, "place").join(words.toDF("earlier", "other"), "earlier")
-    return both.select("place.*", "words", "other").mapInArrow(_verify, "no_id boolean, doc_id long, text_hash long, line_no int").select(_place().alias("first")).distinct()
+        "key", "left_out", "most", F.when(F.col("left_out") < 0, F.col("variant")).otherwise(F.least("least", F.coalesce("whole", "least"))).alias("earlier"))
+    target = target.where("earlier < most").drop("most")
+    pairs = rows.join(target, ["key", "left_out"]).where("earlier < at").select("at", "earlier").distinct()
+    both = pairs.join(found.select("at", "words"), "at").join(found.select(F.col("at").alias("earlier"), F.col("words").alias("other")), "earlier")
+    sure = both.select("at", "words", "other").mapInArrow(_verify, "at long").distinct()
+    return found.join(sure, "at").select(*_PLACE, "d1", "d2")
 
 
 def _joined(docs: DataFrame) -> DataFrame:
-    gone = removed_lines(docs)
+    gone = small(checkpoint(removed_lines(docs)), values="gone")
     return docs.withColumn("text_hash__", F.xxhash64("text")).alias("t").join(
         gone.alias("g"), F.col("t.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("t.text_hash__") == F.col("g.text_hash")), "left")
 
