@@ -50,6 +50,10 @@ class WordIds:
 
     def __call__(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
+        # The tokenizer lower-cases; A-Z are done here, so that fewer words differ.
+        # (Special tokens start with <| and are matched before that.)
+        if "<|" not in text:
+            text = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
         # Only ASCII white space: every tokenizer here drops it between words.
         words = _TAIL.sub(" ", text).replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
         known = self.known
