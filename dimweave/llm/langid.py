@@ -32,6 +32,7 @@ ORDERS = (1, 2, 3)
 #: and at most this many in all; document frequencies cover all of them.
 PER_LANGUAGE = 1000
 SAMPLE = 8000
+SPARE = 4
 UNKNOWN = "und"
 
 
@@ -191,11 +192,14 @@ def train(labelled: DataFrame) -> Model:
         else:
             freq[cell] = n
     idf = np.log((1 + docs) / (1 + freq)) + 1
-    # A draw by hash, the same however the rows are laid out.
-    draw = F.xxhash64("doc_id", F.lit("language sample"))
+    # A draw by hash, the same however the rows are laid out.  Only draws below
+    # a bound that lets some SPARE times the sample pass are ranked, so that a
+    # language with most of the rows does not meet in one task.
+    share = rows.groupBy("lang").agg((F.lit(float(SPARE * PER_LANGUAGE)) / F.count(F.lit(1))).alias("share"))
     turn = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
     chosen = (
-        rows.select("doc_id", "lang").distinct().withColumn("draw", draw).withColumn("turn", turn)
+        rows.select("doc_id", "lang", F.xxhash64("doc_id", F.lit("language sample")).alias("draw")).join(share, "lang")
+        .where(F.col("draw") / 2.0**64 + 0.5 <= F.col("share")).select("doc_id", "lang", "draw").distinct().withColumn("turn", turn)
         .where(F.col("turn") <= PER_LANGUAGE).orderBy("turn", "lang").limit(SAMPLE).select("doc_id", "lang", "draw")
     )
     assert SAMPLE <= BROADCAST_ROWS
@@ -221,7 +225,7 @@ def train(labelled: DataFrame) -> Model:
     return model
 
 
-def _predict(shared):
+def _predict(shared, out: tuple[str, str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
@@ -229,16 +233,17 @@ def _predict(shared):
             arrays = [batch[c] for c in batch.schema.names]
             yield pa.RecordBatch.from_arrays(
                 arrays + [pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())],
-                names=[*batch.schema.names, "lang_pred", "score"])
+                names=[*batch.schema.names, *out])
     return run
 
 
-def predict(docs: DataFrame, model: Model, carry: list[str]) -> DataFrame:
-    """The columns of ``carry`` with lang_pred and score; text must be one of them."""
+def predict(docs: DataFrame, model: Model, carry: list[str], out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """The columns of ``carry`` (text must be one of them) with the language and
+    its score, under the names ``out``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     own = docs.select(*carry)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema)
-    return own.mapInArrow(_predict(shared), f"{schema}, lang_pred string, score double")
+    return own.mapInArrow(_predict(shared, out), f"{schema}, `{out[0]}` string, `{out[1]}` double")
 
 
 def held_out(doc_id: Column) -> Column:
