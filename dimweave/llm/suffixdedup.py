@@ -323,7 +323,8 @@ def repeated(docs: DataFrame) -> DataFrame:
     (start, end), possibly overlapping."""
     texts = docs.where("text is not null").select(*_text_key(), "text")
     rows = texts.mapInArrow(_scan, "t1 long, t2 long, core long, context long, spot long")
-    cores = rows.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("core")
+    # A table of its own, so that the join can split a core that many rows have.
+    cores = checkpoint(rows.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("core"))
     rows = checkpoint(rows.join(cores, "core"))
     # `first` of three columns picks them from one row: none of them is null.
     contexts = rows.groupBy("core", "context").agg(
