@@ -30,9 +30,9 @@ from pyspark.sql import functions as F
 from dimweave.llm.common import checkpoint
 
 WINDOW = 4096
-#: Distinct words whose ids a worker remembers before it starts over.
-REMEMBERED = 600_000
-_known: dict[str, dict[str, bytes]] = {}  # by tokenizer, kept for a worker's later tasks
+#: Distinct words whose ids a task remembers before it starts over (some 60 MB;
+#: they go with the task, since workers live on into other operators' stages).
+REMEMBERED = 300_000
 #: Marks that every tokenizer here parts from a letter or digit in front of them.
 _TAIL = re.compile(r"(?<=[^\W_])(?=[.,;:!?]+(?:\s|$))")
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
@@ -46,7 +46,7 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.encode = Tokenizer.from_file(path).encode
-        self.known = _known.setdefault(path, {})
+        self.known: dict[str, bytes] = {}
 
     def __call__(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
