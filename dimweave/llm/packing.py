@@ -30,9 +30,10 @@ from pyspark.sql import functions as F
 from dimweave.llm.common import checkpoint
 
 WINDOW = 4096
-#: Distinct words whose ids a task remembers before it starts over (some 60 MB;
-#: they go with the task, since workers live on into other operators' stages).
-REMEMBERED = 300_000
+#: Distinct words whose ids a worker remembers, from task to task, before it
+#: starts over.  The second pass forgets them: workers live on into other stages.
+REMEMBERED = 600_000
+_known: dict[str, dict[str, bytes]] = {}
 #: Marks that every tokenizer here parts from a letter or digit in front of them.
 _TAIL = re.compile(r"(?<=[^\W_])(?=[.,;:!?]+(?:\s|$))")
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
@@ -46,7 +47,7 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.encode = Tokenizer.from_file(path).encode
-        self.known: dict[str, bytes] = {}
+        self.known = _known.setdefault(path, {})
 
     def __call__(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
@@ -92,6 +93,7 @@ def _unpack(packed: bytes) -> bytes:
 
 def _cut(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _known.clear()
         at = None
         for batch in batches:
             if at is None and batch.num_rows:
