@@ -15,6 +15,13 @@ numbers, names or units were replaced, as well as when it was copied.
   are not slots.  An item of fewer than ``WINDOW`` words is one window of its
   own length if it has ``SHORTEST`` words or more; shorter ones match nothing.
 
+``alignments`` is that template reading alone, which op4's SQL states.
+``whole_alignments``, which ``find`` and ``clean`` use by default, has further
+readings of the same words (``READINGS``), so that letter case does not decide:
+
+* literal: every word as it stands, in lower case, and only numbers as slots.
+  So a passage in capitals, or copied into the middle of a sentence, is found.
+
 Edge cases: null, empty and blank texts match nothing and are not
 contaminated; benchmark items without id or text are skipped, and items that
 repeat an id count as that id; every document row comes back once, repeated
@@ -24,6 +31,8 @@ documents may have extra columns.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,6 +75,16 @@ def template(word: Column) -> Column:
     return F.when(head.isin("@", "%"), head).when(head.isin(*"0123456789"), F.lit("#")).otherwise(word)
 
 
+def _plain(word: Column) -> Column:
+    """The word without the sign of its type."""
+    return F.when(F.substring(word, 1, 1).isin("@", "%"), F.substring(word, 2, 1 << 30)).otherwise(word)
+
+
+def _literal(word: Column) -> Column:
+    """The word itself, whatever its case; numbers are slots."""
+    return F.when(F.substring(word, 1, 1).isin(*"0123456789"), F.lit("#")).otherwise(_plain(word))
+
+
 def _windows(df: DataFrame, carry: list[str], width: int) -> DataFrame:
     """carry, pos (from 0) and key: the hash of every run of ``width`` template words.
 
@@ -143,11 +162,93 @@ def _usable(items: DataFrame, widths: list[int]) -> DataFrame:
     return out
 
 
-def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def _hashed(read: Callable[[Column], Column]) -> Callable[[Column], Column]:
+    return lambda w: F.xxhash64(read(w))
+
+
+def _both_windows(df: DataFrame, carry: list[str], width: int) -> DataFrame:
+    """carry, pos and keys, one key for each reading of READINGS (null if it has none)."""
+    names = list(READINGS)
+    df = df.where(F.size("words") >= width).select(*carry, F.size("words").alias("n"), *(F.transform("words", _hashed(f)).alias(f"run_{k}") for k, f in READINGS.items()))
+    size, done = 1, 0
+    while size <= width:
+        if width & size:
+            shifted = {k: F.slice(f"run_{k}", done + 1, F.col("n")) if done else F.col(f"run_{k}") for k in names}
+            df = df.withColumns({f"key_{k}": F.zip_with(f"key_{k}", shifted[k], lambda a, b: F.xxhash64(a, b)) if done else shifted[k] for k in names})
+            done += size
+        if 2 * size <= width:
+            df = df.withColumns({f"run_{k}": F.zip_with(f"run_{k}", F.slice(f"run_{k}", size + 1, F.col("n")), lambda a, b: F.xxhash64(a, b)) for k in names})
+        size *= 2
+    keys = F.arrays_zip(*(F.slice(f"key_{k}", 1, F.col("n") - width + 1).alias(k) for k in names))
+    return df.select(*carry, F.posexplode(keys).alias("pos", "keys"))
+
+
+#: The readings of a window: each says what a word counts as.
+READINGS = {"typed": template, "literal": _literal}
+
+
+def whole_alignments(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """As ``alignments``, by all readings of a window, so that letter case does
+    not decide.  The alignment's windows of the typed reading must be enough
+    and consistent, or those of all readings together."""
+    items = checkpoint(_items(benchmark))
+    widths = sorted(r[0] for r in items.select("width").distinct().collect())  # at most WINDOW - SHORTEST + 1
+    if not widths:
+        return alignments(docs, benchmark)
+    texts = docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("words"))
+    keys = None
+    for width in widths:
+        w = _both_windows(items.where(F.col("width") == width), ["item_id", "variant", "width", "words"], width)
+        own = F.slice("words", F.col("pos") + 1, F.col("width"))
+        usable = F.size(F.filter(own, lambda x: ~is_slot(x))) * 2 >= F.col("width")
+        w = w.where(usable).select("item_id", "variant", "width", "pos", F.explode(F.array(*(
+            F.struct(F.lit(k).alias("reading"), F.col(f"keys.{k}").alias("key")) for k in READINGS))).alias("k"))
+        w = w.select("item_id", "variant", "width", F.col("pos").alias("item_pos"), "k.reading", "k.key")
+        keys = w if keys is None else keys.unionByName(w)
+    keys = checkpoint(keys)
+    need = keys.groupBy("item_id", "variant").agg(
+        F.least(F.count_distinct(F.when(F.col("reading") == "typed", F.col("item_pos"))), F.lit(ENOUGH)).alias("need"),
+        F.least(F.count_distinct("item_pos"), F.lit(ENOUGH)).alias("need_all"))
+    hits = None
+    for width in widths:
+        own = small(checkpoint(keys.where(F.col("width") == width)))
+        found = _both_windows(texts, ["doc_id", "text_hash"], width).select(
+            "doc_id", "text_hash", "pos", F.explode(F.array(*(F.struct(F.lit(k).alias("reading"), F.col(f"keys.{k}").alias("key")) for k in READINGS))).alias("k")
+        ).select("doc_id", "text_hash", "pos", "k.reading", "k.key").join(own, ["key", "reading"]).select("doc_id", "text_hash", "item_id", "variant", (F.col("pos") - F.col("item_pos")).alias("first"), "item_pos", "reading", "width")
+        hits = found if hits is None else hits.unionByName(found)
+    hits = (
+        hits.groupBy("doc_id", "text_hash", "item_id", "variant", "first", "width")
+        .agg(F.collect_set(F.when(F.col("reading") == "typed", F.col("item_pos"))).alias("typed"), F.collect_set("item_pos").alias("every"))
+        .join(need, ["item_id", "variant"])
+        .withColumn("at", F.explode(F.filter(
+            F.array(F.when((F.size("typed") >= F.col("need")) & (F.size("typed") > 0), F.col("typed")),
+                    F.when(F.size("every") >= F.col("need_all"), F.col("every"))), lambda x: x.isNotNull())))
+        .drop("typed", "every")
+    )
+    hits = checkpoint(hits.join(items.select("item_id", "variant", F.col("words").alias("item_words")), ["item_id", "variant"]))
+    # Only documents with a match are read again for their slot values.
+    again = small(checkpoint(hits.select("doc_id", "text_hash").distinct()))
+    mine = again.select(F.col("doc_id").alias("hit_id"), F.col("text_hash").alias("hit_hash"))
+    full = docs.where("text is not null").withColumn("text_hash", F.xxhash64("text")).select("doc_id", "text_hash", "text").join(
+        mine, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("text_hash") == F.col("hit_hash")), "left_semi"
+    ).dropDuplicates(["doc_id", "text_hash"]).select(F.col("doc_id").alias("own_id"), F.col("text_hash").alias("own_hash"), words(F.col("text")).alias("doc_words"))
+    covered = F.array_distinct(F.flatten(F.transform("at", lambda p: F.sequence(p, p + F.col("width") - 1))))
+    slots = F.transform(
+        F.filter(covered, lambda p: is_slot(F.get("item_words", p))),
+        lambda p: F.struct(_plain(F.get("item_words", p)).alias("asked"), _plain(F.get("doc_words", p + F.col("first"))).alias("stands")),
+    )
+    put = hits.join(full, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("text_hash") == F.col("own_hash"))).withColumn("slots", slots)
+    pairs, asked, stands = (F.size(F.array_distinct(c)) for c in (F.col("slots"), F.col("slots.asked"), F.col("slots.stands")))
+    return put.where((pairs == asked) & (pairs == stands)).select(
+        "doc_id", "text_hash", "item_id", "first", F.size("at").alias("n_windows"),
+        F.forall("slots", lambda s: s["asked"] == s["stands"]).alias("same"))
+
+
+def find(docs: DataFrame, benchmark: DataFrame, match: Callable[[DataFrame, DataFrame], DataFrame] = whole_alignments) -> DataFrame:
     """One row for each document: doc_id, contaminated, n_items, items (their
     ids, ascending, joined by commas) and reworded (items only found with other
-    slot values)."""
-    found = alignments(docs, benchmark).groupBy("doc_id", "text_hash", "item_id").agg(F.max("same").alias("same"))
+    slot values).  With ``alignments`` as ``match``, as op4's SQL states it."""
+    found = match(docs, benchmark).groupBy("doc_id", "text_hash", "item_id").agg(F.max("same").alias("same"))
     per = found.groupBy("doc_id", "text_hash").agg(
         F.count(F.lit(1)).alias("n_items"),
         F.array_join(F.transform(F.array_sort(F.collect_list("item_id")), lambda i: i.cast("string")), ",").alias("items"),
@@ -161,5 +262,5 @@ def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents (all their columns) without the contaminated ones."""
-    bad = checkpoint(alignments(docs, benchmark).select(F.col("doc_id").alias("id__"), F.col("text_hash").alias("hash__")).distinct())
+    bad = checkpoint(whole_alignments(docs, benchmark).select(F.col("doc_id").alias("id__"), F.col("text_hash").alias("hash__")).distinct())
     return docs.join(small(bad), docs["doc_id"].eqNullSafe(F.col("id__")) & (F.xxhash64(docs["text"]) == F.col("hash__")), "left_anti")

@@ -62,3 +62,16 @@ def test_no_python_in_the_plan(spark, docs_of, benchmark):
     df = decontam.find(docs_of([(1, ITEM)]), benchmark)
     plan = df._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def found_in(spark, docs_of, asked, said):
+    items = spark.createDataFrame([(1, asked)], "item_id long, text string")
+    return [r.items for r in decontam.find(docs_of(list(enumerate(said))), items).orderBy("doc_id").collect()]
+
+
+def test_letter_case_does_not_hide_a_copy(spark, docs_of):
+    thirteen = "Which river runs through the old town of Springfield before it meets the"  # a name inside, 13 words
+    said = [PAD.format(thirteen.upper()), "boas eaea ndorea " + thirteen + " mado", thirteen.lower(), thirteen.upper().replace("RIVER", "ROAD"),
+            "boas eaea " + thirteen.replace("Springfield", "Shelbyville") + " mado"]
+    assert found_in(spark, docs_of, thirteen, said) == ["1", "1", "1", "", "1"]
+    assert found_in(spark, docs_of, ITEM, [ITEM.upper(), ITEM.upper().replace("3", "8"), ITEM.upper().replace("5 KM", "3 KM")]) == ["1", "1", ""]
