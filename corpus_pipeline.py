@@ -32,8 +32,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest id, of each near-copy group."""
-    return minhash.keep_one(docs)
+    """One document, the one with the smallest id, of each group of near copies
+    (similarity 0.8 or more over shingles of five words)."""
+    return minhash.keep_one(docs, minhash.NEAR_80)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

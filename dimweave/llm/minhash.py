@@ -33,6 +33,7 @@ extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -47,11 +48,31 @@ WIDTH = 5
 THRESHOLD = 85  # per cent
 SYMBOLS, CHUNKS = 96, 16
 RADIUS = 2 * CHUNKS - 1
-_STEP = SYMBOLS // CHUNKS
+
+
+@dataclass(frozen=True)
+class Cut:
+    """From what similarity (per cent) sets are linked, and the signature for it."""
+
+    threshold: int = THRESHOLD
+    symbols: int = SYMBOLS
+    chunks: int = CHUNKS
+
+    @property
+    def radius(self) -> int:
+        return 2 * self.chunks - 1
+
+
+#: At 80 per cent sets differ in 20 of 100 symbols on average, and the radius
+#: of 39 lies 4.7 standard deviations above that too.
+NEAR_80 = Cut(80, 100, 20)
 
 _rng = np.random.default_rng(20)
 _A = (_rng.integers(0, 2**32, SYMBOLS, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
 _B = _rng.integers(0, 2**32, SYMBOLS, dtype=np.uint64).astype(np.uint32)
+_MORE = NEAR_80.symbols - SYMBOLS  # functions of longer signatures
+_A = np.append(_A, (_rng.integers(0, 2**32, _MORE, dtype=np.uint64) | np.uint64(1)).astype(np.uint32))
+_B = np.append(_B, _rng.integers(0, 2**32, _MORE, dtype=np.uint64).astype(np.uint32))
 
 
 def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
@@ -62,14 +83,14 @@ def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
     return np.unique(sequence_hash(words, min(width, len(words))))
 
 
-def signature(items: np.ndarray) -> np.ndarray:
-    """16-bit symbols of the set's minima under SYMBOLS hash functions."""
-    low = np.full(SYMBOLS, 0xFFFFFFFF, np.uint32)
+def signature(items: np.ndarray, n: int = SYMBOLS) -> np.ndarray:
+    """16-bit symbols of the set's minima under ``n`` hash functions."""
+    low = np.full(n, 0xFFFFFFFF, np.uint32)
     h = (items ^ (items >> np.uint64(32))).astype(np.uint32)
     with np.errstate(over="ignore"):
         for at in range(0, len(h), 512):
-            x = h[at : at + 512, None] * _A
-            x += _B
+            x = h[at : at + 512, None] * _A[:n]
+            x += _B[:n]
             # A second round: products alone keep low-bit patterns.
             x ^= x >> np.uint32(15)
             x *= np.uint32(0x2C1B3C6D)
@@ -77,40 +98,45 @@ def signature(items: np.ndarray) -> np.ndarray:
     return (mix64(low.astype(np.uint64)) & np.uint64(0xFFFF)).astype(np.uint16)
 
 
-def chunk_keys(symbols: np.ndarray) -> np.ndarray:
+def chunk_keys(symbols: np.ndarray, chunks: int = CHUNKS) -> np.ndarray:
     """For each signature (row), the hash of every chunk with one symbol left out."""
-    rows = symbols.reshape(-1, CHUNKS, _STEP).astype(np.uint64)
-    out = np.empty((len(rows), CHUNKS, _STEP), np.uint64)
-    place = np.arange(CHUNKS, dtype=np.uint64)
-    for left_out in range(_STEP):
-        key = np.broadcast_to(place * np.uint64(_STEP) + np.uint64(left_out), rows.shape[:2])
-        for j in range(_STEP):
+    step = symbols.shape[-1] // chunks
+    rows = symbols.reshape(-1, chunks, step).astype(np.uint64)
+    out = np.empty((len(rows), chunks, step), np.uint64)
+    place = np.arange(chunks, dtype=np.uint64)
+    for left_out in range(step):
+        key = np.broadcast_to(place * np.uint64(step) + np.uint64(left_out), rows.shape[:2])
+        for j in range(step):
             if j != left_out:
                 key = mix64((key << np.uint64(16)) ^ (key >> np.uint64(48)) ^ rows[:, :, j])
         out[:, :, left_out] = key
     return out.reshape(len(rows), -1).view(np.int64)
 
 
-def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        n, digest, sig = [], [], []
-        for text in batch["text"].to_pylist():
-            items = shingles(text)
-            n.append(len(items))
-            digest.append(xxhash.xxh3_128_digest(items.tobytes()) if len(items) else None)
-            sig.append(signature(items).tobytes() if len(items) else None)
-        yield pa.RecordBatch.from_arrays(
-            [batch["doc_id"], batch["text_hash"], pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sig, pa.binary())],
-            names=["doc_id", "text_hash", "n_shingles", "digest", "sig"])
-
-
-def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, 1000):
-            part = batch.slice(at, 1000)
-            symbols = np.frombuffer(b"".join(part["sig"].to_pylist()), np.uint16).reshape(-1, SYMBOLS)
-            keys = chunk_keys(symbols)
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(part["node"].to_numpy(), keys.shape[1])), pa.array(keys.ravel())], names=["node", "key"])
+def _digest(cut: Cut):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, digest, sig = [], [], []
+            for text in batch["text"].to_pylist():
+                items = shingles(text)
+                n.append(len(items))
+                digest.append(xxhash.xxh3_128_digest(items.tobytes()) if len(items) else None)
+                sig.append(signature(items, cut.symbols).tobytes() if len(items) else None)
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc_id"], batch["text_hash"], pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sig, pa.binary())],
+                names=["doc_id", "text_hash", "n_shingles", "digest", "sig"])
+    return run
+
+
+def _keys(cut: Cut):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                symbols = np.frombuffer(b"".join(part["sig"].to_pylist()), np.uint16).reshape(-1, cut.symbols)
+                keys = chunk_keys(symbols, cut.chunks)
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(part["node"].to_numpy(), keys.shape[1])), pa.array(keys.ravel())], names=["node", "key"])
+    return run
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,28 +151,30 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["node", "own_digest", "items"])
 
 
-def _distance(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keep the pairs whose signatures differ in at most RADIUS symbols."""
-    for batch in batches:
-        if batch.num_rows:
-            a, b = (np.frombuffer(b"".join(batch[c].to_pylist()), np.uint16).reshape(-1, SYMBOLS) for c in ("sig", "other_sig"))
-            near = batch.filter(pa.array((a != b).sum(axis=1) <= RADIUS))
-            yield pa.RecordBatch.from_arrays([near["a"], near["b"]], names=["a", "b"])
+def _distance(cut: Cut):
+    """Keep the pairs whose signatures differ in at most the radius's symbols."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                a, b = (np.frombuffer(b"".join(batch[c].to_pylist()), np.uint16).reshape(-1, cut.symbols) for c in ("sig", "other_sig"))
+                near = batch.filter(pa.array((a != b).sum(axis=1) <= cut.radius))
+                yield pa.RecordBatch.from_arrays([near["a"], near["b"]], names=["a", "b"])
+    return run
 
 
-def _may_link(n: Column, own: Column, n2: Column, own2: Column) -> Column:
+def _may_link(n: Column, own: Column, n2: Column, own2: Column, threshold: int) -> Column:
     """Whether sets of n and n2 shingles, own and own2 of them found in no other
     set, can be similar enough: the shared ones are at most n - own and
     n2 - own2, and shared + own + own2 are in the union."""
     shared = F.least(n - own, n2 - own2)
-    return shared * 100 >= THRESHOLD * (n + n2 - shared)
+    return shared * 100 >= threshold * (n + n2 - shared)
 
 
-def near_links(reps: DataFrame, docs: DataFrame) -> DataFrame:
+def near_links(reps: DataFrame, docs: DataFrame, cut: Cut = Cut()) -> DataFrame:
     """Links (a, b) that connect every component of the classes ``reps``
     (node, digest, n, sig); ``docs`` has the texts (doc_id, text)."""
     # Buckets that hold at least two classes.
-    keys = reps.select("node", "sig").mapInArrow(_keys, "node long, key long")
+    keys = reps.select("node", "sig").mapInArrow(_keys(cut), "node long, key long")
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("key")
     members = checkpoint(keys.join(shared, "key"))
     active = checkpoint(members.select("node").distinct())
@@ -161,24 +189,24 @@ def near_links(reps: DataFrame, docs: DataFrame) -> DataFrame:
         .groupBy("node").agg(F.count(F.lit(1)).alias("own"))
     )
     facts = wanted.join(own, "node", "left").select("node", "n", "sig", F.coalesce("own", F.lit(0)).alias("own"))
-    facts = checkpoint(facts.where(100 * (F.col("n") - F.col("own")) >= THRESHOLD * F.col("n")))
+    facts = checkpoint(facts.where(100 * (F.col("n") - F.col("own")) >= cut.threshold * F.col("n")))
     members = members.join(facts.select("node", "n", "own"), "node")
 
     def confirm(pairs: DataFrame) -> DataFrame:
         """Of the distinct pairs (a, b), those within the radius and the threshold."""
         sig_a, sig_b = facts.select(F.col("node").alias("a"), "sig"), facts.select(F.col("node").alias("b"), F.col("sig").alias("other_sig"))
-        near = pairs.join(sig_a, "a").join(sig_b, "b").mapInArrow(_distance, "a long, b long")
+        near = pairs.join(sig_a, "a").join(sig_b, "b").mapInArrow(_distance(cut), "a long, b long")
         both = near.join(sets.select(F.col("node").alias("a"), F.col("items").alias("x")), "a").join(
             sets.select(F.col("node").alias("b"), F.col("items").alias("y")), "b")
         common = F.size(F.array_intersect("x", "y"))
-        return both.where(common * 100 >= THRESHOLD * (F.size("x") + F.size("y") - common)).select("a", "b")
+        return both.where(common * 100 >= cut.threshold * (F.size("x") + F.size("y") - common)).select("a", "b")
 
     # Round 1: every member of a bucket against its centre.
     centre = members.groupBy("key").agg(
         F.min(F.struct((F.col("own") / F.col("n")).alias("share"), "node", "n", "own")).alias("c"), F.count(F.lit(1)).alias("m")).where("m > 1")
     star = (
         members.join(centre.select("key", "c.node", "c.n", "c.own").toDF("key", "c_node", "c_n", "c_own"), "key")
-        .where(F.col("node") != F.col("c_node")).where(_may_link(F.col("n"), F.col("own"), F.col("c_n"), F.col("c_own")))
+        .where(F.col("node") != F.col("c_node")).where(_may_link(F.col("n"), F.col("own"), F.col("c_n"), F.col("c_own"), cut.threshold))
         .select(F.least("node", "c_node").alias("a"), F.greatest("node", "c_node").alias("b")).distinct()
     )
     star = checkpoint(star)
@@ -188,11 +216,11 @@ def near_links(reps: DataFrame, docs: DataFrame) -> DataFrame:
     placed = members.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
     apart = checkpoint(placed.join(mixed, "key").select("node", "n", "own", "component").distinct())
-    rest = _apart_pairs(apart, sets).join(star, ["a", "b"], "left_anti")
+    rest = _apart_pairs(apart, sets, cut.threshold).join(star, ["a", "b"], "left_anti")
     return checkpoint(links.union(confirm(checkpoint(rest))))
 
 
-def _apart_pairs(apart: DataFrame, sets: DataFrame) -> DataFrame:
+def _apart_pairs(apart: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """Distinct pairs (a, b) of nodes in different components that can be similar
     enough.
 
@@ -206,7 +234,7 @@ def _apart_pairs(apart: DataFrame, sets: DataFrame) -> DataFrame:
     among = items.groupBy("item").agg(F.count(F.lit(1)).alias("in_sets"))
     turn = F.row_number().over(Window.partitionBy("node").orderBy("in_sets", "item"))
     first = items.join(among, "item").withColumn("turn", turn).where(
-        (F.col("turn") <= F.col("n") - F.ceil(F.col("n") * THRESHOLD / 100) + 1) & (F.col("in_sets") > 1))
+        (F.col("turn") <= F.col("n") - F.ceil(F.col("n") * threshold / 100) + 1) & (F.col("in_sets") > 1))
     size = apart.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
     first = checkpoint(first.join(size, "component").select("item", "node", "n", "own", "component", "turn", "size"))
     main = first.groupBy("item").agg(F.max(F.struct("size", "component")).alias("main"), F.count(F.lit(1)).alias("m")).where("m > 1")
@@ -217,20 +245,20 @@ def _apart_pairs(apart: DataFrame, sets: DataFrame) -> DataFrame:
     return (
         asks.join(other, "item")
         .where("component <> component2 and (component2 = largest or node < node2)")
-        .where(ahead * (100 + THRESHOLD) >= THRESHOLD * (F.col("n") + F.col("n2")))
-        .where(_may_link(F.col("n"), F.col("own"), F.col("n2"), F.col("own2")))
+        .where(ahead * (100 + threshold) >= threshold * (F.col("n") + F.col("n2")))
+        .where(_may_link(F.col("n"), F.col("own"), F.col("n2"), F.col("own2"), threshold))
         .select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
     )
 
 
-def judged(docs: DataFrame) -> DataFrame:
+def judged(docs: DataFrame, cut: Cut = Cut()) -> DataFrame:
     """doc_id, text_hash, n_shingles, component_id and kept of each document."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    rows = checkpoint(docs.mapInArrow(_digest, "doc_id long, text_hash long, n_shingles long, digest binary, sig binary"))
+    rows = checkpoint(docs.mapInArrow(_digest(cut), "doc_id long, text_hash long, n_shingles long, digest binary, sig binary"))
     reps = checkpoint(
         rows.where("digest is not null and doc_id is not null").groupBy("digest")
         .agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")))
-    found = components(near_links(reps, docs))
+    found = components(near_links(reps, docs, cut))
     places = reps.select("digest", "node").join(found, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
     return rows.select("doc_id", "text_hash", "n_shingles", "digest").join(places, "digest", "left").select(
         "doc_id", "text_hash", "n_shingles",
@@ -243,11 +271,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return judged(docs).drop("text_hash")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, cut: Cut = Cut()) -> DataFrame:
     """The documents (all their columns) without near-copies of a kept one.
     Documents without shingles or without id stay; of rows that repeat doc_id
     and text one stays."""
-    found = judged(docs)
+    found = judged(docs, cut)
     gone = checkpoint(found.where("not kept and doc_id is not null").select(F.col("doc_id").alias("id__"), F.col("text_hash").alias("hash__")).distinct())
     again = checkpoint(found.where("kept").groupBy(F.col("doc_id").alias("id__"), F.col("text_hash").alias("hash__"))
                        .agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))

@@ -111,3 +111,31 @@ def test_signatures_estimate_similarity():
         b = minhash.signature(np.concatenate([common, own[75:]]))
         errors.append((a != b).sum())
     assert abs(np.mean(errors) / minhash.SYMBOLS - 0.15) < 0.02 and max(errors) <= minhash.RADIUS
+
+
+def test_the_stage_links_from_80_per_cent(spark, docs_of):
+    import corpus_pipeline
+
+    rng = random.Random(6)
+    rows = []
+    for g in range(40):  # ten pairs each just under 0.80, at 0.80 to 0.85 (two kinds) and above 0.85
+        base = [f"g{g}w{i}" for i in range(504)]  # 500 shingles; a changed word takes five
+        copy = list(base)
+        for i in range([12, 11, 9, 7][g % 4]):
+            copy[20 + 40 * i] = "x"
+        rows += [(2 * g, " ".join(base)), (2 * g + 1, " ".join(copy))]
+    rng.shuffle(rows)
+    kept = {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs_of(rows), "").collect()}
+    assert kept == {d for d, _ in rows if d % 2 == 0 or d // 2 % 4 == 0}
+    still = {r.doc_id for r in minhash.near_duplicates(docs_of(rows)).where("kept").collect()}  # op1: 85, as its SQL says
+    assert still == {d for d, _ in rows if d % 2 == 0 or d // 2 % 4 != 3}
+
+
+def test_every_pair_within_the_wider_radius_shares_a_key():
+    rng, cut = np.random.default_rng(2), minhash.NEAR_80
+    for _ in range(200):
+        a = rng.integers(0, 1 << 16, cut.symbols).astype(np.uint16)
+        b = a.copy()
+        b[rng.permutation(cut.symbols)[:cut.radius]] ^= 1
+        ka, kb = minhash.chunk_keys(np.stack([a, b]), cut.chunks)
+        assert set(ka) & set(kb)
