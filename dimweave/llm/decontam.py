@@ -21,6 +21,11 @@ readings of the same words (``READINGS``), so that letter case does not decide:
 
 * literal: every word as it stands, in lower case, and only numbers as slots.
   So a passage in capitals, or copied into the middle of a sentence, is found.
+* named: a word that starts a sentence is a name if it also stands as one
+  within a sentence of its text.
+
+Texts whose numbers have separators (1,200 or 3.5) or whose units are in
+capitals are also cut with each such number as one slot.
 
 Edge cases: null, empty and blank texts match nothing and are not
 contaminated; benchmark items without id or text are skipped, and items that
@@ -58,6 +63,16 @@ _CHAIN = (  # (pattern, replacement), in this order; $n are groups
 )
 
 
+_JOIN = "\u0002"  # a separator within a number
+_CHAIN_JOINED = (  # as _CHAIN; a number keeps its separators, units have any case
+    (r"(?<=[0-9])[.,](?=[0-9])", _JOIN),
+    _CHAIN[0],
+    (rf"[^\p{{L}}\p{{N}}{_START}{_JOIN}]+", " "),
+    _CHAIN[2],
+    (rf"([0-9]) ?@?((?i:{'|'.join(UNITS)}))( |$)", "$1 %$2$3"),
+)
+
+
 def words(text: Column) -> Column:
     """The text's words, lower-cased; names start with @, units with %."""
     for pattern, replacement in _CHAIN:
@@ -75,14 +90,56 @@ def template(word: Column) -> Column:
     return F.when(head.isin("@", "%"), head).when(head.isin(*"0123456789"), F.lit("#")).otherwise(word)
 
 
+def _rest(word: Column) -> Column:
+    return F.substring(word, 2, 1 << 30)
+
+
+def _all_words(df: DataFrame, carry: list[str]) -> DataFrame:
+    """carry, cutting and words: the words of ``text`` by both chains (one row
+    if they agree).  A word that starts a sentence and also stands as a name
+    within one keeps _START before it."""
+    for i, chain in enumerate((_CHAIN, _CHAIN_JOINED)):
+        text = F.col("text")
+        for pattern, replacement in chain:
+            text = F.regexp_replace(text, pattern, replacement)
+        df = df.withColumn(f"raw_{i}", F.split(F.lower(F.trim(text)), " "))
+    names = lambda i, sign: F.transform(F.filter(f"raw_{i}", lambda w: F.startswith(w, F.lit(sign))), _rest)
+    df = df.withColumns({f"names_{i}": F.array_intersect(names(i, _START), names(i, "@")) for i in (0, 1)})
+    cut = F.array(*(F.transform(f"raw_{i}", _mark(F.col(f"names_{i}"))) for i in (0, 1)))
+    return df.select(*carry, F.posexplode(F.array_distinct(cut)).alias("cutting", "words"))
+
+
+def _mark(names: Column) -> Callable[[Column], Column]:
+    return lambda w: F.when(F.startswith(w, F.lit(_START)) & ~F.array_contains(names, _rest(w)), _rest(w)).otherwise(w)
+
+
+def _head(word: Column, *signs: str) -> Column:
+    return F.substring(word, 1, 1).isin(*signs)
+
+
 def _plain(word: Column) -> Column:
     """The word without the sign of its type."""
-    return F.when(F.substring(word, 1, 1).isin("@", "%"), F.substring(word, 2, 1 << 30)).otherwise(word)
+    return F.when(_head(word, "@", "%", _START), _rest(word)).otherwise(word)
+
+
+def _typed(word: Column) -> Column:
+    """The template's word: what starts a sentence stands for itself."""
+    return F.when(_head(word, _START), _rest(word)).otherwise(template(word))
+
+
+def _named(word: Column) -> Column:
+    """As _typed, with names that start a sentence as names."""
+    return F.when(_head(word, _START), F.lit("@")).otherwise(template(word))
 
 
 def _literal(word: Column) -> Column:
     """The word itself, whatever its case; numbers are slots."""
-    return F.when(F.substring(word, 1, 1).isin(*"0123456789"), F.lit("#")).otherwise(_plain(word))
+    return F.when(_head(word, *"0123456789"), F.lit("#")).otherwise(_plain(word))
+
+
+def _bare(word: Column) -> Column:
+    """1 for a number or a unit."""
+    return F.when(_head(word, *"0123456789") | _plain(word).isin(*UNITS), 1).otherwise(0)
 
 
 def _windows(df: DataFrame, carry: list[str], width: int) -> DataFrame:
@@ -166,78 +223,93 @@ def _hashed(read: Callable[[Column], Column]) -> Callable[[Column], Column]:
     return lambda w: F.xxhash64(read(w))
 
 
-def _both_windows(df: DataFrame, carry: list[str], width: int) -> DataFrame:
-    """carry, pos and keys, one key for each reading of READINGS (null if it has none)."""
-    names = list(READINGS)
-    df = df.where(F.size("words") >= width).select(*carry, F.size("words").alias("n"), *(F.transform("words", _hashed(f)).alias(f"run_{k}") for k, f in READINGS.items()))
+#: The readings of a window: each says what a word counts as.
+READINGS = {"typed": _typed, "named": _named, "literal": _literal}
+
+
+def _read_windows(df: DataFrame, carry: list[str], width: int) -> DataFrame:
+    """carry, pos and keys: an array of reading and key, one for each of READINGS.
+    The literal reading of a window that is mostly numbers and units has no slots."""
+    runs = {**{k: _hashed(f) for k, f in READINGS.items()}, "exact": _hashed(_plain), "bare": _bare}
+    put = {k: (lambda a, b: a + b) if k == "bare" else (lambda a, b: F.xxhash64(a, b)) for k in runs}
+    df = df.where(F.size("words") >= width).select(*carry, F.size("words").alias("n"), *(F.transform("words", f).alias(f"run_{k}") for k, f in runs.items()))
     size, done = 1, 0
     while size <= width:
         if width & size:
-            shifted = {k: F.slice(f"run_{k}", done + 1, F.col("n")) if done else F.col(f"run_{k}") for k in names}
-            df = df.withColumns({f"key_{k}": F.zip_with(f"key_{k}", shifted[k], lambda a, b: F.xxhash64(a, b)) if done else shifted[k] for k in names})
+            shifted = {k: F.slice(f"run_{k}", done + 1, F.col("n")) if done else F.col(f"run_{k}") for k in runs}
+            df = df.withColumns({f"key_{k}": F.zip_with(f"key_{k}", shifted[k], put[k]) if done else shifted[k] for k in runs})
             done += size
         if 2 * size <= width:
-            df = df.withColumns({f"run_{k}": F.zip_with(f"run_{k}", F.slice(f"run_{k}", size + 1, F.col("n")), lambda a, b: F.xxhash64(a, b)) for k in names})
+            df = df.withColumns({f"run_{k}": F.zip_with(f"run_{k}", F.slice(f"run_{k}", size + 1, F.col("n")), put[k]) for k in runs})
         size *= 2
-    keys = F.arrays_zip(*(F.slice(f"key_{k}", 1, F.col("n") - width + 1).alias(k) for k in names))
-    return df.select(*carry, F.posexplode(keys).alias("pos", "keys"))
+    df = df.select(*carry, F.posexplode(F.arrays_zip(*(F.slice(f"key_{k}", 1, F.col("n") - width + 1).alias(k) for k in runs))).alias("pos", "k"))
+    key = {k: F.col(f"k.{k}") for k in READINGS}
+    key["literal"] = F.when(F.col("k.bare") * 2 > width, F.col("k.exact")).otherwise(key["literal"])
+    return df.select(*carry, "pos", F.array(*(F.struct(F.lit(k).alias("reading"), c.alias("key")) for k, c in key.items())).alias("keys"))
 
 
-#: The readings of a window: each says what a word counts as.
-READINGS = {"typed": template, "literal": _literal}
+def _read_items(items: DataFrame, widths: list[int]) -> DataFrame:
+    """The benchmark's windows by all readings: item_id, variant, width, item_pos,
+    reading, key and usable (not mostly slots of the template)."""
+    out = None
+    for width in widths:
+        w = _read_windows(items.where(F.col("width") == width), ["item_id", "variant", "width", "words"], width)
+        own = F.slice("words", F.col("pos") + 1, F.col("width"))
+        few = lambda slot: F.size(F.filter(own, lambda x: ~slot(x))) * 2 >= F.col("width")  # noqa: E731, B023
+        w = w.withColumns({"usable": few(is_slot), "usable_named": few(lambda x: is_slot(x) | _head(x, _START))})
+        w = w.select("item_id", "variant", "width", F.col("pos").alias("item_pos"), "usable", "usable_named", F.explode("keys").alias("k"))
+        w = w.where(F.when(F.col("k.reading") == "named", F.col("usable_named")).otherwise(F.col("usable")))
+        w = w.select("item_id", "variant", "width", "item_pos", "usable", "k.reading", "k.key")
+        out = w if out is None else out.unionByName(w)
+    return out
+
+
+#: Sets of an alignment's windows; any of them can be enough and consistent.
+_SETS = {"typed": "reading = 'typed'", "named": "reading = 'named'", "usable": "usable"}
 
 
 def whole_alignments(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """As ``alignments``, by all readings of a window, so that letter case does
-    not decide.  The alignment's windows of the typed reading must be enough
-    and consistent, or those of all readings together."""
-    items = checkpoint(_items(benchmark))
+    """As ``alignments``, by all readings of a window.  Enough and consistent
+    must be the windows of the template reading, those with names that start a
+    sentence, or those of all readings together."""
+    items = _all_words(benchmark.where("item_id is not null and text is not null"), ["item_id"]).drop("cutting").distinct()
+    items = checkpoint(items.where(F.size("words") >= SHORTEST).select(
+        "item_id", F.xxhash64("words").alias("variant"), "words", F.least(F.size("words"), F.lit(WINDOW)).alias("width")))
     widths = sorted(r[0] for r in items.select("width").distinct().collect())  # at most WINDOW - SHORTEST + 1
     if not widths:
         return alignments(docs, benchmark)
-    texts = docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("words"))
-    keys = None
-    for width in widths:
-        w = _both_windows(items.where(F.col("width") == width), ["item_id", "variant", "width", "words"], width)
-        own = F.slice("words", F.col("pos") + 1, F.col("width"))
-        usable = F.size(F.filter(own, lambda x: ~is_slot(x))) * 2 >= F.col("width")
-        w = w.where(usable).select("item_id", "variant", "width", "pos", F.explode(F.array(*(
-            F.struct(F.lit(k).alias("reading"), F.col(f"keys.{k}").alias("key")) for k in READINGS))).alias("k"))
-        w = w.select("item_id", "variant", "width", F.col("pos").alias("item_pos"), "k.reading", "k.key")
-        keys = w if keys is None else keys.unionByName(w)
-    keys = checkpoint(keys)
-    need = keys.groupBy("item_id", "variant").agg(
-        F.least(F.count_distinct(F.when(F.col("reading") == "typed", F.col("item_pos"))), F.lit(ENOUGH)).alias("need"),
-        F.least(F.count_distinct("item_pos"), F.lit(ENOUGH)).alias("need_all"))
+    place = ["doc_id", "text_hash", "cutting"]
+    texts = _all_words(docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("text_hash"), "text"), place[:2])
+    keys = checkpoint(_read_items(items, widths))
+    need = keys.groupBy("item_id", "variant").agg(*(
+        F.least(F.count_distinct(F.when(F.expr(which), F.col("item_pos"))), F.lit(ENOUGH)).alias(f"need_{k}") for k, which in _SETS.items()))
     hits = None
     for width in widths:
         own = small(checkpoint(keys.where(F.col("width") == width)))
-        found = _both_windows(texts, ["doc_id", "text_hash"], width).select(
-            "doc_id", "text_hash", "pos", F.explode(F.array(*(F.struct(F.lit(k).alias("reading"), F.col(f"keys.{k}").alias("key")) for k in READINGS))).alias("k")
-        ).select("doc_id", "text_hash", "pos", "k.reading", "k.key").join(own, ["key", "reading"]).select("doc_id", "text_hash", "item_id", "variant", (F.col("pos") - F.col("item_pos")).alias("first"), "item_pos", "reading", "width")
+        found = _read_windows(texts, place, width).select(*place, "pos", F.explode("keys").alias("k")).select(
+            *place, "pos", "k.reading", "k.key").join(own, ["key", "reading"]).select(
+            *place, "item_id", "variant", (F.col("pos") - F.col("item_pos")).alias("first"), "item_pos", "reading", "usable", "width")
         hits = found if hits is None else hits.unionByName(found)
+    enough = F.filter(F.array(*(F.when((F.size(k) >= F.col(f"need_{k}")) & (F.size(k) > 0), F.array_sort(k)) for k in _SETS)), lambda x: x.isNotNull())
     hits = (
-        hits.groupBy("doc_id", "text_hash", "item_id", "variant", "first", "width")
-        .agg(F.collect_set(F.when(F.col("reading") == "typed", F.col("item_pos"))).alias("typed"), F.collect_set("item_pos").alias("every"))
+        hits.groupBy(*place, "item_id", "variant", "first", "width")
+        .agg(*(F.collect_set(F.when(F.expr(which), F.col("item_pos"))).alias(k) for k, which in _SETS.items()))
         .join(need, ["item_id", "variant"])
-        .withColumn("at", F.explode(F.filter(
-            F.array(F.when((F.size("typed") >= F.col("need")) & (F.size("typed") > 0), F.col("typed")),
-                    F.when(F.size("every") >= F.col("need_all"), F.col("every"))), lambda x: x.isNotNull())))
-        .drop("typed", "every")
+        .select(*place, "item_id", "variant", "first", "width", F.explode(F.array_distinct(enough)).alias("at"))
     )
     hits = checkpoint(hits.join(items.select("item_id", "variant", F.col("words").alias("item_words")), ["item_id", "variant"]))
     # Only documents with a match are read again for their slot values.
     again = small(checkpoint(hits.select("doc_id", "text_hash").distinct()))
     mine = again.select(F.col("doc_id").alias("hit_id"), F.col("text_hash").alias("hit_hash"))
     full = docs.where("text is not null").withColumn("text_hash", F.xxhash64("text")).select("doc_id", "text_hash", "text").join(
-        mine, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("text_hash") == F.col("hit_hash")), "left_semi"
-    ).dropDuplicates(["doc_id", "text_hash"]).select(F.col("doc_id").alias("own_id"), F.col("text_hash").alias("own_hash"), words(F.col("text")).alias("doc_words"))
+        mine, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("text_hash") == F.col("hit_hash")), "left_semi").dropDuplicates(["doc_id", "text_hash"])
+    full = _all_words(full, place[:2]).toDF("own_id", "own_hash", "own_cutting", "doc_words")
     covered = F.array_distinct(F.flatten(F.transform("at", lambda p: F.sequence(p, p + F.col("width") - 1))))
     slots = F.transform(
-        F.filter(covered, lambda p: is_slot(F.get("item_words", p))),
+        F.filter(covered, lambda p: is_slot(F.get("item_words", p)) | _head(F.get("item_words", p), _START)),
         lambda p: F.struct(_plain(F.get("item_words", p)).alias("asked"), _plain(F.get("doc_words", p + F.col("first"))).alias("stands")),
     )
-    put = hits.join(full, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("text_hash") == F.col("own_hash"))).withColumn("slots", slots)
+    put = hits.join(full, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("text_hash") == F.col("own_hash")) & (F.col("cutting") == F.col("own_cutting"))).withColumn("slots", slots)
     pairs, asked, stands = (F.size(F.array_distinct(c)) for c in (F.col("slots"), F.col("slots.asked"), F.col("slots.stands")))
     return put.where((pairs == asked) & (pairs == stands)).select(
         "doc_id", "text_hash", "item_id", "first", F.size("at").alias("n_windows"),

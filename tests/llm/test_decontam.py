@@ -75,3 +75,12 @@ def test_letter_case_does_not_hide_a_copy(spark, docs_of):
             "boas eaea " + thirteen.replace("Springfield", "Shelbyville") + " mado"]
     assert found_in(spark, docs_of, thirteen, said) == ["1", "1", "1", "", "1"]
     assert found_in(spark, docs_of, ITEM, [ITEM.upper(), ITEM.upper().replace("3", "8"), ITEM.upper().replace("5 KM", "3 KM")]) == ["1", "1", ""]
+
+
+def test_names_that_start_a_sentence_and_numbers_with_separators(spark, docs_of):
+    asked = "Tom has 3 apples. Tom buys 5 more. How many apples does Tom have?"
+    said = [asked.replace("Tom", "Anna"), asked.replace("Tom", "Anna").replace("Anna buys", "Bob buys"), asked.upper(), asked]
+    assert found_in(spark, docs_of, asked, [PAD.format(s) for s in said]) == ["1", "", "1", "1"]
+    asked = "A barge with 1,200 crates of fruit and 3.5 tons of salt goes up the old canal"
+    said = [asked.replace("1,200", "950").replace("3.5", "4"), asked.replace("3.5", "1,200"), asked.replace("3.5 tons", "9.25 TONS")]
+    assert found_in(spark, docs_of, asked, [PAD.format(s) for s in said]) == ["1", "", "1"]
