@@ -21,6 +21,8 @@ readings of the same words (``READINGS``), so that letter case does not decide:
 
 * literal: every word as it stands, in lower case, and only numbers as slots.
   So a passage in capitals, or copied into the middle of a sentence, is found.
+  Windows that are mostly numbers and units have no slots, so that mostly-slot
+  windows count when they are copied, and tables of other numbers do not.
 * named: a word that starts a sentence is a name if it also stands as one
   within a sentence of its text.
 
@@ -258,20 +260,20 @@ def _read_items(items: DataFrame, widths: list[int]) -> DataFrame:
         few = lambda slot: F.size(F.filter(own, lambda x: ~slot(x))) * 2 >= F.col("width")  # noqa: E731, B023
         w = w.withColumns({"usable": few(is_slot), "usable_named": few(lambda x: is_slot(x) | _head(x, _START))})
         w = w.select("item_id", "variant", "width", F.col("pos").alias("item_pos"), "usable", "usable_named", F.explode("keys").alias("k"))
-        w = w.where(F.when(F.col("k.reading") == "named", F.col("usable_named")).otherwise(F.col("usable")))
+        w = w.where((F.col("k.reading") == "literal") | F.when(F.col("k.reading") == "named", F.col("usable_named")).otherwise(F.col("usable")))
         w = w.select("item_id", "variant", "width", "item_pos", "usable", "k.reading", "k.key")
         out = w if out is None else out.unionByName(w)
     return out
 
 
 #: Sets of an alignment's windows; any of them can be enough and consistent.
-_SETS = {"typed": "reading = 'typed'", "named": "reading = 'named'", "usable": "usable"}
+_SETS = {"typed": "reading = 'typed'", "named": "reading = 'named'", "usable": "usable", "every": "true"}
 
 
 def whole_alignments(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """As ``alignments``, by all readings of a window.  Enough and consistent
     must be the windows of the template reading, those with names that start a
-    sentence, or those of all readings together."""
+    sentence, or those of all readings together (without or with mostly-slot ones)."""
     items = _all_words(benchmark.where("item_id is not null and text is not null"), ["item_id"]).drop("cutting").distinct()
     items = checkpoint(items.where(F.size("words") >= SHORTEST).select(
         "item_id", F.xxhash64("words").alias("variant"), "words", F.least(F.size("words"), F.lit(WINDOW)).alias("width")))
