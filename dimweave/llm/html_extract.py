@@ -10,6 +10,10 @@ Viterbi.  Training takes a fixed set of pages, whatever the input.
 Within a block character references are decoded, white space becomes one
 space, and the ends are trimmed; blocks are joined by one newline.
 
+The content of scripts, styles, templates, text areas, titles, and of closed
+noscript, iframe and select elements is no text; formulas and drawings are
+inline text, and so is what follows an element that is never closed.
+
 Edge cases: a null or empty page, or one without text, has an empty text;
 unclosed, stray and cut-off tags, comments and references are read as far as
 they go; white space is that of Unicode; pages of any length are read whole;
@@ -35,7 +39,8 @@ BLOCK_TAGS = frozenset(
     "h4 h5 h6 head header hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead title tr ul "
     "button iframe".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW_TAGS = frozenset("script style noscript template textarea svg math iframe select title".split())
+RAW_TAGS = frozenset("script style template textarea title".split())
+SKIPPED_TAGS = frozenset("noscript iframe select".split())  # up to their closing tag, if they have one
 _CLOSES_P = BLOCK_TAGS - {"head", "html", "body", "title"}
 
 _TOKEN = re.compile(
@@ -79,7 +84,7 @@ def blocks(page: str | None) -> list[Block]:
                 del stack[depth:]
                 return
 
-    page, at = page or "", 0
+    page, at, unclosed = page or "", 0, set()
     while True:
         found = _TOKEN.search(page, at)
         if not found:
@@ -97,11 +102,14 @@ def blocks(page: str | None) -> list[Block]:
                 flush()
                 close(name)
             continue
-        if name in RAW_TAGS and not found[3].endswith("/"):
+        if name in RAW_TAGS | SKIPPED_TAGS - unclosed and not found[3].endswith("/"):
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>]|$)[^>]*>?", re.I).search(page, at)
-            at = end.end() if end else len(page)
-            flush()
-            continue
+            if end or name in RAW_TAGS:
+                at = end.end() if end else len(page)
+                if name in BLOCK_TAGS and name != "title":  # a drawing may have one
+                    flush()
+                continue
+            unclosed.add(name)
         if name == "a":
             state["link"] += 1
         elif name == "br":

@@ -62,3 +62,13 @@ def test_edge_rows(spark):
     assert by[None][1] == "Some words here.\nCut off &am" and len([g for g in got if g[0] == 5]) == 2
     assert by[6][1] == "a < b and c > d e\nx" and by[8][1] == "a"
     assert he.extract(df.limit(0), MODEL).collect() == []
+
+
+def test_inline_elements_keep_their_text_and_block():
+    cut = lambda page: [b.text for b in he.blocks(page)]
+    assert cut("<p>a <script>var x = '<p>';</script> b</p>") == ["a b"] and cut("<p>a<style>p{}</style>b <noscript>n</noscript>c</p>") == ["ab c"]
+    assert cut("<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be <svg><title>t</title><text>two</text></svg>.</p>") == ["Let x=2 be two."]
+    for tag in ("svg", "math", "select", "noscript", "iframe"):
+        assert " ".join(cut(f"<article><p>before <{tag}> here</p><p>after</p></article>")) == "before here after"
+    assert cut("<p>a</p><select><option>o</option></select><iframe>i</iframe><p>b</p>") == ["a", "b"]
+    assert he.main_text("<article><p>Some words <math><mi>here</mi></math> and more.</p><p>The last words.</p></article>", MODEL) == "Some words here and more.\nThe last words."
