@@ -55,7 +55,10 @@ _TABLE = _letters()
 def ngrams(text: str | None) -> np.ndarray:
     """Feature cells of the text's n-grams, with repetitions; empty if it has no letter."""
     points = np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), "<u4")
-    # Beyond the basic plane characters count as themselves.
+    # Beyond the basic plane letters count as themselves, the rest as blanks.
+    if len(points) and points.max() >= 0x10000:
+        high = np.unique(points[points >= 0x10000])
+        points = np.where(np.isin(points, [c for c in high.tolist() if not chr(c).isalpha()]), 0x20, points)
     chars = np.where(points < 0x10000, _TABLE[np.minimum(points, 0xFFFF)], points).astype(np.uint64)
     if not len(chars) or not (chars != 0x20).any():
         return np.zeros(0, np.int64)

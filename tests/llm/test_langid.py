@@ -64,3 +64,11 @@ def test_temperature_undoes_overconfidence():
     p = np.exp(z) / np.exp(z).sum(axis=1, keepdims=True)
     labels = np.array([rng.choice(3, p=q) for q in p])
     assert abs(langid.fit_temperature(5 * z, labels) - 5) < 0.5
+
+
+def test_symbols_beyond_the_basic_plane_are_no_letters(docs_of):
+    emoji = "\U0001F600 \U0001F680\U0001F4A9 \U00010190"
+    assert not len(langid.ngrams(emoji)) and len(langid.ngrams("\U00020000"))
+    assert list(langid.ngrams("abc\U0001F600def")) == list(langid.ngrams("abc def"))
+    model = langid.train(docs_of([(1, "abc"), (2, "abd")], lang="en"))
+    assert model.predict(emoji) == ("und", 0.0) and model.predict("abc " + emoji)[0] == "en"
