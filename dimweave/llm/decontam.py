@@ -107,10 +107,15 @@ def _all_words(df: DataFrame, carry: list[str]) -> DataFrame:
         df = df.withColumn(f"raw_{i}", F.split(F.lower(F.trim(text)), " "))
     names = lambda i, sign: F.transform(F.filter(f"raw_{i}", lambda w: F.startswith(w, F.lit(sign))), _rest)
     df = df.withColumns({f"names_{i}": F.array_intersect(names(i, _START), names(i, "@")) for i in (0, 1)})
-    cut = F.array(*(F.transform(f"raw_{i}", _mark(F.col(f"names_{i}"))) for i in (0, 1)))
+    # The names are bound as a variable, so that they are not made again for each word.
+    cut = F.flatten(F.array(*(F.transform(F.array(f"names_{i}"), _marked(f"raw_{i}")) for i in (0, 1))))
     return df.select(*carry, F.posexplode(F.array_distinct(cut)).alias("cutting", "words"))
 
 
+def _marked(raw: str) -> Callable[[Column], Column]:
+    return lambda names: F.transform(raw, _mark(names))
+
+
 def _mark(names: Column) -> Callable[[Column], Column]:
     return lambda w: F.when(F.startswith(w, F.lit(_START)) & ~F.array_contains(names, _rest(w)), _rest(w)).otherwise(w)
 
