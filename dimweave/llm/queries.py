@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimweave.llm import decontam, html_extract, langid, linededup, minhash, packing, suffixdedup, topk, urlfilter, wordpiece
+from dimweave.llm import (
+    decontam, html_extract, infill, langid, linededup, minhash, packing, suffixdedup, topk, urlfilter, wordpiece,
+)
 from dimweave.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -224,3 +226,38 @@ def op10_suffix_dedup(spark, sf_dir):
     removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
     return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
                         F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op12_infill", r"""
+WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || doc_id) AS h,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u
+  FROM documents
+), drawn AS (
+  SELECT doc_id, text, u, CAST(len(u) AS BIGINT) AS n,
+         CAST('0x' || h[1:8] AS BIGINT) % (len(u) + 1) AS c1, CAST('0x' || h[9:16] AS BIGINT) % (len(u) + 1) AS c2,
+         text = '' OR regexp_matches(text, '<[PSM]>') OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 50 AS plain,
+         CAST('0x' || h[25:32] AS BIGINT) % 100 < 80 AS spm
+  FROM units
+), cut AS (
+  SELECT doc_id, text, n, CASE WHEN plain THEN 'plain' WHEN spm THEN 'spm' ELSE 'psm' END AS form,
+         array_to_string(u[1 : least(c1, c2)], '') AS p,
+         array_to_string(u[least(c1, c2) + 1 : greatest(c1, c2)], '') AS m,
+         array_to_string(u[greatest(c1, c2) + 1 :], '') AS s
+  FROM drawn
+), made AS (
+  SELECT *, CASE form WHEN 'plain' THEN text WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m
+                      ELSE '<P>' || p || '<S>' || s || '<M>' || m END AS output
+  FROM cut
+)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(output) AS output_sha256,
+       sha256(CASE form WHEN 'plain' THEN output
+              WHEN 'spm' THEN regexp_replace(output, '^<S>(.*)<P>(.*)<M>(.*)$', '\2\3\1', 's')
+              ELSE regexp_replace(output, '^<P>(.*)<S>(.*)<M>(.*)$', '\1\3\2', 's') END) AS restored_sha256
+FROM made
+""")
+def op12_infill(spark, sf_dir):
+    return infill.digests(infill.transform(infill.store(table(spark, sf_dir, "documents"))))
