@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimweave.llm import (
-    decontam, html_extract, infill, langid, linededup, minhash, packing, suffixdedup, topk, urlfilter, wordpiece,
+    align, decontam, html_extract, infill, langid, linededup, minhash, packing, suffixdedup, topk, urlfilter, wordpiece,
 )
 from dimweave.llm.common import table
 
@@ -261,3 +261,8 @@ FROM made
 """)
 def op12_infill(spark, sf_dir):
     return infill.digests(infill.transform(infill.store(table(spark, sf_dir, "documents"))))
+
+
+@query("op13_token_alignment")
+def op13_token_alignment(spark, sf_dir):
+    return align.profiles(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
