@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimweave.llm import (
-    align, decontam, html_extract, infill, langid, linededup, minhash, packing, suffixdedup, topk, urlfilter, wordpiece,
+    align, decontam, html_extract, infill, jaccard, langid, linededup, minhash, packing, suffixdedup, topk, urlfilter, wordpiece,
 )
 from dimweave.llm.common import table
 
@@ -228,6 +228,31 @@ def op10_suffix_dedup(spark, sf_dir):
                         F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query("op11_jaccard_join", """
+WITH RECURSIVE words AS (
+  SELECT doc_id, [w FOR w IN regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '[ \\x09-\\x0D]+') IF w <> ''] AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN []
+                      WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                      ELSE list_distinct([array_to_string(w[i : i + 3], ' ') FOR i IN range(1, len(w) - 2)]) END AS s
+  FROM words
+), items AS (SELECT doc_id, len(s) AS n, unnest(s) AS item FROM sets
+), links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM items a JOIN items b ON a.item = b.item AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reach(doc_id, node) AS (
+  SELECT doc_id, doc_id FROM sets UNION SELECT r.doc_id, l.y FROM reach r JOIN links l ON r.node = l.x
+)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, comp.component_id
+FROM sets s JOIN (SELECT doc_id, min(node) AS component_id FROM reach GROUP BY doc_id) comp ON s.doc_id = comp.doc_id
+""")
+def op11_jaccard_join(spark, sf_dir):
+    return jaccard.linked_classes(table(spark, sf_dir, "documents"))
+
+
 @query("op12_infill", r"""
 WITH units AS (
   SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || doc_id) AS h,
