@@ -4,10 +4,11 @@ properties), with properties as compact JSON text.
 
 Player-to-player edges come from pairs of (deduplicated) participation rows of
 one game.  Their number is by definition quadratic in the game's players, so a
-game with more than ``PAIR_BLOCK`` players is cut into blocks: a row goes to
-all cells (own block, later block) as the first of a pair and to all cells
-(earlier block, own block) as the second, and each pair meets in one cell.  No
-task has to make more than a cell's pairs at a time.
+game with more than ``PAIR_BLOCK`` players is cut into blocks, and each two
+blocks (or one with itself) are a cell.  A row goes to the cells of its block,
+a cell is collected as one list, and each pair is made inside one cell.  No
+task has to make more than a cell's pairs at a time, and no row is joined with
+another.
 """
 
 from __future__ import annotations
@@ -91,26 +92,37 @@ def edges_plays_in(details: DataFrame) -> DataFrame:
                    F.col("team_abbreviation")).alias("properties"))
 
 
-def paired_rows(details: DataFrame) -> DataFrame:
+def game_sizes(details: DataFrame) -> DataFrame:
+    """game_id and its rows, where they are more than a block."""
+    return details.groupBy("game_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > PAIR_BLOCK)
+
+
+def paired_rows(details: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
     """Per game, each unordered pair of distinct players once: game_id and the
-    two participation rows as structs, ``subject`` the one with the larger id."""
+    two participation rows as structs, ``subject`` the one with the larger id.
+
+    ``sizes`` (game_id, n) names the games of more than a block, ``n`` being at
+    least their number of players; without it the rows of ``details`` are
+    counted.  A row goes once to each cell of its block; a cell is collected as
+    one list, of two blocks at most, and paired inside."""
     cols = ["player_id", "player_name", "team_abbreviation", "pts"]
     p = participations(details, ["game_id", *cols]).select("game_id", F.struct(*cols).alias("row"))
-    sizes = p.groupBy("game_id").agg(F.ceil(F.count(F.lit(1)) / PAIR_BLOCK).alias("blocks"))
-    own = p.join(sizes, "game_id").withColumn("own", F.pmod(F.xxhash64("row.player_id"), F.col("blocks")))
-    first = own.select("game_id", F.col("own").alias("i"), F.explode(F.sequence("own", F.col("blocks") - 1)).alias("j"),
-                       F.col("row").alias("one"))
-    second = own.select("game_id", F.explode(F.sequence(F.lit(0).cast("bigint"), "own")).alias("i"), F.col("own").alias("j"),
-                        F.col("row").alias("two"))
+    large = (game_sizes(details) if sizes is None else sizes).select("game_id", F.ceil(F.col("n") / PAIR_BLOCK).alias("blocks"))
+    dealt = p.join(large, "game_id", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1).cast("bigint")))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("row.player_id"), F.col("blocks")))
+    other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other")
+    placed = dealt.select("game_id", "own", "row", other).select(
+        "game_id", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.struct("own", "row").alias("member"))
     # A fixed number of tasks: the cells' rows are few, their pairs are not.
     tasks = int(details.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cell = ["game_id", "i", "j"]
-    j = first.repartition(tasks, *cell).join(second.repartition(tasks, *cell), cell)
-    j = j.where((F.col("one.player_name") != F.col("two.player_name"))
-                & ((F.col("i") != F.col("j")) | (F.col("one.player_id") > F.col("two.player_id"))))
-    larger = F.col("one.player_id") > F.col("two.player_id")
-    return j.select("game_id", F.when(larger, F.col("one")).otherwise(F.col("two")).alias("subject"),
-                    F.when(larger, F.col("two")).otherwise(F.col("one")).alias("object"))
+    squads = placed.repartition(tasks, *cell).groupBy(*cell).agg(F.collect_list("member").alias("squad"))
+    one = squads.select("game_id", (F.col("i") == F.col("j")).alias("alone"), "squad", F.explode("squad").alias("one"))
+    partners = F.filter("squad", lambda two: (
+        (two["row"]["player_id"] < F.col("one.row.player_id")) & (two["row"]["player_name"] != F.col("one.row.player_name"))
+        & (F.col("alone") | (two["own"] != F.col("one.own")))))
+    return one.select("game_id", F.col("one.row").alias("subject"), F.explode(partners).alias("two")).select(
+        "game_id", "subject", F.col("two.row").alias("object"))
 
 
 def pair_type() -> Column:
@@ -118,10 +130,10 @@ def pair_type() -> Column:
             .otherwise("plays_against"))
 
 
-def player_pairs(details: DataFrame) -> DataFrame:
+def player_pairs(details: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
     """Per game, each pair of players once, with the edge type (same team or
     not) and both players' points."""
-    return paired_rows(details).select(
+    return paired_rows(details, sizes).select(
         "game_id",
         F.col("subject.player_id").alias("subject_player_id"), F.col("object.player_id").alias("object_player_id"),
         pair_type().alias("edge_type"),
@@ -129,16 +141,16 @@ def player_pairs(details: DataFrame) -> DataFrame:
         F.col("subject.pts").alias("subject_pts"), F.col("object.pts").alias("object_pts"))
 
 
-def pair_totals(details: DataFrame) -> DataFrame:
+def pair_totals(details: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
     """Per pair and edge type: games and points, as typed columns."""
-    return player_pairs(details).groupBy("subject_player_id", "object_player_id", "edge_type").agg(
+    return player_pairs(details, sizes).groupBy("subject_player_id", "object_player_id", "edge_type").agg(
         F.count(F.lit(1)).alias("num_games"),
         F.sum("subject_pts").alias("subject_points"),
         F.sum("object_pts").alias("object_points"))
 
 
-def edges_player_pairs(details: DataFrame) -> DataFrame:
-    return pair_totals(details).select(
+def edges_player_pairs(details: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
+    return pair_totals(details, sizes).select(
         F.col("subject_player_id").alias("subject_identifier"), F.lit("player").alias("subject_type"),
         F.col("object_player_id").alias("object_identifier"), F.lit("player").alias("object_type"),
         "edge_type",

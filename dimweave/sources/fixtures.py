@@ -94,6 +94,13 @@ def game_details(spark: SparkSession, sf_dir: str, comments: bool = False) -> Da
     )
 
 
+def large_games(spark: SparkSession, sf_dir: str, more_than: int) -> DataFrame:
+    """game_id and n of the games with more than so many line items, which are
+    at least as many as their players (one scan of one column)."""
+    return (base(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("game_id")).agg(F.count(F.lit(1)).alias("n"))
+            .where(F.col("n") > more_than))
+
+
 def games(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = base(spark, sf_dir, "orders")
     cust = base(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
