@@ -17,6 +17,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dimweave.operators.layout import drop_path
+
 
 def key_violations(df: DataFrame, keys: list[str]) -> DataFrame:
     """Rows breaking a declared primary key: duplicate keys or a NULL key part."""
@@ -60,12 +62,6 @@ def staged_vs_published(staged: DataFrame, published: DataFrame, group: str) ->
     return s.join(p, on=group, how="full_outer")
 
 
-def drop_path(spark: SparkSession, path: str) -> None:
-    """Delete a staged copy (a folder that this job has written)."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
 def write_audited(df: DataFrame, path: str, audits, partition_by: list[str] | None = None) -> str:
     """Write ``df`` to the new ``path`` and run each audit (a function from the
     written rows to the failing ones).  Returns the path if all pass; otherwise

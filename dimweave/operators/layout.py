@@ -1,5 +1,5 @@
-"""Table layout: declared tables, partitioned / bucketed / sorted writes,
-compaction, and file-level reports.
+"""Table layout: declared tables, partitioned / bucketed / sorted writes, and
+file-level reports.
 
 File reports read the file listing (the ``binaryFile`` source without its
 content) and group by the hidden ``_metadata`` columns, so they are plain
@@ -10,7 +10,9 @@ task for each value, more where a value has many rows.
 from __future__ import annotations
 
 import json
+import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -22,29 +24,57 @@ def rebalanced(df: DataFrame, *cols: str) -> DataFrame:
 
 def declare_table(spark: SparkSession, path: str, schema: StructType,
                   partition_by: list[str] | None = None) -> None:
-    """Create an empty table with a declared schema and partitioning at ``path``;
-    the declaration is kept beside the data."""
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
-    declared = json.dumps({"schema": json.loads(schema.json()), "partition_by": partition_by or []})
-    spark.createDataFrame([(declared,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/_declared")
+    """Create an empty table with a declared schema and partitioning at ``path``.
+
+    The declarations are a log beside the data: the newest names the folder
+    that holds the rows, so declaring anew empties a table in one step, and a
+    job that fails before leaves it as it was."""
+    try:
+        version = _declared(spark, path)["version"] + 1
+    except AnalysisException:
+        version = 0
+    data = f"data-{version}-{uuid.uuid4().hex[:8]}"
+    spark.createDataFrame([], schema).write.parquet(f"{path}/{data}")
+    declared = json.dumps({"version": version, "data": data, "schema": json.loads(schema.json()), "partition_by": partition_by or []})
+    spark.createDataFrame([(declared,)], "value string").coalesce(1).write.mode("append").text(f"{path}/_declared")
+
+
+def _declared(spark: SparkSession, path: str) -> dict:
+    """The newest declaration (one row of text for each)."""
+    version = F.get_json_object("value", "$.version").cast("int")
+    return json.loads(spark.read.text(f"{path}/_declared").orderBy(version.desc()).first()[0])
 
 
 def declaration(spark: SparkSession, path: str) -> tuple[StructType, list[str]]:
-    found = json.loads(spark.read.text(f"{path}/_declared").first()[0])
+    found = _declared(spark, path)
     return StructType.fromJson(found["schema"]), found["partition_by"]
 
 
+def data_path(spark: SparkSession, path: str) -> str:
+    """The folder that holds a declared table's rows."""
+    return f"{path}/{_declared(spark, path)['data']}"
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """A declared table with its declared types and order, empty or not."""
     schema, _ = declaration(spark, path)
-    return spark.read.schema(schema).parquet(path).select(*schema.names)
+    return spark.read.schema(schema).parquet(data_path(spark, path)).select(*schema.names)
 
 
 def truncate_table(spark: SparkSession, path: str) -> None:
     """Remove every row of the declared table at ``path`` but keep its schema and
     partitioning (the path-table form of TRUNCATE TABLE, which Spark refuses on
-    external tables)."""
+    external tables): a new, empty version is declared, then the old one's
+    folder is dropped."""
+    old = data_path(spark, path)
     declare_table(spark, path, *declaration(spark, path))
+    drop_path(spark, old)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library has written."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
@@ -59,11 +89,11 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
 def load_into(path: str, df: DataFrame) -> None:
     """Append a load to the declared table at ``path``."""
     schema, partition_by = declaration(df.sparkSession, path)
-    load = conform(df, schema)
+    load, data = conform(df, schema), data_path(df.sparkSession, path)
     if partition_by:
-        rebalanced(load, *partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
+        rebalanced(load, *partition_by).write.mode("append").partitionBy(*partition_by).parquet(data)
     else:
-        load.write.mode("append").parquet(path)
+        load.write.mode("append").parquet(data)
 
 
 TIME_UNITS = {
@@ -103,17 +133,18 @@ def sort_within(df: DataFrame, part_col: str, sort_cols: list[str]) -> DataFrame
     return rebalanced(df, part_col).sortWithinPartitions(*sort_cols)
 
 
-def _plain(path: Column) -> Column:
+def plain_path(path: Column) -> Column:
     """file:///x and file:/x are one file."""
-    return F.regexp_replace(path, "^([A-Za-z0-9]+):/+", "$1:/")
+    return F.regexp_replace(path, "^file:/+", "file:/")
 
 
 def file_listing(spark: SparkSession, path: str) -> DataFrame:
     """(file_path, file_size) of the Parquet files below ``path``, those without
-    rows included; no content is read."""
+    rows included; no content is read.  Paths are URIs, as in every source's
+    ``_metadata``, so that they can be joined whatever characters they hold."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
              .option("pathGlobFilter", "*.parquet").load(path))
-    return files.select(_plain(F.col("path")).alias("file_path"), F.col("length").alias("file_size"))
+    return files.select(plain_path(F.col("_metadata.file_path")).alias("file_path"), F.col("length").alias("file_size"))
 
 
 def file_stats(spark: SparkSession, path: str, cols: list[str] | None = None) -> DataFrame:
@@ -123,7 +154,7 @@ def file_stats(spark: SparkSession, path: str, cols: list[str] | None = None) ->
     for c in cols or df.columns:
         aggs += [F.count_if(F.col(c).isNull()).alias(f"{c}_nulls"),
                  F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max")]
-    stats = df.groupBy(_plain(F.col("_metadata.file_path")).alias("file_path")).agg(*aggs)
+    stats = df.groupBy(plain_path(F.col("_metadata.file_path")).alias("file_path")).agg(*aggs)
     return file_listing(spark, path).join(stats, "file_path", "left").withColumn(
         "record_count", F.coalesce("record_count", F.lit(0)))
 
@@ -139,44 +170,13 @@ def layout_report(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
     return out
 
 
+def row_fingerprint_of(cols: list[str]) -> list[Column]:
+    """Aggregates: row count and an order-independent content hash (sum of row hashes)."""
+    return [F.count(F.lit(1)).alias("rows"), F.sum(F.xxhash64(*cols).cast("decimal(38,0)")).alias("hash_sum")]
+
+
 def row_fingerprint(df: DataFrame) -> DataFrame:
-    """Row count and an order-independent content hash (sum of row hashes)."""
-    h = F.xxhash64(*[F.col(c) for c in df.columns])
-    return df.select(h.alias("_h")).agg(F.count(F.lit(1)).alias("rows"),
-                                        F.sum(F.col("_h").cast("decimal(38,0)")).alias("hash_sum"))
-
-
-def compact_files(spark: SparkSession, src: str, dst: str, target_bytes: int,
-                  partition_cols: list[str] | None = None) -> DataFrame:
-    """Rewrite the table at ``src`` to ``dst`` with its partition columns, each
-    partition in about size / target files, then compare row count and content
-    hash before and after.  Returns one report row."""
-    cols = list(partition_cols or [])
-    before, files = spark.read.parquet(src), file_listing(spark, src)
-    n_before = files.select(F.count(F.lit(1))).scalar()
-    for c in cols:
-        files = files.withColumn(c, F.regexp_extract("file_path", f"/{c}=([^/]*)/", 1))
-    # How many files each partition needs: as many rows as there are partitions.
-    need = files.groupBy(*cols).agg(F.ceil(F.sum("file_size") / target_bytes).alias("slots"))
-    total = max(1, need.agg(F.sum("slots")).first()[0] or 1)
-    if cols:
-        texts = need.toDF(*[f"{c}__text" for c in cols], "slots")
-        same = F.lit(True)
-        for c in cols:
-            same = same & (F.col(c).cast("string") == F.col(f"{c}__text"))
-        sized = before.join(texts, same, "left").drop(*[f"{c}__text" for c in cols])
-    else:
-        sized = before.withColumn("slots", F.lit(total))
-    slot = F.pmod(F.xxhash64(*before.columns), F.greatest(F.coalesce("slots", F.lit(1)), F.lit(1)))
-    out = sized.withColumn("slot__", slot).drop("slots").repartition(int(total), *cols, "slot__").drop("slot__")
-    (out.write.mode("overwrite").partitionBy(*cols) if cols else out.write.mode("overwrite")).parquet(dst)
-    after = spark.read.parquet(dst)
-    fp_after = row_fingerprint(after.select(*before.columns)).select(F.struct("rows", "hash_sum")).scalar()
-    files_after = file_listing(spark, dst).select(F.count(F.lit(1))).scalar()
-    return row_fingerprint(before).select(
-        n_before.alias("files_before"), files_after.alias("files_after"),
-        F.col("rows").alias("rows_before"), fp_after["rows"].alias("rows_after"),
-        (F.col("hash_sum") == fp_after["hash_sum"]).alias("content_equal"))
+    return df.agg(*row_fingerprint_of(df.columns))
 
 
 def partition_report(spark: SparkSession, path: str, month_col: str) -> DataFrame:
