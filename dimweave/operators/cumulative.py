@@ -60,48 +60,44 @@ def cumulative_step(prev: DataFrame, cur: DataFrame, *, key: str = "player_name"
     ).withColumn("scoring_class_ord", class_ord(F.col("scoring_class")))
 
 
-def last_period(seasons: DataFrame) -> int | None:
-    """The newest period in the data (one number)."""
-    return seasons.agg(F.max("season")).first()[0]
+def last_period(seasons: DataFrame) -> Column:
+    """The newest period in the data: a scalar subquery of the plan that uses it."""
+    return seasons.agg(F.max("season").cast("int")).scalar()
 
 
-def cumulative_backfill(seasons: DataFrame, upto: int | None = None, *, key: str = "player_name",
+def cumulative_backfill(seasons: DataFrame, upto: int | Column | None = None, *, key: str = "player_name",
                         first_period: int | None = None, periods: list[int] | None = None) -> DataFrame:
     """Every snapshot from each entity's first period to ``upto`` (default: the
     newest period in the data), or only those of ``periods``.
 
-    One shuffle: the per-entity aggregation gathers the entity's active
-    periods with their attributes (bounded by the number of periods); each
-    snapshot row is then derived by filtering that array.  An attribute is the
-    first one that is not NULL among the periods up to the snapshot, as the
-    yearly step fills it in.
+    One shuffle: the per-entity aggregation gathers the sorted active periods'
+    stats, and for each attribute the first period that knows it with its value,
+    as the yearly step fills it in.  The snapshots between an active period and
+    the next share that period's slice of the history, so no snapshot searches
+    it, and an attribute is one comparison.
     """
     src = seasons
     if first_period is not None:
         src = src.where(F.col("season") >= first_period)
-    last = last_period(src) if upto is None else upto
-    src = src.where(F.col("season") <= last)
-    per_entity = src.groupBy(key).agg(
-        F.min("season").alias("first_season"),
-        F.array_sort(F.collect_list(F.struct(*STATS, *ATTRS))).alias("rows"))
-    every = F.sequence(F.col("first_season"), F.lit(last).cast("int"))
+    last = F.lit(upto).cast("int") if isinstance(upto, int) else last_period(src) if upto is None else upto
+    per_entity = src.where(F.col("season") <= last).groupBy(key).agg(
+        F.array_sort(F.collect_list(F.struct(*STATS))).cast(f"array<{SEASON_TYPE}>").alias("rows"),
+        *[F.min(F.when(F.col(a).isNotNull(), F.struct("season", a))).alias(a) for a in ATTRS]).withColumn("after", last + 1)
+    spans = F.transform("rows", lambda r, k: F.struct(
+        (k + 1).alias("n"), r.alias("latest"), F.coalesce(F.get("rows", k + 1)["season"], F.col("after")).alias("until")))
+    held = per_entity.select(key, "rows", *ATTRS, F.explode(spans).alias("span"))
+    held = held.where(F.col("span.until") > F.col("span.latest.season"))  # else the same period follows
+    every = F.sequence(F.col("span.latest.season"), F.col("span.until") - 1)
     if periods is not None:
         every = F.filter(F.array(*[F.lit(p).cast("int") for p in periods]),
-                         lambda p: (p >= F.col("first_season")) & (p <= last))
-    snaps = per_entity.select(key, "rows", F.explode(every).alias("current_season"))
-    upto = snaps.select(key, F.filter("rows", lambda r: r["season"] <= F.col("current_season")).alias("rows"),
-                        F.col("current_season").cast("int").alias("current_season"))
-    latest = F.element_at("rows", -1)
-
-    def first_known(attr: str) -> Column:
-        return F.get(F.filter(F.transform("rows", lambda r: r[attr]), lambda v: v.isNotNull()), 0)
-
-    return upto.select(
-        key, *[first_known(a).alias(a) for a in ATTRS],
-        F.transform("rows", lambda r: F.struct(*[r[s].alias(s) for s in STATS])).cast(f"array<{SEASON_TYPE}>").alias("seasons"),
-        scoring_class(latest["pts"]).alias("scoring_class"),
-        (F.col("current_season") - latest["season"]).cast("int").alias("years_since_last_active"),
-        (latest["season"] == F.col("current_season")).alias("is_active"),
+                         lambda p: (p >= F.col("span.latest.season")) & (p < F.col("span.until")))
+    snaps = held.select(key, "rows", *ATTRS, "span.n", "span.latest", F.explode(every).alias("current_season"))
+    return snaps.select(
+        key, *[F.when(F.col(f"{a}.season") <= F.col("current_season"), F.col(f"{a}.{a}")).alias(a) for a in ATTRS],
+        F.slice("rows", F.lit(1), F.col("n")).alias("seasons"),
+        scoring_class(F.col("latest.pts")).alias("scoring_class"),
+        (F.col("current_season") - F.col("latest.season")).cast("int").alias("years_since_last_active"),
+        (F.col("latest.season") == F.col("current_season")).alias("is_active"),
         "current_season",
     ).withColumn("scoring_class_ord", class_ord(F.col("scoring_class")))
 

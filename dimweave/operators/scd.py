@@ -5,11 +5,12 @@ Change detection follows the reference's three-valued logic (rule R1):
 and CASE turns NULL into "no change".  ``null_safe=True`` compares with
 ``eqNullSafe`` instead.
 
-``scd2_full`` rebuilds the history up to a period in one pass: lag and the
-running sum share one window specification, so one shuffle by key serves
-both, and the final grouping (key, streak, attributes) reuses that
-partitioning.  ``scd2_incremental`` folds one new period into the previous
-history with a single left join of the open rows.
+A key's history is kept as its list of runs of equal attributes.  One shuffle by
+key gathers and cuts it; the runs, not the periods, then go through the change
+rule in the same partitioning.  Run lists can be built in parts and merged, so
+new periods are added without a rebuild (``merge_run_lists``), and so is a
+history too long to be gathered at once.  ``scd2_incremental`` folds one new
+period into the previous history with a single left join of the open rows.
 """
 
 from __future__ import annotations
@@ -38,16 +39,61 @@ def scd_change_flags(players: DataFrame, upto: int, *, key: str = "player_name",
         .alias(f"{a}_change_indicator") for a in attrs])
 
 
-def _with_streaks(players: DataFrame, upto: int, key: str, attrs, period: str,
-                  null_safe: bool) -> DataFrame:
-    w = Window.partitionBy(key).orderBy(period)
-    base = players.where(F.col(period) <= upto).select(
-        key, period, *attrs, *[F.lag(a, 1).over(w).alias(f"_prev_{a}") for a in attrs],
-        F.lag(F.lit(True), 1).over(w).isNotNull().alias("_has_prev"))
-    change = reduce(lambda acc, a: acc.when(_changed(F.col(a), F.col(f"_prev_{a}"), null_safe), 1),
-                    attrs[1:], F.when(_changed(F.col(attrs[0]), F.col(f"_prev_{attrs[0]}"), null_safe), 1))
-    flagged = base.withColumn("change_indicator", change.otherwise(0))
-    return flagged.withColumn("streak_identifier", F.sum("change_indicator").over(w))
+def _runs(items: Column, attrs: list[str]) -> Column:
+    """From a list of spans (start_season, end_season, attributes) in order, the
+    list with neighbours of equal attributes joined.  Each span is held against
+    its neighbour alone, so the work is linear."""
+    def borders(off: int) -> Column:
+        def stands_out(x: Column, k: Column) -> Column:
+            other = F.get(items, k + off)
+            return other.isNull() | ~reduce(lambda p, q: p & q, [x[a].eqNullSafe(other[a]) for a in attrs])
+        return F.filter(items, stands_out)
+
+    return F.transform(F.arrays_zip(borders(-1).alias("first"), borders(1).alias("last")), lambda z: F.struct(
+        z["first"]["start_season"].alias("start_season"), z["last"]["end_season"].alias("end_season"),
+        *[z["first"][a].alias(a) for a in attrs]))
+
+
+def run_lists(players: DataFrame, upto: int | None = None, *, key: str = "player_name", attrs=("scoring_class", "is_active"),
+              period: str = "current_season", chunk: int | None = None) -> DataFrame:
+    """One row for each key: ``runs``, the list of its runs of equal attributes.
+
+    With ``chunk`` a key's periods are first cut into spans of so many, whose
+    run lists are built apart and then merged, so that a long history is never
+    gathered period by period."""
+    attrs = list(attrs)
+    rows = players if upto is None else players.where(F.col(period) <= upto)
+    span = F.struct(F.col(period).alias("start_season"), F.col(period).alias("end_season"), *attrs)
+
+    def gathered(df: DataFrame, *keys) -> DataFrame:
+        lists = df.groupBy(*keys).agg(F.array_sort(F.collect_list("span")).alias("spans"))
+        return lists.withColumn("runs", _runs(F.col("spans"), attrs)).drop("spans")
+
+    spans = rows.select(key, span.alias("span"))
+    if chunk is None:
+        return gathered(spans, key)
+    parts = gathered(spans.withColumn("part", F.floor(F.col("span.start_season") / chunk)), key, "part")
+    return gathered(parts.select(key, F.explode("runs").alias("span")), key)
+
+
+def merge_run_lists(older: DataFrame, newer: DataFrame, *, key: str = "player_name", attrs=("scoring_class", "is_active")) -> DataFrame:
+    """The run lists of two parts of a history as one: what has been loaded and
+    the new periods (no period stands in both).  Only runs are read."""
+    lists = older.unionByName(newer).groupBy(key).agg(F.array_sort(F.flatten(F.collect_list("runs"))).alias("spans"))
+    return lists.select(key, _runs(F.col("spans"), list(attrs)).alias("runs"))
+
+
+def _streaks(lists: DataFrame, key: str, attrs: list[str], null_safe: bool) -> DataFrame:
+    """key, streak_identifier, attributes, first and last period, from run lists.
+    Rule R1 can leave several runs in one streak; equal ones are one row."""
+    runs = lists.select(key, F.posexplode("runs").alias("k", "run")).select(key, "k", "run.*")
+    if null_safe:  # neighbours differ, so each run is a streak
+        return runs.select(key, F.col("k").cast("bigint").alias("streak_identifier"), *attrs, "start_season", "end_season")
+    w = Window.partitionBy(key).orderBy("k")
+    changed = reduce(lambda p, q: p | F.coalesce(q, F.lit(False)), [F.col(a) != F.lag(a, 1).over(w) for a in attrs], F.lit(False))
+    flagged = runs.withColumn("changed", changed.cast("int"))
+    return (flagged.withColumn("streak_identifier", F.sum("changed").over(w)).groupBy(key, "streak_identifier", *attrs)
+            .agg(F.min("start_season").alias("start_season"), F.max("end_season").alias("end_season")))
 
 
 def scd_streaks(players: DataFrame, upto: int, *, key: str = "player_name",
@@ -55,22 +101,25 @@ def scd_streaks(players: DataFrame, upto: int, *, key: str = "player_name",
                 null_safe: bool = False) -> DataFrame:
     """Runs of equal attributes: run number, first and last period."""
     attrs = list(attrs)
-    s = _with_streaks(players, upto, key, attrs, period, null_safe)
-    return (s.groupBy(key, "streak_identifier", *attrs)
-            .agg(F.min(period).alias("start_season"), F.max(period).alias("end_season"))
-            .select(key, *attrs, "streak_identifier", "start_season", "end_season"))
+    s = _streaks(run_lists(players, upto, key=key, attrs=attrs, period=period), key, attrs, null_safe)
+    return s.select(key, *attrs, "streak_identifier", "start_season", "end_season")
+
+
+def scd2_from_runs(lists: DataFrame, upto: int | Column, *, key: str = "player_name",
+                   attrs=("scoring_class", "is_active"), null_safe: bool = False) -> DataFrame:
+    """Type-2 rows of stored or merged run lists, stamped with ``upto``."""
+    attrs = list(attrs)
+    return _streaks(lists, key, attrs, null_safe).select(
+        key, *attrs, "start_season", "end_season", F.lit(upto).cast("int").alias("current_season"))
 
 
 def scd2_full(players: DataFrame, upto: int, *, key: str = "player_name",
               attrs=("scoring_class", "is_active"), period: str = "current_season",
-              null_safe: bool = False) -> DataFrame:
-    """Type-2 history up to ``upto``: one row per run, stamped with ``upto``."""
-    attrs = list(attrs)
-    s = _with_streaks(players, upto, key, attrs, period, null_safe)
-    return (s.groupBy(key, "streak_identifier", *attrs)
-            .agg(F.min(period).alias("start_season"), F.max(period).alias("end_season"))
-            .select(key, *attrs, "start_season", "end_season",
-                    F.lit(upto).cast("int").alias("current_season")))
+              null_safe: bool = False, chunk: int | None = None) -> DataFrame:
+    """Type-2 history up to ``upto``: one row per run, stamped with ``upto``.
+    ``chunk``: see ``run_lists``."""
+    lists = run_lists(players, upto, key=key, attrs=attrs, period=period, chunk=chunk)
+    return scd2_from_runs(lists, upto, key=key, attrs=attrs, null_safe=null_safe)
 
 
 def scd2_incremental(scd: DataFrame, current: DataFrame, period: int, *,

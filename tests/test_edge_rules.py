@@ -272,3 +272,56 @@ def test_upsert_table_null_and_text_partitions(spark):
     with pytest.raises(ValueError):
         ch.upsert_table(spark, path, spark.createDataFrame([(1, "01", 1)], ddl), ["k"], ["p"])
     assert spark.read.parquet(path).count() == 3
+
+
+def _naive_history(rows, null_safe=False):
+    """(key, attributes, first, last) by walking through each key's periods."""
+    out = []
+    for key in {r[0] for r in rows}:
+        groups, streak, before = {}, 0, None
+        for _, period, *attrs in sorted((r for r in rows if r[0] == key), key=lambda r: r[1]):
+            if before is not None and (attrs != before if null_safe else any(x is not None and y is not None and x != y for x, y in zip(attrs, before))):
+                streak += 1
+            lo, _ = groups.setdefault((streak, *attrs), (period, period))
+            groups[(streak, *attrs)] = (lo, period)
+            before = attrs
+        out += [(key, *g[1:], lo, hi) for g, (lo, hi) in groups.items()]
+    return sorted(out, key=repr)
+
+
+def test_history_in_parts_equals_history_at_once(spark):
+    import random
+
+    from dimweave.operators import scd
+    rng = random.Random(4)
+    rows = [(k, p, rng.choice(["good", "star", None, "good"]), rng.choice([True, False, True, None]))
+            for k in ("a", "b", "c", None) for p in range(1, 60) if rng.random() < 0.8]
+    rows += [("flat", p, "bad", True) for p in range(1, 40)]
+    df = spark.createDataFrame(rows, "player_name string, current_season int, scoring_class string, is_active boolean")
+
+    def got(d):
+        return sorted((tuple(r)[:-1] for r in d.collect()), key=repr)
+
+    for null_safe in (False, True):
+        want = _naive_history(rows, null_safe)
+        assert got(scd.scd2_full(df, 100, null_safe=null_safe)) == want
+        assert got(scd.scd2_full(df, 100, null_safe=null_safe, chunk=7)) == want
+        old, new = scd.run_lists(df.where("current_season <= 30")), scd.run_lists(df.where("current_season > 30"), chunk=5)
+        assert got(scd.scd2_from_runs(scd.merge_run_lists(old, new), 100, null_safe=null_safe)) == want
+    flat = {r.player_name: len(r.runs) for r in scd.run_lists(df, chunk=7).collect()}
+    assert flat["flat"] == 1  # a history without change is one run, whatever its length
+
+
+def test_backfill_fills_attributes_as_the_step_does(spark):
+    """NULL attributes, gaps, and attributes that change: the first known value stays."""
+    from dimweave.operators import cumulative as cu
+    cols = "player_name string, height string, college string, country string, draft_year string, draft_round string, draft_number string, season int, pts double, ast double, reb double, weight int"
+    rows = [("a", None, "x", None, "1", None, None, 1995, 1.0, 1.0, 1.0, 1), ("a", "6-1", "y", None, "2", None, None, 1998, 30.0, 1.0, 1.0, 2),
+            ("a", "6-2", None, "FR", None, "3", None, 1999, None, None, None, None), ("b", "5-9", None, None, None, None, "7", 1997, 17.0, 0.0, 0.0, 9)]
+    s = spark.createDataFrame(rows, cols)
+    full, fold = cu.cumulative_backfill(s, 2001), cu.cumulative_fold(s, 1995, 2001)
+    assert full.exceptAll(fold).count() == 0 and fold.exceptAll(full).count() == 0 and full.count() == 12
+    some = cu.cumulative_backfill(s, 2001, periods=[1996, 1999])
+    assert some.exceptAll(full.where("current_season in (1996, 1999)")).count() == 0 and some.count() == 3
+    newest = cu.cumulative_backfill(s)  # up to the data's own last period
+    assert newest.agg(F.max("current_season")).first()[0] == 1999 and newest.exceptAll(full).count() == 0
