@@ -33,13 +33,18 @@ def _d(x) -> Column:
     return F.lit(dt.date.fromisoformat(x) if isinstance(x, str) else x)
 
 
+def last_day(activity: DataFrame, day_col: str = "day") -> Column:
+    """The newest day in the data: a scalar subquery of the plan that uses it."""
+    return activity.agg(F.max(day_col)).scalar()
+
+
 def datelist_backfill(activity: DataFrame, asof=None, *, user_col: str = "user_id",
                       day_col: str = "day", since=None) -> DataFrame:
     """The cumulated snapshot at ``asof`` (default: the data's last day): every user seen up to that day with
     the list of active days, newest first; rows without a user are left out, as
     in the daily step.  One aggregation, no fold.  The list grows with the
     history unless ``since`` cuts it."""
-    asof = activity.agg(F.max(day_col)).first()[0] if asof is None else asof
+    asof = last_day(activity, day_col) if asof is None else asof
     cond = (F.col(day_col) <= _d(asof)) & F.col(user_col).isNotNull()
     if since is not None:
         cond = cond & (F.col(day_col) >= _d(since))
@@ -91,6 +96,51 @@ def datelist_int(users: DataFrame, *, window: int = WINDOW_DAYS,
     return users.select("user_id", bits.alias("datelist_int"))
 
 
+# A rolling state: one integer for each user in place of the list of days.  A day
+# d days before the state's date is the bit 2 ** (32 - d), so that the state's own
+# day is kept too (the 33rd bit); its size does not grow with the history.
+TODAY_BIT = 1 << 32
+
+
+def _kept(window: int) -> int:
+    """The bits of the last ``window`` days."""
+    return ((1 << window) - 1) << (33 - window)
+
+
+def datelist_state(activity: DataFrame, asof=None, *, user_col: str = "user_id", day_col: str = "day",
+                   window: int = WINDOW_DAYS) -> DataFrame:
+    """The state at ``asof`` (default: the data's last day) straight from the
+    activity (repeated rows do no harm): user_id, window_bits, date.  Users whose
+    days lie before the window have no bits; rows without a user are left out.
+    The bits are OR-ed before the shuffle, so no list is made anywhere."""
+    asof = _d(last_day(activity, day_col) if asof is None else asof)
+    ago = F.datediff(asof, F.col(day_col))
+    bit = F.when(ago < window, F.call_function("shiftleft", F.lit(1).cast("bigint"), 32 - ago)).otherwise(F.lit(0).cast("bigint"))
+    return (activity.where((F.col(day_col) <= asof) & F.col(user_col).isNotNull())
+            .groupBy(F.col(user_col).cast("string").alias("user_id")).agg(F.bit_or(bit).alias("window_bits"))
+            .select("user_id", "window_bits", asof.alias("date")))
+
+
+def datelist_state_step(state: DataFrame, today: DataFrame, day, *, window: int = WINDOW_DAYS) -> DataFrame:
+    """Move the state on to ``day`` and add its users (``today``: user_id).  The
+    bits shift by the days that have passed since the state's date, one or more;
+    loading a day again changes nothing, and an earlier day is an error."""
+    seen = today.select("user_id", F.lit(TODAY_BIT).alias("seen")).distinct()
+    passed = F.datediff(_d(day), F.col("date"))
+    passed = F.when(passed < 0, F.raise_error(F.concat(F.lit("the state is newer: "), F.col("date").cast("string")))).otherwise(F.least(passed, F.lit(63)))
+    moved = F.call_function("shiftright", F.col("window_bits"), passed.cast("int")).bitwiseAND(F.lit(_kept(window)))
+    zero = F.lit(0).cast("bigint")
+    return state.join(seen, "user_id", "full_outer").select(
+        "user_id", F.when(F.col("date").isNull(), zero).otherwise(moved).bitwiseOR(F.coalesce("seen", zero)).alias("window_bits"),
+        _d(day).cast("date").alias("date"))
+
+
+def datelist_state_int(state: DataFrame, *, include_today: bool = False) -> DataFrame:
+    """The 32-bit integer of each user's state, by the module's bit rule."""
+    bits = F.call_function("shiftright", F.col("window_bits"), F.lit(1)) if include_today else F.col("window_bits").bitwiseAND(F.lit(MASK32))
+    return state.select("user_id", bits.alias("datelist_int"))
+
+
 def datelist_bits(users: DataFrame, *, window: int = WINDOW_DAYS,
                   include_today: bool = False) -> DataFrame:
     """The reference's literal result: per user, each *distinct* per-day value
@@ -159,7 +209,8 @@ def bit_or_per_user(bits: DataFrame, *, value_col: str = "placeholder_int_value"
 
 
 __all__ = [
-    "MASK32", "WEEKLY_MASK", "DAILY_MASK", "datelist_backfill", "datelist_today",
+    "MASK32", "WEEKLY_MASK", "DAILY_MASK", "last_day", "datelist_backfill", "datelist_today",
+    "datelist_state", "datelist_state_step", "datelist_state_int",
     "datelist_step", "datelist_int", "datelist_bits", "activity_flags",
     "active_day_count", "date_series", "users_by_day", "datelist_bits_by_day",
     "bit_or_per_user",

@@ -6,18 +6,22 @@ from pyspark.sql import functions as F
 
 from dimweave.operators import datelist as dl
 from dimweave.operators.audit import write_keyed
-from dimweave.plans.params import ASOF, ASOF_PREV, SERIES_START
+from dimweave.plans.params import ASOF, ASOF_PREV
 from dimweave.plans.registry import query
 from dimweave.session import scratch_path
 from dimweave.sources import fixtures as fx
 
 KEY = ["user_id", "date"]
 
+#: The snapshot's day is the newest in the data, its window the 30 days up to it.
+_ASOF = "(SELECT max(day) FROM fx_activity)"
+_START = "(SELECT max(day) - 29 FROM fx_activity)"
+
 _BACKFILL_SQL = f"""
     SELECT CAST(user_id AS VARCHAR) AS user_id,
            list(day ORDER BY day DESC) AS dates_active,
-           DATE '{ASOF}' AS date
-    FROM fx_activity WHERE user_id IS NOT NULL AND day <= DATE '{ASOF}'
+           {_ASOF} AS date
+    FROM fx_activity WHERE user_id IS NOT NULL
     GROUP BY user_id"""
 
 _USERS_CTE = f"users AS ({_BACKFILL_SQL})"
@@ -34,7 +38,12 @@ _INT_SQL = f"""
 
 
 def _users(spark, sf_dir):
-    return dl.datelist_backfill(fx.activity(spark, sf_dir), ASOF)
+    return dl.datelist_backfill(fx.activity(spark, sf_dir))
+
+
+def _ints(spark, sf_dir):
+    """The window's integers straight from the events."""
+    return dl.datelist_state_int(dl.datelist_state(fx.visits(spark, sf_dir)))
 
 
 @query("datelist_backfill", _BACKFILL_SQL)
@@ -42,7 +51,9 @@ def q_datelist_backfill(spark, sf_dir):
     return _users(spark, sf_dir)
 
 
-@query("datelist_step", _BACKFILL_SQL)
+@query("datelist_step", f"""
+    SELECT CAST(user_id AS VARCHAR) AS user_id, list(day ORDER BY day DESC) AS dates_active, DATE '{ASOF}' AS date
+    FROM fx_activity WHERE user_id IS NOT NULL AND day <= DATE '{ASOF}' GROUP BY user_id""")
 def q_datelist_step(spark, sf_dir):
     """One day's load over the stored snapshot of the day before."""
     act = fx.activity(spark, sf_dir)
@@ -57,12 +68,18 @@ def q_datelist_step(spark, sf_dir):
 
 @query("datelist_int", _INT_SQL)
 def q_datelist_int(spark, sf_dir):
-    return dl.datelist_int(_users(spark, sf_dir))
+    """The newest day's load over the stored state of the day before."""
+    visits = fx.visits(spark, sf_dir)
+    day = dl.last_day(visits)
+    state = dl.datelist_state(visits.where(F.col("day") < day), F.date_sub(day, 1))
+    path = write_keyed(state, scratch_path(spark, "user-state"), KEY)
+    new = dl.datelist_state_step(spark.read.schema(state.schema).parquet(path), dl.datelist_today(visits, day), day)
+    return dl.datelist_state_int(new)
 
 
 @query("agg_bit_or", _INT_SQL)
 def q_agg_bit_or(spark, sf_dir):
-    bits = dl.datelist_bits_by_day(_users(spark, sf_dir), SERIES_START, ASOF)
+    bits = dl.datelist_bits_by_day(_users(spark, sf_dir), F.date_sub("date", 29), F.col("date"))
     return dl.bit_or_per_user(bits)
 
 
@@ -77,27 +94,27 @@ def _flags(v: str) -> str:
     WITH i AS ({_INT_SQL})
     SELECT user_id, datelist_int, {_flags('datelist_int')} FROM i""")
 def q_activity_flags(spark, sf_dir):
-    return dl.activity_flags(dl.datelist_int(_users(spark, sf_dir)))
+    return dl.activity_flags(_ints(spark, sf_dir))
 
 
 @query("active_day_count", f"""
     WITH i AS ({_INT_SQL})
     SELECT user_id, CAST(bit_count(datelist_int) AS INTEGER) AS active_days FROM i""")
 def q_active_day_count(spark, sf_dir):
-    return dl.active_day_count(dl.datelist_int(_users(spark, sf_dir)))
+    return dl.active_day_count(_ints(spark, sf_dir))
 
 
 @query("datelist_bits", f"""
     WITH seen AS (
-        SELECT CAST(user_id AS VARCHAR) AS user_id, DATE '{ASOF}' - day AS ago
-        FROM fx_activity WHERE user_id IS NOT NULL AND day BETWEEN DATE '{SERIES_START}' AND DATE '{ASOF}'
+        SELECT CAST(user_id AS VARCHAR) AS user_id, {_ASOF} - day AS ago
+        FROM fx_activity WHERE user_id IS NOT NULL AND day >= {_START}
     ), named AS (
         -- a day at distance 1 .. 29 has a bit of its own; today's is out of range
         SELECT user_id, CASE WHEN ago > 0 THEN CAST(2 ** (32 - ago) AS BIGINT) ELSE 0 END AS v FROM seen
         UNION
         -- whoever missed a day of the window has a row without a bit
-        SELECT CAST(user_id AS VARCHAR), 0 FROM fx_activity WHERE user_id IS NOT NULL AND day <= DATE '{ASOF}'
-        GROUP BY 1 HAVING count(*) FILTER (day >= DATE '{SERIES_START}') < DATE '{ASOF}' - DATE '{SERIES_START}' + 1
+        SELECT CAST(user_id AS VARCHAR), 0 FROM fx_activity, (SELECT {_START} AS start) WHERE user_id IS NOT NULL
+        GROUP BY 1 HAVING count(*) FILTER (day >= start) < 30
     )
     SELECT user_id, v AS placeholder_int_value, {_flags('v')} FROM named""")
 def q_datelist_bits(spark, sf_dir):
@@ -107,9 +124,9 @@ def q_datelist_bits(spark, sf_dir):
 @query("join_cross", f"""
     WITH {_USERS_CTE}
     SELECT u.user_id, CAST(s AS DATE) AS series_date
-    FROM users u CROSS JOIN generate_series(TIMESTAMP '{SERIES_START}', TIMESTAMP '{ASOF}', INTERVAL 1 DAY) t(s)""")
+    FROM users u CROSS JOIN generate_series(CAST({_START} AS TIMESTAMP), CAST({_ASOF} AS TIMESTAMP), INTERVAL 1 DAY) t(s)""")
 def q_join_cross(spark, sf_dir):
-    return dl.users_by_day(_users(spark, sf_dir), SERIES_START, ASOF).select("user_id", "series_date")
+    return dl.users_by_day(_users(spark, sf_dir), F.date_sub("date", 29), F.col("date")).select("user_id", "series_date")
 
 
 @query("date_series", """

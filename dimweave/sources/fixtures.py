@@ -60,40 +60,47 @@ def player_seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def game_details(spark: SparkSession, sf_dir: str, comments: bool = False) -> DataFrame:
-    """One row per line item: (game, team, player) with box-score columns, and
-    the comment (a join of its own) only where it is asked for.  Contains
-    duplicate (game, team, player) rows, like the reference input."""
-    li = base(spark, sf_dir, "lineitem")
+def game_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One narrow row per line item: the keys of the box score, the columns that
+    it is computed from, and tie-breakers that make row picks repeatable."""
+    return base(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("game_id"), F.col("l_suppkey").alias("player_id"),
+        F.col("l_linenumber").alias("line_no"), F.col("l_partkey").alias("part_id"),
+        F.col("l_extendedprice").alias("price"), F.col("l_shipdate").alias("ship_ts"),
+        F.col("l_returnflag").alias("start_position"), F.col("l_quantity").cast("int").alias("pts"))
+
+
+def described(lines: DataFrame, spark: SparkSession, sf_dir: str, comments: bool = False) -> DataFrame:
+    """The box score of ``game_lines`` rows: team and names by joins, and the
+    comment (a join of its own) only where it is asked for."""
     sup = base(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     nation = base(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    j = (li.join(sup, li.l_suppkey == sup.s_suppkey)
+    j = (lines.join(sup, lines.player_id == sup.s_suppkey)
          .join(nation, F.col("s_nationkey") == F.col("n_nationkey")))
     if comments:
         part = base(spark, sf_dir, "part").select("p_partkey", "p_name")
-        j = j.join(part, F.col("l_partkey") == F.col("p_partkey"))
-    q = F.col("l_quantity").cast("int")
-    ln = F.col("l_linenumber")
+        j = j.join(part, F.col("part_id") == F.col("p_partkey"))
+    q, ln = F.col("pts"), F.col("line_no")
     return j.select(
-        F.col("l_orderkey").alias("game_id"),
-        F.col("s_nationkey").cast("int").alias("team_id"),
-        F.col("n_name").alias("team_abbreviation"),
-        F.col("l_suppkey").alias("player_id"),
-        F.col("s_name").alias("player_name"),
-        F.col("l_returnflag").alias("start_position"),
+        "game_id", F.col("s_nationkey").cast("int").alias("team_id"), F.col("n_name").alias("team_abbreviation"),
+        "player_id", F.col("s_name").alias("player_name"), "start_position",
         *([F.col("p_name").alias("comment")] if comments else []),
         F.concat(ln.cast("string"), F.lit(":"), F.lpad(q.cast("string"), 2, "0")).alias("min"),
         (q % 7).alias("fgm"), (q % 11).alias("fga"), (q % 3).alias("fg3m"),
         (q % 5).alias("fg3a"), (q % 4).alias("ftm"), (q % 6).alias("fta"),
         (ln % 3).alias("oreb"), (ln % 4).alias("dreb"), (ln % 3 + ln % 4).alias("reb"),
         (q % 9).alias("ast"), (q % 2).alias("stl"), (ln % 2).alias("blk"),
-        (q % 8).alias("TO"), ln.alias("pf"), q.alias("pts"), (q - 25).alias("plus_minus"),
-        # tie-breakers that make row picks repeatable
-        ln.alias("line_no"), F.col("l_partkey").alias("part_id"),
-        F.col("l_extendedprice").alias("price"), F.col("l_shipdate").alias("ship_ts"),
+        (q % 8).alias("TO"), ln.alias("pf"), "pts", (q - 25).alias("plus_minus"),
+        "line_no", "part_id", "price", "ship_ts",
     )
 
 
+def game_details(spark: SparkSession, sf_dir: str, comments: bool = False) -> DataFrame:
+    """One row per line item: (game, team, player) with box-score columns.
+    Contains duplicate (game, team, player) rows, like the reference input."""
+    return described(game_lines(spark, sf_dir), spark, sf_dir, comments)
+
+
 def large_games(spark: SparkSession, sf_dir: str, more_than: int) -> DataFrame:
     """game_id and n of the games with more than so many line items, which are
     at least as many as their players (one scan of one column)."""
@@ -159,9 +166,14 @@ def devices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(user_id, day) of every event; user_id may be NULL."""
+    return events(spark, sf_dir).select("user_id", F.to_date("event_time").alias("day"))
+
+
 def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(user_id, day) pairs of all events; user_id may be NULL."""
-    return events(spark, sf_dir).select("user_id", F.to_date("event_time").alias("day")).distinct()
+    """The distinct (user_id, day) pairs of all events."""
+    return visits(spark, sf_dir).distinct()
 
 
 def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
