@@ -118,7 +118,7 @@ def append_loads(spark: SparkSession, root: str, df: DataFrame, load_col: str =
     one batch, and log them: load_id, rows_added, committed_at (when the batch
     was complete).  A load that the log already has is refused, so an append
     that is tried again adds nothing.  Returns the log."""
-    batch = f"{root}/data/batch={uuid.uuid4().hex[:12]}"
+    batch = f"{root}/data/batch=b{uuid.uuid4().hex[:12]}"  # never a number
     df.hint("rebalance", F.col(load_col)).write.partitionBy(load_col).parquet(batch)
     # Counting the partition column reads the new batch's file footers only.
     new = (spark.read.parquet(batch).groupBy(F.col(load_col).cast("int").alias("load_id"))
@@ -147,14 +147,12 @@ def load_log(spark: SparkSession, root: str, missing_ok: bool = False) -> DataFr
 
 
 def read_as_of(spark: SparkSession, root: str, load_id: int, load_col: str = "load_id") -> DataFrame:
-    """The table as it was after a load: the logged batches' rows up to it
-    (pruned by the load's directory)."""
-    batches = [r["batch"] for r in load_log(spark, root).select("batch").distinct().collect()]  # one for each append
-    data = None
-    for path in batches:
-        part = spark.read.parquet(path)
-        data = part if data is None else data.unionByName(part)
-    return data.where(F.col(load_col) <= load_id)
+    """The table as it was after a load: the rows of the logged batches up to
+    it.  One scan, whatever the number of appends: the load prunes directories,
+    and the batches join the log, which leaves out batches that were never
+    logged."""
+    logged = load_log(spark, root).where(F.col("load_id") <= load_id).select(F.regexp_extract("batch", "batch=([^/]*)$", 1).alias("batch")).distinct()
+    return spark.read.parquet(f"{root}/data").where(F.col(load_col) <= load_id).join(logged, "batch", "left_semi").drop("batch")
 
 
 def load_retention(log: DataFrame, older_than, keep_last: int) -> DataFrame:

@@ -8,12 +8,14 @@ and the surviving rows get their dimension flags and parsed measures.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimweave.functions.picks import first_per_key
 from dimweave.functions.text import minutes_from_text, substring_flag
+from dimweave.operators.audit import key_violations, write_keyed
 
 DEDUPE_KEYS = ["game_id", "team_id", "player_id"]
 # A game has one date, so rows of one key need no date to be ordered; the order
@@ -43,20 +45,27 @@ def with_game(details: DataFrame, games: DataFrame, day=None) -> DataFrame:
     return details.join(g, on="game_id")
 
 
-def fact_dedupe(details: DataFrame, games: DataFrame, day=None) -> DataFrame:
+def pick_lines(lines: DataFrame) -> DataFrame:
+    """First row per (game, player) of the raw lines.  A player has one team, so
+    these are the (game, team, player) keys; picked here, a row is narrow when
+    it is sorted, and only one of each key goes into the joins that describe it."""
+    return first_per_key(lines, ["game_id", "player_id"], DEDUPE_ORDER)
+
+
+def fact_dedupe(details: DataFrame, games: DataFrame, day=None, *, picked: bool = False) -> DataFrame:
     """First row per (game, team, player), with the game's date.  The pick comes
     before the join: its map-side limit then sees the raw rows, and only one
-    row of each key travels on."""
-    return with_game(first_per_key(details, DEDUPE_KEYS, DEDUPE_ORDER), games, day)
+    row of each key travels on.  ``picked``: the rows come from ``pick_lines``."""
+    return with_game(details if picked else first_per_key(details, DEDUPE_KEYS, DEDUPE_ORDER), games, day)
 
 
 def _flags(markers: dict[str, str]) -> list[Column]:
     return [substring_flag(F.col("comment"), m).alias(name) for name, m in markers.items()]
 
 
-def fact_features(details: DataFrame, games: DataFrame, day, markers: dict[str, str]) -> DataFrame:
+def fact_features(details: DataFrame, games: DataFrame, day, markers: dict[str, str], *, picked: bool = False) -> DataFrame:
     """One day's deduplicated rows with home flag, comment flags and minutes."""
-    d = fact_dedupe(details, games, day)
+    d = fact_dedupe(details, games, day, picked=picked)
     return d.select(
         "game_date_est", "season", "team_id",
         (F.col("team_id") == F.col("home_team_id")).alias("dim_is_playing_at_home"),
@@ -65,9 +74,9 @@ def fact_features(details: DataFrame, games: DataFrame, day, markers: dict[str,
         *STATS, F.col("TO").alias("turnovers"), "pf", "pts", "plus_minus")
 
 
-def fact_build(details: DataFrame, games: DataFrame, markers: dict[str, str]) -> DataFrame:
+def fact_build(details: DataFrame, games: DataFrame, markers: dict[str, str], *, picked: bool = False) -> DataFrame:
     """The full fact table, cast to its declared schema."""
-    d = fact_dedupe(details, games)
+    d = fact_dedupe(details, games, picked=picked)
     out = d.select(
         F.col("game_date_est").alias("dim_game_date"), F.col("season").alias("dim_season"),
         F.col("team_id").alias("dim_team_id"), F.col("player_id").alias("dim_player_id"),
@@ -84,6 +93,19 @@ def fact_build(details: DataFrame, games: DataFrame, markers: dict[str, str]) ->
     return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def load_fact(fact: DataFrame, path: str) -> tuple[str, str]:
+    """Write the fact rows under their declared key to the new ``path`` and the
+    rows that break it (a NULL part, or a key that stands more than once) whole
+    to a second one, so that no row is lost and the loaded table keeps its key.
+    Returns both paths; the loaded table is handed out only if the check of the
+    written rows passes."""
+    bad = key_violations(fact, FACT_KEY).select(*[F.col(k).alias(f"bad_{k}") for k in FACT_KEY])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"bad_{k}")) for k in FACT_KEY])
+    rejects = f"{path}-rejected"
+    fact.join(bad, same, "left_semi").write.parquet(rejects)
+    return write_keyed(fact.join(bad, same, "left_anti"), path, FACT_KEY), rejects
+
+
 def fact_bail_count(fact: DataFrame) -> DataFrame:
     return fact.groupBy("dim_player_name").agg(F.count_if("dim_not_with_team").alias("bailed_num"))
 

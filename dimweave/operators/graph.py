@@ -71,19 +71,21 @@ def vertex_counts(v: DataFrame) -> DataFrame:
     return v.groupBy("type").agg(F.count(F.lit(1)).alias("num_vertices"))
 
 
-def participations(details: DataFrame, cols: list[str] | None = None) -> DataFrame:
+def participations(details: DataFrame, cols: list[str] | None = None, picked: bool = False) -> DataFrame:
     """One row per (player, game), keeping ``cols`` (all columns if None).
-    Only the needed columns enter the pick: the picked row travels through
-    the shuffle as one struct, so narrower is cheaper."""
+    Only the needed columns enter the pick.  ``picked``: the rows are that
+    already (the pick of the raw lines is narrower still)."""
     keys = ["player_id", "game_id"]
+    if picked:
+        return details if cols is None else details.select(*keys, *[c for c in cols if c not in keys])
     if cols is not None:
         keep = keys + [c for c in cols if c not in keys] + [c for c in PICK_ORDER if c not in cols]
         details = details.select(*keep)
     return first_per_key(details, keys, PICK_ORDER)
 
 
-def edges_plays_in(details: DataFrame) -> DataFrame:
-    p = participations(details, ["start_position", "pts", "team_id", "team_abbreviation"])
+def edges_plays_in(details: DataFrame, picked: bool = False) -> DataFrame:
+    p = participations(details, ["start_position", "pts", "team_id", "team_abbreviation"], picked)
     return p.select(
         F.col("player_id").alias("subject_identifier"), F.lit("player").alias("subject_type"),
         F.col("game_id").alias("object_identifier"), F.lit("game").alias("object_type"),
@@ -97,7 +99,7 @@ def game_sizes(details: DataFrame) -> DataFrame:
     return details.groupBy("game_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > PAIR_BLOCK)
 
 
-def paired_rows(details: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
+def paired_rows(details: DataFrame, sizes: DataFrame | None = None, picked: bool = False) -> DataFrame:
     """Per game, each unordered pair of distinct players once: game_id and the
     two participation rows as structs, ``subject`` the one with the larger id.
 
@@ -106,7 +108,7 @@ def paired_rows(details: DataFrame, sizes: DataFrame | None = None) -> DataFrame
     counted.  A row goes once to each cell of its block; a cell is collected as
     one list, of two blocks at most, and paired inside."""
     cols = ["player_id", "player_name", "team_abbreviation", "pts"]
-    p = participations(details, ["game_id", *cols]).select("game_id", F.struct(*cols).alias("row"))
+    p = participations(details, ["game_id", *cols], picked).select("game_id", F.struct(*cols).alias("row"))
     large = (game_sizes(details) if sizes is None else sizes).select("game_id", F.ceil(F.col("n") / PAIR_BLOCK).alias("blocks"))
     dealt = p.join(large, "game_id", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1).cast("bigint")))
     dealt = dealt.withColumn("own", F.pmod(F.xxhash64("row.player_id"), F.col("blocks")))
@@ -130,10 +132,10 @@ def pair_type() -> Column:
             .otherwise("plays_against"))
 
 
-def player_pairs(details: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
+def player_pairs(details: DataFrame, sizes: DataFrame | None = None, picked: bool = False) -> DataFrame:
     """Per game, each pair of players once, with the edge type (same team or
     not) and both players' points."""
-    return paired_rows(details, sizes).select(
+    return paired_rows(details, sizes, picked).select(
         "game_id",
         F.col("subject.player_id").alias("subject_player_id"), F.col("object.player_id").alias("object_player_id"),
         pair_type().alias("edge_type"),
@@ -141,16 +143,16 @@ def player_pairs(details: DataFrame, sizes: DataFrame | None = None) -> DataFram
         F.col("subject.pts").alias("subject_pts"), F.col("object.pts").alias("object_pts"))
 
 
-def pair_totals(details: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
+def pair_totals(details: DataFrame, sizes: DataFrame | None = None, picked: bool = False) -> DataFrame:
     """Per pair and edge type: games and points, as typed columns."""
-    return player_pairs(details, sizes).groupBy("subject_player_id", "object_player_id", "edge_type").agg(
+    return player_pairs(details, sizes, picked).groupBy("subject_player_id", "object_player_id", "edge_type").agg(
         F.count(F.lit(1)).alias("num_games"),
         F.sum("subject_pts").alias("subject_points"),
         F.sum("object_pts").alias("object_points"))
 
 
-def edges_player_pairs(details: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
-    return pair_totals(details, sizes).select(
+def edges_player_pairs(details: DataFrame, sizes: DataFrame | None = None, picked: bool = False) -> DataFrame:
+    return pair_totals(details, sizes, picked).select(
         F.col("subject_player_id").alias("subject_identifier"), F.lit("player").alias("subject_type"),
         F.col("object_player_id").alias("object_identifier"), F.lit("player").alias("object_type"),
         "edge_type",

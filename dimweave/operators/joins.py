@@ -19,8 +19,8 @@ BROADCAST_ROWS = 500_000
 def join_broadcast(big: DataFrame, small: DataFrame, on, how: str = "inner", *,
                    limit_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Join with ``small`` broadcast if it has at most ``limit_rows`` rows.  The
-    count stops at the limit, and sees what filters leave."""
-    few = small.limit(limit_rows + 1).count() <= limit_rows
+    count is a partial aggregate, and sees what filters leave."""
+    few = small.count() <= limit_rows
     return big.join(F.broadcast(small) if few else small, on=on, how=how)
 
 

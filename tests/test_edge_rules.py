@@ -211,6 +211,48 @@ def test_a_broken_key_is_not_written(spark):
     assert au.key_violations(fact, fa.FACT_KEY).count() > 0
     with pytest.raises(AssertionError):
         au.write_keyed(fact, scratch_path(spark, "fact"), fa.FACT_KEY)
+    # The load of the fact table keeps its key: rows that break it go to a table of their own.
+    loaded, rejected = (spark.read.schema(fact.schema).parquet(p) for p in fa.load_fact(fact, scratch_path(spark, "fact")))
+    assert au.key_violations(loaded, fa.FACT_KEY).count() == 0 and rejected.count() > 0
+    assert fact.exceptAll(loaded.unionAll(rejected)).count() == 0 and loaded.count() + rejected.count() == fact.count()
+    assert rejected.groupBy(*fa.FACT_KEY).count().where("count = 1").count() == 0
+
+
+def test_picked_lines_give_the_picked_details(spark):
+    from dimweave.operators import facts as fa
+    from dimweave.operators import graph as gr
+    from dimweave.plans.params import MARKERS
+    from dimweave.sources import fixtures as fx
+    sf = "/root/testdata/sf0.001"
+    lines = fx.described(fa.pick_lines(fx.game_lines(spark, sf)), spark, sf, comments=True)
+    late = fa.fact_build(fx.game_details(spark, sf, comments=True), fx.games(spark, sf), MARKERS)
+    early = fa.fact_build(lines, fx.games(spark, sf), MARKERS, picked=True)
+    assert early.exceptAll(late).count() == 0 and late.exceptAll(early).count() == 0
+    cols = ["player_name", "team_abbreviation", "pts"]
+    late, early = gr.participations(fx.game_details(spark, sf), cols), gr.participations(lines, cols, picked=True)
+    assert early.select(*cols).exceptAll(late.select(*cols)).count() == 0 and early.count() == late.count()
+
+
+def test_batches_that_were_not_logged_are_not_read(spark):
+    from dimweave.session import scratch_path
+    root = scratch_path(spark, "loads-lost")
+    for k in (1, 2, 3):
+        au.append_loads(spark, root, spark.createDataFrame([(k, f"v{k}")], "load_id int, v string"))
+    spark.createDataFrame([(1, "lost")], "load_id int, v string").write.partitionBy("load_id").parquet(f"{root}/data/batch=b0")
+    assert sorted(r.v for r in au.read_as_of(spark, root, 2).collect()) == ["v1", "v2"]
+    plan = au.read_as_of(spark, root, 3)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") <= 3 and "dynamicpruning" in plan  # data, log, and the log again for its batches
+
+
+def test_flags_that_are_null(spark):
+    """A game without a result counts for the visitor; a pair without a team plays against."""
+    from dimweave.operators import graph as gr
+    games = spark.createDataFrame([(1, None, 5, 6, 10, 11)], "game_id long, home_team_wins int, home_team_id int, visitor_team_id int, pts_home int, pts_away int")
+    assert '"winning_team":6' in gr.vertices_game(games).first().properties
+    lines = [(1, 1, "T", 1, "A", 3), (1, 2, None, 2, "B", 4), (1, 2, "T", 3, "C", 5), (1, 2, "T", 4, None, 5)]
+    d = spark.createDataFrame(lines, "game_id long, team_id int, team_abbreviation string, player_id long, player_name string, pts int")
+    got = {(r.subject_player_id, r.object_player_id, r.edge_type) for r in gr.player_pairs(d, gr.game_sizes(d), picked=True).collect()}
+    assert got == {(2, 1, "plays_against"), (3, 1, "shares_team"), (3, 2, "plays_against")}
 
 
 def test_null_attributes_and_users_fold_like_the_backfill(spark):

@@ -119,3 +119,34 @@ def test_scratch_paths(spark):
 
     held = spark.sparkContext._jsc.sc().getCheckpointDir().get()
     assert ensure_checkpoint_dir(Unset) == held == ensure_checkpoint_dir(Unset)
+
+
+def test_pairs_scan_each_table_once(spark):
+    """Lines, their number in large games, and the two tables that name a player."""
+    from dimweave.plans.registry import QUERIES, load_all
+    load_all()
+    for name in ("edges_player_pairs", "join_self_theta", "agg_by_case"):
+        p = plan(QUERIES[name](spark, SF_SMALL))
+        assert p.count("FileScan") == 4 and "CartesianProduct" not in p and "NestedLoop" not in p, name
+    assert plan(QUERIES["graph_pair_averages"](spark, SF_SMALL)).count("FileScan") <= 7
+
+
+def test_facts_are_picked_on_narrow_rows(spark):
+    """The sort below the pick holds line columns only: no name, comment or measure."""
+    from dimweave.plans.registry import QUERIES, load_all
+    load_all()
+    p = plan(QUERIES["fact_build"](spark, SF_SMALL))
+    below = p[p.index("WindowGroupLimit"):]
+    assert "row_number(), 1, Partial" in p and "p_name" not in below[:below.index("FileScan")]
+
+
+def test_last_period_is_a_subquery(spark):
+    """The newest period costs no job of its own before the query runs."""
+    from dimweave.operators import cumulative as cu
+    sc = spark.sparkContext
+    sc.setJobGroup("last-period", "")
+    df = cu.cumulative_backfill(fx.player_seasons(spark, SF_SMALL))
+    before = len(sc.statusTracker().getJobIdsForGroup("last-period"))
+    text = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "scalar-subquery" in text and len(sc.statusTracker().getJobIdsForGroup("last-period")) == before
+    sc.setLocalProperty("spark.jobGroup.id", None)
