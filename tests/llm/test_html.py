@@ -14,7 +14,7 @@ def test_held_out_labelled_pages():
 def test_viterbi_equals_the_best_of_all_labellings():
     for page, _ in he.labelled_pages(40, seed=8):
         page = page[:9]
-        emit = [MODEL.score(he.path_features(b.path)) + MODEL.score(he.text_features(b, i, len(page))) for i, b in enumerate(page)]
+        emit = [MODEL.score(he.path_features(b.path, out)) + MODEL.score(he.text_features(b, i, len(page))) for i, (b, out) in enumerate(zip(page, he.outside(page)))]
         best = max(range(1 << len(page)), key=lambda y: sum(emit[i][y >> i & 1] for i in range(len(page)))
                    + sum(MODEL.pairs[y >> i & 1, y >> (i + 1) & 1] for i in range(len(page) - 1)))
         assert MODEL.decode(page) == [best >> i & 1 for i in range(len(page))]
@@ -72,3 +72,55 @@ def test_inline_elements_keep_their_text_and_block():
         assert " ".join(cut(f"<article><p>before <{tag}> here</p><p>after</p></article>")) == "before here after"
     assert cut("<p>a</p><select><option>o</option></select><iframe>i</iframe><p>b</p>") == ["a", "b"]
     assert he.main_text("<article><p>Some words <math><mi>here</mi></math> and more.</p><p>The last words.</p></article>", MODEL) == "Some words here and more.\nThe last words."
+
+
+def test_layouts_unlike_the_given_pages():
+    text = lambda page: he.main_text(page, MODEL)
+    assert text("<article><p>One.</p><div>Div text in the article.</div></article>") == "One.\nDiv text in the article."
+    assert text("<div>Some plain text in the first block.</div><div>And here is the second one.</div>") == "Some plain text in the first block.\nAnd here is the second one."
+    assert text("<div class='page'><p>The first paragraph is here.</p><p>The second paragraph follows it.</p></div>") == "The first paragraph is here.\nThe second paragraph follows it."
+    for name in ("notice-board", "comment-on-law", "adHoc", "menu_history", "banner-of-the-union"):
+        assert text(f"<article class='{name}'><h1>A heading</h1><p>The first sentence of it.</p><p>And the second one.</p></article>") == "A heading\nThe first sentence of it.\nAnd the second one.", name
+    assert text("<article><p>The text goes on here.</p><p class='ad'>Buy.</p><p>And it ends there.</p></article>") == "The text goes on here.\nAnd it ends there."
+    assert text("<p>Bare paragraphs of a page.</p><p>Without any shell around them.</p>") == "Bare paragraphs of a page.\nWithout any shell around them."
+    assert text("Bare text of a page.<br>Nothing else is in it.") == "Bare text of a page. Nothing else is in it."
+    assert text("<table><tr><td>The first cell holds prose.</td><td>The second cell too.</td></tr></table>") == "The first cell holds prose.\nThe second cell too."
+
+
+def test_references_end_with_their_text_node():
+    assert [b.text for b in he.blocks("<p>&am<b></b>p; &amp;lt; &l<!-- -->t; &eacute;x &#x41;&#66;</p>")] == ["&amp; &lt; &lt; \u00e9x AB"]
+
+
+def test_pages_of_another_generator():
+    """Layouts written apart from the training patterns: other names, nesting and order."""
+    import random
+    rng = random.Random(12)
+    words = "the of a river stone old under long house winter road they saw it was many people water small light".split()
+    sentence = lambda: (" ".join(rng.choice(words) for _ in range(rng.randint(4, 25)))).capitalize() + "."
+    links = lambda n: "".join(f'<li><a href="/{k}">{rng.choice(words)} {rng.choice(words)}</a></li>' for k in range(n))
+    open_close = [("<main role='main'><div class='prose'>", "</div></main>"), ("<div class='layout'><div class='col-md-8 blog-post'>", "</div></div>"), ("<article itemprop='articleBody'>", "</article>"),
+                  ("<div id='mw-content-text'>", "</div>"), ("<center><table><tr><td>", "</td></tr></table></center>"), ("<section><article>", "</article></section>"), ("", "")]
+    prose = [lambda: f"<p>{sentence()} {sentence()}</p>", lambda: f"<div>{sentence()}</div>", lambda: f"<h2>{rng.choice(words)} {rng.choice(words)}</h2><p>{sentence()}</p>",
+             lambda: f"<ol><li>{sentence()}</li><li>{sentence()}</li></ol>", lambda: f"<blockquote><p>{sentence()}</p></blockquote>", lambda: f"<p>{sentence()} <em>{sentence()}</em> <a href='#'>{rng.choice(words)}</a></p>"]
+    noise = [lambda: f"<nav class='topbar'><a href='/'>home</a> <a href='/a'>{rng.choice(words)}</a></nav>", lambda: f"<header class='site-header'><div class='logo'>{rng.choice(words)}</div></header>",
+             lambda: f"<footer id='colophon'><div class='wrap'><p>{sentence()}</p></div></footer>", lambda: f"<aside class='right-rail'><h3>more</h3><ul>{links(4)}</ul></aside>",
+             lambda: f"<div id='sidebar-left'><p>{sentence()}</p></div>", lambda: f"<div class='ad-container'><div>{sentence()}</div></div>", lambda: f"<div class='cookie-banner'>{sentence()}</div>",
+             lambda: f"<div class='comments-list'><div class='comment'><p>{sentence()}</p></div></div>", lambda: f"<form action='/s'><p>{sentence()}</p><button>go</button></form>", lambda: f"<ul class='main-menu'>{links(6)}</ul>"]
+    right, total, lost = 0, 0, 0
+    for _ in range(300):
+        lo, hi = rng.choice(open_close)
+        body = [(p(), 1) for p in rng.choices(prose, k=rng.randint(2, 9))]
+        if rng.random() < 0.4:
+            body.insert(rng.randint(1, len(body)), (rng.choice(noise[5:])(), 0))
+        around = [[(x(), 0) for x in rng.sample(noise, rng.randint(0, 3))] for _ in range(2)]
+        page = "".join(h if not y else h.replace(">", ">\ue000") for h, y in [*around[0], (lo, 0), *body, (hi, 0), *around[1]])
+        cut = he.blocks(page)
+        want = ["\ue000" in b.text for b in cut]
+        for b in cut:
+            b.text = " ".join(b.text.replace("\ue000", "").split())
+        cut, want = zip(*[(b, y) for b, y in zip(cut, want) if b.text])
+        got = MODEL.decode(cut)
+        right += sum(int(y) == g for y, g in zip(want, got))
+        lost += sum(y and not g for y, g in zip(want, got))
+        total += len(cut)
+    assert right / total > 0.99, (right, total, lost)
