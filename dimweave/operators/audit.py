@@ -11,10 +11,12 @@ an append-only log of the loads.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from dimweave.operators.layout import drop_path
@@ -62,20 +64,62 @@ def staged_vs_published(staged: DataFrame, published: DataFrame, group: str) ->
     return s.join(p, on=group, how="full_outer")
 
 
-def write_audited(df: DataFrame, path: str, audits, partition_by: list[str] | None = None) -> str:
-    """Write ``df`` to the new ``path`` and run each audit (a function from the
-    written rows to the failing ones).  Returns the path if all pass; otherwise
-    the copy is dropped and the error raised."""
-    spark = df.sparkSession
+def write_observed(df: DataFrame, path: str, metrics: dict[str, Column], partition_by: list[str] | None = None) -> dict:
+    """Write ``df`` to the new ``path`` and return aggregates of the written rows
+    that the write itself has observed, so that they cost no second read.  They
+    are observed behind the shuffle, in the tasks that write."""
     if partition_by:
         # One task for each partition value, more where a value has many rows.
-        df.hint("rebalance", *map(F.col, partition_by)).write.partitionBy(*partition_by).parquet(path)
-    else:
-        df.write.parquet(path)
-    written = spark.read.schema(df.schema).parquet(path)
+        df = df.hint("rebalance", *map(F.col, partition_by))
+    seen = Observation()
+    rows = df.observe(seen, *[c.alias(name) for name, c in metrics.items()]) if metrics else df
+    (rows.write.partitionBy(*partition_by) if partition_by else rows.write).parquet(path)
+    return seen.get if metrics else {}
+
+
+@dataclass(frozen=True)
+class Observed:
+    """An audit by aggregates of the written rows: ``metrics`` (name -> aggregate)
+    and ``failures``, from their values to what is wrong (nothing, if empty)."""
+
+    metrics: dict[str, Column]
+    failures: Callable[[dict], list]
+
+
+def no_rows_where(condition: Column) -> Observed:
+    """No row may meet the condition."""
+    return Observed({"rows": F.count_if(condition)}, lambda got: [f"{got['rows']} rows"] if got["rows"] else [])
+
+
+def values_equal(col: str, expected: list) -> Observed:
+    """The column's distinct values are the expected ones (NULL is a value): no
+    row has another one, and each is there."""
+    is_one = reduce(lambda a, b: a | b, [F.col(col).eqNullSafe(F.lit(v)) for v in expected], F.lit(False))
+    metrics = {"unexpected": F.count_if(~is_one)} | {f"v{k}": F.count_if(F.col(col).eqNullSafe(F.lit(v))) for k, v in enumerate(expected)}
+
+    def failures(got: dict) -> list:
+        missing = [v for k, v in enumerate(expected) if not got[f"v{k}"]]
+        return ([f"{got['unexpected']} rows of other values"] if got["unexpected"] else []) + ([f"missing: {missing}"] if missing else [])
+
+    return Observed(metrics, failures)
+
+
+def write_audited(df: DataFrame, path: str, audits, partition_by: list[str] | None = None) -> str:
+    """Write ``df`` to the new ``path`` and run each audit.  An ``Observed`` audit
+    is judged by what the write has observed; any other one is a function from
+    the written rows, which are read again, to the failing ones.  Returns the
+    path if all pass; otherwise the copy is dropped and the error raised."""
+    spark = df.sparkSession
+    seen = {name: a for name, a in audits.items() if isinstance(a, Observed)}
+    got = write_observed(df, path, {f"{k}.{m}": c for k, a in enumerate(seen.values()) for m, c in a.metrics.items()}, partition_by)
     try:
+        for k, (name, audit) in enumerate(seen.items()):
+            wrong = audit.failures({m: got[f"{k}.{m}"] for m in audit.metrics})
+            if wrong:
+                raise AssertionError(f"audit failed: {name}: {wrong}")
         for name, audit in audits.items():
-            assert_no_rows(audit(written), name)
+            if name not in seen:
+                assert_no_rows(audit(spark.read.schema(df.schema).parquet(path)), name)
     except AssertionError:
         drop_path(spark, path)
         raise
@@ -96,8 +140,8 @@ _POINTER = "path string, published_at timestamp"
 def stage_audit_publish(spark: SparkSession, df: DataFrame, audits, root: str) -> DataFrame:
     """Write ``df`` to a new load path below ``root``, audit the staged copy and,
     only if all audits pass, publish it by adding its path to the table's
-    pointer.  The data are written once, and what was published before stays
-    readable until the pointer moves."""
+    pointer.  The data are written once, and with ``Observed`` audits never read
+    for them; what was published before stays readable until the pointer moves."""
     path = write_audited(df, f"{root}/load-{uuid.uuid4().hex[:12]}", audits)
     spark.createDataFrame([(path,)], "path string").select("path", F.current_timestamp().alias("published_at")) \
         .coalesce(1).write.mode("append").parquet(f"{root}/_pointer")

@@ -131,8 +131,8 @@ def compact_files(spark: SparkSession, path: str, target_bytes: int, partition_c
         names = rows.columns
         rows = rows.withColumn("file_path", plain_path(F.col("_metadata.file_path"))).join(plan, "file_path").withColumnRenamed("slot", _SLOT)
         seen = Observation()
-        rows = rows.observe(seen, *row_fingerprint_of(names))
-        rows.repartition(min(n_slots, MAX_TASKS), "directory", _SLOT).select(*names, _SLOT).write.partitionBy(*cols, _SLOT).parquet(f"{staged}/data")
+        rows = rows.repartition(min(n_slots, MAX_TASKS), "directory", _SLOT).observe(seen, *row_fingerprint_of(names))  # in the writing tasks
+        rows.select(*names, _SLOT).write.partitionBy(*cols, _SLOT).parquet(f"{staged}/data")
         found = row_fingerprint(spark.read.schema(spark.read.parquet(path).select(*names).schema).parquet(f"{staged}/data").select(*names)).first()
         if found.asDict() != seen.get:
             raise AssertionError(f"compaction of {path}: wrote {found.asDict()}, read {seen.get}")

@@ -64,9 +64,9 @@ def q_fn_map_get(spark, sf_dir):
 @query("stage_audit_publish", f"""
     SELECT * FROM fx_permits WHERE NOT COALESCE(borough = '{DROPPED_BOROUGH}', FALSE)""")
 def q_stage_audit_publish(spark, sf_dir):
-    """Stage the delete at a new load path, audit it, move the pointer if it passes."""
-    exp = _expected(spark)
-    audits = {"boroughs": lambda staged: au.audit_set_equal(staged, "borough", exp)}
+    """Stage the delete at a new load path, judge it by what the write has
+    observed, and move the pointer if it passes."""
+    audits = {"boroughs": au.values_equal("borough", EXPECTED_BOROUGHS)}
     return au.stage_audit_publish(spark, _staged(spark, sf_dir), audits, scratch_path(spark, "permits"))
 
 
@@ -85,12 +85,11 @@ def q_staged_vs_published(spark, sf_dir):
 @query("audit_row_count", """
     SELECT COUNT(*) AS rows_written, COUNT(*) AS rows_read, TRUE AS counts_equal FROM fx_taxis""")
 def q_audit_row_count(spark, sf_dir):
+    """The rows that the write has counted against those of the written table."""
     path = scratch_path(spark, "taxis-count")
-    t = fx.taxis(spark, sf_dir)
-    t.write.parquet(path)
-    rows_read = spark.read.parquet(path).select(F.count(F.lit(1))).scalar()
-    return (t.agg(F.count(F.lit(1)).alias("rows_written"))
-            .select("rows_written", rows_read.alias("rows_read"))
+    written = au.write_observed(fx.taxis(spark, sf_dir), path, {"rows": F.count(F.lit(1))})["rows"]
+    return (spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows_read"))
+            .select(F.lit(written).cast("bigint").alias("rows_written"), "rows_read")
             .withColumn("counts_equal", F.col("rows_written") == F.col("rows_read")))
 
 

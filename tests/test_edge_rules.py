@@ -367,3 +367,23 @@ def test_backfill_fills_attributes_as_the_step_does(spark):
     assert some.exceptAll(full.where("current_season in (1996, 1999)")).count() == 0 and some.count() == 3
     newest = cu.cumulative_backfill(s)  # up to the data's own last period
     assert newest.agg(F.max("current_season")).first()[0] == 1999 and newest.exceptAll(full).count() == 0
+
+
+def test_observed_audits_need_no_second_read(spark, monkeypatch):
+    """They are judged by the write; a load that fails is dropped, and what was published stays."""
+    from dimweave.operators.layout import file_listing
+    from dimweave.session import scratch_path
+    root = scratch_path(spark, "observed")
+    rows_ = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "v int, w string")
+    monkeypatch.setattr(au, "assert_no_rows", lambda *a: 1 / 0)
+    audits = {"v": au.no_rows_where(F.col("v") > 3), "w": au.values_equal("w", ["a", "b", None])}
+    assert rows(au.stage_audit_publish(spark, rows_, audits, root), "v") == [(1,), (2,), (3,)]
+    before = file_listing(spark, root).count()
+    for wrong in ({"v": au.no_rows_where(F.col("v") > 2)}, {"w": au.values_equal("w", ["a", "b"])}, {"w": au.values_equal("w", ["a", "b", None, "c"])}):
+        with pytest.raises(AssertionError, match="audit failed"):
+            au.stage_audit_publish(spark, rows_.withColumn("v", F.col("v") + 0), wrong, root)
+    assert file_listing(spark, root).count() == before and rows(au.published(spark, root), "v") == [(1,), (2,), (3,)]
+    parts = au.write_observed(rows_, scratch_path(spark, "observed-parts"), {"n": F.count(F.lit(1)), "s": F.sum("v")}, ["w"])
+    assert parts == {"n": 3, "s": 6}
+    nothing = au.write_observed(rows_.where("v > 9"), scratch_path(spark, "observed-none"), {"n": F.count(F.lit(1))})
+    assert nothing == {"n": 0}
