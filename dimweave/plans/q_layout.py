@@ -125,7 +125,7 @@ def q_file_stats(spark, sf_dir):
 
 
 @query("compact_files", """
-    SELECT year(tpep_pickup_datetime) AS pickup_year, COUNT(*) AS num_rows, CAST(SUM("VendorID") AS BIGINT) AS vendor_sum,
+    SELECT CAST(year(tpep_pickup_datetime) AS INTEGER) AS pickup_year, COUNT(*) AS num_rows, CAST(SUM("VendorID") AS BIGINT) AS vendor_sum,
            MIN(tpep_pickup_datetime) AS first_pickup, MAX(tpep_dropoff_datetime) AS last_dropoff,
            TRUE AS content_equal, TRUE AS fewer_files
     FROM fx_taxis GROUP BY 1""")
