@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimweave.llm.common import checkpoint
+from dimweave.llm.common import byte_letters, checkpoint
 
 #: Bytes of text that are aligned together (a longer text is alone).
 TOGETHER = 1 << 19
@@ -49,14 +49,6 @@ TOGETHER = 1 << 19
 BROADCAST_PAIRS = 2_000_000
 
 
-def _unicode_bytes() -> dict[str, int]:
-    """Byte-level vocabularies write each byte as one printable character: the
-    printable bytes of Latin-1 as themselves, the others from U+0100 on in order."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    other = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(0x100 + k): b for k, b in enumerate(other)}
-
-
 class ByteLevel:
     """A byte-level BPE vocabulary file (JSON); special tokens in a text are plain text."""
 
@@ -68,7 +60,7 @@ class ByteLevel:
 
         with open(path, encoding="utf-8") as f:
             held = json.load(f)
-        byte_of, special = _unicode_bytes(), {t["content"] for t in held["added_tokens"]}
+        byte_of, special = byte_letters(), {t["content"] for t in held["added_tokens"]}
         entries = {t: i for t, i in held["model"]["vocab"].items() if t not in special}
         self.entries: list[bytes] = [b""] * (1 + max(entries.values()))
         for token, i in entries.items():

@@ -2,24 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dimweave.session import ensure_checkpoint_dir
+
 #: A side is broadcast only after its rows were counted and are at most this
 #: many (a few narrow columns each: some MB); beyond it the join shuffles.
 BROADCAST_ROWS = 200_000
 
 
 def scratch(spark: SparkSession) -> str:
-    """The shared folder for checkpoints that the session names; only a session
-    that names none gets one beside its warehouse (shared as well)."""
-    held = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if not held.isDefined():
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
-        held = spark.sparkContext._jsc.sc().getCheckpointDir()
-    return held.get().rstrip("/")
+    """The shared folder for checkpoints that the session names (see ``session``
+    for one that names none)."""
+    return ensure_checkpoint_dir(spark).rstrip("/")
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
@@ -44,6 +44,12 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def slices(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """A batch in parts, so that few texts are Python objects at a time."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 # ---------------------------------------------------------------- hashing
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -61,18 +67,23 @@ def mix64(x: np.ndarray) -> np.ndarray:
 with np.errstate(over="ignore"):
     BYTE_WORDS = mix64((np.arange(1, 257, dtype=np.uint64)) * _GOLD)
 BASE = 0x9E6C63D0876A9A47
-_powers = {"n": 0, "up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
+#: Powers of the base that are kept (4 MB); longer texts make their own.
+KEPT_POWERS = 1 << 18
+
+
+def _make_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    up, down = np.full(n + 1, BASE, np.uint64), np.full(n + 1, pow(BASE, -1, 1 << 64), np.uint64)
+    up[0] = down[0] = 1
+    with np.errstate(over="ignore"):
+        return np.multiply.accumulate(up), np.multiply.accumulate(down)
+
+
+_POWERS = _make_powers(KEPT_POWERS)
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE**i and BASE**-i modulo 2**64 for i = 0 .. n (grown as needed)."""
-    if _powers["n"] < n:
-        n = max(n, 2 * _powers["n"], 1 << 16)
-        up, down = np.full(n + 1, BASE, np.uint64), np.full(n + 1, pow(BASE, -1, 1 << 64), np.uint64)
-        up[0] = down[0] = 1
-        with np.errstate(over="ignore"):
-            _powers.update(n=n, up=np.multiply.accumulate(up), down=np.multiply.accumulate(down))
-    return _powers["up"], _powers["down"]
+    """BASE**i and BASE**-i modulo 2**64 for i = 0 .. n, or more."""
+    return _POWERS if n <= KEPT_POWERS else _make_powers(n)
 
 
 def prefix_hash(data: np.ndarray) -> np.ndarray:
@@ -92,6 +103,14 @@ def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
         return mix64(h + (end - start).astype(np.uint64) * _GOLD)
 
 
+def byte_letters() -> dict[str, int]:
+    """Byte-level vocabularies write each byte as one printable character: the
+    printable bytes of Latin-1 as themselves, the others from U+0100 on in order."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    other = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(0x100 + k): b for k, b in enumerate(other)}
+
+
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -104,9 +123,10 @@ def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[0::2], edges[1::2]
 
 
-def word_hashes(text: str | None) -> np.ndarray:
-    """One 64-bit hash for each word of the text, A-Z lower-cased."""
-    data = np.frombuffer((text or "").encode("utf-8", "surrogatepass").lower(), np.uint8)
+def word_hashes(text: str | bytes | None) -> np.ndarray:
+    """One 64-bit hash for each word of the text (or its UTF-8), A-Z lower-cased."""
+    raw = text if isinstance(text, bytes) else (text or "").encode("utf-8", "surrogatepass")
+    data = np.frombuffer(raw.lower(), np.uint8)
     start, end = word_spans(data)
     return span_hash(prefix_hash(data), start, end)
 

@@ -20,49 +20,86 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimweave.llm.common import checkpoint
+from dimweave.llm.common import byte_letters, checkpoint
 
 WINDOW = 4096
-#: Distinct words whose ids a worker remembers, from task to task, before it
-#: starts over.  The second pass forgets them: workers live on into other stages.
-REMEMBERED = 600_000
-_known: dict[str, dict[str, bytes]] = {}
-#: Marks that every tokenizer here parts from a letter or digit in front of them.
-_TAIL = re.compile(r"(?<=[^\W_])(?=[.,;:!?]+(?:\s|$))")
+#: Distinct words whose ids a task remembers before it starts over, and the
+#: longest such word: some 100 MB, dropped with the task.
+REMEMBERED, LONGEST = 300_000, 64
+#: How the byte-level vocabulary with word ends prepares and cuts a text.
+_NORMAL = ["NFC", "Replace", "Lowercase"]
+_CUTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Words of ASCII (but A-Z) and lower-case letters of Latin-1, which no
+#: normalisation changes, and the same cuts on them.
+_PLAIN = re.compile(r"[!-@\[-~ß-öø-ÿ]+").fullmatch
+_CUT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+").findall
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
-class WordIds:
+@lru_cache(maxsize=1)
+def _part_encoder(path: str):
+    """For a byte-level BPE vocabulary with a mark at word ends, cut as above: a
+    function from the UTF-8 bytes of one part of a word to its ids, else None.
+
+    The mark is written as the byte FF, which UTF-8 never has.  The ids of the
+    entries are the merges' ranks: single bytes, single bytes at word ends, then
+    the merges in order."""
+    import json
+
+    import tiktoken
+
+    with open(path, encoding="utf-8") as f:
+        held = json.load(f)
+    model, end = held["model"], held["model"].get("end_of_word_suffix")
+    normal = [n["type"] for n in (held["normalizer"] or {}).get("normalizers", [])]
+    cuts = [p.get("pattern", {}).get("Regex") for p in (held["pre_tokenizer"] or {}).get("pretokenizers", [])]
+    if model.get("type") != "BPE" or not end or normal != _NORMAL or cuts[:1] != [_CUTS]:
+        return None
+    byte_of, ranks = byte_letters(), {}
+    for token, i in model["vocab"].items():
+        body = token.removesuffix(end)
+        if all(c in byte_of for c in body):
+            ranks[bytes(map(byte_of.__getitem__, body)) + b"\xff" * (body != token)] = i
+    return tiktoken.Encoding("parts", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+
+
+class WordIds(dict):
     """Ids of whole texts by a tokenizer that never joins across white space:
-    each distinct word is encoded once and its ids are remembered as bytes."""
+    each distinct word is encoded once and its ids (little-endian unsigned 32
+    bits) are remembered."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.encode = Tokenizer.from_file(path).encode
-        self.known = _known.setdefault(path, {})
-
-    def __call__(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
+        self.encode, self.encode_part = Tokenizer.from_file(path).encode, _part_encoder(path)
+
+    def __missing__(self, word: str) -> bytes:
+        if self.encode_part and _PLAIN(word) and "<|" not in word:  # special tokens start with <|
+            found = [i for part in _CUT(word) for i in self.encode_part(part.encode() + b"\xff")]
+        else:
+            found = self.encode(word, add_special_tokens=False).ids
+        ids = array("I", found).tobytes()
+        if len(word) <= LONGEST:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[word] = ids
+        return ids
+
+    def of(self, text: str) -> bytes:
         # The tokenizer lower-cases; A-Z are done here, so that fewer words differ.
-        # (Special tokens start with <| and are matched before that.)
         if "<|" not in text:
             text = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
         # Only ASCII white space: every tokenizer here drops it between words.
-        words = _TAIL.sub(" ", text).replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        for w in set(words).difference(known):
-            known[w] = np.array(self.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
-        return b"".join(map(known.__getitem__, words))
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")))
 
 
 def _tokenize(path: str, end_id: int):
@@ -71,7 +108,7 @@ def _tokenize(path: str, end_id: int):
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
-                raw = [ids_of(t or "") + last for t in part["text"].to_pylist()]
+                raw = [ids_of.of(t or "") + last for t in part["text"].to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [part["doc_id"].cast(pa.int64()), pa.array([len(r) // 4 for r in raw], pa.int64()),
                      pa.array([_pack(r) for r in raw], pa.binary())],
@@ -93,7 +130,6 @@ def _unpack(packed: bytes) -> bytes:
 
 def _cut(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _known.clear()
         at = None
         for batch in batches:
             if at is None and batch.num_rows:
@@ -124,9 +160,10 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = 2) -> D
     tokens = tokenize(docs, path, end_id).withColumn("part", F.spark_partition_id())
     # One total for each partition: as many numbers as tasks, not as rows.
     totals = dict(tokens.groupBy("part").agg(F.sum("doc_tokens")).collect())
-    bases, at = {}, 0
+    bases, at = [], 0
     for part in sorted(totals):
-        bases[part] = at
+        bases.append((part, at))
         at += totals[part]
-    base = F.create_map(*[F.lit(x) for kv in bases.items() for x in kv])[F.col("part")] if bases else F.lit(0)
-    return tokens.withColumn("base", base.cast("long")).drop("part").mapInArrow(_cut(window), PIECES)
+    base = docs.sparkSession.createDataFrame(bases, "part int, base long")
+    # A broadcast join keeps partitions and their order.
+    return tokens.join(F.broadcast(base), "part").select("doc_id", "doc_tokens", "ids", "base").mapInArrow(_cut(window), PIECES)

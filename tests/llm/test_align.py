@@ -32,7 +32,7 @@ def some_texts(n=150):
 def tokens(libraries, text):
     """(id, start, end) of both sides by the libraries, from the entries' bytes; none if they differ from the text."""
     a, b = libraries
-    byte_of = align._unicode_bytes()
+    byte_of = align.byte_letters()
     left, right = a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)
     left = [(i, bytes(byte_of[c] for c in a.id_to_token(i))) for i in left]
     right = [(i, bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("▁", " ").encode()) for i in right]

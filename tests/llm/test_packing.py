@@ -52,3 +52,28 @@ def test_given_documents(spark):
 def test_null_ids_and_no_rows(docs_of):
     assert [(p.doc_id, p.length) for p in packing.pack(docs_of([(None, None)]), PATH).collect()] == [(None, 1)]
     assert packing.pack(docs_of([]), PATH).collect() == []
+
+
+def test_words_have_the_tokenizers_ids():
+    """Words of letters take a shorter way; all words get the library's ids."""
+    import random
+
+    from tokenizers import Tokenizer
+
+    path = PATH
+    encode, ids_of = Tokenizer.from_file(path).encode_batch, packing.WordIds(path)
+    assert ids_of.encode_part is not None
+    rng = random.Random(6)
+    letters = "etaoinshrdlucmfwypvbgkjqxzéèüöäßçñ"
+    entries = [t.removesuffix("</w>") for t in Tokenizer.from_file(path).get_vocab()]
+    words = ["".join(rng.choice(letters) for _ in range(rng.randrange(1, 30))) for _ in range(20_000)]
+    words += ["".join(rng.choices(entries, k=rng.randrange(1, 4))).lower() for _ in range(20_000)]
+    marks = letters + "!\"#$%&'()*+,-./0123456789:;<=>?@[]^_`{|}~"
+    words += ["".join(rng.choice(marks) for _ in range(rng.randrange(1, 12))) for _ in range(20_000)]
+    words += ["".join(rng.choice(["'s", "'t", "'ll", "'", "x", "re", ".", "'re", "d", "é", "1"]) for _ in range(6)) for _ in range(5000)]
+    words += ["don't", "x'll", "É", "ŉ", "ﬁ", "a" * 300, "3.5", "--", "ª", "µ", "÷", "<|endoftext|>", "İ"]
+    got = [np.frombuffer(ids_of[w], "<u4").tolist() for w in words]
+    assert got == [e.ids for e in encode(words, add_special_tokens=False)]
+    long = "b" * 1000 + " a " + "b" * 1000
+    assert np.frombuffer(ids_of.of(long), "<u4").tolist() == encode([long], add_special_tokens=False)[0].ids
+    assert max(map(len, ids_of)) <= packing.LONGEST
