@@ -45,6 +45,29 @@ def test_bucketed_join_has_no_exchange(spark):
     assert "SortMergeJoin" in p and "Exchange" not in p
 
 
+def test_buckets_of_different_counts_join_without_exchange(spark):
+    m, d = fx.matches(spark, SF_SMALL), fx.match_details(spark, SF_SMALL)
+    jn.write_bucketed(m, "plan_m8", scratch_path(spark, "plan_m8"), "match_id", 8)
+    jn.write_bucketed(d, "plan_d16", scratch_path(spark, "plan_d16"), "match_id", 16)
+    j = jn.join_bucketed(spark, "plan_m8", "plan_d16", "match_id")
+    assert "SortMergeJoin" in plan(j) and "Exchange" not in plan(j) and "Coalesced to 8" in plan(j)
+    want = d.join(m, "match_id").select(*j.columns)
+    assert j.count() == want.count() and j.exceptAll(want).count() == 0
+
+
+def test_a_hot_bucket_is_written_by_several_tasks(spark):
+    """Half of all rows have one key: no file holds more than a part of them, and the join is whole."""
+    hot = spark.range(20_000).select(F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("match_id"), F.col("id").alias("v"))
+    path = scratch_path(spark, "plan_hot")
+    jn.write_bucketed(hot, "plan_hot", path, "match_id", 4, files_per_bucket=8)
+    rows = [r["count"] for r in spark.read.parquet(path).groupBy("_metadata.file_path").count().collect()]
+    assert len(rows) > 8 and max(rows) < 4000 and sum(rows) == 20_000
+    keys = hot.select("match_id").distinct().withColumn("w", F.lit(1))
+    jn.write_bucketed(keys, "plan_keys", scratch_path(spark, "plan_keys"), "match_id", 4)
+    j = jn.join_bucketed(spark, "plan_hot", "plan_keys", "match_id")
+    assert "Exchange" not in plan(j) and j.count() == 20_000
+
+
 def test_sort_merge_and_broadcast_choices(spark):
     d = fx.match_details(spark, SF_SMALL)
     m = fx.matches(spark, SF_SMALL)
@@ -150,3 +173,14 @@ def test_last_period_is_a_subquery(spark):
     text = df._jdf.queryExecution().optimizedPlan().toString()
     assert "scalar-subquery" in text and len(sc.statusTracker().getJobIdsForGroup("last-period")) == before
     sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_a_cluster_needs_a_shared_folder():
+    import pytest
+
+    from dimweave.session import beside_warehouse
+    assert beside_warehouse("local[4]", "file:/w/") == "file:/w/_checkpoints"
+    assert beside_warehouse("yarn", "hdfs://n/w") == "hdfs://n/w/_checkpoints"
+    for master in ("yarn", "spark://h:7077", "local-cluster[3,2,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            beside_warehouse(master, "file:/home/me/spark-warehouse")
