@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dimweave.llm.common import BROADCAST_ROWS, checkpoint, mix64
+from dimweave.llm.common import BROADCAST_ROWS, checkpoint, mix64, slices
 
 FEATURES = 1 << 14
 ORDERS = (1, 2, 3)
@@ -163,8 +163,8 @@ def fit_temperature(z: np.ndarray, labels: np.ndarray) -> float:
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total, docs = np.zeros(FEATURES, np.int64), 0
-    for batch in batches:
-        for text in batch["text"].to_pylist():
+    for part in (part for batch in batches for part in slices(batch)):
+        for text in part["text"].to_pylist():
             seen = np.zeros(FEATURES, bool)
             seen[ngrams(text)] = True
             total += seen
@@ -175,10 +175,10 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        got = [counts(t) for t in batch["text"].to_pylist()]
+    for part in (part for batch in batches for part in slices(batch)):
+        got = [counts(t) for t in part["text"].to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [batch["lang"], batch["draw"], pa.array([c.astype("<i4").tobytes() for c, _ in got], pa.binary()),
+            [part["lang"], part["draw"], pa.array([c.astype("<i4").tobytes() for c, _ in got], pa.binary()),
              pa.array([n.astype("<i4").tobytes() for _, n in got], pa.binary())],
             names=["lang", "draw", "cells", "counts"])
 
@@ -231,12 +231,11 @@ def train(labelled: DataFrame) -> Model:
 def _predict(shared, out: tuple[str, str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in batches:
-            got = [model.predict(t) for t in batch["text"].to_pylist()]
-            arrays = [batch[c] for c in batch.schema.names]
+        for part in (part for batch in batches for part in slices(batch)):
+            got = [model.predict(t) for t in part["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                arrays + [pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())],
-                names=[*batch.schema.names, *out])
+                [*part.columns, pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())],
+                names=[*part.schema.names, *out])
     return run
 
 

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dimweave.llm.common import checkpoint, mix64, sequence_hash, small, word_hashes
+from dimweave.llm.common import checkpoint, mix64, sequence_hash, slices, small, word_hashes
 from dimweave.llm.graph import components
 
 WIDTH = 5
@@ -115,15 +115,15 @@ def chunk_keys(symbols: np.ndarray, chunks: int = CHUNKS) -> np.ndarray:
 
 def _digest(cut: Cut):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for part in (part for batch in batches for part in slices(batch)):
             n, digest, sig = [], [], []
-            for text in batch["text"].to_pylist():
+            for text in part["text"].to_pylist():
                 items = shingles(text)
                 n.append(len(items))
                 digest.append(xxhash.xxh3_128_digest(items.tobytes()) if len(items) else None)
                 sig.append(signature(items, cut.symbols).tobytes() if len(items) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch["text_hash"], pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sig, pa.binary())],
+                [part["doc_id"], part["text_hash"], pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sig, pa.binary())],
                 names=["doc_id", "text_hash", "n_shingles", "digest", "sig"])
     return run
 
