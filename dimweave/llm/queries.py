@@ -225,7 +225,7 @@ def op10_suffix_dedup(spark, sf_dir):
     found = suffixdedup.dedup(table(spark, sf_dir, "documents"))
     removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
     return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
-                        F.sha2("kept", 256).alias("kept_sha256"))
+                        F.sha2("kept", 256).alias("kept_sha256"), (F.size("removed") > 0).alias("holds_repeats"))
 
 
 @query("op11_jaccard_join", """

@@ -17,9 +17,13 @@ the same document or another; matches never cross documents.
    a run the strings are told apart by the few bytes at their two ends.
 
 All strings of a context contain its core, so what is removed around an anchor
-is one interval, from its first to its last repeated string.  A core with more
-than ``TOGETHER`` contexts is dealt out to several tasks; strings that a task
-found no partner for then meet by hash, one of each kind.
+is one interval, from its first to its last repeated string.  The contexts of a
+core with more than ``TOGETHER`` of them are cut into pieces by where a string
+starts before the anchor; the strings of a piece share most of their bytes, which
+become its core.  So equal strings still meet in one group, equal pieces are
+counted and sorted once, and the groups are small again.  Only a piece's core with
+more than ``TOGETHER`` different pieces is dealt out to several tasks; strings that
+a task found no partner for then meet by hash, one of each kind.
 
 Edge cases: null or empty texts, and texts shorter than LENGTH bytes, lose
 nothing (null counts as empty); rows that repeat a text repeat all its strings,
@@ -49,6 +53,8 @@ CORE_BLOCKS = CORE // BLOCK
 #: Symbols of a string: its whole blocks whatever its offset, the core as one.
 SYMBOLS = LENGTH // BLOCK - 1 - CORE_BLOCKS + 1
 TOGETHER = 4096
+#: Starts that make a piece of a context whose core has more.
+PIECE = 60
 #: Symbols sorted at a time.
 SORTED = 200_000
 _MASK = np.uint64(0xFFFFFFFF)
@@ -174,10 +180,32 @@ def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out = []
             for x in asked:
                 lo = x["spot"] >> 16
-                out.append((x["core"], x["context"], x["deal"], x["copies"], x["spot"] & 0xFFFF, data[lo : lo + (x["spot"] & 0xFF) + LENGTH]))
+                out.append((x["core"], x["context"], x["copies"], x["spot"] & 0xFFFF, data[lo : lo + (x["spot"] & 0xFF) + LENGTH]))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), _KINDS, strict=True)], names=_CONTEXT)
+
+
+_CONTEXT = ["core", "context", "copies", "shape", "data"]
+_KINDS = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Contexts cut into pieces: the strings that start PIECE * j bytes before
+    the anchor or up to PIECE - 1 more share LENGTH - PIECE + 1 bytes, which are
+    the core of the piece."""
+    for batch in batches:
+        out = []
+        for core, context, copies, shape, data in zip(*(batch[c].to_pylist() for c in _CONTEXT), strict=True):
+            before, span = shape >> 8, shape & 0xFF
+            for j in range((before - span) // PIECE, before // PIECE + 1):
+                most, least = min(before, PIECE * j + PIECE - 1), max(before - span, PIECE * j)
+                shared = data[before - PIECE * j : before - PIECE * j + LENGTH - PIECE + 1]
+                piece = data[before - most : before - least + LENGTH]
+                new = int.from_bytes(hashlib.blake2b(b"%d,%d;" % (core, j) + shared, digest_size=8).digest(), "little", signed=True)
+                own = int.from_bytes(hashlib.blake2b(b"%d,%d;" % (most, least) + piece, digest_size=8).digest(), "little", signed=True)
+                out.append((new, own, copies, most << 8 | (most - least), piece, core, context))
+        if out:
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary()), strict=True)],
-                names=["core", "context", "deal", "copies", "shape", "data"])
+                [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (*_KINDS, pa.int64(), pa.int64()), strict=True)], names=[*_CONTEXT, "of_core", "of_context"])
 
 
 # ---------------------------------------------------------------- sorting
@@ -318,6 +346,46 @@ def _text_key() -> list[Column]:
     return [F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2")]
 
 
+_CONTEXT_TYPE = "core long, context long, copies long, shape int, data binary"
+
+
+def _asked(texts: DataFrame, contexts: DataFrame) -> DataFrame:
+    """core, context, copies, shape and data of the contexts, from the texts that
+    hold them."""
+    asked = checkpoint(contexts.groupBy("t1", "t2").agg(
+        F.collect_list(F.struct("core", "context", "copies", "spot")).alias("asked")))  # at most a text's anchors
+    keys = small(asked.select("t1", "t2"))
+    wanted = texts.join(keys, ["t1", "t2"], "left_semi").dropDuplicates(["t1", "t2"]).join(asked, ["t1", "t2"])
+    return wanted.select("text", "asked").mapInArrow(_fetch, _CONTEXT_TYPE)
+
+
+def _found(data: DataFrame) -> DataFrame:
+    """core, context, first and last: what is repeated in each context, by sorting
+    the groups (core, deal); a deal from 0 on is one part of a core."""
+    tasks = partitions(data.sparkSession)
+    told = checkpoint(data.repartition(tasks, "core", "deal").sortWithinPartitions("core", "deal", "context").mapInArrow(
+        _sorted, "core long, context long, first int, last int, h1 long, h2 long"))
+    # Dealt-out cores: a string of one task may be that of another.
+    open_ = told.where("h1 is not null").select("core", "h1", "h2", F.col("first").alias("offset"), "context")
+    met = open_.groupBy("core", "h1", "h2", "offset").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    late = open_.join(met, ["core", "h1", "h2", "offset"]).groupBy("core", "context").agg(
+        F.max("offset").alias("first"), F.min("offset").alias("last"))
+    return told.where("h1 is null").select("core", "context", "first", "last").unionByName(late)
+
+
+def _found_in_pieces(pieces: DataFrame) -> DataFrame:
+    """The same for the contexts (of_core, of_context) that the pieces come from."""
+    # Equal pieces have equal bytes, so the first is as good as any.
+    distinct = checkpoint(pieces.groupBy("core", "context").agg(
+        F.sum("copies").alias("copies"), F.first("shape").alias("shape"), F.first("data").alias("data")))
+    kinds = checkpoint(distinct.groupBy("core").agg(F.count(F.lit(1)).alias("kinds")))
+    deals = F.when(F.col("kinds") > TOGETHER, F.pmod("context", F.ceil(F.col("kinds") / TOGETHER))).otherwise(-1).cast("int")
+    data = distinct.join(kinds, "core").where("kinds > 1 or copies > 1").select(*_CONTEXT, deals.alias("deal"))
+    found = _found(data).groupBy("core", "context").agg(F.max("first").alias("first"), F.min("last").alias("last"))
+    back = pieces.select("core", "context", "of_core", "of_context").join(found, ["core", "context"])
+    return back.select(F.col("of_core").alias("core"), F.col("of_context").alias("context"), "first", "last")
+
+
 def repeated(docs: DataFrame) -> DataFrame:
     """t1, t2 (a text's key) and spans: what is repeated in it, as an array of
     (start, end), possibly overlapping."""
@@ -335,22 +403,11 @@ def repeated(docs: DataFrame) -> DataFrame:
     alone = contexts.where("kinds = 1 and copies > 1").select(
         "core", "context", (F.shiftright("spot", 8).bitwiseAND(255)).cast("int").alias("first"),
         (F.shiftright("spot", 8).bitwiseAND(255) - F.col("spot").bitwiseAND(255)).cast("int").alias("last"))
-    deals = F.when(F.col("kinds") > TOGETHER, F.pmod("context", F.ceil(F.col("kinds") / TOGETHER))).otherwise(-1).cast("int")
-    asked = contexts.where("kinds > 1").withColumn("deal", deals).groupBy("t1", "t2").agg(
-        F.collect_list(F.struct("core", "context", "deal", "copies", "spot")).alias("asked"))  # at most a text's anchors
-    asked = checkpoint(asked)
-    keys = small(asked.select("t1", "t2"))
-    wanted = texts.join(keys, ["t1", "t2"], "left_semi").dropDuplicates(["t1", "t2"]).join(asked, ["t1", "t2"])
-    data = wanted.select("text", "asked").mapInArrow(_fetch, "core long, context long, deal int, copies long, shape int, data binary")
-    data = data.repartition(partitions(docs.sparkSession), "core", "deal").sortWithinPartitions("core", "deal", "context")
-    told = checkpoint(data.mapInArrow(_sorted, "core long, context long, first int, last int, h1 long, h2 long"))
-    # Dealt-out cores: a string of one task may be that of another.
-    kind = ["core", "h1", "h2", F.col("first").alias("offset")]
-    open_ = told.where("h1 is not null").select(*kind, "context")
-    met = open_.groupBy("core", "h1", "h2", "offset").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    late = open_.join(met, ["core", "h1", "h2", "offset"]).groupBy("core", "context").agg(
-        F.max("offset").alias("first"), F.min("offset").alias("last"))
-    found = told.where("h1 is null").select("core", "context", "first", "last").unionByName(alone).unionByName(late)
+    found = _found(_asked(texts, contexts.where(f"kinds > 1 and kinds <= {TOGETHER}")).withColumn("deal", F.lit(-1))).unionByName(alone)
+    crowded = contexts.where(f"kinds > {TOGETHER}")
+    if not crowded.isEmpty():
+        found = found.unionByName(_found_in_pieces(checkpoint(
+            _asked(texts, crowded).mapInArrow(_cut, f"{_CONTEXT_TYPE}, of_core long, of_context long"))))
     found = found.groupBy("core", "context").agg(F.max("first").alias("first"), F.min("last").alias("last"))
     anchor = F.shiftright("spot", 16) + F.shiftright("spot", 8).bitwiseAND(255)
     spans = rows.join(found, ["core", "context"]).select(

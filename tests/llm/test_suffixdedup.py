@@ -57,7 +57,7 @@ def corpus(seed):
     return rows
 
 
-@pytest.mark.parametrize("together", [4096, 3])
+@pytest.mark.parametrize("together", [4096, 12, 3])
 def test_equals_brute_force(docs_of, monkeypatch, together):
     monkeypatch.setattr(sd, "TOGETHER", together)
     rows = corpus(together)
@@ -83,6 +83,27 @@ def test_edge_rows(docs_of):
 
 def test_query_columns(spark):
     got = QUERIES["op10_suffix_dedup"](spark, "/root/testdata/sf0.001")
-    assert got.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    assert got.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "holds_repeats"]
+    assert got.where("holds_repeats <> (n_removed > 0)").count() == 0
+    got = got.drop("holds_repeats")
     rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     assert sorted(map(tuple, got.collect()), key=repr) == brute(rows)
+
+
+def test_a_crowded_core_is_cut_into_pieces(docs_of, monkeypatch):
+    """Near copies of one text: a few rows for each context, and no strings that
+    look for partners in other tasks."""
+    rng = random.Random(8)
+    base = "".join(rng.choices("abcdefgh ", k=1500))
+    rows = []
+    for doc in range(150):
+        text = list(base)
+        for _ in range(6):
+            text[rng.randrange(len(text))] = rng.choice("XYZ")
+        rows.append((doc, "".join(text)))
+    monkeypatch.setattr(sd, "TOGETHER", 60)
+    whole, cut = sd._found, []
+    monkeypatch.setattr(sd, "_found", lambda data: cut.append((data.count(), data.where("deal >= 0").count())) or whole(data))
+    got = run(docs_of(rows))
+    assert got == brute(rows) and sum(g[2] for g in got) > 50_000
+    assert len(cut) == 2 and cut[1][0] > 60 and cut[1][1] == 0
