@@ -104,10 +104,14 @@ TIME_UNITS = {
 }
 
 
-def partition_by(df: DataFrame, path: str, fields: dict[str, Column]) -> None:
-    """Write with one or more partition fields (name -> value)."""
+def partition_by(df: DataFrame, path: str, fields: dict[str, Column], many: bool = False) -> None:
+    """Write with one or more partition fields (name -> value).  ``many``: there
+    are many small partitions, so that the number of files counts, not of rows;
+    they are dealt to all of the session's shuffle partitions."""
     tagged = df.withColumns(fields)
-    rebalanced(tagged, *fields).write.mode("overwrite").partitionBy(*fields).parquet(path)
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = tagged.repartition(tasks, *fields) if many else rebalanced(tagged, *fields)
+    dealt.write.mode("overwrite").partitionBy(*fields).parquet(path)
 
 
 def partition_by_time(df: DataFrame, path: str, ts_col: str, unit: str,
@@ -115,7 +119,7 @@ def partition_by_time(df: DataFrame, path: str, ts_col: str, unit: str,
     """Write with a derived partition column (year / month / day / hour), and
     below it by the columns ``also`` (a compound partitioning)."""
     name = name or f"{ts_col}_{unit}"
-    partition_by(df, path, {name: TIME_UNITS[unit](F.col(ts_col)), **{c: F.col(c) for c in also or []}})
+    partition_by(df, path, {name: TIME_UNITS[unit](F.col(ts_col)), **{c: F.col(c) for c in also or []}}, many=bool(also))
     return name
 
 
