@@ -1,8 +1,10 @@
 """Line dedup by a deletion-neighbourhood join.
 
-Two lines are near-equal if their words (lower-cased, white space apart) can
-be made equal by inserting, deleting or replacing at most one word; lines of
-fewer than ``SHORTEST`` words must be equal.  A line goes if an equal or
+Lines end at line feeds; their words are the runs of characters other than
+space and U+0009 to U+000D, with A-Z lower-cased (all other letters, and white
+space such as the no-break space, are as they are).  Two lines are near-equal if
+their words can be made equal by inserting, deleting or replacing at most one
+word; lines of fewer than ``SHORTEST`` words must be equal.  A line goes if an equal or
 near-equal line stands earlier, in the order of doc_id, then of the document's
 text (for rows that share an id), then of the lines; blank lines stay.
 
@@ -34,15 +36,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimweave.llm.common import BASE, checkpoint, mix64, partitions, powers, small, word_hashes
+from dimweave.llm.common import BASE, checkpoint, mix64, partitions, powers, slices, small, word_hashes
 
 SHORTEST = 8
 _TWO = struct.Struct("<qq")
 _PLACE = ["no_id", "doc_id", "text_hash", "line_no"]
 
 
-def _words(line: str) -> list[str]:
-    return line.lower().split()
+def _lines_of(text: str) -> list[bytes]:
+    """Bytes are lower-cased in A-Z alone, and split at space and 09-0D alone."""
+    return text.encode("utf-8", "surrogatepass").lower().split(b"\n")
 
 
 def _prefix(words: np.ndarray) -> np.ndarray:
@@ -61,16 +64,16 @@ def _run(p: np.ndarray, start, end) -> np.ndarray:
         return (p[end] - p[start]) * down[start]
 
 
-def _line_hash(words: list[str]) -> np.ndarray:
+def _line_hash(words: list[bytes]) -> np.ndarray:
     """One hash for each word (without white space in it)."""
-    return word_hashes(" ".join(words)) if words else np.zeros(0, np.uint64)
+    return word_hashes(b" ".join(words)) if words else np.zeros(0, np.uint64)
 
 
-def half_keys(lines: list[list[str]]) -> list[list[int]]:
-    """For each line the keys of its first and last half, for partners of its
+def half_keys(lines: list[bytes]) -> list[list[int]]:
+    """For each line (its words, one space between them) the keys of its first and last half, for partners of its
     own length, one word longer or one word shorter; none for short lines."""
-    n = np.array([len(w) for w in lines], np.int64)
-    p = _prefix(_line_hash([w for line in lines for w in line]))
+    n = np.array([line.count(b" ") + 1 for line in lines], np.int64)
+    p = _prefix(word_hashes(b" ".join(lines)))
     start = np.cumsum(n) - n
     keys = np.empty((len(lines), 4), np.uint64)
     for c, (h, side) in enumerate(((n // 2, 0), (n // 2, 1), ((n - 1) // 2, 0), ((n - 1) // 2, 1))):
@@ -80,7 +83,7 @@ def half_keys(lines: list[list[str]]) -> list[list[int]]:
     return [k[: 2 if m % 2 else 4] if m >= SHORTEST else [] for k, m in zip(keys.view(np.int64).tolist(), n.tolist(), strict=True)]
 
 
-def variant_keys(words: list[str]) -> np.ndarray:
+def variant_keys(words: list[bytes]) -> np.ndarray:
     """Key of the line itself, then of the line without word 0, 1, 2 ..."""
     p = _prefix(_line_hash(words))
     n = len(words)
@@ -109,11 +112,10 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at in range(0, batch.num_rows, 200):
             part, rows, split = batch.slice(at, 200), [], []
             for doc, th, text in zip(part["doc_id"].to_pylist(), part["text_hash"].to_pylist(), part["text"].to_pylist(), strict=True):
-                for no, line in enumerate(text.split("\n")):
-                    words = _words(line)
+                for no, line in enumerate(_lines_of(text)):
+                    words = b" ".join(line.split())
                     if words:
-                        digest = xxhash.xxh3_128_digest(" ".join(words).encode("utf-8", "surrogatepass"))
-                        rows.append((doc, th, no, *_TWO.unpack(digest)))
+                        rows.append((doc, th, no, *_TWO.unpack(xxhash.xxh3_128_digest(words))))
                         split.append(words)
             if rows:
                 kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64())
@@ -124,11 +126,11 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _texts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The words of the lines that are asked for."""
-    for batch in batches:
+    for part in (part for batch in batches for part in slices(batch)):
         out = []
-        for doc, th, text, nos in zip(batch["doc_id"].to_pylist(), batch["text_hash"].to_pylist(), batch["text"].to_pylist(), batch["nos"].to_pylist(), strict=True):
-            lines = text.split("\n")
-            out += [(doc is None, doc, th, no, " ".join(_words(lines[no]))) for no in nos]
+        for doc, th, text, nos in zip(part["doc_id"].to_pylist(), part["text_hash"].to_pylist(), part["text"].to_pylist(), part["nos"].to_pylist(), strict=True):
+            lines = _lines_of(text)
+            out += [(doc is None, doc, th, no, b" ".join(lines[no].split()).decode("utf-8", "surrogatepass")) for no in nos]
         if out:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.string()), strict=True)],
@@ -143,7 +145,7 @@ def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at in range(0, batch.num_rows, 100):
             part, left, keys = batch.slice(at, 100), [], []
             for words, head, tail in zip(part["words"].to_pylist(), part["head"].to_pylist(), part["tail"].to_pylist(), strict=True):
-                own = variant_keys(words.split(" "))
+                own = variant_keys(words.encode("utf-8", "surrogatepass").split(b" "))
                 n = len(own) - 1
                 place = np.arange(-1, n)
                 on = (place < 0) | (head & (place >= (n - 1) // 2)) | (tail & (place < n - (n - 1) // 2))

@@ -146,7 +146,8 @@ def op6_packing(spark, sf_dir):
 @query("op7_line_dedup", """
 WITH lines AS (
   SELECT doc_id, text, CAST(no AS INTEGER) - 1 AS no, raw,
-         [x FOR x IN regexp_split_to_array(lower(raw), '[\\s]+') IF x <> ''] AS w
+         [x FOR x IN regexp_split_to_array(translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[ \\x09-\\x0D]+') IF x <> ''] AS w
   FROM (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS no
         FROM documents WHERE text IS NOT NULL)
 ), first AS (

@@ -1,8 +1,12 @@
 import random
+import re
 
 from dimweave.llm import linededup
+from dimweave.llm.queries import ORACLE, QUERIES
 from llm_fixtures import docs_of  # noqa: F401
 
+WORD = re.compile("[^\x20\x09-\x0d]+")
+
 
 def distance(a, b):
     """Word edit distance by dynamic programming."""
@@ -25,7 +29,7 @@ def brute(rows):
             continue
         kept = []
         for line in text.split("\n"):
-            w = line.lower().split()
+            w = WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in line))
             if not w:
                 kept.append(line)
                 continue
@@ -103,3 +107,19 @@ def test_within_one_is_the_edit_distance():
     for _ in range(3000):
         a, b = (rng.choices("abc", k=rng.randint(0, 6)) for _ in range(2))
         assert linededup.within_one(a, b) == (distance(a, b) <= 1)
+
+
+def test_words_are_the_same_in_code_and_statement(spark, tmp_path):
+    """No-break and other spaces and letters beyond A-Z are parts of words."""
+    import duckdb
+
+    line = "this line has eight words and no more"
+    odd = ["\xa0", "\x0b", "\x85", "\x1f", "\u2003", "\x0c", "\r", "\t"]
+    rows = [line.replace(" ", s, 1) for s in odd] + [line.replace(" ", f" {s} ", 2) for s in odd]
+    rows += ["ΟΔΟΣ is a street", "οδοσ is a street", "οδος is a street", "İstanbul once", "i̇stanbul once", "ÉTÉ here", "été here", "STRASSE Two", "strasse two", "K at 5", "k at 5", "\xa0", "\x85", "\x0b", " "]
+    rows = list(enumerate([*rows, *rows[:3]]))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    got = sorted(map(tuple, QUERIES["op7_line_dedup"](spark, str(tmp_path)).collect()), key=repr)
+    assert got == brute(rows) == sorted(con.sql(ORACLE["op7_line_dedup"]).fetchall(), key=repr)
