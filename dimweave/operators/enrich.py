@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from dimweave.functions.picks import collect_lists
 from dimweave.functions.text import DEFAULT_REFERRER
+from dimweave.operators.layout import TIME_UNITS, rebalanced
 
 
 def enrich_events_devices(events: DataFrame, devices: DataFrame) -> DataFrame:
@@ -87,3 +88,18 @@ def match_details_join(details: DataFrame, matches: DataFrame, day=None) -> Data
     if day is not None:
         m = m.where(F.to_date("completion_date") == F.lit(day).cast("date"))
     return details.join(m, on="match_id")
+
+
+def store_details(details: DataFrame, matches: DataFrame, path: str, unit: str = "day") -> None:
+    """Store the details below the completion day (or month, year) of their
+    match; details without a match lie below a NULL partition."""
+    when = matches.select("match_id", TIME_UNITS[unit](F.col("completion_date")).alias("completed"))
+    rebalanced(details.join(when, "match_id", "left"), "completed").write.partitionBy("completed").parquet(path)
+
+
+def stored_match_details(stored: DataFrame, matches: DataFrame, unit: str = "day") -> DataFrame:
+    """Stored details joined to (filtered) matches, also on the partition column:
+    whatever the filter on the matches is, only the partitions in which some
+    match is left are read (dynamic partition pruning)."""
+    m = matches.withColumn("completed", TIME_UNITS[unit](F.col("completion_date")))
+    return stored.join(m, ["match_id", "completed"]).drop("completed")

@@ -184,3 +184,22 @@ def test_a_cluster_needs_a_shared_folder():
     for master in ("yarn", "spark://h:7077", "local-cluster[3,2,1024]"):
         with pytest.raises(ValueError, match="spark.checkpoint.dir"):
             beside_warehouse(master, "file:/home/me/spark-warehouse")
+
+
+def test_details_stored_by_time_are_pruned_by_their_matches(spark):
+    """The filter names no partition, only matches; the scan of the details reads those in which one is left."""
+    from dimweave.operators import enrich as en
+    d = fx.match_details(spark, SF_SMALL)
+    m = fx.matches(spark, SF_SMALL)
+    path = scratch_path(spark, "details-by-month")
+    en.store_details(d.unionByName(d.limit(1).withColumn("match_id", F.lit("none"))), m, path, "month")
+    stored = spark.read.schema(f"{d.schema.simpleString()[7:-1].replace(':', ' ')}, completed string").parquet(path)
+    assert stored.count() == d.count() + 1 and stored.where("completed is null").count() == 1
+    few = m.where(F.col("match_id").isin("1", "2", "3"))
+    j = en.stored_match_details(stored, few, "month")
+    assert "dynamicpruning" in plan(j)
+    want = d.join(few, "match_id").select(*j.columns)
+    assert want.count() > 0 and j.exceptAll(want).count() == 0 and j.count() == want.count()
+    j.collect()
+    scans = [line for line in plan(j).splitlines() if "FileScan" in line and "completed" in line]
+    assert scans and "PartitionFilters: [isnotnull(completed" in scans[0]
