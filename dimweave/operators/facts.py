@@ -8,6 +8,7 @@ and the surviving rows get their dimension flags and parsed measures.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -52,11 +53,15 @@ def pick_lines(lines: DataFrame) -> DataFrame:
     return first_per_key(lines, ["game_id", "player_id"], DEDUPE_ORDER)
 
 
-def fact_dedupe(details: DataFrame, games: DataFrame, day=None, *, picked: bool = False) -> DataFrame:
+def fact_dedupe(details: DataFrame, games: DataFrame, day=None, *, picked: bool = False,
+                describe: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """First row per (game, team, player), with the game's date.  The pick comes
     before the join: its map-side limit then sees the raw rows, and only one
-    row of each key travels on.  ``picked``: the rows come from ``pick_lines``."""
-    return with_game(details if picked else first_per_key(details, DEDUPE_KEYS, DEDUPE_ORDER), games, day)
+    row of each key travels on.  ``picked``: the rows come from ``pick_lines``.
+    ``describe`` makes details of lines that are picked and have their game, so
+    that only the narrow lines are sorted and shuffled."""
+    first = with_game(details if picked else first_per_key(details, DEDUPE_KEYS, DEDUPE_ORDER), games, day)
+    return first if describe is None else describe(first)
 
 
 def _flags(markers: dict[str, str]) -> list[Column]:

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dimweave.operators.joins import join_broadcast
 from dimweave.session import table_path
 
 
@@ -60,6 +61,9 @@ def player_seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+LINE_COLUMNS = ["game_id", "player_id", "line_no", "part_id", "price", "ship_ts", "start_position", "pts"]
+
+
 def game_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One narrow row per line item: the keys of the box score, the columns that
     it is computed from, and tie-breakers that make row picks repeatable."""
@@ -70,28 +74,44 @@ def game_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_returnflag").alias("start_position"), F.col("l_quantity").cast("int").alias("pts"))
 
 
-def described(lines: DataFrame, spark: SparkSession, sf_dir: str, comments: bool = False) -> DataFrame:
+def with_comments(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines whose part is known, with the part's name as the comment."""
+    part = base(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("comment"))
+    return lines.join(part, F.col("part_id") == F.col("p_partkey")).drop("p_partkey")
+
+
+def described(lines: DataFrame, spark: SparkSession, sf_dir: str, comments: bool = False, *, once: bool = False) -> DataFrame:
     """The box score of ``game_lines`` rows: team and names by joins, and the
-    comment (a join of its own) only where it is asked for."""
+    comment (a join of its own) only where it is asked for and the lines do not
+    have it.  Further columns of the lines stay, as the last.  ``once``: a player
+    or team that is listed more than once gives no further rows of a line, a
+    player with several teams one row for each team; the players are broadcast
+    if they are counted to be few."""
     sup = base(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     nation = base(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    j = (lines.join(sup, lines.player_id == sup.s_suppkey)
-         .join(nation, F.col("s_nationkey") == F.col("n_nationkey")))
-    if comments:
-        part = base(spark, sf_dir, "part").select("p_partkey", "p_name")
-        j = j.join(part, F.col("part_id") == F.col("p_partkey"))
+    further = [c for c in lines.columns if c not in (*LINE_COLUMNS, "comment")]
+    if once:
+        nation = nation.groupBy("n_nationkey").agg(F.min("n_name").alias("n_name"))
+        sup = sup.groupBy("s_suppkey", "s_nationkey").agg(F.min("s_name").alias("s_name"))
+        team = sup.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).withColumnRenamed("s_suppkey", "player_id")
+        j = join_broadcast(lines, team, "player_id")
+    else:
+        j = (lines.join(sup, lines.player_id == sup.s_suppkey)
+             .join(nation, F.col("s_nationkey") == F.col("n_nationkey")))
+    if comments and "comment" not in lines.columns:
+        j = with_comments(j, spark, sf_dir)
     q, ln = F.col("pts"), F.col("line_no")
     return j.select(
         "game_id", F.col("s_nationkey").cast("int").alias("team_id"), F.col("n_name").alias("team_abbreviation"),
         "player_id", F.col("s_name").alias("player_name"), "start_position",
-        *([F.col("p_name").alias("comment")] if comments else []),
+        *(["comment"] if comments else []),
         F.concat(ln.cast("string"), F.lit(":"), F.lpad(q.cast("string"), 2, "0")).alias("min"),
         (q % 7).alias("fgm"), (q % 11).alias("fga"), (q % 3).alias("fg3m"),
         (q % 5).alias("fg3a"), (q % 4).alias("ftm"), (q % 6).alias("fta"),
         (ln % 3).alias("oreb"), (ln % 4).alias("dreb"), (ln % 3 + ln % 4).alias("reb"),
         (q % 9).alias("ast"), (q % 2).alias("stl"), (ln % 2).alias("blk"),
         (q % 8).alias("TO"), ln.alias("pf"), "pts", (q - 25).alias("plus_minus"),
-        "line_no", "part_id", "price", "ship_ts",
+        "line_no", "part_id", "price", "ship_ts", *further,
     )
 
 

@@ -233,6 +233,40 @@ def test_picked_lines_give_the_picked_details(spark):
     assert early.select(*cols).exceptAll(late.select(*cols)).count() == 0 and early.count() == late.count()
 
 
+def test_fact_dedupe_of_odd_rows(spark):
+    """Picked narrow and described last: the rows that a pick among described rows gives."""
+    from dimweave.operators import facts as fa
+    from dimweave.plans.registry import QUERIES, load_all
+    from dimweave.session import scratch_path
+    from dimweave.sources import fixtures as fx
+    load_all()
+    sf, at = scratch_path(spark, "odd-facts"), dt.datetime(1995, 1, 1)
+    tables = {
+        # player 1 is listed twice, 2 has two teams, 3 no team, 5 an unknown one, 6 no name
+        "supplier": ("s_suppkey long, s_name string, s_nationkey int",
+                     [(1, "one", 1), (1, "one", 1), (2, "two", 1), (2, "two", 2), (3, "three", None), (5, "five", 9), (6, None, 2), (None, "none", 1)]),
+        "nation": ("n_nationkey int, n_name string", [(1, "A"), (1, "A"), (2, "B"), (None, "C")]),
+        "part": ("p_partkey long, p_name string", [(1, "bolt"), (1, "bolt"), (2, None), (3, "nut"), (None, "none")]),
+        "orders": ("o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp",
+                   [(1, 1, "F", 9.0, at), (2, 1, "O", 9.0, at), (2, 1, "O", 9.0, at + dt.timedelta(400)), (4, 7, "F", 9.0, at), (None, 1, "F", 9.0, at), (5, 2, None, None, None)]),
+        "customer": ("c_custkey long, c_nationkey int", [(1, 1), (2, None)]),
+        "lineitem": ("l_orderkey long, l_suppkey long, l_linenumber int, l_partkey long, l_extendedprice double, l_shipdate timestamp, l_returnflag string, l_quantity double",
+                     # the first lines of (1, 1) have no part, or an unknown one
+                     [(1, 1, None, None, 1.0, at, "R", 1.0), (1, 1, 1, 8, 1.0, at, "R", 2.0), (1, 1, 2, 3, 1.0, at, "N", 3.0), (1, 1, 2, 1, 2.0, at, "N", 4.0),
+                      (1, 1, 2, 1, 2.0, at, "N", 4.0), (1, 2, 3, 2, None, None, None, 5.0), (1, 2, 4, 1, 1.0, at, "A", None), (1, 3, 1, 1, 1.0, at, "A", 7.0),
+                      (1, 4, 1, 1, 1.0, at, "A", 7.0), (1, 5, 1, 1, 1.0, at, "A", 7.0), (2, 6, None, 1, 1.0, at, "A", None), (2, 1, 1, 8, 1.0, at, "A", 7.0),
+                      (3, 1, 1, 1, 1.0, at, "A", 7.0), (4, 1, 1, 1, 1.0, at, "A", 7.0), (5, 2, 1, 1, 1.0, at, "A", 7.0), (None, 1, 1, 1, 1.0, at, "A", 7.0), (1, None, 1, 1, 1.0, at, "A", 7.0)])}
+    for name, (schema, found) in tables.items():
+        spark.createDataFrame(found, schema).write.parquet(f"{sf}/{name}.parquet")
+    got = QUERIES["fact_dedupe"](spark, sf)
+    want = fa.fact_dedupe(fx.game_details(spark, sf, comments=True), fx.games(spark, sf))
+    assert got.schema.simpleString() == want.schema.simpleString()
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    # one row for each date of a game that has two; the first line with a known part
+    assert rows(got, "game_id", "team_id", "player_id", "part_id") == [
+        (1, 1, 1, 1), (1, 1, 2, 2), (1, 2, 2, 2), (2, 2, 6, 1), (2, 2, 6, 1), (5, 1, 2, 1), (5, 2, 2, 1)]
+
+
 def test_batches_that_were_not_logged_are_not_read(spark):
     from dimweave.session import scratch_path
     root = scratch_path(spark, "loads-lost")

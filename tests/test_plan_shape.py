@@ -119,6 +119,15 @@ def test_fact_pick_limits_before_any_join(spark):
     assert "row_number(), 1, Partial" in p
 
 
+def test_fact_dedupe_shuffles_lines_and_not_box_scores(spark):
+    from dimweave.plans.registry import QUERIES, load_all
+    load_all()
+    p = plan(QUERIES["fact_dedupe"](spark, SF_SMALL))
+    wide, below = p.index("AS fgm#"), [p.index(x) for x in ("Window [", "Exchange hashpartitioning(game_id#", "Exchange hashpartitioning(l_orderkey#") if x in p]
+    # the measures are computed above the pick and the shuffles by game
+    assert len(below) >= 2 and wide < min(below) and "row_number(), 1, Partial" in p
+
+
 def test_details_join_part_only_for_comments(spark):
     assert "p_partkey" not in plan(fx.game_details(spark, SF_SMALL)) and "p_partkey" in plan(fx.game_details(spark, SF_SMALL, comments=True))
 
