@@ -107,3 +107,23 @@ def test_a_crowded_core_is_cut_into_pieces(docs_of, monkeypatch):
     got = run(docs_of(rows))
     assert got == brute(rows) and sum(g[2] for g in got) > 50_000
     assert len(cut) == 2 and cut[1][0] > 60 and cut[1][1] == 0
+
+
+def test_rows_of_a_common_context_need_no_join(docs_of, monkeypatch):
+    """They would all meet in the one task of their context."""
+    rng = random.Random(5)
+    text = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    often, twice = text(900), text(700)
+    rows = [(doc, text(50) + often + text(50)) for doc in range(60)] + [(100, twice), (101, text(30) + twice), (102, "ab" * 2000)]
+    monkeypatch.setattr(sd, "COMMON", 20)
+    whole, met = sd._spans, []
+
+    def spans(of, contexts, found):
+        hot = contexts.where("copies > 20").select("core", "context")
+        free = whole(of, contexts, found.limit(0))
+        met.append((of.join(hot, ["core", "context"]).distinct().count(), free.distinct().count(), free.exceptAll(whole(of, contexts, found)).count()))
+        return whole(of, contexts, found)
+
+    monkeypatch.setattr(sd, "_spans", spans)
+    assert run(docs_of(rows)) == brute(rows)
+    assert met[0][0] == met[0][1] > 60 and met[0][2] == 0
