@@ -1,9 +1,11 @@
 import hashlib
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from dimweave.llm import suffixdedup as sd
+from dimweave.llm import common, suffixdedup as sd
 from dimweave.llm.queries import QUERIES
 from llm_fixtures import docs_of  # noqa: F401
 
@@ -127,3 +129,33 @@ def test_rows_of_a_common_context_need_no_join(docs_of, monkeypatch):
     monkeypatch.setattr(sd, "_spans", spans)
     assert run(docs_of(rows)) == brute(rows)
     assert met[0][0] == met[0][1] > 60 and met[0][2] == 0
+
+
+def test_strings_of_dealt_out_cores_are_hashed_together(monkeypatch):
+    """A pile longer than the kept powers made them anew for each string."""
+    rng = random.Random(9)
+    shared = rng.randbytes(341)
+    data = [rng.randbytes(59) + shared + rng.randbytes(59) for _ in range(600)]
+    data[599] = data[0][:40] + rng.randbytes(19) + shared + data[0][400:]
+    assert sum(map(len, data)) > common.KEPT_POWERS
+    made, whole = [], common._make_powers
+    monkeypatch.setattr(common, "_make_powers", lambda n: made.append(n) or (whole(n) if len(made) < 9 else pytest.fail("powers for each string")))
+    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+    rows = [(7, k % 2, k, 1, 59 << 8 | 59, x) for k, x in enumerate(data)]
+    rows.sort(key=lambda x: x[1])
+    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)],
+                                       names=["core", "deal", "context", "copies", "shape", "data"])
+    out = [r for b in sd._sorted(iter([batch])) for r in b.to_pylist()]
+    assert not made
+    # Contexts 0 and 599 share the string at offset 0 alone, which one of them tells.
+    assert [(r["context"], r["first"], r["last"]) for r in out if r["h1"] is None] == [(0, 0, 0), (599, 0, 0)]
+    told = {(r["context"], r["first"]): (r["core"], r["h1"], r["h2"]) for r in out if r["h1"] is not None}
+    want = {}
+    for k, x in enumerate(data):
+        p = common.prefix_hash(np.frombuffer(x, np.uint8))
+        h = common.span_hash(p, np.arange(60), np.arange(60) + sd.LENGTH).view(np.int64)
+        for o in range(60):
+            two = int.from_bytes(hashlib.blake2b(x[59 - o : 459 - o], digest_size=8).digest(), "little", signed=True)
+            want[k, o] = (7, int(h[59 - o]), two)
+    del want[599 if (0, 0) in told else 0, 0]
+    assert told == want and len(out) == 2 + 600 * 60 - 1
